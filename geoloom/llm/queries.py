@@ -6,16 +6,50 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from geoloom.llm import ngram_join
+from geoloom.llm import bpe_codec, line_dedup, mixing, ngram_join, token_counts, token_index
+
+
+def vocabulary(name: str) -> str:
+    """The place of a public tokenizer's file on this machine."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
+def op3_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix(documents(spark, sf_dir))
+
+
+def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_dedup.dedup_lines(documents(spark, sf_dir))
+
+
 def op6_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.ngram_jaccard_classes(documents(spark, sf_dir))
 
 
+def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_counts.count_tokens(documents(spark, sf_dir), vocabulary("byte_bpe_50k.json"))
+
+
+def op9_token_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_index.encode_and_read(documents(spark, sf_dir), vocabulary("byte_bpe_50k.json"))
+
+
+def op10_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bpe_codec.round_trip(documents(spark, sf_dir), vocabulary("byte_bpe_multi_50k.tiktoken"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op6_ngram_jaccard_join": op6_ngram_jaccard_join}
+    return {
+        f.__name__: f
+        for f in (op3_source_mixing, op4_line_dedup, op6_ngram_jaccard_join, op8_token_counts, op9_token_index, op10_bpe_round_trip)
+    }
+
+
+def oracle_sql() -> dict[str, str]:
+    return {"op3_source_mixing": mixing.oracle(), "op4_line_dedup": line_dedup.oracle()}
