@@ -25,9 +25,10 @@ from geoloom.llm.textvec import BYTE, LOWER, Slice, slices, span_hashes, windows
 from geoloom.operators.graph import connected_components
 from geoloom.storage import cut_lineage
 
-SKETCH_BITS = 22
+#: The sketch has 2**SKETCH_BITS cells of four bits (32 MB), whatever the input.
+SKETCH_BITS = 26
 FILTER_BITS = 24
-CHUNK_BITS = 16
+CHUNK_BITS = 20
 BLOCK_ROWS = 1024
 BLOCK_SHINGLES = 1_000_000
 SEEN = 1_000_000
@@ -52,7 +53,7 @@ def _node(sign: bytes) -> int:
 
 def _describe(batches, size: int):
     """A row for each document (n, sign), then the task's sketch of its n-grams in chunks."""
-    sketch = np.zeros(1 << SKETCH_BITS, np.uint32)
+    sketch = np.zeros(1 << SKETCH_BITS, np.uint8)
     kind = pa.schema([("id", pa.null()), ("n", pa.int64()), ("sign", pa.binary()), ("node", pa.int64()), ("chunk", pa.int32()), ("counts", pa.binary())])
     for batch in batches:
         kind = kind.set(0, batch.schema.field(0))
@@ -63,7 +64,8 @@ def _describe(batches, size: int):
             signs += [_sign(s) if len(s) else None for s in sets]
             if len(cells := np.concatenate(sets)):
                 at, counts = np.unique(cells >> np.uint64(64 - SKETCH_BITS), return_counts=True)
-                sketch[at.astype(np.int64)] += counts.astype(np.uint32)
+                at = at.astype(np.int64)
+                sketch[at] = np.minimum(sketch[at] + counts, 255)
         none = pa.nulls(len(ns))
         yield pa.RecordBatch.from_arrays(
             [batch.column(0), pa.array(ns, pa.int64()), pa.array(signs, pa.binary()), pa.array([s and _node(s) for s in signs], pa.int64()), none.cast(pa.int32()), none.cast(pa.binary())], schema=kind
@@ -79,14 +81,20 @@ def _describe(batches, size: int):
 
 
 def _sum_chunks(batches):
-    """Add up the sketches of all tasks, chunk by chunk, and keep the binary logarithm of each cell."""
+    """Add up the sketches of all tasks, chunk by chunk, and keep the binary logarithm of each cell, two a byte."""
     sums: dict[int, np.ndarray] = {}
     for batch in batches:
         for k, counts in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-            sums[k] = sums.get(k, 0) + np.frombuffer(zlib.decompress(counts), np.uint32).astype(np.uint64)
+            sums[k] = sums.get(k, 0) + np.frombuffer(zlib.decompress(counts), np.uint8).astype(np.uint32)
     for k, s in sums.items():
-        logs = np.log2(np.maximum(s, 1).astype(np.float64)).astype(np.uint8)
-        yield pa.RecordBatch.from_pydict({"chunk": pa.array([k], pa.int32()), "logs": pa.array([logs.tobytes()], pa.binary())})
+        logs = np.minimum(np.log2(np.maximum(s, 1).astype(np.float64)), 15).astype(np.uint8)
+        yield pa.RecordBatch.from_pydict({"chunk": pa.array([k], pa.int32()), "logs": pa.array([(logs[::2] | logs[1::2] << 4).tobytes()], pa.binary())})
+
+
+def _rarity(logs: np.ndarray, s: np.ndarray) -> np.ndarray:
+    """What the sketch says of each n-gram: the binary logarithm of how many documents have one of its cell."""
+    cell = (s >> np.uint64(64 - SKETCH_BITS)).astype(np.int64)
+    return logs[cell >> 1] >> (cell & 1).astype(np.uint8) * np.uint8(4) & np.uint8(15)
 
 
 def _fresh(batches, size: int) -> Iterator[tuple[np.ndarray, bytes]]:
@@ -109,7 +117,7 @@ def _postings(batches, size: int, num: int, den: int, sketch):
     to_batch = lambda: pa.RecordBatch.from_arrays([pa.array(np.concatenate(grams).view(np.int64)), pa.array(np.concatenate(nodes))], ["gram", "node"])
     for s, sign in _fresh(batches, size):
         keep = len(s) - -(-num * len(s) // den) + 1
-        order = np.argsort(logs[(s >> np.uint64(64 - SKETCH_BITS)).astype(np.int64)], kind="stable")[:keep]
+        order = np.argsort(_rarity(logs, s), kind="stable")[:keep]
         grams.append(s[order])
         nodes.append(np.full(keep, _node(sign), np.int64))
         have += keep
@@ -141,14 +149,14 @@ def _or_chunks(batches):
 
 
 def _active_sets(batches, size: int, active):
-    """Node, sign and set of the documents whose node may be active."""
+    """Sign and set of the documents whose node may be active."""
     bits = np.unpackbits(active.value).astype(bool)
-    rows: list[tuple[int, bytes, bytes]] = []
+    rows: list[tuple[bytes, bytes]] = []
     have = 0
     for s, sign in _fresh(batches, size):
         node = _node(sign)
         if bits[(node & (1 << 64) - 1) >> (64 - FILTER_BITS)]:
-            rows.append((node, sign, s.tobytes()))
+            rows.append((sign, s.tobytes()))
             have += 8 * len(s)
             if have > 8 << 20:
                 yield _set_batch(rows)
@@ -158,8 +166,8 @@ def _active_sets(batches, size: int, active):
 
 
 def _set_batch(rows):
-    node, sign, grams = zip(*rows, strict=True)
-    return pa.RecordBatch.from_arrays([pa.array(node, pa.int64()), pa.array(sign, pa.binary()), pa.array(grams, pa.binary())], ["node", "sign", "grams"])
+    sign, grams = zip(*rows, strict=True)
+    return pa.RecordBatch.from_arrays([pa.array(sign, pa.binary()), pa.array(grams, pa.binary())], ["sign", "grams"])
 
 
 def _overlaps(sets: list[np.ndarray], steps: int = 4_000_000) -> Iterator[tuple[int, np.ndarray]]:
@@ -233,9 +241,9 @@ def ngram_jaccard_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str
     base = both.where("chunk IS NULL").select("id", "n", "sign", "node")
 
     chunks = 1 << SKETCH_BITS - CHUNK_BITS
-    sums = both.where("chunk IS NOT NULL").select("chunk", "counts").repartition(chunks, "chunk").mapInArrow(_sum_chunks, "chunk int, logs binary")
-    logs = np.zeros((chunks, 1 << CHUNK_BITS), np.uint8)
-    for row in sums.collect():  # 2**SKETCH_BITS bytes whatever the input
+    sums = both.where("chunk IS NOT NULL").select("chunk", "counts").repartition(16, "chunk").mapInArrow(_sum_chunks, "chunk int, logs binary")
+    logs = np.zeros((chunks, 1 << CHUNK_BITS - 1), np.uint8)
+    for row in sums.collect():  # 2**SKETCH_BITS half bytes whatever the input
         logs[row.chunk] = np.frombuffer(row.logs, np.uint8)
     sketch = spark.sparkContext.broadcast(logs.reshape(-1))
 
@@ -245,24 +253,20 @@ def ngram_jaccard_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str
     met = postings.join(led, "gram").select("node", "leader").distinct()
     met = cut_lineage(met)
 
-    marks = met.select("node").mapInArrow(_mark, "chunk int, bits binary").repartition(64, "chunk").mapInArrow(_or_chunks, "chunk int, bits binary")
+    marks = met.select("node").mapInArrow(_mark, "chunk int, bits binary").repartition(16, "chunk").mapInArrow(_or_chunks, "chunk int, bits binary")
     bits = np.zeros((64, (1 << FILTER_BITS) // 512), np.uint8)
     for row in marks.collect():  # 2**FILTER_BITS bits whatever the input
         bits[row.chunk] = np.frombuffer(row.bits, np.uint8)
     active = spark.sparkContext.broadcast(bits.reshape(-1))
 
     nodes = base.where("sign IS NOT NULL").groupBy("sign").agg(F.min("id").alias("id"), F.count(F.lit(1)).alias("copies"), F.first("n").alias("n"), F.first("node").alias("node"))
-    sets = only.mapInArrow(partial(_active_sets, size=size, active=active), "node long, sign binary, grams binary").dropDuplicates(["sign"])
-    member = sets.join(met.groupBy("node").agg(F.sort_array(F.collect_set("leader")).alias("leaders")), "node").join(nodes.select("sign", "copies", "n"), "sign")
-    spread = member.withColumn("leader", F.explode("leaders"))
-    blocks = (
-        met.join(nodes.select("node", "n"), "node")
-        .groupBy("leader")
-        .agg(F.greatest(F.ceil(F.count(F.lit(1)) / BLOCK_ROWS), F.ceil(F.sum("n") / BLOCK_SHINGLES)).cast("int").alias("blocks"))
-    )
-    cut = spread.join(blocks, "leader").withColumn("block", F.pmod(F.xxhash64("sign"), F.col("blocks")).cast("int"))
+    member = met.groupBy("node").agg(F.sort_array(F.collect_set("leader")).alias("leaders")).join(nodes, "node").select("sign", "n", "copies", "leaders", F.explode("leaders").alias("leader"))
+    blocks = member.groupBy("leader").agg(F.greatest(F.ceil(F.count(F.lit(1)) / BLOCK_ROWS), F.ceil(F.sum("n") / BLOCK_SHINGLES)).cast("int").alias("blocks"))
+    cut = member.join(blocks, "leader").withColumn("block", F.pmod(F.xxhash64("sign"), F.col("blocks")).cast("int"))
     cut = cut.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    pairs = cut.select("leader", F.least("block", "other").alias("left"), F.greatest("block", "other").alias("right"), "sign", "block", "copies", "leaders", "grams")
+    pairs = cut.select("leader", F.least("block", "other").alias("left"), F.greatest("block", "other").alias("right"), "sign", "block", "copies", "leaders")
+    sets = only.mapInArrow(partial(_active_sets, size=size, active=active), "sign binary, grams binary").dropDuplicates(["sign"])
+    pairs = pairs.join(sets, "sign")
 
     def multiply(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
         return _multiply(key, table, num, den)
