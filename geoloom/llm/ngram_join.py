@@ -288,3 +288,19 @@ def ngram_jaccard_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str
         F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"),
     )
 
+
+
+def oracle(size: int = 5, num: int = 3, den: int = 4, table: str = "documents") -> str:
+    """DuckDB SQL for the rows of ngram_jaccard_classes over a documents table of few rows."""
+    grams = f"CASE WHEN len(w) >= {size} THEN list_distinct(list_transform(generate_series(1, len(w) - {size - 1}), i -> array_to_string(w[i:i + {size - 1}], ' '))) WHEN len(w) > 0 THEN [array_to_string(w, ' ')] ELSE [] END"
+    return f"""
+WITH RECURSIVE split AS (SELECT doc_id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\x20\\x09-\\x0D]+') AS w FROM {table}),
+sets AS (SELECT doc_id, coalesce(CASE WHEN w IS NOT NULL THEN {grams} END, []) AS s FROM split),
+flat AS (SELECT doc_id, len(s) AS n, unnest(s) AS g FROM sets),
+shared AS (SELECT a.doc_id AS x, b.doc_id AS y, any_value(a.n) AS nx, any_value(b.n) AS ny, count(*) AS c FROM flat a JOIN flat b ON a.g = b.g AND a.doc_id <> b.doc_id GROUP BY 1, 2),
+links AS MATERIALIZED (SELECT x, y FROM shared WHERE {den} * c >= {num} * (nx + ny - c)),
+reach(x, y) AS (SELECT x, y FROM links UNION SELECT r.x, l.y FROM reach r JOIN links l ON r.y = l.x),
+least AS (SELECT x, min(y) AS y FROM reach GROUP BY x),
+degree AS (SELECT x, count(*) AS n FROM links GROUP BY x)
+SELECT s.doc_id, CAST(len(s.s) AS BIGINT) AS n_shingles, least(s.doc_id, coalesce(l.y, s.doc_id)) AS component_id, CAST(coalesce(d.n, 0) AS BIGINT) AS n_links
+FROM sets s LEFT JOIN least l ON s.doc_id = l.x LEFT JOIN degree d ON s.doc_id = d.x"""

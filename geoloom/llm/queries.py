@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from geoloom.llm import bpe_codec, line_dedup, mixing, ngram_join, token_counts, token_index
+from geoloom.llm import bpe_codec, fertility, fingerprints, language_id, line_dedup, mixing, ngram_join, token_counts, token_index, toxicity
 
 
 def vocabulary(name: str) -> str:
@@ -20,6 +20,14 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
+def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.score_toxicity(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"))
+
+
+def op2_fertility_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fertility.apply_rules(documents(spark, sf_dir), vocabulary("byte_bpe_50k.json"), vocabulary("piece_bpe_32k.model"))
+
+
 def op3_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(documents(spark, sf_dir))
 
@@ -28,10 +36,18 @@ def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup.dedup_lines(documents(spark, sf_dir))
 
 
+def op5_order_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprints.fingerprint_with_next(documents(spark, sf_dir))
+
+
 def op6_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.ngram_jaccard_classes(documents(spark, sf_dir))
 
 
+def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language_id.predict_languages(documents(spark, sf_dir))
+
+
 def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.count_tokens(documents(spark, sf_dir), vocabulary("byte_bpe_50k.json"))
 
@@ -45,11 +61,12 @@ def op10_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {
-        f.__name__: f
-        for f in (op3_source_mixing, op4_line_dedup, op6_ngram_jaccard_join, op8_token_counts, op9_token_index, op10_bpe_round_trip)
-    }
+    every = (
+        op1_toxicity, op2_fertility_rules, op3_source_mixing, op4_line_dedup, op5_order_minhash,
+        op6_ngram_jaccard_join, op7_language_id, op8_token_counts, op9_token_index, op10_bpe_round_trip,
+    )
+    return {f.__name__: f for f in every}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op3_source_mixing": mixing.oracle(), "op4_line_dedup": line_dedup.oracle()}
+    return {"op3_source_mixing": mixing.oracle(), "op4_line_dedup": line_dedup.oracle(), "op6_ngram_jaccard_join": ngram_join.oracle()}

@@ -24,6 +24,8 @@ TRAIN_ROWS = 40_000
 TOKENS = 20_000
 PRIOR_SHARE = 0.04
 SIGNIFICANT = 2.8
+#: Least lower bound of the log-odds of a scoring token: weaker ones follow topics and styles.
+LEAST = 3.5
 DRIFT = 0.1
 RUN = 5
 
@@ -145,7 +147,7 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     odds = F.log(up / (toxic + prior - up)) - F.log(down / (other + prior - down))
     spread = F.sqrt(1 / up + 1 / down)
     best = counted.where("yes > 2").select("token", (odds - spread).alias("score"), (odds / spread).alias("z")).where(F.col("z") >= SIGNIFICANT)
-    scores = {row.token: row.score for row in best.orderBy(F.col("z").desc(), "token").limit(TOKENS).collect() if row.score > 0}
+    scores = {row.token: row.score for row in best.orderBy(F.col("z").desc(), "token").limit(TOKENS).collect() if row.score >= LEAST}
 
     raw = Model(scores, 1.0, 1.0, 1.0, 0.0)
 
