@@ -28,7 +28,7 @@ def kmers(codes: np.ndarray) -> np.ndarray:
     """Hashes of a text's k-mers of SIZE = 8 code points in order; a shorter text is one k-mer, an empty one has none."""
     c = codes.astype(np.uint64)
     if len(c) < SIZE:
-        return mix64(np.array([(c * STEP[: len(c)]).sum() + U(len(c)) * GOLDEN], np.uint64)) if len(c) else c
+        return mix64((c * STEP[: len(c)]).sum(keepdims=True) + np.full(1, len(c), np.uint64) * GOLDEN) if len(c) else c
     for step in (1, 2, 4):
         c = mix64(c[:-step] * STEP[step] + c[step:] * STEP[step + 8])
     return c

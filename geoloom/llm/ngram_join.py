@@ -289,10 +289,9 @@ def ngram_jaccard_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str
     )
 
 
-
 def oracle(size: int = 5, num: int = 3, den: int = 4, table: str = "documents") -> str:
     """DuckDB SQL for the rows of ngram_jaccard_classes over a documents table of few rows."""
-    grams = f"CASE WHEN len(w) >= {size} THEN list_distinct(list_transform(generate_series(1, len(w) - {size - 1}), i -> array_to_string(w[i:i + {size - 1}], ' '))) WHEN len(w) > 0 THEN [array_to_string(w, ' ')] ELSE [] END"
+    grams = f"CASE WHEN len(w) >= {size} THEN list_distinct(list_transform(generate_series(1, len(w) - {size - 1}), lambda i: array_to_string(w[i:i + {size - 1}], ' '))) WHEN len(w) > 0 THEN [array_to_string(w, ' ')] ELSE [] END"
     return f"""
 WITH RECURSIVE split AS (SELECT doc_id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\x20\\x09-\\x0D]+') AS w FROM {table}),
 sets AS (SELECT doc_id, coalesce(CASE WHEN w IS NOT NULL THEN {grams} END, []) AS s FROM split),
