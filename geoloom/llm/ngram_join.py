@@ -1,12 +1,16 @@
 """N-gram Jaccard join: documents whose sets of word n-grams are alike, as classes and numbers of links.
 
-Method: a blocked sparse product of the document by n-gram incidence matrix. Two sets that link share an n-gram among
-the first |x| - ceil(t |x|) + 1 of either in any one order of all n-grams, so only those go into the posting lists.
-The order is rarest first, after a count sketch of all n-grams of fixed size (it steers cost, never the result). The
-least node of each posting list leads it; the documents that a leader has met form its group, so every pair that
-shares a posting list shares a group. Groups are cut into blocks, and each pair of blocks accumulates exact overlap
-counts of the whole sets in one task and discards pairs below the bound that the sizes give. A task returns a
-spanning star for each class it found and the number of links of each document, never the pairs.
+Method: a blocked sparse product of the document by n-gram incidence matrix. In any one order of all n-grams, the
+least k that two linked sets share stand among the first |x| - ceil(t |x|) + k of either. So a set with too few n-grams
+there that come twice links with nothing, and of the others the first |x| - ceil(t |x|) + 1 suffice as posting lists.
+The order is rarest first, after a count sketch of fixed size of the n-grams that come again within a task (it steers
+cost, never the result). A first pass over the chosen n-grams, packed and without their documents, finds those that
+come twice and marks them in a bitmap of fixed size; only marked ones go into posting lists (a full bitmap costs
+shuffled rows, never links). The least node of each posting list leads it; the documents that a leader has met form
+its group, so every pair that shares a posting list shares a group. Documents whose size bounds rule out all others of
+a group leave it. Groups are cut into blocks, and each pair of blocks accumulates exact overlap counts of the whole
+sets in one task and discards pairs below the bound that the sizes give. A task returns a spanning star for each class
+it found and the number of links of each document, never the pairs.
 
 Equal sets are one node from the start, so a group of copies is one row.
 """
@@ -28,6 +32,13 @@ from geoloom.storage import cut_lineage
 #: The sketch has 2**SKETCH_BITS cells of four bits (32 MB), whatever the input.
 SKETCH_BITS = 26
 FILTER_BITS = 24
+#: The bitmap of n-grams that come twice has 2**SHARED_BITS bits (16 MB), whatever the input.
+SHARED_BITS = 27
+#: k is SPARE of a set's n-grams, rounded down, and one at least.
+SPARE = (3, 20)
+#: Packed runs of n-grams for each shuffle partition, so that partitions get even shares; n-grams a task holds at most.
+RUNS_PER_PARTITION = 16
+HELD_GRAMS = 4_000_000
 CHUNK_BITS = 20
 BLOCK_ROWS = 1024
 BLOCK_SHINGLES = 1_000_000
@@ -43,6 +54,19 @@ def shingle_sets(part: Slice, size: int) -> Iterator[np.ndarray]:
         yield s[np.concatenate(([True], s[1:] != s[:-1]))] if hi > lo else s
 
 
+def pack(grams: np.ndarray) -> bytes:
+    """Sorted hashes, each cut to its upper 48 bits, as their steps; equal neighbours stay."""
+    steps = grams >> np.uint64(16)
+    steps[1:] -= steps[:-1].copy()
+    return zlib.compress(steps.view(np.uint8).reshape(-1, 8).T.tobytes(), 1)
+
+
+def unpack(packed: bytes) -> np.ndarray:
+    """The upper 48 bits of the hashes that were packed."""
+    planes = np.frombuffer(zlib.decompress(packed), np.uint8).reshape(8, -1)
+    return np.cumsum(np.ascontiguousarray(planes.T).view(np.uint64).reshape(-1), dtype=np.uint64)
+
+
 def _sign(s: np.ndarray) -> bytes:
     return xxhash.xxh3_128_digest(s.tobytes())
 
@@ -72,6 +96,7 @@ def _describe(batches, size: int):
         )
     if pa.types.is_null(kind.field(0).type):
         return
+    sketch[sketch == 1] = 0  # most n-grams come once; those that many documents share come again in a task
     for k, counts in enumerate(sketch.reshape(-1, 1 << CHUNK_BITS)):
         if counts.any():
             yield pa.RecordBatch.from_arrays(
@@ -110,17 +135,77 @@ def _fresh(batches, size: int) -> Iterator[tuple[np.ndarray, bytes]]:
                     yield s, sign
 
 
-def _postings(batches, size: int, num: int, den: int, sketch):
-    """(gram, node) for the rarest n-grams of each set, as many as a linked set must share one of."""
-    logs = sketch.value
+def _lead(n: int, num: int, den: int) -> tuple[int, int, int]:
+    """Of a set's n n-grams in order: how many a linked set must share one of, how many it must share k of, and the
+    least k among all sets that it can link with."""
+    k = lambda m: max(1, SPARE[0] * m // SPARE[1])
+    least = -(-num * n // den)
+    return n - least + 1, min(n, n - least + k(n)), k(least)
+
+
+def _ordered(s: np.ndarray, logs: np.ndarray) -> np.ndarray:
+    """A set's n-grams, rarest first by the sketch, then by hash."""
+    return s[np.argsort(_rarity(logs, s), kind="stable")]
+
+
+def _runs(batches, size: int, num: int, den: int, sketch, runs: int):
+    """(run, packed): a task's chosen n-grams, each twice at most, cut by hash into runs."""
+    logs, held, have = sketch.value, [], 0
+
+    def cut():
+        grams = np.sort(np.concatenate(held))
+        grams = grams[np.concatenate(([True, True], grams[2:] != grams[:-2]))[: len(grams)]]
+        of = ((grams >> np.uint64(32)) * np.uint64(runs)) >> np.uint64(32)
+        edge = np.concatenate(([0], np.flatnonzero(of[1:] != of[:-1]) + 1, [len(grams)]))
+        packed = [pack(grams[a:b]) for a, b in zip(edge[:-1], edge[1:], strict=True)]
+        return pa.RecordBatch.from_arrays([pa.array(of[edge[:-1]].astype(np.int32)), pa.array(packed, pa.binary())], ["run", "packed"])
+
+    for s, _ in _fresh(batches, size):
+        held.append(_ordered(s, logs)[: _lead(len(s), num, den)[1]])
+        have += len(held[-1])
+        if have >= HELD_GRAMS:
+            yield cut()
+            held, have = [], 0
+    if have:
+        yield cut()
+
+
+def _twice(batches):
+    """(chunk, bits): the marks of the n-grams that come twice in the runs of a partition."""
+    runs: dict[int, list[bytes]] = {}
+    for batch in batches:
+        for k, packed in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+            runs.setdefault(k, []).append(packed)
+    for parts in runs.values():
+        grams = np.sort(np.concatenate([unpack(p) for p in parts]))
+        cells = np.unique(grams[1:][grams[1:] == grams[:-1]] >> np.uint64(48 - SHARED_BITS)).astype(np.int64)
+        if len(cells):
+            low, high = int(cells[0]) >> 3, (int(cells[-1]) >> 3) + 1
+            bits = np.zeros((high - low) * 8, np.uint8)
+            bits[cells - low * 8] = 1
+            yield pa.RecordBatch.from_pydict({"low": pa.array([low], pa.int32()), "bits": pa.array([zlib.compress(np.packbits(bits, bitorder="little").tobytes(), 1)], pa.binary())})
+
+
+def _marked(s: np.ndarray, bits: np.ndarray) -> np.ndarray:
+    cell = (s >> np.uint64(64 - SHARED_BITS)).astype(np.int64)
+    return bits[cell >> 3] >> (cell & 7).astype(np.uint8) & np.uint8(1) == 1
+
+
+def _postings(batches, size: int, num: int, den: int, sketch, shared):
+    """(gram, node) for the chosen n-grams of each set that are marked as coming twice."""
+    logs, bits = sketch.value, shared.value
     grams, nodes, have = [], [], 0
     to_batch = lambda: pa.RecordBatch.from_arrays([pa.array(np.concatenate(grams).view(np.int64)), pa.array(np.concatenate(nodes))], ["gram", "node"])
     for s, sign in _fresh(batches, size):
-        keep = len(s) - -(-num * len(s) // den) + 1
-        order = np.argsort(_rarity(logs, s), kind="stable")[:keep]
-        grams.append(s[order])
-        nodes.append(np.full(keep, _node(sign), np.int64))
-        have += keep
+        one, some, least = _lead(len(s), num, den)
+        chosen = _ordered(s, logs)[:some]
+        known = _marked(chosen, bits)
+        if known.sum() < least:
+            continue
+        chosen = chosen[:one][known[:one]]
+        grams.append(chosen)
+        nodes.append(np.full(len(chosen), _node(sign), np.int64))
+        have += len(chosen)
         if have >= 100_000:
             yield to_batch()
             grams, nodes, have = [], [], 0
@@ -156,7 +241,7 @@ def _active_sets(batches, size: int, active):
     for s, sign in _fresh(batches, size):
         node = _node(sign)
         if bits[(node & (1 << 64) - 1) >> (64 - FILTER_BITS)]:
-            rows.append((sign, s.tobytes()))
+            rows.append((sign, pack(s)))
             have += 8 * len(s)
             if have > 8 << 20:
                 yield _set_batch(rows)
@@ -202,7 +287,7 @@ def _multiply(key, table: pa.Table, num: int, den: int) -> pa.Table:
     table = table.sort_by("sign")
     signs, side, copies = (table.column(c).to_pylist() for c in ("sign", "block", "copies"))
     leaders = [frozenset(x) for x in table.column("leaders").to_pylist()]
-    sets = [np.frombuffer(g, np.uint64) for g in table.column("grams").to_pylist()]
+    sets = [unpack(g) for g in table.column("grams").to_pylist()]
     sizes, parent, links = np.array([len(s) for s in sets]), list(range(len(sets))), [0] * len(sets)
 
     def find(x: int) -> int:
@@ -248,10 +333,24 @@ def ngram_jaccard_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str
     sketch = spark.sparkContext.broadcast(logs.reshape(-1))
 
     only = texts.select("text")
-    postings = only.mapInArrow(partial(_postings, size=size, num=num, den=den, sketch=sketch), "gram long, node long")
+    partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    runs = only.mapInArrow(partial(_runs, size=size, num=num, den=den, sketch=sketch, runs=RUNS_PER_PARTITION * partitions), "run int, packed binary")
+    marks = np.zeros(1 << SHARED_BITS - 3, np.uint8)
+    for row in runs.repartition(partitions, "run").mapInArrow(_twice, "low int, bits binary").collect():  # 2**SHARED_BITS bits whatever the input
+        bits = np.frombuffer(zlib.decompress(row.bits), np.uint8)
+        marks[row.low : row.low + len(bits)] |= bits
+    shared = spark.sparkContext.broadcast(marks)
+    postings = only.mapInArrow(partial(_postings, size=size, num=num, den=den, sketch=sketch, shared=shared), "gram long, node long")
     led = postings.groupBy("gram").agg(F.min("node").alias("leader"), F.max("node").alias("last")).where("leader <> last").select("gram", "leader")
     met = postings.join(led, "gram").select("node", "leader").distinct()
-    met = cut_lineage(met)
+
+    nodes = base.where("sign IS NOT NULL").groupBy("sign").agg(F.min("id").alias("id"), F.count(F.lit(1)).alias("copies"), F.first("n").alias("n"), F.first("node").alias("node"))
+    # Sizes of linked sets differ by den/num at most, so their steps by one.
+    step = F.floor(F.log(F.col("n")) / float(np.log(den / num)) * 0.999).cast("int")
+    met = met.join(nodes.select("sign", "node", "n", "copies"), "node").withColumn("step", step)
+    steps = met.select("leader", F.explode(F.array(F.col("step"), F.col("step") + 1)).alias("near")).groupBy("leader", "near").count().where("count > 1")
+    steps = steps.select("leader", F.explode(F.array(F.col("near") - 1, F.col("near"))).alias("step")).distinct()
+    met = cut_lineage(met.join(steps, ["leader", "step"], "left_semi").select("sign", "node", "n", "copies", "leader"))
 
     marks = met.select("node").mapInArrow(_mark, "chunk int, bits binary").repartition(16, "chunk").mapInArrow(_or_chunks, "chunk int, bits binary")
     bits = np.zeros((64, (1 << FILTER_BITS) // 512), np.uint8)
@@ -259,8 +358,8 @@ def ngram_jaccard_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str
         bits[row.chunk] = np.frombuffer(row.bits, np.uint8)
     active = spark.sparkContext.broadcast(bits.reshape(-1))
 
-    nodes = base.where("sign IS NOT NULL").groupBy("sign").agg(F.min("id").alias("id"), F.count(F.lit(1)).alias("copies"), F.first("n").alias("n"), F.first("node").alias("node"))
-    member = met.groupBy("node").agg(F.sort_array(F.collect_set("leader")).alias("leaders")).join(nodes, "node").select("sign", "n", "copies", "leaders", F.explode("leaders").alias("leader"))
+    leaders = F.sort_array(F.collect_set("leader")).alias("leaders")
+    member = met.groupBy("sign", "n", "copies").agg(leaders).withColumn("leader", F.explode("leaders"))
     blocks = member.groupBy("leader").agg(F.greatest(F.ceil(F.count(F.lit(1)) / BLOCK_ROWS), F.ceil(F.sum("n") / BLOCK_SHINGLES)).cast("int").alias("blocks"))
     cut = member.join(blocks, "leader").withColumn("block", F.pmod(F.xxhash64("sign"), F.col("blocks")).cast("int"))
     cut = cut.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
