@@ -29,8 +29,8 @@ from geoloom.llm.textvec import BYTE, LOWER, Slice, slices, span_hashes, windows
 from geoloom.operators.graph import connected_components
 from geoloom.storage import cut_lineage
 
-#: The sketch has 2**SKETCH_BITS cells of four bits (32 MB), whatever the input.
-SKETCH_BITS = 26
+#: The sketch has 2**SKETCH_BITS cells of four bits (16 MB), whatever the input.
+SKETCH_BITS = 25
 FILTER_BITS = 24
 #: The bitmap of n-grams that come twice has 2**SHARED_BITS bits (16 MB), whatever the input.
 SHARED_BITS = 27
