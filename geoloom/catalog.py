@@ -5,11 +5,440 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from geoloom.functions import geometry, names
+from geoloom.operators import assess, coco, grids, post, raster, spatial, tilesets
+from geoloom.plans import fixtures
+from geoloom.plans.fixtures import SQL
+from geoloom.sources import tables
 
-def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {}
+Query = Callable[[SparkSession, str], DataFrame]
+_QUERIES: dict[str, Query] = {}
+_SQL: dict[str, str] = {}
+THRESHOLD = 0.3
+
+
+def query(sql: str | None = None) -> Callable[[Query], Query]:
+    def add(f: Query) -> Query:
+        _QUERIES[f.__name__] = f
+        if sql is not None:
+            _SQL[f.__name__] = sql
+        return f
+
+    return add
+
+
+def _with(*ctes: str) -> str:
+    return "WITH " + ",".join([SQL, *ctes])
+
+
+#: The tags at one threshold: each detection's best label, each label's best detection, and the rest.
+MATCHED = f"""
+best AS (SELECT * FROM ious WHERE score >= {THRESHOLD} QUALIFY row_number() OVER (PARTITION BY det_id ORDER BY iou DESC, label_id) = 1),
+matched AS (SELECT * FROM best WHERE iou >= 0.25 QUALIFY row_number() OVER (PARTITION BY label_id ORDER BY iou DESC, det_id) = 1),
+tagged AS (SELECT CASE WHEN label_class = det_class + 1 THEN 'TP' ELSE 'MISMATCHED CLASSES' END AS tag, det_id, label_id, dataset, det_class, label_class, score, iou FROM matched
+  UNION ALL SELECT 'FP', det_id, NULL, dataset, det_class, NULL, score, NULL FROM dets WHERE score >= {THRESHOLD} AND det_id NOT IN (SELECT det_id FROM matched)
+  UNION ALL SELECT 'FN', NULL, label_id, dataset, NULL, label_class, NULL, NULL FROM labels WHERE label_id NOT IN (SELECT label_id FROM matched))"""
+COUNTS = """
+sides AS (SELECT dataset, label_class AS class, tag = 'TP' AS tp, false AS fp, tag <> 'TP' AS fn FROM tagged WHERE label_class IS NOT NULL
+  UNION ALL SELECT dataset, det_class + 1, false, tag <> 'TP', false FROM tagged WHERE det_class IS NOT NULL),
+counts AS (SELECT dataset, c.class, count(*) FILTER (tp) AS TP_k, count(*) FILTER (fp) AS FP_k, count(*) FILTER (fn) AS FN_k
+  FROM sides s, (SELECT CAST(unnest(range(1, 6)) AS INTEGER) AS class) c WHERE s.class = c.class GROUP BY dataset, c.class),
+by_class AS (SELECT *, CASE WHEN TP_k > 0 THEN TP_k / CAST(TP_k + FP_k AS DOUBLE) ELSE 0 END AS precision_k, CASE WHEN TP_k > 0 THEN TP_k / CAST(TP_k + FN_k AS DOUBLE) ELSE 0 END AS recall_k FROM counts)"""
+
+
+def _score(precision: str, recall: str, keys: str = "dataset", source: str = "by_class") -> str:
+    return f"""
+sums AS (SELECT {keys}, CAST(sum(TP_k) AS BIGINT) AS TP_k, CAST(sum(FP_k) AS BIGINT) AS FP_k, CAST(sum(FN_k) AS BIGINT) AS FN_k, {precision} AS precision, {recall} AS recall FROM {source} GROUP BY {keys}),
+scored AS (SELECT *, CASE WHEN precision + recall > 0 THEN 2 * precision * recall / (precision + recall) ELSE 0 END AS f1 FROM sums)"""
+
+
+def _folded(x: str) -> str:
+    return f"list_reduce(list({x} ORDER BY class), lambda a, b: a + b, CAST(0 AS DOUBLE))"
+
+
+MACRO = (f"{_folded('precision_k')} / count(*)", f"{_folded('recall_k')} / count(*)")
+WEIGHTED = tuple(f"{_folded(f'CAST(TP_k + FN_k AS DOUBLE) * {c}')} / CAST(sum(TP_k + FN_k) AS DOUBLE) / count(*)" for c in ("precision_k", "recall_k"))
+MICRO = tuple(f"CASE WHEN sum(TP_k) > 0 THEN CAST(sum(TP_k) AS DOUBLE) / CAST(sum(TP_k) + sum({c}) AS DOUBLE) ELSE 0 END" for c in ("FP_k", "FN_k"))
+
+
+def _tagged(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return assess.fractional_sets(fixtures.detections(spark, sf_dir).where(F.col("score") >= THRESHOLD), fixtures.labels(spark, sf_dir))
+
+
+def _by_class(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return assess.class_counts(_tagged(spark, sf_dir), fixtures.classes(spark), "dataset")
+
+
+@query(_with() + " SELECT det_id, label_id, iou FROM ious")
+def iou_pairs(spark, sf_dir):
+    return assess.iou_pairs(fixtures.detections(spark, sf_dir), fixtures.labels(spark, sf_dir)).select("det_id", "label_id", "iou")
+
+
+@query(_with(MATCHED) + " SELECT * FROM tagged")
+def fractional_sets(spark, sf_dir):
+    return _tagged(spark, sf_dir)
+
+
+@query(_with(MATCHED) + " SELECT tag, count(*) AS n FROM tagged GROUP BY tag")
+def fractional_counts(spark, sf_dir):
+    return _tagged(spark, sf_dir).groupBy("tag").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query(_with(MATCHED, COUNTS) + " SELECT dataset, class, TP_k, FP_k, FN_k, precision_k, recall_k FROM by_class")
+def metrics_by_class(spark, sf_dir):
+    return _by_class(spark, sf_dir)
+
+
+@query(_with(MATCHED, COUNTS, _score(*MACRO)) + " SELECT * FROM scored")
+def global_metrics(spark, sf_dir):
+    return assess.metrics(_by_class(spark, sf_dir), "dataset")
+
+
+@query(_with(MATCHED, COUNTS, _score(*WEIGHTED)) + " SELECT * FROM scored")
+def metrics_weighted(spark, sf_dir):
+    return assess.metrics(_by_class(spark, sf_dir), "dataset", method="macro-weighted-average")
+
+
+@query(_with(MATCHED, COUNTS, _score(*MICRO)) + " SELECT * FROM scored")
+def metrics_micro(spark, sf_dir):
+    return assess.metrics(_by_class(spark, sf_dir), "dataset", method="micro-average")
+
+
+SWEPT = """
+steps AS (SELECT CAST(unnest(range(5, 100, 5)) AS INTEGER) AS threshold),
+chosen AS (SELECT * FROM ious WHERE dataset = l_dataset QUALIFY row_number() OVER (PARTITION BY det_id ORDER BY iou DESC, label_id) = 1),
+won AS (SELECT c.*, threshold FROM chosen c JOIN steps ON score >= threshold / CAST(100 AS DOUBLE) WHERE iou >= 0.25 QUALIFY row_number() OVER (PARTITION BY threshold, label_id ORDER BY iou DESC, det_id) = 1),
+hits AS (SELECT dataset, threshold, label_class AS class, count(*) AS n FROM won WHERE label_class = det_class + 1 GROUP BY ALL),
+shown AS (SELECT dataset, threshold, det_class + 1 AS class, count(*) AS n FROM dets JOIN steps ON score >= threshold / CAST(100 AS DOUBLE) GROUP BY ALL),
+there AS (SELECT dataset, threshold, label_class AS class, count(*) AS n FROM labels, steps GROUP BY ALL),
+counts AS (SELECT t.dataset, t.threshold, t.class, coalesce(h.n, 0) AS TP_k, coalesce(s.n, 0) - coalesce(h.n, 0) AS FP_k, t.n - coalesce(h.n, 0) AS FN_k
+  FROM there t LEFT JOIN hits h USING (dataset, threshold, class) LEFT JOIN shown s USING (dataset, threshold, class)),
+by_class AS (SELECT *, CASE WHEN TP_k > 0 THEN TP_k / CAST(TP_k + FP_k AS DOUBLE) ELSE 0 END AS precision_k, CASE WHEN TP_k > 0 THEN TP_k / CAST(TP_k + FN_k AS DOUBLE) ELSE 0 END AS recall_k FROM counts)"""
+
+
+def _swept(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return assess.threshold_sweep(fixtures.detections(spark, sf_dir), fixtures.labels(spark, sf_dir), fixtures.classes(spark))
+
+
+@query(_with(SWEPT) + " SELECT dataset, threshold, class, TP_k, FP_k, FN_k, precision_k, recall_k FROM by_class")
+def threshold_sweep(spark, sf_dir):
+    return _swept(spark, sf_dir)
+
+
+@query(_with(SWEPT, _score(*MACRO, keys="dataset, threshold")) + " SELECT threshold, f1 FROM scored WHERE dataset = 'val' ORDER BY f1 DESC, threshold LIMIT 1")
+def best_threshold(spark, sf_dir):
+    return assess.best_threshold(_swept(spark, sf_dir))
+
+
+@query(_with(MATCHED) + " SELECT dataset, label_class, det_class + 1 AS det_class, count(*) AS n FROM tagged GROUP BY ALL")
+def confusion_matrix(spark, sf_dir):
+    return assess.confusion_matrix(_tagged(spark, sf_dir))
+
+
+YEARLY = f"""
+near AS (SELECT * FROM ious WHERE score >= {THRESHOLD}), agreed AS (SELECT * FROM near WHERE year_det = year_label),
+best AS (SELECT * FROM agreed QUALIFY row_number() OVER (PARTITION BY det_id ORDER BY iou DESC, label_id) = 1),
+matched AS (SELECT * FROM best WHERE iou >= 0.25 QUALIFY row_number() OVER (PARTITION BY label_id, year_det ORDER BY iou DESC, det_id) = 1),
+hits AS (SELECT CASE WHEN label_class = det_class + 1 THEN 'TP' ELSE 'MISMATCHED CLASSES' END AS tag, count(*) AS n FROM matched GROUP BY tag)"""
+
+
+def _year_sql(lost: bool) -> str:
+    fp = " AND (det_id NOT IN (SELECT det_id FROM near) OR det_id IN (SELECT det_id FROM agreed))" if lost else ""
+    fn = " AND (label_id NOT IN (SELECT label_id FROM near) OR label_id IN (SELECT label_id FROM agreed))" if lost else ""
+    return _with(YEARLY) + f""" SELECT * FROM hits UNION ALL SELECT 'FP', count(*) FROM dets WHERE score >= {THRESHOLD} AND det_id NOT IN (SELECT det_id FROM matched){fp}
+UNION ALL SELECT 'FN', count(*) FROM labels WHERE label_id NOT IN (SELECT label_id FROM matched){fn}"""
+
+
+def _year_counts(spark: SparkSession, sf_dir: str, year: str) -> DataFrame:
+    dets = fixtures.detections(spark, sf_dir).where(F.col("score") >= THRESHOLD)
+    return assess.fractional_sets(dets, fixtures.labels(spark, sf_dir), year=year).groupBy("tag").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query(_year_sql(False))
+def year_strict_sets(spark, sf_dir):
+    return _year_counts(spark, sf_dir, "strict")
+
+
+@query(_year_sql(True))
+def year_compat_sets(spark, sf_dir):
+    return _year_counts(spark, sf_dir, "compat")
+
+
+@query(_with() + " SELECT 'det' AS side, count(*) AS n FROM dets WHERE (d_x1 - d_x0) * (d_y1 - d_y0) < 200 UNION ALL SELECT 'label', count(*) FROM labels WHERE (l_x1 - l_x0) * (l_y1 - l_y0) < 200")
+def area_split(spark, sf_dir):
+    small = assess.fractional_sets(fixtures.detections(spark, sf_dir), fixtures.labels(spark, sf_dir), area=200).where(F.col("tag") == assess.SMALL)
+    return small.groupBy(F.when(F.col("det_id").isNull(), "label").otherwise("det").alias("side")).agg(F.count(F.lit(1)).alias("n"))
+
+
+@query(_with() + " SELECT det_id, score FROM dets WHERE score > 0.5 AND (d_x1 - d_x0) * (d_y1 - d_y0) > 300")
+def score_area_filter(spark, sf_dir):
+    return post.filter_detections(fixtures.detections(spark, sf_dir), 0.5, 300).select("det_id", "score")
+
+
+@query(_with() + " SELECT det_id, det_class FROM dets WHERE det_class NOT IN (1, 2) OR (det_class = 1 AND (d_x1 - d_x0) * (d_y1 - d_y0) BETWEEN 100 AND 400) OR (det_class = 2 AND (d_x1 - d_x0) * (d_y1 - d_y0) BETWEEN 200 AND 600)")
+def scale_area_filter(spark, sf_dir):
+    ranges = spark.createDataFrame([(1, 100, 400), (2, 200, 600)], "scale int, low long, high long")
+    dets = fixtures.detections(spark, sf_dir).withColumn("scale", F.col("det_class"))
+    return post.filter_scale_area(dets, ranges).select("det_id", "det_class")
+
+
+@query(_with() + " SELECT det_id, (gr * 31 + gc * 17) % 2000 AS elevation FROM (SELECT det_id, CAST(floor(((d_x0 + d_x1) / 2.0 + 10) / 10.0) AS BIGINT) AS gc, CAST(floor((5100 - (d_y0 + d_y1) / 2.0) / 10.0) AS BIGINT) AS gr FROM dets) WHERE (gr * 31 + gc * 17) % 2000 BETWEEN 1 AND 1199 AND gr BETWEEN 0 AND 511 AND gc BETWEEN 0 AND 511")
+def elevation_filter(spark, sf_dir):
+    cells = spark.range(512 * 512).select(F.expr("id div 512").alias("row"), (F.col("id") % 512).alias("col"))
+    cells = cells.withColumn("elevation", (F.col("row") * 31 + F.col("col") * 17) % 2000)
+    return post.filter_elevation(fixtures.detections(spark, sf_dir), cells, -10.0, 5100.0, 10.0, 1200).select("det_id", "elevation")
+
+
+MEET = "t_x0 <= l_x1 AND l_x0 <= t_x1 AND t_y0 <= l_y1 AND l_y0 <= t_y1"
+
+
+@query(_with() + f" SELECT id FROM tiles WHERE EXISTS (SELECT 1 FROM labels WHERE {MEET})")
+def tile_semi(spark, sf_dir):
+    return spatial.spatial_semi_join(fixtures.tiles(spark, sf_dir), tilesets.TILE_BOX, fixtures.labels(spark, sf_dir), assess.LABEL_BOX, "id", 128).select("id")
+
+
+@query(_with() + f" SELECT id FROM tiles WHERE NOT EXISTS (SELECT 1 FROM labels WHERE {MEET})")
+def empty_tile_candidates(spark, sf_dir):
+    return spatial.spatial_semi_join(fixtures.tiles(spark, sf_dir), tilesets.TILE_BOX, fixtures.labels(spark, sf_dir), assess.LABEL_BOX, "id", 128, "left_anti").select("id")
+
+
+@query(_with() + f" SELECT id, category, count(*) AS n FROM tiles JOIN labels ON {MEET} GROUP BY id, category")
+def labels_per_tile(spark, sf_dir):
+    return tilesets.labels_per_tile(fixtures.tiles(spark, sf_dir), fixtures.labels(spark, sf_dir), assess.LABEL_BOX, "category")
+
+
+def _kinds(spark: SparkSession, sf_dir: str) -> DataFrame:
+    tiles, labels = fixtures.tiles(spark, sf_dir), fixtures.labels(spark, sf_dir)
+    ids = lambda rule: tilesets.met_ids(tiles, labels.where(rule), assess.LABEL_BOX)
+    return tilesets.tile_kinds(tiles, ids("label_class <= 3"), ids("label_class = 4 AND label_id % 5 = 0"), ids("label_class = 5"))
+
+
+KIND = f"""
+kinds AS (SELECT tiles.*, CASE WHEN gt AND NOT oth THEN 'gt' WHEN fp AND NOT gt THEN 'fp' WHEN oth THEN 'oth' ELSE 'empty' END AS tile_kind FROM
+  (SELECT id, bool_or(label_class <= 3) IS TRUE AS gt, bool_or(label_class = 4 AND label_id % 5 = 0) IS TRUE AS oth, bool_or(label_class = 5) IS TRUE AS fp FROM tiles LEFT JOIN labels ON {MEET} GROUP BY id) JOIN tiles USING (id))"""
+
+
+@query(_with(KIND) + " SELECT id, tile_kind FROM kinds")
+def tile_kind(spark, sf_dir):
+    return _kinds(spark, sf_dir).select("id", "tile_kind")
+
+
+PLACE = "(key * 7919 + 104729) % 1000003"
+SPLIT = f"CASE WHEN {PLACE} % 1000 < 700 THEN 'trn' WHEN {PLACE} % 1000 < 850 THEN 'val' ELSE 'tst' END"
+
+
+@query(_with() + f" SELECT id, {SPLIT} AS dataset FROM tiles")
+def split_hash(spark, sf_dir):
+    return tilesets.split(fixtures.tiles(spark, sf_dir)).select("id", "dataset")
+
+
+@query(_with() + f" SELECT id FROM tiles ORDER BY {PLACE}, key LIMIT 50")
+def empty_tile_sample(spark, sf_dir):
+    return tilesets.sample_ids(fixtures.tiles(spark, sf_dir), 50).select("id")
+
+
+@query(
+    _with()
+    + ", cut AS (SELECT category, " + SPLIT + f" AS part FROM tiles JOIN labels ON {MEET}) SELECT category, "
+    + ", ".join(f"count(*) FILTER (part = '{d}') / CAST(count(*) AS DOUBLE) AS {d}_ratio" for d in ("trn", "val", "tst")) + " FROM cut GROUP BY category"
+)
+def split_ratios(spark, sf_dir):
+    tiles = fixtures.tiles(spark, sf_dir)
+    return tilesets.split_ratios(labels_per_tile(spark, sf_dir), tilesets.split(tiles), "category")
+
+
+@query(
+    _with()
+    + f""", met AS (SELECT key, category, s AS seed, (key * 7919 + s * 104729) % 1000003 % 1000 AS p FROM tiles JOIN labels ON {MEET}, (SELECT unnest(range(0, 50)) AS s)),
+per AS (SELECT seed, category, count(*) FILTER (p < 700) AS a, count(*) FILTER (p >= 700 AND p < 850) AS b, count(*) FILTER (p >= 850) AS c, CAST(count(*) AS DOUBLE) AS n FROM met GROUP BY seed, category)
+SELECT CAST(seed AS INTEGER) AS seed, CAST(sum(CAST(a / n >= 0.60 AS INT) + CAST(b / n >= 0.12 AS INT) + CAST(c / n >= 0.12 AS INT) - CAST(a = 0 OR b = 0 OR c = 0 AS INT)) AS BIGINT) AS score FROM per GROUP BY seed"""
+)
+def seed_search(spark, sf_dir):
+    counts = labels_per_tile(spark, sf_dir).join(fixtures.tiles(spark, sf_dir).select("id", "key"), "id")
+    return tilesets.seed_scores(counts, "category")
+
+
+@query("SELECT CAST(row_number() OVER (ORDER BY o_orderpriority) AS INTEGER) AS id, o_orderpriority AS name FROM (SELECT DISTINCT o_orderpriority FROM orders)")
+def category_ids(spark, sf_dir):
+    return tilesets.category_ids(fixtures.labels(spark, sf_dir).withColumn("supercategory", F.lit("foo"))).select("id", "name")
+
+
+@query(_with() + " SELECT id, CAST(tx AS INTEGER) AS x, CAST(ty AS INTEGER) AS y, 18 AS z FROM tiles")
+def tile_id_parse(spark, sf_dir):
+    return fixtures.tiles(spark, sf_dir).withColumn("p", names.parse_tile_id(F.col("id"))).select("id", "p.x", "p.y", "p.z")
+
+
+@query(_with() + " SELECT '18_' || tx || '_' || ty || '.tif' AS file, id FROM tiles")
+def file_to_id(spark, sf_dir):
+    return fixtures.tiles(spark, sf_dir).select(F.format_string("18_%d_%d.tif", "tx", "ty").alias("file")).withColumn("id", names.file_to_id(F.col("file")))
+
+
+@query(_with() + " SELECT key, id FROM tiles")
+def title_regex(spark, sf_dir):
+    return fixtures.tiles(spark, sf_dir).select("key", names.title_to_id(F.format_string("XYZ tile x=%d, y=%d, z=18", "tx", "ty")).alias("id"))
+
+
+@query(_with() + " SELECT key, 'https://example.org/18/' || tx || '/' || ty || '.jpeg' AS url, 'jpg' AS format FROM tiles")
+def xyz_url(spark, sf_dir):
+    url = names.fill_address("https://example.org/{z}/{x}/{y}.jpeg", z=F.lit(18), x=F.col("tx"), y=F.col("ty"))
+    return fixtures.tiles(spark, sf_dir).select("key", url.alias("url")).withColumn("format", names.image_format(F.col("url")))
+
+
+POINTS = "SELECT CAST(event_id AS BIGINT) AS event_id, CAST(5.9 AS DOUBLE) + CAST(event_id AS BIGINT) % 4600 / CAST(1000 AS DOUBLE) AS lon, CAST(45.8 AS DOUBLE) + CAST(event_id AS BIGINT) * 17 % 2000 / CAST(1000 AS DOUBLE) AS lat FROM events"
+
+
+@query(f"SELECT event_id, CAST(floor((lon + 180) / 360 * 262144) AS BIGINT) AS x, CAST(floor((0.5 - ln((1 + sin(radians(lat))) / (1 - sin(radians(lat)))) / (4 * pi())) * 262144) AS BIGINT) AS y FROM ({POINTS})")
+def mercator_tile(spark, sf_dir):
+    x, y = geometry.mercator_tile(F.col("lon"), F.col("lat"), 18)
+    return fixtures.points(spark, sf_dir).select("event_id", x.alias("x"), y.alias("y"))
+
+
+@query()
+def bbox_cover(spark, sf_dir):
+    box = fixtures.points(spark, sf_dir).select(F.col("lon").alias("west"), F.col("lat").alias("south"), (F.col("lon") + 0.002).alias("east"), (F.col("lat") + 0.002).alias("north"))
+    return grids.cover(box, 14)
+
+
+@query()
+def geohash12(spark, sf_dir):
+    return fixtures.points(spark, sf_dir).select("event_id", geometry.geohash(F.col("lon"), F.col("lat")).alias("geohash"))
+
+
+@query("SELECT key, c AS col, r AS row, c * 448 AS px0, r * 448 AS py0 FROM (SELECT CAST(p_partkey AS BIGINT) AS key, 1000 + CAST(p_partkey AS BIGINT) % 700 AS w, 800 + CAST(p_partkey AS BIGINT) % 300 AS h FROM part), (SELECT CAST(unnest(range(0, 6)) AS INTEGER) AS c), (SELECT CAST(unnest(range(0, 6)) AS INTEGER) AS r) WHERE c < ceil((w - 64) / 448.0) AND r < ceil((h - 64) / 448.0)")
+def grid_cells(spark, sf_dir):
+    images = fixtures.tiles(spark, sf_dir).select("key", (1000 + F.col("key") % 700).alias("w"), (800 + F.col("key") % 300).alias("h"))
+    return grids.pixel_grid(images, "w", "h", 512, 64).select("key", "col", "row", "px0", "py0")
+
+
+CLIP = f"""
+clipped AS (SELECT id, label_id, category, t_x0, t_y1, greatest(t_x0, l_x0) AS c_x0, greatest(t_y0, l_y0) AS c_y0, least(t_x1, l_x1) AS c_x1, least(t_y1, l_y1) AS c_y1 FROM tiles JOIN labels ON {MEET}),
+parts AS (SELECT * FROM clipped WHERE c_x1 > c_x0 AND c_y1 > c_y0)"""
+
+
+def _clipped(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return coco.clip_boxes(fixtures.tiles(spark, sf_dir), tilesets.TILE_BOX, fixtures.labels(spark, sf_dir), assess.LABEL_BOX)
+
+
+@query(_with(CLIP) + " SELECT id, label_id, c_x0, c_y0, c_x1, c_y1 FROM parts")
+def clip_boxes(spark, sf_dir):
+    return _clipped(spark, sf_dir).select("id", "label_id", "c_x0", "c_y0", "c_x1", "c_y1")
+
+
+def _pixel(c: str) -> str:
+    return f"(({c} - t_x0) / CAST(100 AS DOUBLE) * 256)" if "x" in c else f"((t_y1 - {c}) / CAST(100 AS DOUBLE) * 256)"
+
+
+@query(_with(CLIP) + f" SELECT id, label_id, {_pixel('c_x0')} AS bx, {_pixel('c_y1')} AS by, ({_pixel('c_x1')} - {_pixel('c_x0')}) * ({_pixel('c_y0')} - {_pixel('c_y1')}) AS area FROM parts")
+def coco_bbox_area(spark, sf_dir):
+    found = coco.annotations(_clipped(spark, sf_dir), tilesets.TILE_BOX, 256, 256)
+    return found.select("id", "label_id", F.col("bbox")[0].alias("bx"), F.col("bbox")[1].alias("by"), "area")
+
+
+@query(_with(CLIP) + f", sets AS (SELECT key, id, {SPLIT} AS dataset FROM tiles) SELECT s.dataset, key, label_id, CAST(row_number() OVER (PARTITION BY s.dataset ORDER BY key, label_id) AS INTEGER) AS id FROM parts JOIN sets s USING (id)")
+def coco_ids(spark, sf_dir):
+    tiles = tilesets.split(fixtures.tiles(spark, sf_dir))
+    found = coco.clip_boxes(tiles.withColumnRenamed("id", "tile").withColumnRenamed("dataset", "part"), tilesets.TILE_BOX, fixtures.labels(spark, sf_dir), assess.LABEL_BOX)
+    return coco.number(found.select(F.col("part").alias("dataset"), "key", "label_id"), "dataset", "key", "label_id").select("dataset", "key", "label_id", "id")
+
+
+@query()
+def coco_documents(spark, sf_dir):
+    tiles = tilesets.split(fixtures.tiles(spark, sf_dir))
+    images = coco.number(tiles.select("dataset", "key", F.lit(256).alias("width"), F.lit(256).alias("height"), F.concat("dataset", F.lit("-images/18_"), "tx", F.lit("_"), "ty", F.lit(".tif")).alias("file_name"), F.lit(None).cast("int").alias("year")), "dataset", "key")
+    found = coco.clip_boxes(tiles.withColumnRenamed("dataset", "part").drop("id"), tilesets.TILE_BOX, fixtures.labels(spark, sf_dir).drop("dataset"), assess.LABEL_BOX)
+    notes = coco.annotations(found, tilesets.TILE_BOX, 256, 256).withColumnRenamed("part", "dataset").join(images.select("key", F.col("id").alias("image_id")), "key")
+    notes = coco.number(notes.withColumn("category_id", F.col("label_class")), "dataset", "key", "label_id")
+    kinds = tilesets.category_ids(fixtures.labels(spark, sf_dir).withColumn("supercategory", F.lit("foo")))
+    return coco.documents(images, notes, kinds, {"year": 2024, "version": "1.0", "description": "tiles", "contributor": "", "url": ""}, "none", "")
+
+
+DENSE = """
+dense AS (SELECT * FROM dets WHERE score >= 0.9),
+links AS MATERIALIZED (SELECT a.det_id AS a, b.det_id AS b FROM dense a JOIN dense b ON a.det_id <> b.det_id AND a.d_x0 <= b.d_x1 AND b.d_x0 <= a.d_x1 AND a.d_y0 <= b.d_y1 AND b.d_y0 <= a.d_y1
+  WHERE 2 * greatest(least(a.d_x1, b.d_x1) - greatest(a.d_x0, b.d_x0), 0) * greatest(least(a.d_y1, b.d_y1) - greatest(a.d_y0, b.d_y0), 0)
+  >= a.w * a.h + b.w * b.h - greatest(least(a.d_x1, b.d_x1) - greatest(a.d_x0, b.d_x0), 0) * greatest(least(a.d_y1, b.d_y1) - greatest(a.d_y0, b.d_y0), 0)),
+reach(a, b) AS (SELECT det_id, det_id FROM dense UNION SELECT r.a, l.b FROM reach r JOIN links l ON r.b = l.a),
+named AS (SELECT a AS det_id, min(b) AS component FROM reach GROUP BY a)"""
+
+
+def _dense(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fixtures.detections(spark, sf_dir).where(F.col("score") >= 0.9)
+
+
+@query("WITH RECURSIVE " + ",".join([SQL, DENSE]) + " SELECT det_id, component FROM named")
+def overlap_components(spark, sf_dir):
+    dets = _dense(spark, sf_dir)
+    return post.groups(dets, post.self_pairs(dets).where(F.col("iou") >= post.OVERLAP).select("det_id", "o_id")).select("det_id", "component")
+
+
+@query("WITH RECURSIVE " + ",".join([SQL, DENSE]) + " SELECT det_id, score FROM named JOIN dense USING (det_id) QUALIFY row_number() OVER (PARTITION BY component ORDER BY score DESC, det_id) = 1")
+def overlap_keep(spark, sf_dir):
+    return post.suppress_overlaps(_dense(spark, sf_dir)).select("det_id", "score")
+
+
+MERGE = """
+dense AS (SELECT * FROM dets WHERE score >= 0.9),
+links AS MATERIALIZED (SELECT a.det_id AS a, b.det_id AS b FROM dense a JOIN dense b ON a.det_id <> b.det_id AND a.year_det = b.year_det AND a.d_x0 - 2 <= b.d_x1 + 2 AND b.d_x0 - 2 <= a.d_x1 + 2 AND a.d_y0 - 2 <= b.d_y1 + 2 AND b.d_y0 - 2 <= a.d_y1 + 2),
+reach(a, b) AS (SELECT det_id, det_id FROM dense UNION SELECT r.a, l.b FROM reach r JOIN links l ON r.b = l.a),
+named AS (SELECT a AS det_id, min(b) AS component FROM reach GROUP BY a),
+joined AS (SELECT * FROM named JOIN dense USING (det_id)),
+areas AS (SELECT component, det_class, sum(w * h) AS area FROM joined GROUP BY ALL),
+kinds AS (SELECT component, det_class FROM areas QUALIFY row_number() OVER (PARTITION BY component ORDER BY area DESC, det_class) = 1)"""
+
+
+@query("WITH RECURSIVE " + ",".join([SQL, MERGE]) + " SELECT component, any_value(j.year_det) AS year_det, any_value(k.det_class) AS det_class, count(*) AS n, CAST(min(d_x0) AS BIGINT) AS m_x0, CAST(min(d_y0) AS BIGINT) AS m_y0, CAST(max(d_x1) AS BIGINT) AS m_x1, CAST(max(d_y1) AS BIGINT) AS m_y1 FROM joined j JOIN kinds k USING (component) GROUP BY component")
+def merge_class(spark, sf_dir):
+    """The mean score is left out here: its sum depends on the order of rows."""
+    return post.merge_adjacent(_dense(spark, sf_dir), 2).drop("score")
+
+
+@query()
+def merge_adjacent(spark, sf_dir):
+    return post.merge_adjacent(_dense(spark, sf_dir), 2)
+
+
+@query()
+def cluster_median(spark, sf_dir):
+    return post.cluster(_dense(spark, sf_dir).withColumn("scale", F.lit(500)))
+
+
+@query()
+def band_stats(spark, sf_dir):
+    rows = spark.read.parquet(f"{sf_dir}/embeddings.parquet")
+    key = rows.columns[0]
+    return raster.band_stats(rows.select(F.col(key).alias("image"), F.lit("R").alias("band"), "embedding"), "image", "band", "embedding")
+
+
+@query("SELECT c_custkey AS key, c_name AS name, NULL::DOUBLE AS s_acctbal FROM customer UNION ALL SELECT s_suppkey, s_name, s_acctbal FROM supplier")
+def union_by_name(spark, sf_dir):
+    a = spark.read.parquet(f"{sf_dir}/customer.parquet").select(F.col("c_custkey").alias("key"), F.col("c_name").alias("name"))
+    b = spark.read.parquet(f"{sf_dir}/supplier.parquet").select(F.col("s_suppkey").alias("key"), F.col("s_name").alias("name"), "s_acctbal")
+    return a.unionByName(b, allowMissingColumns=True)
+
+
+@query("SELECT doc_id, lang FROM documents WHERE lang = 'en' UNION ALL SELECT doc_id, lang FROM documents WHERE doc_id % 2 = 0 AND (lang IS NULL OR lang <> 'en')")
+def name_upsert(spark, sf_dir):
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "lang")
+    return tables.upsert_names(docs.where("lang = 'en'"), docs.where("doc_id % 2 = 0"), "doc_id")
+
+
+@query("SELECT o_orderkey AS img_file FROM orders WHERE o_orderkey NOT IN (SELECT event_id FROM events)")
+def catalog_missing(spark, sf_dir):
+    tasks = spark.read.parquet(f"{sf_dir}/orders.parquet").select(F.col("o_orderkey").alias("img_file"))
+    return tables.missing(tasks, spark.read.parquet(f"{sf_dir}/events.parquet").select(F.col("event_id").alias("img_file")))
+
+
+@query(_with() + " SELECT key, CAST(0.390625 AS DOUBLE) AS a, CAST(t_x0 + 0.1953125 AS DOUBLE) AS cx, CAST(t_y1 - 0.1953125 AS DOUBLE) AS cy FROM tiles")
+def world_file(spark, sf_dir):
+    lines = F.split(geometry.world_file(tilesets.TILE_BOX, F.lit(256), F.lit(256)), "\n")
+    return fixtures.tiles(spark, sf_dir).select("key", lines[0].cast("double").alias("a"), lines[4].cast("double").alias("cx"), lines[5].cast("double").alias("cy"))
+
+
+def queries() -> dict[str, Query]:
+    return dict(_QUERIES)
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return dict(_SQL)
