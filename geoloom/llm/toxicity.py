@@ -110,6 +110,17 @@ def _count(batches):
         yield names()
 
 
+def _outside(batches, words: frozenset[str], runs: frozenset[str]):
+    """Texts of either label that have each run in a word that is not itself among words, within a task."""
+    yes, no = Counter(), Counter()
+    for batch in batches:
+        for label, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
+            own = (tokens_of(w) for w in set((text.as_py() or "").split()))
+            (yes if label else no).update({t for found in own if found and found[0] not in words for t in found if t in runs})
+    keys = list(yes.keys() | no.keys())
+    yield pa.RecordBatch.from_arrays([pa.array(keys, pa.string()), pa.array([yes[k] for k in keys], pa.int64()), pa.array([no[k] for k in keys], pa.int64())], ["token", "yes", "no"])
+
+
 def logistic(x: np.ndarray, y: np.ndarray, ridge: float = 0.1) -> tuple[float, float]:
     """Slope and offset of a logistic fit by Newton steps, halved until the penalised loss falls."""
 
@@ -149,6 +160,13 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     best = counted.where("yes > 2").select("token", (odds - spread).alias("score"), (odds / spread).alias("z")).where(F.col("z") >= SIGNIFICANT)
     scores = {row.token: row.score for row in best.orderBy(F.col("z").desc(), "token").limit(TOKENS).collect() if row.score >= LEAST}
 
+    # A run that owes its odds to one scoring word, and is common in the other texts' own words, says nothing of these.
+    words, runs = frozenset(t for t in scores if t[0] != "~"), frozenset(t for t in scores if t[0] == "~")
+    apart = rows.mapInArrow(lambda batches: _outside(batches, words, runs), "token string, yes long, no long").groupBy("token").agg(F.sum("yes").alias("yes"), F.sum("no").alias("no"))
+    for row in apart.where("no > 0").collect():  # TOKENS at most
+        if np.log((row.yes + 0.5) / toxic) - np.log((row.no + 0.5) / other) < LEAST:
+            del scores[row.token]
+
     raw = Model(scores, 1.0, 1.0, 1.0, 0.0)
 
     def scan(batches):

