@@ -10,9 +10,10 @@ fingerprint and where its ids begin and how many there are. A look-up reads one
 from __future__ import annotations
 
 import os
+import struct
 import uuid
 import zlib
-from functools import partial
+from functools import lru_cache, partial
 
 import numpy as np
 import pyarrow as pa
@@ -102,8 +103,9 @@ def _library(path: str):
     specials = {token.content: np.array([i], "<u4").tobytes() for i, token in tokenizer.get_added_tokens_decoder().items()}
 
     def resolve(pieces: list[str]) -> list[bytes]:
-        return [np.array(e.ids, "<u4").tobytes() for e in tokenizer.encode_batch(pieces, add_special_tokens=False)]
+        return [pack(*e.ids) for e in tokenizer.encode_batch_fast(pieces, add_special_tokens=False) if (pack := packer(len(e)))]
 
+    packer = lru_cache(maxsize=4096)(lambda n: struct.Struct(f"<{n}I").pack)
     parts = TextParts(resolve, b"".join)
 
     def encode(texts: list[str]) -> list[bytes]:
