@@ -28,9 +28,11 @@ def hash60(text: Column) -> Column:
 
 def _lines(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text")).where("text IS NOT NULL")
-    rows = rows.select("id", hash60(F.col("text")).alias("mark"), F.posexplode(F.split("text", "\n", -1)).alias("pos", "line"))
-    rows = rows.select("id", "mark", "pos", hash60(F.col("line")).alias("h"), (F.length("line") + 1).alias("size"))
-    return rows.groupBy("id", "mark", "pos").agg(F.first("h").alias("h"), F.first("size").alias("size"))
+    line = lambda x: F.struct(hash60(x).alias("h"), (F.length(x) + 1).alias("size"))
+    rows = rows.select("id", hash60(F.col("text")).alias("mark"), F.transform(F.split("text", "\n", -1), line).alias("lines"))
+    # Equal rows merge before the shuffle, and the windows over a row's lines need no other one.
+    rows = rows.groupBy("id", "mark").agg(F.first("lines").alias("lines"))
+    return rows.select("id", "mark", F.posexplode("lines").alias("pos", "line")).select("id", "mark", "pos", "line.h", "line.size")
 
 
 def repeated_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_chars: int = MIN_CHARS) -> DataFrame:
