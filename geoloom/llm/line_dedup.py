@@ -1,24 +1,22 @@
 """Line dedup by winnowing over line hashes, in DataFrame operations only.
 
-Fingerprints of a text: every line of min_chars / 2 characters or more (a window that one line fills), and, over the
-hashes of two-line grams, the rightmost minimum of every window of two grams. A run of lines shared by two texts with
-min_chars characters or more, line ends counted, therefore always holds a shared fingerprint: either it has such a
-long line, or it has three lines or more. The first position of each fingerprint in (id, text hash, line) order is
-joined to the later ones, each match is extended line by line both ways, and matches that overlap on one diagonal join
-up to runs. Runs of min_chars characters or more are deleted at their later place.
+A window is a least run of whole lines with min_chars characters or more, line ends counted: forward from each line, or
+backward from it. Winnowing takes the minimum of the line hashes in every forward window as a fingerprint (the rightmost
+of equals), so any run of min_chars characters that two places share holds a shared fingerprint. Fingerprints are joined
+on their values; positions of those that come twice or more are extended line by line both ways, to all windows that
+hold them. What two places share from a fingerprint on is the union of their equal windows, whatever lies between the
+places or around them, and every shared run of min_chars characters is such a union: a line of it lies in the window
+forward from it or backward from it, or in one that begins before it and ends behind it. So instead of pairs of places
+the windows are grouped by what they hold, and all but the first of a group are deleted: no pair of places is listed,
+however often a passage comes.
 """
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 MIN_CHARS = 200
-#: Lines of context kept beside a fingerprint. Fingerprints of a run are at most two lines apart, so extending each
-#: by three lines reaches the next one and the ends of the run.
-REACH = 3
 
 
 def hash60(text: Column) -> Column:
@@ -26,91 +24,109 @@ def hash60(text: Column) -> Column:
     return F.conv(F.substring(F.md5(text), 1, 15), 16, 10).cast("long")
 
 
-def _lines(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+def _doc(id_: Column, text: Column) -> Column:
+    """128 bits that stand for a row's id and text."""
+    return F.unhex(F.md5(F.concat(F.coalesce(F.concat(F.lit("i"), id_.cast("string")), F.lit("n")), F.lit(":"), text)))
+
+
+def _windows(rows: DataFrame, min_chars: int) -> tuple[DataFrame, Window, Window]:
+    """rows of lines with their first character and the one behind their last, and the frames forward and backward."""
+    in_order = Window.partitionBy("doc").orderBy("pos", "size")
+    rows = rows.withColumn("fin", F.sum("size").over(in_order.rowsBetween(Window.unboundedPreceding, 0)))
+    rows = rows.withColumn("start", F.col("fin") - F.col("size")).withColumn("fin", F.col("fin") + F.col("own"))
+    doc = Window.partitionBy("doc")
+    return rows, doc.orderBy("start").rangeBetween(0, min_chars - 1), doc.orderBy("fin").rangeBetween(1 - min_chars, 0)
+
+
+def repeated_runs(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_chars: int = MIN_CHARS) -> DataFrame:
+    """(doc, gone): the runs of lines to delete of each text that has any, where doc stands for the row's id and text.
+
+    gone holds (low, high): the first and the last line of a run, counted from 0. Runs don't touch.
+    """
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text")).where("text IS NOT NULL")
-    line = lambda x: F.struct(hash60(x).alias("h"), (F.length(x) + 1).alias("size"))
-    rows = rows.select("id", hash60(F.col("text")).alias("mark"), F.transform(F.split("text", "\n", -1), line).alias("lines"))
-    # Equal rows merge before the shuffle, and the windows over a row's lines need no other one.
-    rows = rows.groupBy("id", "mark").agg(F.first("lines").alias("lines"))
-    return rows.select("id", "mark", F.posexplode("lines").alias("pos", "line")).select("id", "mark", "pos", "line.h", "line.size")
-
-
-def repeated_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_chars: int = MIN_CHARS) -> DataFrame:
-    """(id, mark, pos): the lines to delete, where mark is the hash of the row's text and pos counts from 0."""
-    by_doc = Window.partitionBy("id", "mark").orderBy("pos")
-    near = [*range(-REACH, 0), *range(1, REACH + 2)]
-    lines = _lines(docs, id_col, text_col).select(
-        "*", *(F.lead("h", k).over(by_doc).alias(f"c{k + REACH}") for k in near)
-    ).withColumn(f"c{REACH}", F.col("h"))
-    context = F.array(*(F.col(f"c{k}") for k in range(2 * REACH + 2))).alias("context")
-    after = F.col(f"c{REACH + 1}")
-    lines = lines.select("id", "mark", "pos", "h", "size", context, F.when(after.isNotNull(), hash60(F.concat_ws(":", "h", after))).alias("gram"))
-    before, behind = F.lag("gram").over(by_doc), F.lead("gram").over(by_doc)
-    least = (F.col("gram") <= before) | (F.col("gram") < behind)
-    lines = lines.withColumn("least", F.coalesce(least, F.lit(False)))
-    long_line = F.when(F.col("size") * 2 >= min_chars, F.struct(F.lit(1).alias("kind"), F.col("h").alias("value")))
-    minimum = F.when(F.col("least"), F.struct(F.lit(2).alias("kind"), F.col("gram").alias("value")))
-    marks = lines.select("id", "mark", "pos", "context", F.explode(F.array_compact(F.array(long_line, minimum))).alias("print"))
-    place = F.struct(F.col("id").isNull().alias("no_id"), "id", "mark", "pos", "context")
-    first = marks.groupBy("print").agg(F.min(place).alias("first"), F.count(F.lit(1)).alias("n")).where("n > 1").select("print", "first")
-    met = marks.join(first, "print").where("NOT (id <=> first.id AND mark = first.mark AND pos = first.pos)")
-
-    same = [F.coalesce(F.col("context")[k] == F.col("first.context")[k], F.lit(False)) for k in range(2 * REACH + 2)]
-    reach = lambda ks: reduce(lambda far, k: F.when(same[k], 1 + far).otherwise(0), reversed(list(ks)), F.lit(0))
-    spans = met.select(
-        "id", "mark", F.col("first.id").alias("first_id"), F.col("first.mark").alias("first_mark"), (F.col("pos") - F.col("first.pos")).alias("shift"),
-        (F.col("pos") - reach(range(REACH - 1, -1, -1))).alias("low"), (F.col("pos") + reach(range(REACH + 1, 2 * REACH + 2))).alias("high"),
-    ).distinct()
-    diagonal = ["id", "mark", "first_id", "first_mark", "shift"]
-    covered = spans.select(*diagonal, F.explode(F.sequence("low", "high")).alias("pos")).distinct()
-    sized = covered.join(lines.select("id", "mark", "pos", "size").alias("l"), [covered["id"].eqNullSafe(F.col("l.id")), covered["mark"] == F.col("l.mark"), covered["pos"] == F.col("l.pos")]).select(*(covered[c] for c in [*diagonal, "pos"]), "l.size")
-    runs = sized.withColumn("run", F.col("pos") - F.row_number().over(Window.partitionBy(*diagonal).orderBy("pos")))
-    total = F.sum("size").over(Window.partitionBy(*diagonal, "run"))
-    return runs.withColumn("total", total).where(F.col("total") >= min_chars).select("id", "mark", "pos").distinct()
+    line = lambda x: F.struct(hash60(x).alias("h"), (F.length(x) + 1).cast("long").alias("size"))
+    rows = rows.select(_doc(F.col("id"), F.col("text")).alias("doc"), F.struct("id", F.transform(F.split("text", "\n", -1), line).alias("lines")).alias("held"))
+    texts = rows.groupBy("doc").agg(F.first("held").alias("held"))  # one shuffle of hashes serves both passes
+
+    lines = texts.select("doc", F.posexplode("held.lines").alias("pos", "line")).select("doc", "pos", "line.h", "line.size", F.lit(0).alias("own"))
+    lines, forward, _ = _windows(lines, min_chars)
+    least = F.min(F.struct("h", (-F.col("pos")).alias("back"))).over(forward)
+    prints = lines.select("doc", "start", F.max("fin").over(forward).alias("stop"), least.alias("least")).where(F.col("stop") - F.col("start") >= min_chars)
+    prints = prints.select("doc", F.col("least.h").alias("h"), (-F.col("least.back")).alias("pos")).distinct()
+    shared = prints.groupBy("h").count().where("count > 1").select("h")
+    met = prints.join(shared, "h").groupBy("doc").agg(F.collect_list("pos").alias("marks"))
+
+    # A mark is a row of no size before its line, so the frames of lines see it.
+    own = F.transform("held.lines", lambda x, k: F.struct(k.alias("pos"), x["h"].alias("h"), x["size"].alias("size"), F.lit(0).cast("long").alias("own")))
+    mark = F.transform("marks", lambda k: F.struct(k.alias("pos"), F.lit(None).cast("long").alias("h"), F.lit(0).cast("long").alias("size"), F.col("held.lines")[k]["size"].alias("own")))
+    near = texts.join(met, "doc").select("doc", F.col("held.id").alias("id"), F.explode(F.concat(own, mark)).alias("line")).select("doc", "id", "line.*")
+    near, forward, backward = _windows(near, min_chars)
+    held = lambda frame: F.struct(
+        F.min("pos").over(frame).alias("low"), F.max("pos").over(frame).alias("high"), F.max("own").over(frame).alias("marked"),
+        (F.max("fin").over(frame) - F.min("start").over(frame)).alias("chars"), F.min("h").over(frame).alias("least"), F.xxhash64(F.collect_list("h").over(frame)).alias("all"),
+    )
+    both = near.select("doc", "id", "own", held(forward).alias("f"), held(backward).alias("b")).where("own = 0")
+    runs = both.select("doc", "id", F.explode(F.array("f", "b")).alias("w")).where((F.col("w.marked") > 0) & (F.col("w.chars") >= min_chars))
+    runs = runs.select("doc", "id", "w.low", "w.high", "w.least", "w.all")
+    place = F.struct(F.col("id").isNull().alias("no_id"), "id", "doc", "low")
+    first = runs.groupBy("least", "all").agg(F.min(place).alias("first"), F.max(place).alias("last")).where("first <> last").select("least", "all", "first")
+    later = runs.join(first, ["least", "all"]).where("NOT (doc = first.doc AND low = first.low)").select("doc", "low", "high")
+
+    in_order = Window.partitionBy("doc").orderBy("low", "high")
+    before = F.max("high").over(in_order.rowsBetween(Window.unboundedPreceding, -1))
+    later = later.withColumn("fresh", F.when(F.col("low") <= before + 1, 0).otherwise(1))
+    later = later.withColumn("run", F.sum("fresh").over(in_order.rowsBetween(Window.unboundedPreceding, 0)))
+    later = later.groupBy("doc", "run").agg(F.min("low").alias("low"), F.max("high").alias("high"))
+    return later.groupBy("doc").agg(F.collect_list(F.struct("low", "high")).alias("gone"))
+
+
+def unused(taken: list[str], name: str) -> str:
+    """name, or it with as many underscores behind as keep it apart from the names taken, whatever their case."""
+    low = {t.lower() for t in taken}
+    while name.lower() in low:
+        name += "_"
+    return name
 
 
 def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_chars: int = MIN_CHARS) -> DataFrame:
     """docs with its later repeated runs of lines cut from the text, and n_lines, n_removed (lines) beside it.
 
-    A line's size is its characters and one for its end. The first place of a run in (id, text hash, line) order
-    stays, whether the run comes again in the same text or in another one; null ids come last. A text whose lines all
-    go becomes empty. Null texts stay null (0 lines). Rows equal in id and text are one document: each of them keeps
-    what the others keep. Lines end at \\n alone. Other columns pass through, except that n_lines and n_removed replace
-    columns of these names. An empty table gives an empty result.
+    A run is one or more whole lines in a row, of min_chars characters or more together, where a line's size is its
+    characters and one for its end. A run that equals a run at any earlier place in (id, text, line) order is cut, whether
+    that lies in the same text or in another one; null ids come last, and rows of equal id stand in the order of a hash of
+    their text. A text whose lines all go becomes empty. Null texts stay null (0 lines). Rows equal in id and text are one
+    document: each of them keeps what the others keep. Lines end at \\n alone. Other columns pass through under their
+    names, except that n_lines and n_removed replace columns of these names. An empty table gives an empty result.
     """
-    gone = repeated_lines(docs, id_col, text_col, min_chars).groupBy("id", "mark").agg(F.collect_set("pos").alias("gone"))
-    gone = gone.select(F.col("id").alias("_id"), F.col("mark").alias("_mark"), F.col("gone").alias("_gone"))
-    text = F.col(text_col).cast("string")
-    marked = docs.drop("n_lines", "n_removed").withColumn("_own_mark", hash60(text))
-    both = marked.join(gone, marked[id_col].eqNullSafe(gone["_id"]) & (marked["_own_mark"] == gone["_mark"]), "left")
-    split = F.split(text, "\n", -1)
-    kept = F.array_join(F.filter(split, lambda _, i: ~F.array_contains("_gone", i)), "\n")
-    n = F.when(text.isNull(), 0).otherwise(F.size(split)).cast("long")
-    out = both.withColumn("n_lines", n).withColumn("n_removed", F.when(F.col("_gone").isNull(), 0).otherwise(F.size("_gone")).cast("long"))
-    return out.withColumn(text_col, F.when(F.col("_gone").isNull(), text).otherwise(kept)).drop("_own_mark", "_id", "_mark", "_gone")
+    others = [c for c in docs.columns if c not in ("n_lines", "n_removed")]
+    doc, gone_doc, gone, lines = (unused(docs.columns, n) for n in ("doc", "gone_doc", "gone", "lines"))
+    runs = repeated_runs(docs, id_col, text_col, min_chars).toDF(gone_doc, gone)
+    text = F.col(f"`{text_col}`").cast("string")
+    both = docs.withColumn(doc, _doc(F.col(f"`{id_col}`"), text)).join(runs, F.col(doc) == F.col(gone_doc), "left")
+    both = both.withColumn(lines, F.split(text, "\n", -1))
+    inside = lambda k: F.exists(F.col(gone), lambda run: k.between(run["low"], run["high"]))
+    kept = F.array_join(F.filter(F.col(lines), lambda _, k: ~inside(k)), "\n")
+    removed = F.aggregate(F.col(gone), F.lit(0), lambda n, run: n + run["high"] - run["low"] + 1)
+    cut = F.when(F.col(gone).isNull(), text).otherwise(kept).alias(text_col)
+    return both.select(
+        *(cut if c == text_col else F.col(f"`{c}`") for c in others),
+        F.when(text.isNull(), 0).otherwise(F.size(lines)).cast("long").alias("n_lines"), F.coalesce(removed, F.lit(0)).cast("long").alias("n_removed"),
+    )
 
 
 def oracle(min_chars: int = MIN_CHARS, table: str = "documents") -> str:
-    """DuckDB SQL for the rows of dedup_lines over a documents table."""
-    h60 = lambda x: f"CAST('0x' || substr(md5({x}), 1, 15) AS BIGINT)"
-    context = ", ".join(f"lead(h, {k}) OVER doc" if k > 0 else f"lag(h, {-k}) OVER doc" if k else "h" for k in range(-REACH, REACH + 2))
-    right = " + ".join(f"CASE WHEN {' AND '.join(f'coalesce(context[{j + 1}] = fc[{j + 1}], false)' for j in range(REACH + 1, k + 1))} THEN 1 ELSE 0 END" for k in range(REACH + 1, 2 * REACH + 2))
-    left = " + ".join(f"CASE WHEN {' AND '.join(f'coalesce(context[{j + 1}] = fc[{j + 1}], false)' for j in range(REACH - 1, k - 1, -1))} THEN 1 ELSE 0 END" for k in range(REACH - 1, -1, -1))
+    """DuckDB SQL for the rows of dedup_lines over a documents table: all windows by their text, without fingerprints."""
+    window = lambda frame, order, span: f"SELECT id, doc, min(pos) OVER w AS low, max(pos) OVER w AS high, max(fin) OVER w - min(start) OVER w AS chars, list(line) OVER w AS held FROM lines WINDOW w AS (PARTITION BY doc ORDER BY {order} RANGE BETWEEN {span})"
+    doc = "md5(coalesce('i' || doc_id, 'n') || ':' || text)"
     return f"""
-WITH raw AS (SELECT DISTINCT doc_id AS id, {h60('text')} AS mark, text FROM {table} WHERE text IS NOT NULL),
-split AS (SELECT id, mark, unnest(string_split(text, chr(10))) AS line, generate_subscripts(string_split(text, chr(10)), 1) - 1 AS pos FROM raw),
-hashed AS (SELECT id, mark, pos, {h60('line')} AS h, length(line) + 1 AS size FROM split),
-near AS (SELECT *, [{context}] AS context, lead(h) OVER doc AS after FROM hashed WINDOW doc AS (PARTITION BY id, mark ORDER BY pos)),
-grams AS (SELECT *, CASE WHEN after IS NOT NULL THEN {h60("h || ':' || after")} END AS gram FROM near),
-chosen AS (SELECT *, coalesce(gram <= lag(gram) OVER doc OR gram < lead(gram) OVER doc, false) AS least FROM grams WINDOW doc AS (PARTITION BY id, mark ORDER BY pos)),
-prints AS (SELECT 1 AS kind, h AS value, id, mark, pos, context FROM chosen WHERE size * 2 >= {min_chars} UNION ALL SELECT 2, gram, id, mark, pos, context FROM chosen WHERE least),
-ranked AS (SELECT *, row_number() OVER w AS rn, first_value(id) OVER w AS fid, first_value(mark) OVER w AS fmark, first_value(pos) OVER w AS fpos, first_value(context) OVER w AS fc FROM prints WINDOW w AS (PARTITION BY kind, value ORDER BY id NULLS LAST, mark, pos)),
-spans AS (SELECT DISTINCT id, mark, fid, fmark, pos - fpos AS shift, pos - ({left}) AS low, pos + ({right}) AS high FROM ranked WHERE rn > 1),
-covered AS (SELECT DISTINCT id, mark, fid, fmark, shift, unnest(generate_series(low, high)) AS pos FROM spans),
-sized AS (SELECT c.*, h.size FROM covered c JOIN hashed h ON c.id IS NOT DISTINCT FROM h.id AND c.mark = h.mark AND c.pos = h.pos),
-runs AS (SELECT *, pos - row_number() OVER (PARTITION BY id, mark, fid, fmark, shift ORDER BY pos) AS run FROM sized),
-gone AS (SELECT DISTINCT id, mark, pos FROM (SELECT *, sum(size) OVER (PARTITION BY id, mark, fid, fmark, shift, run) AS total FROM runs) WHERE total >= {min_chars}),
-kept AS (SELECT s.id, s.mark, count(*) AS n_lines, count(g.pos) AS n_removed, string_agg(s.line, chr(10) ORDER BY s.pos) FILTER (g.pos IS NULL) AS text
-  FROM split s LEFT JOIN gone g ON s.id IS NOT DISTINCT FROM g.id AND s.mark = g.mark AND s.pos = g.pos GROUP BY s.id, s.mark)
+WITH raw AS (SELECT DISTINCT doc_id AS id, {doc} AS doc, text FROM {table} WHERE text IS NOT NULL),
+split AS (SELECT id, doc, unnest(string_split(text, chr(10))) AS line, generate_subscripts(string_split(text, chr(10)), 1) - 1 AS pos FROM raw),
+ends AS (SELECT *, CAST(sum(length(line) + 1) OVER (PARTITION BY doc ORDER BY pos) AS BIGINT) AS fin FROM split),
+lines AS (SELECT *, fin - length(line) - 1 AS start FROM ends),
+runs AS ({window('f', 'start', f'CURRENT ROW AND {min_chars - 1} FOLLOWING')} UNION {window('b', 'fin', f'{min_chars - 1} PRECEDING AND CURRENT ROW')}),
+placed AS (SELECT *, row_number() OVER (PARTITION BY held ORDER BY id NULLS LAST, doc, low) AS turn FROM runs WHERE chars >= {min_chars}),
+gone AS (SELECT DISTINCT doc, unnest(generate_series(low, high)) AS pos FROM placed WHERE turn > 1),
+kept AS (SELECT s.doc, count(*) AS n_lines, count(g.pos) AS n_removed, string_agg(s.line, chr(10) ORDER BY s.pos) FILTER (g.pos IS NULL) AS text
+  FROM split s LEFT JOIN gone g ON s.doc = g.doc AND s.pos = g.pos GROUP BY s.doc)
 SELECT d.doc_id, CASE WHEN d.text IS NOT NULL THEN coalesce(k.text, '') END AS text, d.lang, d.source, d.n_chars, coalesce(k.n_lines, 0) AS n_lines, coalesce(k.n_removed, 0) AS n_removed
-FROM {table} d LEFT JOIN kept k ON d.doc_id IS NOT DISTINCT FROM k.id AND {h60('d.text')} = k.mark"""
+FROM (SELECT *, {doc} AS doc FROM {table}) d LEFT JOIN kept k ON d.doc = k.doc"""

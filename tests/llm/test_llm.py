@@ -87,13 +87,37 @@ def test_codec_equals_tiktoken(spark, odd, small):
 def test_rank_queue_merges_long_pre_tokens_as_tiktoken():
     import base64
 
+    import pyarrow as pa
     import tiktoken
 
     ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, open(MULTI, "rb"))}
     library = tiktoken.Encoding("own", pat_str=bpe.PATTERN, mergeable_ranks=ranks, special_tokens={})
     rng = np.random.default_rng(5)
-    texts = ["".join(rng.choice(list("abcdeéß日"), n)) for n in (31, 32, 33, 500, 20_000)]
-    assert [np.frombuffer(x, "<u4").tolist() for x in bpe_codec.encoder(MULTI)(texts)] == [library.encode_ordinary(t) for t in texts]
+    texts = ["".join(rng.choice(list("abcdeéß日"), n)) for n in (31, 32, 33, 500, 20_000)] + ["a" * 5001]
+    texts += ["".join(rng.choice(list("a \n\t'sx\u3000\xa0"), rng.integers(1, 40))) for _ in range(1000)]
+    found = [np.frombuffer(x.as_py(), "<u4").tolist() for column in bpe_codec.encoder(MULTI)(pa.array(texts)) for x in column]
+    assert found == [library.encode_ordinary(t) for t in texts]
+
+
+@pytest.mark.parametrize("few", [0, 3, 10**9])
+def test_rank_queue_equals_merging_one_by_one(monkeypatch, few):
+    """Random merges, where new pairs often have ranks below the one at hand."""
+    import pyarrow as pa
+
+    monkeypatch.setattr(bpe, "FEW", few)
+    rng = np.random.default_rng(11)
+    for _ in range(60):
+        size = int(rng.integers(2, 40))
+        # ids 0 and 1 are bytes, rank r makes id r + 2 of two random ids
+        pairs = {(int(a), int(b)): r for r, (a, b) in enumerate(rng.integers(0, rng.integers(2, size + 3), (size, 2)))}
+        merges = bpe.Merges([b % 2 for b in range(256)], size, np.array([a << bpe.SHIFT | b for a, b in pairs]), np.array([*pairs.values()]), [r + 2 for r in range(size)])
+        pieces = [bytes(rng.integers(0, 2, n).tolist()) for n in rng.integers(0, 40, 30)]
+        ids, begin = merges.merge(pa.array(pieces, pa.binary()))
+        for piece, a, b in zip(pieces, begin[:-1], begin[1:], strict=True):
+            row = list(piece)
+            while len(row) > 1 and (least := min((pairs.get(p, 1 << 30), k) for k, p in enumerate(itertools.pairwise(row))))[0] < 1 << 30:
+                row[least[1] : least[1] + 2] = [least[0] + 2]
+            assert ids[a:b].tolist() == row
 
 
 def _tokenizer():
@@ -115,11 +139,12 @@ def test_counts_and_index_equal_the_library(odd, small):
         assert sorted(map(tuple, token_index.encode_and_read(docs, BYTES).collect()), key=str) == sorted(want, key=str)
 
 
-def test_keyed_access(spark, small, tmp_path):
-    token_index.write_index(small, BYTES, str(tmp_path / "set"))
-    text = {r.doc_id: r.text for r in small.collect()}
-    found = {r.id: np.frombuffer(r.ids, "<u4").tolist() for r in token_index.fetch(spark, str(tmp_path / "set"), [3, 77, 10**9]).collect()}
-    assert found == {k: [*_tokenizer().encode(text[k] or "", add_special_tokens=False).ids, 2] for k in (3, 77)}
+def test_keyed_access(spark, small, odd, tmp_path):
+    ids = lambda text: [*_tokenizer().encode(text or "", add_special_tokens=False).ids, 2]
+    for name, docs, wanted in (("small", small, [3, 77, 10**9]), ("odd", odd, [0, 3, 14, 10**9]), ("none", odd.where("false"), [1]), ("no key", odd, [])):
+        token_index.write_index(docs, BYTES, str(tmp_path / name))
+        found = sorted((r.id, np.frombuffer(r.ids, "<u4").tolist()) for r in token_index.fetch(spark, str(tmp_path / name), wanted).collect())
+        assert found == sorted((r.doc_id, ids(r.text)) for r in docs.collect() if r.doc_id in wanted)
 
 
 def test_minimal_perfect_hash():
@@ -244,12 +269,38 @@ def test_mix_meets_targets(small):
     assert sorted(map(tuple, rows), key=str) == sorted(map(tuple, mixing.mix(small.repartition(7)).collect()), key=str)
 
 
-def test_line_dedup_keeps_the_first_place(spark):
-    block = "\n".join(f"a shared line number {k} with enough words in it to count" for k in range(6))
-    docs = spark.createDataFrame([(1, f"head one\n{block}\ntail one"), (2, f"head two\n{block}\ntail two"), (3, "head three\nshort"), (4, None)], "doc_id long, text string")
-    found = {r.doc_id: r for r in line_dedup.dedup_lines(docs).collect()}
-    assert found[1].n_removed == 0 and found[2].text == "head two\ntail two" and found[2].n_removed == 6
-    assert found[3].text == "head three\nshort" and found[4].text is None
+def cut_lines(rows, least):
+    """What stays of (id, text) rows in order: a line goes if a run of lines of least characters round it stands earlier."""
+    lines = [(k, j, x) for k, (_, text) in enumerate(rows) for j, x in enumerate(text.split("\n"))]
+    gone = set()
+    for b, (kb, jb, _) in enumerate(lines):
+        for a in range(b):
+            n = total = 0
+            while b + n < len(lines) and lines[a + n][0] == lines[a][0] and lines[b + n][0] == kb and lines[a + n][2] == lines[b + n][2]:
+                total += len(lines[b + n][2]) + 1
+                n += 1
+            if total >= least:
+                gone |= {(kb, jb + x) for x in range(n)}
+    return [(i, "\n".join(x for j, x in enumerate(text.split("\n")) if (k, j) not in gone)) for k, (i, text) in enumerate(rows)]
+
+
+def test_line_dedup_equals_brute_force(spark):
+    rng = np.random.default_rng(3)
+    known = ["", "x", "a line of some length", "y" * 45, "z" * 130, "another line", "-" * 99, "=" * 100, "#" * 199, "+" * 210]
+    for _ in range(4):
+        rows = [(k, "\n".join(known[j] for j in rng.integers(0, len(known), rng.integers(1, 25)) ** 2 % len(known))) for k in range(25)]
+        blocks = [rows[k][1] for k in rng.integers(0, 25, 5)]
+        rows += [(25 + k, f"own {k}\n{blocks[a]}\n{blocks[b]}") for k, (a, b) in enumerate(rng.integers(0, 5, (10, 2)))]
+        found = line_dedup.dedup_lines(spark.createDataFrame(rows, "doc_id long, text string")).orderBy("doc_id").collect()
+        assert [(r.doc_id, r.text) for r in found] == cut_lines(rows, 200)
+
+
+def test_line_dedup_joins_runs_whose_lines_come_first_elsewhere(spark):
+    one, two = "1" * 140, "2" * 140
+    docs = spark.createDataFrame([(1, one, 1, 2), (2, two, 3, 4), (3, f"{one}\n{two}", 5, 6), (4, f"{one}\n{two}", 7, 8), (5, None, 9, 9)], "doc_id long, text string, _id int, gone int")
+    found = line_dedup.dedup_lines(docs)
+    assert found.columns == ["doc_id", "text", "_id", "gone", "n_lines", "n_removed"]
+    assert [tuple(r) for r in found.orderBy("doc_id").collect()] == [(1, one, 1, 2, 1, 0), (2, two, 3, 4, 1, 0), (3, f"{one}\n{two}", 5, 6, 2, 0), (4, "", 7, 8, 2, 2), (5, None, 9, 9, 0, 0)]
 
 
 def test_pipeline(spark, tmp_path):
