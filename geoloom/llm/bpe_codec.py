@@ -10,31 +10,48 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from geoloom.llm.bpe import TextParts, few, rank_merges
+from geoloom.llm.bpe import SLICE_BYTES, TextParts, flat, ragged, rank_merges
+from geoloom.llm.textvec import slices
 
 
 def encoder(path: str):
-    """A list of texts -> for each its ids as little-endian unsigned 32-bit numbers."""
-    return TextParts(rank_merges(path).encode, b"".join).of
+    """A text column -> binary arrays, one after another, of its texts' ids as little-endian unsigned 32-bit numbers."""
+    parts = TextParts(rank_merges(path).resolve, pa.binary())
+
+    def encode(column: pa.Array):
+        for part in slices(column, SLICE_BYTES):
+            values, first = parts.of(part)
+            begin, data = flat(values)
+            yield ragged(begin[first], data)
+
+    return encode
 
 
 def decoder(path: str):
-    """Ids as little-endian unsigned 32-bit numbers -> bytes."""
+    """A binary array of ids as little-endian unsigned 32-bit numbers -> the binary array of their bytes."""
     tokens = rank_merges(path).tokens
-    return lambda ids: b"".join(map(tokens.__getitem__, np.frombuffer(ids, "<u4").tolist()))
+
+    def decode(ids: pa.Array) -> pa.Array:
+        begin, data = flat(ids)
+        where, out = flat(tokens.take(pa.array(data[begin[0] : begin[-1]].view("<u4"))))
+        return ragged(where[(begin - begin[0]) // 4], out)
+
+    return decode
 
 
 def _encode(batches, path: str):
     encode = encoder(path)
     for batch in batches:
-        ids = [x for texts in few(batch.column(1)) for x in encode(texts)]
-        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(ids, pa.binary())], ["id", "ids"])
+        at = 0
+        for ids in encode(batch.column(1)):
+            yield pa.RecordBatch.from_arrays([batch.column(0).slice(at, len(ids)), ids], ["id", "ids"])
+            at += len(ids)
 
 
 def _decode(batches, path: str):
     decode = decoder(path)
     for batch in batches:
-        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([decode(ids.as_py() or b"") for ids in batch.column(1)], pa.binary())], ["id", "bytes"])
+        yield pa.RecordBatch.from_arrays([batch.column(0), decode(batch.column(1).fill_null(b""))], ["id", "bytes"])
 
 
 def encode(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -55,15 +72,20 @@ def decode(encoded: DataFrame, path: str, id_col: str = "doc_id", ids_col: str =
     return rows.mapInArrow(partial(_decode, path=path), f"id {kind}, bytes binary").withColumnRenamed("id", id_col)
 
 
+def _digests(values: pa.Array) -> pa.Array:
+    begin, data = flat(values)
+    view, begin = memoryview(data), begin.tolist()
+    return pa.array([hashlib.sha256(view[a:b]).hexdigest() for a, b in zip(begin[:-1], begin[1:], strict=True)], pa.string())
+
+
 def _digest(batches, path: str):
-    encode_texts, decode_ids = encoder(path), decoder(path)
-    sha = lambda data: hashlib.sha256(data).hexdigest()
+    encode_column, decode_ids = encoder(path), decoder(path)
     for batch in batches:
-        ids = [x for texts in few(batch.column(1)) for x in encode_texts(texts)]
-        yield pa.RecordBatch.from_arrays(
-            [batch.column(0), pa.array([len(x) // 4 for x in ids], pa.int64()), pa.array(map(sha, ids)), pa.array([sha(decode_ids(x)) for x in ids])],
-            ["id", "n_tokens", "ids_sha256", "decoded_sha256"],
-        )
+        at = 0
+        for ids in encode_column(batch.column(1)):
+            counts = pa.array(np.diff(flat(ids)[0]).astype(np.int64) // 4)
+            yield pa.RecordBatch.from_arrays([batch.column(0).slice(at, len(ids)), counts, _digests(ids), _digests(decode_ids(ids))], ["id", "n_tokens", "ids_sha256", "decoded_sha256"])
+            at += len(ids)
 
 
 def round_trip(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

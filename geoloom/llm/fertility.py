@@ -15,7 +15,6 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from geoloom.llm.bpe import CACHE_ENTRIES
 from geoloom.llm.textvec import slices, span_hashes, windows, words
 from geoloom.storage import cut_lineage
 
@@ -27,6 +26,8 @@ SYMBOLS[list(b"#*$%&|<>")] = True
 SPREADS = 2.0
 REACH = {"chars_per_token": 0.05, "fallback_share": 0.02, "entropy_share": 0.06}
 MIN_LANGUAGE_DOCS = 20
+#: Words whose measures a task keeps.
+CACHE_ENTRIES = 200_000
 FEW_LANGUAGES = 10_000
 
 

@@ -10,16 +10,18 @@ from functools import partial
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from geoloom.llm.bpe import PIECES, TextParts, few, json_merges
+from geoloom.llm.bpe import PIECES, SLICE_BYTES, TextParts, json_merges, pieces_of
+from geoloom.llm.textvec import slices
 
 LIMIT = 1024
 
 
-def whole_tokens(path: str) -> frozenset[str]:
-    """The strings of the vocabulary that encode alone as one token, each proved by its merges."""
+def whole_tokens(path: str) -> frozenset[bytes]:
+    """The strings of the vocabulary, as bytes, that encode alone as one token, each proved by its merges."""
     merges = json_merges(path)
     alone = []
     for token in merges.vocabulary:
@@ -28,44 +30,35 @@ def whole_tokens(path: str) -> frozenset[str]:
         except UnicodeDecodeError:
             continue
         if PIECES.findall(text) == [text]:
-            alone.append((text, token))
-    ids, begin = merges.merge([token for _, token in alone])
-    one = (begin[1:] - begin[:-1] == 1).tolist()
-    first = ids[begin[:-1]].tolist()
-    return frozenset(text for (text, token), single, i in zip(alone, one, first, strict=True) if single and i == merges.vocabulary[token])
+            alone.append(token)
+    ids, begin = merges.merge(pa.array(alone, pa.binary()))
+    one, first = (np.diff(begin) == 1).tolist(), ids[begin[:-1]].tolist()
+    return frozenset(token for token, single, i in zip(alone, one, first, strict=True) if single and i == merges.vocabulary[token])
 
 
 def _count(batches, path: str, whole, limit: int):
-    merges, known = json_merges(path), whole.value
-
-    def resolve(pieces: list[str]) -> list[int]:
-        merged = iter(np.diff(merges.merge([p.encode() for p in pieces if p not in known])[1]).tolist())
-        return [1 if p in known else next(merged) for p in pieces]
-
-    parts = TextParts(resolve, sum)
+    merges, known = json_merges(path), pa.array(sorted(whole.value), pa.binary())
+
+    def resolve(parts: pa.Array) -> pa.Array:
+        pieces, of, first = pieces_of(parts)
+        rest = pc.invert(pc.is_in(pieces, value_set=known))
+        counts = np.ones(len(pieces), np.int64)
+        counts[rest.to_numpy(zero_copy_only=False)] = np.diff(merges.merge(pieces.filter(rest))[1])
+        sums = np.append(0, np.cumsum(counts[of]))
+        out = sums[first[1:]] - sums[first[:-1]]
+        return pc.if_else(pc.is_in(parts, value_set=pa.array([*merges.specials], pa.string())), 1, pa.array(out))
+
+    values = TextParts(resolve, pa.int64(), merges.specials)
     for batch in batches:
-        sizes, counts = [], []
-        for texts in few(batch.column(1)):
-            sizes += [len(text.encode()) for text in texts]
-            counts += counted(parts, texts, merges.specials)
-        yield pa.RecordBatch.from_arrays(
-            [batch.column(0), pa.array(sizes, pa.int64()), pa.array(counts, pa.int64()), pa.array([n > limit for n in counts])], ["id", "n_bytes", "n_tokens", "over_limit"]
-        )
-
-
-def counted(parts: TextParts, texts: list[str], specials) -> list[int]:
-    """Tokens of each text; a special token's string counts one and ends what stands before it."""
-    rows = [split_specials(text, specials) for text in texts]
-    values = iter(parts.of([piece for row in rows for piece in row]))
-    return [sum(next(values) for _ in row) + len(row) - 1 for row in rows]
-
-
-def split_specials(text: str, specials) -> list[str]:
-    pieces = [text]
-    for special in specials:
-        if special in text:
-            pieces = [x for piece in pieces for x in piece.split(special)]
-    return pieces
+        at = 0
+        for part in slices(batch.column(1), SLICE_BYTES):
+            each, first = values.of(part)
+            sums = np.append(0, np.cumsum(each.to_numpy()))
+            counts = sums[first[1:]] - sums[first[:-1]]
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0).slice(at, part.rows), pa.array(np.diff(part.begin).astype(np.int64)), pa.array(counts), pa.array(counts > limit)], ["id", "n_bytes", "n_tokens", "over_limit"]
+            )
+            at += part.rows
 
 
 def count_tokens(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text", limit: int = LIMIT) -> DataFrame:

@@ -3,17 +3,17 @@
 A file set is a Parquet folder, since Spark's committers make that safe on any store when executors are lost. Each row
 is a shard: payload holds the ids of its documents one after another as little-endian unsigned 32-bit numbers, in
 ascending id order over parts and shards. The index of n keys has ceil(n / KEYS_PER_PILOT) pilots and n slots: a key's
-bucket names the pilot that, hashed with the key, gives its slot without collision; a slot holds the key's 32-bit
-fingerprint and where its ids begin and how many there are. A look-up reads one pilot and one slot.
+bucket names the pilot that, hashed with the key, gives its slot without collision; a slot holds the key, its 32-bit
+fingerprint, where its ids begin and how many there are. A look-up reads one pilot and one slot. Beside its index a
+shard has its least and highest key, by which Parquet's statistics lead a look-up to the few shards that can hold it.
 """
 
 from __future__ import annotations
 
 import os
-import struct
 import uuid
 import zlib
-from functools import lru_cache, partial
+from functools import partial
 
 import numpy as np
 import pyarrow as pa
@@ -21,16 +21,17 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from geoloom.llm.bpe import TextParts, few
-from geoloom.llm.textvec import GOLDEN, U, mix64
-from geoloom.llm.token_counts import split_specials
+from geoloom.llm.bpe import SLICE_BYTES, SOLID, TextParts, byte_letters, flat, ragged
+from geoloom.llm.textvec import GOLDEN, U, mix64, slices
 from geoloom.storage import checkpoint_dir
 
 END_ID = 2
 SHARD_IDS = 1 << 18
 SHARD_DOCS = 2048
 KEYS_PER_PILOT = 4
-SHARDS = "part int, shard int, before long, ids long, keys binary, nulls binary, pilots binary, prints binary, starts binary, lengths binary, payload binary"
+#: Ranges of keys that a look-up of many keys asks the files for at most.
+RANGES = 64
+SHARDS = "part int, shard int, before long, ids long, low long, high long, keys binary, nulls binary, pilots binary, prints binary, starts binary, lengths binary, payload binary"
 
 
 def key_hashes(keys: np.ndarray, nulls: np.ndarray, turns: np.ndarray) -> np.ndarray:
@@ -75,14 +76,16 @@ def build_index(hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return pilots, slots
 
 
-def look_up(shard: dict, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Start and length in the shard's payload of each key hash, and whether the stored fingerprint agrees."""
+def look_up(shard: dict, hashes: np.ndarray, keys: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Start and length in the shard's payload of each key hash, and whether the stored fingerprint (and key) agrees."""
     pilots, prints = np.frombuffer(shard["pilots"], np.uint32), np.frombuffer(shard["prints"], np.uint32)
     if not len(prints):
         none = np.zeros(len(hashes), np.int64)
         return none, none, np.zeros(len(hashes), bool)
     slots = _slot(hashes, pilots[_bucket(hashes, len(prints))].astype(np.uint64), len(prints))
     known = prints[slots] == (hashes & U(0xFFFFFFFF)).astype(np.uint32)
+    if keys is not None:
+        known &= (np.frombuffer(shard["keys"], np.int64)[slots] == keys) & ~np.unpackbits(np.frombuffer(shard["nulls"], np.uint8))[slots].astype(bool)
     return np.frombuffer(shard["starts"], np.int64)[slots], np.frombuffer(shard["lengths"], np.int64)[slots], known
 
 
@@ -95,26 +98,43 @@ def _turns(keys: np.ndarray, nulls: np.ndarray) -> np.ndarray:
 
 
 def _library(path: str):
-    """A list of texts -> the bytes of their ids, as the tokenizers library gives them; it sees equal parts once."""
+    """A text column -> (binary array of ids as little-endian 32-bit numbers) a slice, as the tokenizers library gives them.
+
+    The library sees each distinct part once. Parts that begin at a space go to it as one text; the bytes that each
+    token stands for tell where a part's tokens end.
+    """
     os.environ["TOKENIZERS_PARALLELISM"] = "false"
     from tokenizers import Tokenizer
 
     tokenizer = Tokenizer.from_file(path)
-    specials = {token.content: np.array([i], "<u4").tobytes() for i, token in tokenizer.get_added_tokens_decoder().items()}
-
-    def resolve(pieces: list[str]) -> list[bytes]:
-        return [pack(*e.ids) for e in tokenizer.encode_batch_fast(pieces, add_special_tokens=False) if (pack := packer(len(e)))]
-
-    packer = lru_cache(maxsize=4096)(lambda n: struct.Struct(f"<{n}I").pack)
-    parts = TextParts(resolve, b"".join)
-
-    def encode(texts: list[str]) -> list[bytes]:
-        rows = [split_specials(text, specials) for text in texts]
-        values = iter(parts.of([piece for row in rows for piece in row]))
-        if len(specials) > 1:
-            raise ValueError("one special token is expected")
-        between = next(iter(specials.values()), b"")
-        return [between.join(next(values) for _ in row) for row in rows]
+    specials = {token.content: i for i, token in tokenizer.get_added_tokens_decoder().items()}
+    letters = byte_letters()
+    sizes = np.zeros(tokenizer.get_vocab_size(), np.int64)
+    for token, i in tokenizer.get_vocab().items():
+        sizes[i] = len(token.encode()) if token in specials else sum(c in letters for c in token)
+
+    def resolve(parts: pa.Array) -> pa.Array:
+        begin, data = flat(parts)
+        length = np.diff(begin)
+        second = np.minimum(begin[:-1] + 1, max(len(data) - 1, 0))
+        spaced = (length > 1) & (data[begin[:-1]] == 0x20) & SOLID[data[second]] if len(data) else np.zeros(len(length), bool)
+        alone = parts.filter(pa.array(~spaced)).to_pylist()
+        texts = ["".join(parts.filter(pa.array(spaced)).to_pylist()), *alone]
+        ids = [np.array(e.ids, "<u4") for e in tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+        counts = np.array([len(i) for i in ids[1:]], np.int64)
+        ends = np.cumsum(sizes[ids[0]])
+        stops = np.searchsorted(ends, np.cumsum(length[spaced])) + 1
+        order = np.argsort(np.concatenate((np.flatnonzero(spaced), np.flatnonzero(~spaced))))
+        where = np.concatenate(([0], stops, len(ids[0]) + np.cumsum(counts))) * 4
+        return ragged(where, np.concatenate(ids).view(np.uint8)).take(pa.array(order))
+
+    parts = TextParts(resolve, pa.binary(), specials)
+
+    def encode(column: pa.Array):
+        for part in slices(column, SLICE_BYTES):
+            values, first = parts.of(part)
+            begin, data = flat(values)
+            yield ragged(begin[first], data)
 
     return encode
 
@@ -133,20 +153,24 @@ def _shards(batches, path: str, end_id: int):
         starts = np.cumsum(lengths) - lengths
         by_slot = np.empty(len(slots), np.int64)
         by_slot[slots] = np.arange(len(slots))
-        values = (part, number, before, have, ids.tobytes(), np.packbits(none).tobytes(), pilots.tobytes(), (hashes[by_slot] & U(0xFFFFFFFF)).astype(np.uint32).tobytes(), starts[by_slot].tobytes(), lengths[by_slot].tobytes(), b"".join(payload))
-        kinds = [pa.int32(), pa.int32(), pa.int64(), pa.int64(), *[pa.binary()] * 7]
+        named = ids[~none]
+        bounds = (int(named[0]), int(named[-1])) if len(named) else (None, None)
+        values = (part, number, before, have, *bounds, ids[by_slot].tobytes(), np.packbits(none[by_slot]).tobytes(), pilots.tobytes(), (hashes[by_slot] & U(0xFFFFFFFF)).astype(np.uint32).tobytes(), starts[by_slot].tobytes(), lengths[by_slot].tobytes(), b"".join(payload))
+        kinds = [pa.int32(), pa.int32(), *[pa.int64()] * 4, *[pa.binary()] * 7]
         return pa.RecordBatch.from_arrays([pa.array([v], k) for v, k in zip(values, kinds, strict=True)], [c.split()[0] for c in SHARDS.split(", ")])
 
     for batch in batches:
         at = 0
         names = batch.column(0).to_pylist()
-        for texts in few(batch.column(1)):
-            for data in encode(texts):
+        for texts in encode(batch.column(1)):
+            begin, data = flat(texts)
+            view, begin = memoryview(data), begin.tolist()
+            for a, b in zip(begin[:-1], begin[1:], strict=True):
                 name = names[at]
                 at += 1
                 keys.append(0 if name is None else name)
                 nulls.append(name is None)
-                payload.append(data + end)
+                payload.append(bytes(view[a:b]) + end)
                 have += len(payload[-1]) // 4
                 if have >= SHARD_IDS or len(keys) >= SHARD_DOCS:
                     yield row()
@@ -159,19 +183,26 @@ def write_index(docs: DataFrame, path: str, out: str, id_col: str = "doc_id", te
     """Encode every text with the tokenizers library and write the file set to out, in ascending id order.
 
     path is a JSON tokenizer file that each task can open. Null texts count as empty: they hold end_id alone. Null ids
-    come last; rows of equal id lie side by side, ordered by text. Ids are whole numbers. An empty table gives an
-    empty file set. Other columns are not read.
+    come last; rows of equal id lie side by side, ordered by a hash of their text, so even many of them are shared out
+    among tasks. Ids are whole numbers. An empty table gives an empty file set. Other columns are not read.
     """
     rows = docs.select(F.col(id_col).cast("long").alias("id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
-    ordered = rows.repartitionByRange(F.col("id").asc_nulls_last()).sortWithinPartitions(F.col("id").asc_nulls_last(), "text")
+    order = F.col("id").asc_nulls_last(), F.xxhash64("text")
+    ordered = rows.repartitionByRange(*order).sortWithinPartitions(*order, "text")
     ordered.mapInArrow(partial(_shards, path=path, end_id=end_id), SHARDS).write.mode("errorifexists").option("compression", "zstd").parquet(out)
 
 
+def _in_order(shard: dict) -> tuple[np.ndarray, np.ndarray]:
+    """The keys of a shard as its documents lie in the payload, and which of them are null."""
+    order = np.argsort(np.frombuffer(shard["starts"], np.int64))
+    keys = np.frombuffer(shard["keys"], np.int64)
+    return keys[order], np.unpackbits(np.frombuffer(shard["nulls"], np.uint8))[: len(keys)].astype(bool)[order]
+
+
 def _read(batches, base):
     for batch in batches:
         for shard in batch.to_pylist():
-            keys = np.frombuffer(shard["keys"], np.int64)
-            none = np.unpackbits(np.frombuffer(shard["nulls"], np.uint8))[: len(keys)].astype(bool)
+            keys, none = _in_order(shard)
             starts, lengths, known = look_up(shard, key_hashes(keys, none, _turns(keys, none)))
             if not known.all():
                 raise ValueError("a shard's index doesn't know its own keys")
@@ -193,21 +224,30 @@ def read_index(spark: SparkSession, out: str, id_col: str = "doc_id") -> DataFra
     return shards.mapInArrow(partial(_read, base=base), "id long, start long, n_tokens long, ids_crc32 long").withColumnRenamed("id", id_col)
 
 
-def _find(batches, wanted):
+def _find(batches, wanted: np.ndarray):
     for batch in batches:
         for shard in batch.to_pylist():
-            hashes = key_hashes(np.array(wanted, np.int64), np.zeros(len(wanted), bool), np.zeros(len(wanted), np.int64))
-            starts, lengths, known = look_up(shard, hashes)
-            for k in np.flatnonzero(known):
-                yield pa.RecordBatch.from_pydict({"id": pa.array([wanted[k]], pa.int64()), "ids": pa.array([shard["payload"][4 * starts[k] : 4 * (starts[k] + lengths[k])]], pa.binary())})
+            near, turn = wanted[(wanted >= shard["low"]) & (wanted <= shard["high"])], 0
+            while len(near):
+                hashes = key_hashes(near, np.zeros(len(near), bool), np.full(len(near), turn))
+                starts, lengths, known = look_up(shard, hashes, near)
+                near, turn = near[known], turn + 1
+                ids = [shard["payload"][4 * a : 4 * (a + n)] for a, n in zip(starts[known].tolist(), lengths[known].tolist(), strict=True)]
+                yield pa.RecordBatch.from_arrays([pa.array(near), pa.array(ids, pa.binary())], ["id", "ids"])
 
 
 def fetch(spark: SparkSession, out: str, ids: list[int]) -> DataFrame:
-    """(id, ids) for the keys asked for: one look-up a key and shard.
+    """(id, ids) for every document of the keys asked for; a key that no document has gives no row.
 
-    A key that is not in a shard passes its fingerprint test once in 2**32 look-ups.
+    Only the shards whose range of keys holds a wanted one are read; there a look-up reads one pilot and one slot for
+    each document of the key and compares the key itself.
     """
-    return spark.read.schema(SHARDS).parquet(out).mapInArrow(partial(_find, wanted=list(ids)), "id long, ids binary")
+    wanted = np.unique(np.array(ids, np.int64))
+    shards = spark.read.schema(SHARDS).parquet(out)
+    near = F.lit(False)
+    for run in np.array_split(wanted, min(RANGES, len(wanted))) if len(wanted) else ():
+        near |= (F.col("high") >= int(run[0])) & (F.col("low") <= int(run[-1]))
+    return shards.where(near).mapInArrow(partial(_find, wanted=wanted), "id long, ids binary")
 
 
 def encode_and_read(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text", end_id: int = END_ID) -> DataFrame:
