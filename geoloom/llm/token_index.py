@@ -13,7 +13,7 @@ from __future__ import annotations
 import os
 import uuid
 import zlib
-from functools import partial
+from functools import lru_cache, partial
 
 import numpy as np
 import pyarrow as pa
@@ -97,12 +97,9 @@ def _turns(keys: np.ndarray, nulls: np.ndarray) -> np.ndarray:
     return where - np.maximum.accumulate(np.where(fresh, where, 0))
 
 
-def _library(path: str):
-    """A text column -> (binary array of ids as little-endian 32-bit numbers) a slice, as the tokenizers library gives them.
-
-    The library sees each distinct part once. Parts that begin at a space go to it as one text; the bytes that each
-    token stands for tell where a part's tokens end.
-    """
+@lru_cache(maxsize=1)
+def _tokenizer(path: str):
+    """The library's tokenizer, the ids of its special tokens, and how many bytes each id stands for."""
     os.environ["TOKENIZERS_PARALLELISM"] = "false"
     from tokenizers import Tokenizer
 
@@ -112,6 +109,16 @@ def _library(path: str):
     sizes = np.zeros(tokenizer.get_vocab_size(), np.int64)
     for token, i in tokenizer.get_vocab().items():
         sizes[i] = len(token.encode()) if token in specials else sum(c in letters for c in token)
+    return tokenizer, specials, sizes
+
+
+def _library(path: str):
+    """A text column -> (binary array of ids as little-endian 32-bit numbers) a slice, as the tokenizers library gives them.
+
+    The library sees each distinct part once. Parts that begin at a space go to it as one text; the bytes that each
+    token stands for tell where a part's tokens end.
+    """
+    tokenizer, specials, sizes = _tokenizer(path)
 
     def resolve(parts: pa.Array) -> pa.Array:
         begin, data = flat(parts)

@@ -1,9 +1,12 @@
 """Toxicity by maximal scoring segments over token log-odds.
 
 Tokens are words and their inner letter runs of five. Log-odds of toxic against other labelled texts have a Dirichlet
-prior at the tokens' overall shares; a token scores by its lower bound if it is significant and costs DRIFT otherwise.
-A linear scan finds all maximal scoring segments of a text. Segments of texts labelled other than toxic give the
-parameters of the extreme-value law, and a logistic fit turns a text's excess over it into a score.
+prior at the tokens' overall shares. A word scores the best lower bound among its tokens that are significant; any other
+common word scores its upper bound where that is below -DRIFT, and all else costs DRIFT, so that chance segments stay
+short. A linear scan finds all maximal scoring segments of a text. Tokens chosen on four fifths of the labelled texts give,
+on the fifth that they haven't seen, the extreme-value law of the best segment of a text that is not toxic; the tokens
+of all of them are then scored by that law. A segment counts if that law expects it
+at most LEVEL times in so many words, and a logistic fit turns what a text's segments exceed the law by into a score.
 """
 
 from __future__ import annotations
@@ -19,9 +22,14 @@ from pyspark.sql import functions as F
 
 from geoloom.llm.language_id import remainder
 
-#: Labelled rows that the fit takes at most (those of the least id hash), and significant tokens at most.
+#: Labelled rows with a text that the fit takes at most: those of the least id hash. One in CALIBRATE of them sets the
+#: extreme-value law and the score of tokens that are chosen on the others.
 TRAIN_ROWS = 40_000
-TOKENS = 20_000
+CALIBRATE = 5
+#: A word in so large a share of the texts has a score of its own even if it is not significant.
+COMMON = 0.005
+#: A segment counts if so many or fewer like it are expected in a text of this length that is not toxic.
+LEVEL = 0.05
 PRIOR_SHARE = 0.04
 SIGNIFICANT = 2.8
 #: Least lower bound of the log-odds of a scoring token: weaker ones follow topics and styles.
@@ -38,30 +46,49 @@ def tokens_of(word: str) -> tuple[str, ...]:
     return (letters, *runs) if letters else ()
 
 
-def segments(scores: list[float], at: list[int], drift: float) -> list[tuple[float, int, int]]:
-    """All maximal scoring segments (score, first, last), where tokens at score and all others cost drift.
+def segments(scores: np.ndarray) -> list[tuple[float, int, int]]:
+    """All maximal scoring segments (score, first, last) of a text's token scores, in linear time.
 
-    Ruzzo and Tompa's scan: each scoring token opens a segment that merges with the nearest earlier one whose left sum
-    is lower, as long as the right sum grows.
+    Ruzzo and Tompa's scan: each positive score opens a segment that merges with the nearest earlier one whose left sum is
+    lower, as long as the right sum grows. Each segment keeps which that one is, so those between are never seen again.
     """
-    found: list[tuple[float, float, int, int]] = []
-    total, here = 0.0, 0
-    for score, k in zip(scores, at, strict=True):
-        left = total - drift * (k - here)
-        total, here = left + score, k + 1
-        low, high, first = left, total, k
-        while found:
-            j = next((j for j in range(len(found) - 1, -1, -1) if found[j][0] < low), None)
-            if j is None or found[j][1] >= high:
+    sums = np.append(0.0, np.cumsum(scores))
+    at = np.flatnonzero(scores > 0)
+    found: list[tuple[float, float, int, int, int]] = []
+    for low, high, k in zip(sums[at].tolist(), sums[at + 1].tolist(), at.tolist(), strict=True):
+        first, j = k, len(found) - 1
+        while True:
+            while j >= 0 and found[j][0] >= low:
+                j = found[j][4]
+            if j < 0 or found[j][1] >= high:
                 break
-            low, first = found[j][0], found[j][2]
+            low, _, first, _, before = found[j]
             del found[j:]
-        found.append((low, high, first, k))
-    return [(high - low, first, last) for low, high, first, last in found]
+            j = before
+        found.append((low, high, first, k, j))
+    return [(high - low, first, last) for low, high, first, last, _ in found]
+
+
+def fit_maxima(best: np.ndarray, words: np.ndarray) -> tuple[float, float]:
+    """(decay, rate) of the law P(best <= x) = exp(-rate * words * exp(-decay * x)) for the best segments of texts.
+
+    The likelihood is that of the law cut off at 0, where a text has no segment; one made-up text of middling best score
+    keeps it finite. Given the decay the best rate is known, and the decay is the best of a grid.
+    """
+    best = np.append(best, np.mean(best[best > 0]) if (best > 0).any() else LEAST)
+    words = np.append(words, max(1.0, float(np.mean(words)) if len(words) else 1.0))
+    above = best > 0
+    options = []
+    for decay in np.geomspace(0.05, 5, 120):
+        rate = above.sum() / (words * np.exp(-decay * best)).sum()
+        options.append((above.sum() * (np.log(rate) + np.log(decay) - 1) - decay * best[above].sum(), decay, rate))
+    return max(options)[1:]
 
 
 @dataclass
 class Model:
+    """scores: what words and runs (~) score, where it is not -DRIFT; the law of maxima; the logistic fit."""
+
     scores: dict[str, float]
     decay: float
     rate: float
@@ -71,28 +98,27 @@ class Model:
     def scan(self, text: str | None) -> tuple[int, list[tuple[float, int, int]]]:
         """Number of words, and the scoring segments with their first and last word."""
         words = (text or "").split()
-        return len(words), segments(*self._scoring(words), DRIFT)
+        return len(words), segments(self.scored(words))
 
-    def _scoring(self, words: list[str]) -> tuple[list[float], list[int]]:
+    def scored(self, words: list[str]) -> np.ndarray:
         known = self._known = getattr(self, "_known", {})
-        if len(known) > 400_000:
+        if len(known) > 200_000:
             known.clear()
-        values, at = [], []
-        for k, v in enumerate(map(known.get, words)):
+        values = list(map(known.get, words))
+        for k, v in enumerate(values):
             if v is None:
-                v = known[words[k]] = max((self.scores.get(t, 0.0) for t in tokens_of(words[k])), default=0.0)
-            if v:
-                values.append(v)
-                at.append(k)
-        return values, at
+                own = [self.scores.get(t, -DRIFT) for t in tokens_of(words[k])]
+                best = max(own, default=-DRIFT)
+                values[k] = known[words[k]] = best if best > 0 or not own else own[0]
+        return np.array(values, np.float64)
 
-    def excess(self, n: int, found: list[tuple[float, int, int]]) -> float:
-        """By how many orders a text's segments exceed what the extreme-value law expects in n words, damped; 0 without any."""
-        total = sum(s for s, _, _ in found)
-        return float(np.log1p(np.logaddexp(0.0, self.decay * total - np.log(max(self.rate * max(n, 1), 1e-12))))) if found else 0.0
+    def significant(self, n: int, found: list[tuple[float, int, int]]) -> list[tuple[float, int, int]]:
+        """The segments of which the law expects LEVEL at most in n words."""
+        return [s for s in found if self.rate * n * np.exp(-self.decay * s[0]) <= LEVEL]
 
-    def score(self, text: str | None) -> float:
-        return float(1 / (1 + np.exp(-np.clip(self.slope * self.excess(*self.scan(text)) + self.offset, -30, 30))))
+    def excess(self, n: int, found: list[tuple[float, int, int]]) -> float:
+        """By how much a text's significant segments together exceed what the law expects in n words, damped; 0 without any."""
+        return float(np.log1p(sum(self.decay * s - np.log(self.rate * n) for s, _, _ in self.significant(n, found))))
 
 
 def _count(batches):
@@ -143,63 +169,75 @@ def logistic(x: np.ndarray, y: np.ndarray, ridge: float = 0.1) -> tuple[float, f
 
 
 def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic") -> Model:
-    """A model from the labelled rows of docs. Null labels don't count; without both labels every score is the share of toxic."""
-    chosen = labels.select(F.col(id_col).alias("id"), F.col(label_col).cast("int").alias("label")).where("id IS NOT NULL AND label IS NOT NULL")
-    chosen = chosen.groupBy("id").agg(F.max("label").alias("label")).orderBy(F.xxhash64("id")).limit(TRAIN_ROWS)
-    rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text")).join(F.broadcast(chosen), "id").select("label", "text")  # TRAIN_ROWS at most
+    """A model from the labelled rows of docs. Null labels don't count, and of several labels of an id the highest does;
+    without both labels every text scores near the one there is (0 if there is none)."""
+    labelled = labels.select(F.col(id_col).alias("id"), F.col(label_col).cast("int").alias("label")).where("id IS NOT NULL AND label IS NOT NULL")
+    labelled = labelled.groupBy("id").agg(F.max("label").alias("label"))
+    rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
+    chosen = labelled.join(rows.select("id").distinct(), "id").orderBy(F.xxhash64("id")).limit(TRAIN_ROWS)
+    rows = rows.join(F.broadcast(chosen), "id")  # TRAIN_ROWS at most
+    apart = F.pmod(F.hash("id"), F.lit(CALIBRATE)) == 0
+    model = Model(choose(rows.where(~apart).select("label", "text")), 1.0, 1.0, 1.0, 0.0)
+
+    def scan(batches):
+        for batch in batches:
+            found = [model.scan(text.as_py()) for text in batch.column(1)]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([k for k, _ in found], pa.int64()), pa.array([[s for s, _, _ in f] for _, f in found], pa.list_(pa.float64()))], ["label", "n", "segments"])
+
+    seen = rows.where(apart).select("label", "text").mapInArrow(scan, "label int, n long, segments array<double>").collect()  # TRAIN_ROWS / CALIBRATE rows of numbers
+    if {r.label for r in seen} != {0, 1}:
+        return Model({}, 1.0, 1.0, 1.0, 4.0 if any(r.label for r in seen) else -4.0)
+    clean = [r for r in seen if not r.label]
+    model.decay, model.rate = fit_maxima(np.array([max(r.segments, default=0.0) for r in clean]), np.array([float(max(r.n, 1)) for r in clean]))
+    x = np.array([model.excess(r.n, [(s, 0, 0) for s in r.segments]) for r in seen])
+    slope, offset = logistic(x, np.array([float(r.label) for r in seen]))
+    return Model(choose(rows.select("label", "text")), model.decay, model.rate, slope, offset)
+
+
+def choose(rows: DataFrame) -> dict[str, float]:
+    """What the words and runs of rows (label, text) score, where that is not -DRIFT; nothing unless both labels are there."""
     n = {row.label: row["count"] for row in rows.groupBy("label").count().collect()}
     toxic, other = n.get(1, 0), n.get(0, 0)
     if not toxic or not other:
-        return Model({}, 1.0, 1.0, 1.0, 4.0 if toxic else -4.0)
+        return {}
     counted = rows.mapInArrow(_count, "token string, yes long, no long").groupBy("token").agg(F.sum("yes").alias("yes"), F.sum("no").alias("no"))
     prior = PRIOR_SHARE * (toxic + other)
     a = prior * (F.col("yes") + F.col("no")) / (toxic + other)
     up, down = F.col("yes") + a, F.col("no") + a
     odds = F.log(up / (toxic + prior - up)) - F.log(down / (other + prior - down))
     spread = F.sqrt(1 / up + 1 / down)
-    best = counted.where("yes > 2").select("token", (odds - spread).alias("score"), (odds / spread).alias("z")).where(F.col("z") >= SIGNIFICANT)
-    scores = {row.token: row.score for row in best.orderBy(F.col("z").desc(), "token").limit(TOKENS).collect() if row.score >= LEAST}
+    scoring = (F.col("yes") > 2) & (odds / spread >= SIGNIFICANT) & (odds - spread >= LEAST)
+    common = ~F.col("token").startswith("~") & (F.col("yes") + F.col("no") >= COMMON * (toxic + other)) & (odds + spread < -DRIFT)
+    found = counted.select("token", F.when(scoring, odds - spread).when(common, odds + spread).alias("score")).where("score IS NOT NULL")
+    scores = {row.token: row.score for row in found.collect()}  # bounded by the texts of TRAIN_ROWS rows and the share
 
     # A run that owes its odds to one scoring word, and is common in the other texts' own words, says nothing of these.
-    words, runs = frozenset(t for t in scores if t[0] != "~"), frozenset(t for t in scores if t[0] == "~")
-    apart = rows.mapInArrow(lambda batches: _outside(batches, words, runs), "token string, yes long, no long").groupBy("token").agg(F.sum("yes").alias("yes"), F.sum("no").alias("no"))
-    for row in apart.where("no > 0").collect():  # TOKENS at most
+    words = frozenset(t for t, v in scores.items() if v > 0 and t[0] != "~")
+    runs = frozenset(t for t in scores if t[0] == "~")
+    alone = rows.mapInArrow(lambda batches: _outside(batches, words, runs), "token string, yes long, no long").groupBy("token").agg(F.sum("yes").alias("yes"), F.sum("no").alias("no"))
+    for row in alone.where("no > 0").collect():  # runs at most
         if np.log((row.yes + 0.5) / toxic) - np.log((row.no + 0.5) / other) < LEAST:
             del scores[row.token]
-
-    raw = Model(scores, 1.0, 1.0, 1.0, 0.0)
-
-    def scan(batches):
-        for batch in batches:
-            found = [raw.scan(text.as_py()) for text in batch.column(1)]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([k for k, _ in found], pa.int64()), pa.array([sum(s for s, _, _ in f) for _, f in found], pa.float64())], ["label", "n", "total"])
-
-    seen = rows.mapInArrow(scan, "label int, n long, total double").toPandas()  # TRAIN_ROWS rows of numbers
-    null = seen[seen.label == 0]
-    high = null.total[null.total > 0]
-    raw.decay = 1 / max(float(high.mean()), 0.5) if len(high) else 1.0
-    raw.rate = max(len(high), 0.5) / max(float(null.n.sum()), 1.0)
-    x = np.array([raw.excess(k, [(s, 0, 0)] if s else []) for k, s in zip(seen.n, seen.total, strict=True)])
-    raw.slope, raw.offset = logistic(x, seen.label.to_numpy(float))
-    return raw
+    return scores
 
 
 def score_toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic") -> DataFrame:
     """(id, held_out, score, predicted, segments, first_word, last_word) for every row of docs.
 
     Learns from labels whose crc32(id) mod 5 is not 0. Nothing but the text decides a score: null and empty texts get
-    that of a text without a scoring token. segments counts the maximal scoring segments; first_word and last_word
-    bound the best one (null if there is none). Null ids and repeated rows are rows like others; other columns are
-    not read; an empty table gives an empty result.
+    that of a text without a scoring token. segments counts the significant segments; first_word and last_word bound
+    the best one (null if there is none). Null ids and repeated rows are rows like others; other columns are not
+    read; an empty table gives an empty result.
     """
     model = train(docs.where(remainder(id_col, 5) != 0), labels, id_col, text_col, label_col)
-    sent = docs.sparkSession.sparkContext.broadcast(model)  # TOKENS scores at most
+    sent = docs.sparkSession.sparkContext.broadcast(model)  # bounded by what it is fitted on
     rows = docs.select(F.col(id_col).alias("id"), (remainder(id_col, 5) == 0).alias("held_out"), F.col(text_col).cast("string").alias("text"))
 
     def score(batches):
         m = sent.value
         for batch in batches:
             found = [m.scan(text.as_py()) for text in batch.column(2)]
+            found = [(n, m.significant(n, f)) for n, f in found]
             x = np.array([m.excess(n, f) for n, f in found])
             p = 1 / (1 + np.exp(-np.clip(m.slope * x + m.offset, -30, 30)))
             best = [max(f, default=(0, None, None)) for _, f in found]
