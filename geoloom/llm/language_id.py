@@ -7,32 +7,33 @@ it doesn't see sets the temperature of the softmax.
 
 from __future__ import annotations
 
-import re
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+import regex
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from geoloom.llm.textvec import GOLDEN, U, mix64
 from geoloom.llm.vectors import summed
 
 BUCKETS = 1 << 15
-#: Labelled rows that a language gives to the fit at most (those of the least text hash), and languages at most.
+#: Labelled texts that a language gives to the fit at most: those of the least hash, each once.
 TRAIN_PER_LANGUAGE = 600
-LANGUAGES = 500
 EPOCHS = 3
 ALPHA, BETA, L1, L2 = 0.5, 1.0, 0.05, 0.01
 UNKNOWN = "und"
 
-NO_LETTERS = re.compile(r"[\W\d_]+")
+#: Runs of other characters than letters and the marks on them.
+NO_LETTERS = regex.compile(r"[^\p{L}\p{M}]+")
+LETTER = regex.compile(r"\p{L}")
 
 
 def grams(text: str | None) -> tuple[np.ndarray, np.ndarray]:
     """Buckets of a text's character 1- to 3-grams and their counts; runs without letters count as one space."""
     letters = NO_LETTERS.sub(" ", (text or "").lower()).strip()
-    if not letters:
+    if not LETTER.search(letters):
         return np.empty(0, np.int64), np.empty(0, np.int64)
     codes = np.frombuffer(f" {letters} ".encode("utf-32-le"), np.uint32).astype(np.uint64)
     two = codes[:-1] << U(21) | codes[1:]
@@ -45,11 +46,25 @@ def grams(text: str | None) -> tuple[np.ndarray, np.ndarray]:
 
 @dataclass
 class Model:
+    """The weights other than 0 stand bucket by bucket: those of bucket b from begin[b] on, each with its language."""
+
     languages: list[str]
     idf: np.ndarray
-    weights: np.ndarray
+    begin: np.ndarray
+    language: np.ndarray
+    weight: np.ndarray
     temperature: float
 
+    @staticmethod
+    def of(languages: list[str], idf: np.ndarray, weights: np.ndarray, temperature: float) -> Model:
+        at, language = np.nonzero(weights.T)
+        return Model(languages, idf, np.searchsorted(at, np.arange(BUCKETS + 1)), language.astype(np.int32), weights.T[at, language], temperature)
+
+    def logits(self, found: np.ndarray, values: np.ndarray) -> np.ndarray:
+        count = self.begin[found + 1] - self.begin[found]
+        at = np.arange(count.sum()) + np.repeat(self.begin[found] - np.cumsum(count) + count, count)
+        return np.bincount(self.language[at], self.weight[at] * np.repeat(values, count), len(self.languages))
+
     def features(self, text: str | None) -> tuple[np.ndarray, np.ndarray]:
         found, counts = grams(text)
         values = np.log1p(counts) * self.idf[found]
@@ -59,7 +74,7 @@ class Model:
         found, values = self.features(text)
         if not len(found) or not self.languages:
             return UNKNOWN, 0.0
-        p = softmax(self.weights[:, found] @ values / self.temperature)
+        p = softmax(self.logits(found, values) / self.temperature)
         best = int(p.argmax())
         return self.languages[best], float(p[best])
 
@@ -109,12 +124,15 @@ def remainder(id_col: str, m: int) -> Column:
 
 
 def train(labelled: DataFrame, lang_col: str = "lang", text_col: str = "text") -> Model:
-    """A model from the rows of labelled whose language is not null. Without any, it knows no language."""
+    """A model from the rows of labelled whose language is not null. Without any, it knows no language.
+
+    What the driver holds grows by 1 MB with each language.
+    """
     rows = labelled.select(F.col(lang_col).cast("string").alias("lang"), F.col(text_col).cast("string").alias("text")).where("lang IS NOT NULL")
-    sizes = rows.groupBy("lang").count().orderBy(F.col("count").desc(), "lang").limit(LANGUAGES).collect()
-    languages = sorted(row.lang for row in sizes)
+    sizes = rows.groupBy("lang").count()
+    languages = sorted(row.lang for row in sizes.collect())
     if not languages:
-        return Model([], np.ones(BUCKETS), np.zeros((0, BUCKETS), np.float32), 1.0)
+        return Model.of([], np.ones(BUCKETS), np.zeros((0, BUCKETS), np.float32), 1.0)
 
     def fill(batch: pa.RecordBatch, total: np.ndarray) -> None:
         for text in batch.column(0):
@@ -124,12 +142,12 @@ def train(labelled: DataFrame, lang_col: str = "lang", text_col: str = "text") -
     df = summed(rows.select("text"), fill, BUCKETS + 1)
     idf = np.log((1 + df[BUCKETS]) / (1 + df[:BUCKETS])) + 1
 
-    share = F.lit(0.0)
-    for row in sizes:
-        share = F.when(F.col("lang") == row.lang, min(1.0, 1.25 * TRAIN_PER_LANGUAGE / row["count"])).otherwise(share)
+    # A share of each language's hashes that holds a few more texts than wanted, then the least of these.
     place = F.xxhash64("text")
-    drawn = rows.where((F.pmod(place, F.lit(1 << 20)) / (1 << 20)) < share).withColumn("place", place)
-    drawn = drawn.orderBy("place").limit(TRAIN_PER_LANGUAGE * len(languages))
+    near = rows.join(F.broadcast(sizes), "lang").where(F.pmod(place, F.lit(1 << 20)) * F.col("count") < int(1.25 * TRAIN_PER_LANGUAGE * (1 << 20)))  # a row for each language
+    near = near.select("lang", "text", place.alias("place")).dropDuplicates(["lang", "place"])
+    turn = F.row_number().over(Window.partitionBy("lang").orderBy(F.pmod("place", F.lit(1 << 20)), "place"))
+    drawn = near.withColumn("turn", turn).where(F.col("turn") <= TRAIN_PER_LANGUAGE)
 
     def vectors(batches):
         for batch in batches:
@@ -148,7 +166,7 @@ def train(labelled: DataFrame, lang_col: str = "lang", text_col: str = "text") -
     kept, held = [r for k, r in enumerate(sample) if k % 5], sample[::5]
     weights = fit_ftrl(kept, len(languages))
     temperature = fit_temperature([weights[:, at] @ values for _, at, values in held], [y for y, _, _ in held]) if held else 1.0
-    return Model(languages, idf, weights, temperature)
+    return Model.of(languages, idf, weights, temperature)
 
 
 def identify(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
@@ -158,7 +176,7 @@ def identify(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame
     language. Nothing but the text decides. An empty table gives an empty result.
     """
     rows = docs.drop("lang_pred", "score")
-    sent = docs.sparkSession.sparkContext.broadcast(model)  # languages (500 at most) x buckets
+    sent = docs.sparkSession.sparkContext.broadcast(model)  # at most a weight for each language and bucket
     place = rows.columns.index(text_col)
 
     def predict(batches):
