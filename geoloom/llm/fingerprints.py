@@ -1,8 +1,10 @@
 """Document fingerprints by order MinHash.
 
-A text's k-mers of code points are numbered by occurrence, so repeats count. Their hashes fall into BINS bins, one a
-hash function; in each the PICK least stay, are put back into text order, and their tuple is hashed. Two texts' shares
-of equal tuples follow their edit distance: moving text about changes tuples that a set's signature would keep.
+A text's k-mers of code points are numbered by occurrence, so repeats count. Each of FUNCTIONS rank functions orders all
+numbered k-mers by (hash - seed) mod 2**64; the PICK least of each are put back into text order, and their tuple is
+hashed. The seeds lie at even distances, so one sorted list, or for a long text only what lies close behind a seed,
+serves all functions. Two texts' shares of equal tuples follow their edit distance: moving text about changes tuples that
+a set's signature would keep.
 """
 
 from __future__ import annotations
@@ -11,17 +13,21 @@ import hashlib
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from geoloom.llm.textvec import GOLDEN, STEP, U, mix64
 
 SIZE = 8
-BINS_LOG = 6
-BINS = 1 << BINS_LOG
+FUNCTIONS_LOG = 6
+FUNCTIONS = 1 << FUNCTIONS_LOG
+SEEDS = np.arange(FUNCTIONS, dtype=np.uint64) << U(64 - FUNCTIONS_LOG)
 PICK = 2
 #: Ranges of ids that one shuffle partition gets on average.
 RANGES_PER_PARTITION = 4
+#: Ranges by text hash that the rows of an id with more than a range's share of all rows are cut into.
+CUTS_LOG = 6
 
 
 def kmers(codes: np.ndarray) -> np.ndarray:
@@ -35,49 +41,37 @@ def kmers(codes: np.ndarray) -> np.ndarray:
 
 
 def fingerprint(text: str | None) -> np.ndarray:
-    """BINS numbers of 16 bits; 0 marks a bin without a k-mer."""
+    """FUNCTIONS numbers of 16 bits; all are 0 for an empty text, none is for others."""
     h = kmers(np.frombuffer((text or "").encode("utf-32-le", "surrogatepass"), np.uint32))
-    out = np.zeros(BINS, np.uint16)
     n = len(h)
     if not n:
-        return out
+        return np.zeros(FUNCTIONS, np.uint16)
     bits = U(n.bit_length())
     low = (U(1) << bits) - U(1)
-    key = np.sort(h & ~low | np.arange(n, dtype=np.uint64))
+    key = np.sort(h & ~low | np.arange(n, dtype=np.uint64))  # the place in the text stands in the lower bits
     kmer = key >> bits
     fresh = np.concatenate(([True], kmer[1:] != kmer[:-1]))
     where = np.arange(n)
     turn = where - np.maximum.accumulate(np.where(fresh, where, 0))
-    pair = mix64((kmer << bits) + turn.astype(np.uint64) * GOLDEN)
-    room = min(1.0, 24.0 * PICK * BINS / n)  # the least few of each bin lie almost surely below this share
-    rest = U(64 - BINS_LOG)
-    near = (pair & ((U(1) << rest) - U(1))) < U(int(room * float(1 << (64 - BINS_LOG))))
-    chosen = _least(pair[near] & ~low | key[near] & low) if room < 1 else None
-    if chosen is None or (chosen[1] < PICK).any():
-        chosen = _least(pair & ~low | key & low)
-    least, found = chosen
-    order = np.argsort(np.where(least == U(0xFFFFFFFFFFFFFFFF), least, least & low), axis=1, kind="stable")
-    tuples = np.take_along_axis(least & ~low, order, 1)
-    hashed = mix64((tuples * STEP[:PICK]).sum(axis=1, dtype=np.uint64) + found.astype(np.uint64) * GOLDEN)
-    out = (hashed >> U(48)).astype(np.uint16)
+    pair = mix64((kmer << bits) + turn.astype(np.uint64) * GOLDEN) & ~low | key & low
+    rest = 64 - FUNCTIONS_LOG
+    room = min(1.0, 24.0 * PICK * FUNCTIONS / n)  # the least of each function lie almost surely in this share behind its seed
+    if room < 1:
+        near = np.sort(pair[(pair & U((1 << rest) - 1)) < U(int(room * float(1 << rest)))])
+        enough = np.diff(np.append(np.searchsorted(near, SEEDS), len(near))) >= PICK
+        pair = near if enough.all() else np.sort(pair)
+    else:
+        pair = np.sort(pair)
+    least = pair[(np.searchsorted(pair, SEEDS)[:, None] + np.arange(min(PICK, n))) % len(pair)]
+    tuples = np.take_along_axis(least & ~low, np.argsort(least & low, axis=1), 1)
+    size = np.full(FUNCTIONS, tuples.shape[1], np.uint64)
+    out = (mix64((tuples * STEP[: tuples.shape[1]]).sum(axis=1, dtype=np.uint64) + size * GOLDEN) >> U(48)).astype(np.uint16)
     out[out == 0] = 1
-    out[found == 0] = 0
     return out
 
 
-def _least(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """The PICK least keys of each bin (all ones where there are fewer), and how many there are."""
-    keys = np.sort(keys)
-    edge = np.searchsorted(keys >> U(64 - BINS_LOG), np.arange(BINS + 1, dtype=np.uint64))
-    count = np.minimum(np.diff(edge), PICK)
-    out = np.full((BINS, PICK), U(0xFFFFFFFFFFFFFFFF))
-    for j in range(PICK):
-        out[count > j, j] = keys[edge[:-1][count > j] + j]
-    return out, count
-
-
 def likeness(a: np.ndarray, b: np.ndarray) -> float:
-    """The share of equal tuples among the bins that either has; two empty texts are alike."""
+    """The share of equal tuples; two empty texts are alike."""
     used = (a != 0) | (b != 0)
     return float((a[used] == b[used]).mean()) if used.any() else 1.0
 
@@ -88,51 +82,68 @@ def edit(text: str, following: str) -> str:
     return text[: len(text) - third] + following[:third]
 
 
-def _ranges(ids: DataFrame, count: int) -> list[int]:
+def _bounds(ids: DataFrame, count: int) -> tuple[list[int], list[int | None]]:
+    """Lower bounds of ranges of ids, falling, and the ids with more than a range's share of rows, each a range of its own."""
+    n = ids.count()
+    heavy = [row.id for row in ids.groupBy("id").count().where(F.col("count") > max(1, n // count)).collect()]  # fewer than count
     row = ids.where("id IS NOT NULL").agg(F.percentile_approx("id", [k / count for k in range(1, count)], 10_000).alias("q")).first() if count > 1 else None
-    return sorted(set(row.q), reverse=True) if row and row.q else []
+    named = [i for i in heavy if i is not None]
+    return sorted({*(row.q if row and row.q else ()), *named, *(i + 1 for i in named)}, reverse=True), heavy
 
 
 def fingerprint_with_next(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(id, n_chars, edited_sha256, fingerprint, edited_fingerprint, near_edited, near_next) for every row of docs.
 
-    The next row is the one of the next lower id, for the last row the first one; rows of equal id follow by text, and
-    null ids come last. Null texts count as empty. A single row follows itself. Fingerprints are hexadecimal, 4 digits a
-    bin. Ids are whole numbers. Other columns are not read; an empty table gives an empty result.
+    The next row is the one of the next lower id, for the last row the first one; rows of equal id follow by a hash of
+    their text, and null ids come last. Null texts count as empty. A single row follows itself. Fingerprints are
+    hexadecimal, 4 digits a function. Ids are whole numbers. Other columns are not read; an empty table gives an empty
+    result.
 
-    Rows are dealt to ranges of ids, each with a copy of the first row of the range after it, so texts move once.
+    Rows are dealt to ranges of ids, each with a copy of the first row of the range after it, so texts move once. An id
+    with very many rows has ranges by text hash.
     """
     spark = docs.sparkSession
     rows = docs.select(F.col(id_col).cast("long").alias("id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
-    bounds = np.array(_ranges(rows.select("id"), RANGES_PER_PARTITION * int(spark.conf.get("spark.sql.shuffle.partitions"))), np.int64)
+    rows = rows.select("id", F.xxhash64("text").alias("hash"), "text")
+    partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    found, heavy = _bounds(rows.select("id"), RANGES_PER_PARTITION * partitions)
+    bounds = np.array(found, np.int64)
+    large, no_id = np.array([i for i in heavy if i is not None], np.int64), None in heavy
 
-    def ranges(ids: pa.Array) -> np.ndarray:
+    def ranges(ids: pa.Array, hashes: pa.Array) -> np.ndarray:
         """Range 0 holds the ids above the highest bound, and so on down; nulls are in the last."""
-        at = np.searchsorted(-bounds, -ids.fill_null(0).to_numpy(zero_copy_only=False), "left")
-        return np.where(ids.is_null().to_numpy(zero_copy_only=False), len(bounds), at)
+        none, ids = ids.is_null().to_numpy(zero_copy_only=False), ids.fill_null(0).to_numpy(zero_copy_only=False)
+        at = np.where(none, len(bounds) + 1, np.searchsorted(-bounds, -ids, "left"))
+        cut = np.where(none, no_id, np.isin(ids, large))
+        # hashes rise from negative ones on, so their upper bits do once the sign is turned
+        upper = (hashes.to_numpy(zero_copy_only=False).view(np.uint64) ^ U(1 << 63)) >> U(64 - CUTS_LOG)
+        return (at << CUTS_LOG) + np.where(cut, upper.astype(np.int64), 0)
 
     def number(batches):
         for batch in batches:
-            yield pa.RecordBatch.from_arrays([pa.array(ranges(batch.column(0)), pa.int32()), batch.column(0)], ["range", "id"])
+            yield pa.RecordBatch.from_arrays([pa.array(ranges(*batch.columns)), *batch.columns], ["range", "id", "hash"])
 
-    first = rows.select("id").mapInArrow(number, "range int, id long").groupBy("range").agg(F.max("id").alias("id"))
-    heads = sorted((row.range, row.id) for row in first.collect())  # a row for each range
-    extra: dict[int | None, list[int]] = {}
-    for k, (_, head) in enumerate(heads):
-        extra.setdefault(head, []).append(heads[k - 1][0])
+    order = F.struct(F.col("id").isNull(), -F.col("id"), F.col("hash"))
+    first = rows.select("id", "hash").mapInArrow(number, "range long, id long, hash long").groupBy("range").agg(F.min_by(F.struct("id", "hash"), order).alias("head"))
+    heads = sorted((row.range, row.head.id, row.head.hash) for row in first.collect())  # a row for each range
+    extra: dict[tuple, list[int]] = {}
+    for k, (_, i, h) in enumerate(heads):
+        extra.setdefault((i, h), []).append(heads[k - 1][0])
+    marks = pa.array(sorted({h for _, _, h in heads}), pa.int64())
 
     def deal(batches):
         for batch in batches:
-            ids = batch.column(0)
-            copies = [(k, to) for k, i in enumerate(ids.to_pylist()) if i in extra for to in extra[i]]
+            ids, hashes, texts = batch.columns
+            near = np.flatnonzero(pc.is_in(hashes, value_set=marks).to_numpy(zero_copy_only=False)).tolist()
+            copies = [(k, to) for k in near for to in extra.get((ids[k].as_py(), hashes[k].as_py()), ())]
             take = pa.array([k for k, _ in copies], pa.int64())
-            for part, at, halo in ((batch, ranges(ids), False), (batch.take(take), [to for _, to in copies], True)):
+            for part, at, halo in ((batch, ranges(ids, hashes), False), (batch.take(take), [to for _, to in copies], True)):
                 if part.num_rows:
-                    yield pa.RecordBatch.from_arrays([pa.array(at, pa.int32()), pa.array([halo] * part.num_rows), *part.columns], ["range", "halo", "id", "text"])
+                    yield pa.RecordBatch.from_arrays([pa.array(at, pa.int64()), pa.array([halo] * part.num_rows), *part.columns], ["range", "halo", "id", "hash", "text"])
 
-    parts = max(1, min(len(heads), int(spark.conf.get("spark.sql.shuffle.partitions"))))
-    dealt = rows.mapInArrow(deal, "range int, halo boolean, id long, text string").repartition(parts, "range")
-    line = dealt.sortWithinPartitions("range", "halo", F.col("id").desc_nulls_last(), "text")
+    parts = max(1, min(len(heads), partitions))
+    dealt = rows.mapInArrow(deal, "range long, halo boolean, id long, hash long, text string").repartition(parts, "range")
+    line = dealt.sortWithinPartitions("range", "halo", F.col("id").desc_nulls_last(), "hash", "text").drop("hash")
 
     def run(batches):
         pending, done = None, []
