@@ -1,9 +1,10 @@
 """Quality rules by tokeniser fertility.
 
 Two public vocabularies measure every text, word by word: characters per byte-level token, the share of byte-fallback
-pieces, and the entropy of the piece distribution against the most that so many pieces can have. Bands per
-language around the middle half of all its texts reject what lies far outside. Texts that fail the base rules are
-rejected first. Words are runs of characters other than 0x20 and 0x09-0x0D.
+pieces, and the entropy of the piece distribution against the most that so many pieces can have. Bands around the middle
+half of all texts of a language reject what lies far outside; for a language of few texts they are those of the texts
+in its script, for a rare script those of all texts. Texts that fail the base rules are rejected first. Words are runs of
+characters other than 0x20 and 0x09-0x0D.
 """
 
 from __future__ import annotations
@@ -12,7 +13,7 @@ import os
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from geoloom.llm.textvec import slices, span_hashes, windows, words
@@ -25,10 +26,33 @@ SYMBOLS[list(b"#*$%&|<>")] = True
 #: A measure is rejected further than SPREADS middle-half widths (REACH at least) outside the middle half.
 SPREADS = 2.0
 REACH = {"chars_per_token": 0.05, "fallback_share": 0.02, "entropy_share": 0.06}
-MIN_LANGUAGE_DOCS = 20
+#: Measures are counted in bins of 1 / BINS, so quartiles are the same however the rows are dealt out.
+BINS = 1000
+#: Texts that a band of its own takes: a language with fewer has its script's band, such a script that of all texts.
+LEAST_DOCS = 20
+#: A table of bands of up to so many rows is sent to the tasks; a longer one is joined by shuffle.
+FEW_BANDS = 10_000
 #: Words whose measures a task keeps.
 CACHE_ENTRIES = 200_000
-FEW_LANGUAGES = 10_000
+
+# The scripts that a character's first byte in UTF-8 tells apart; ASCII letters are Latin.
+SCRIPTS = ["none", "Latin", "Greek", "Cyrillic", "Hebrew", "Arabic", "Indic", "Southeast Asian", "Han and Kana", "Hangul"]
+FIRST_BYTES = {
+    "Latin": [*range(0x41, 0x5B), *range(0x61, 0x7B), *range(0xC3, 0xCA)], "Greek": [0xCE, 0xCF], "Cyrillic": range(0xD0, 0xD4), "Hebrew": [0xD6, 0xD7],
+    "Arabic": range(0xD8, 0xDC), "Indic": [0xE0], "Southeast Asian": [0xE1], "Han and Kana": range(0xE3, 0xEA), "Hangul": range(0xEA, 0xEE),
+}
+SCRIPT = np.zeros(256, np.uint8)
+for _name, _bytes in FIRST_BYTES.items():
+    SCRIPT[list(_bytes)] = SCRIPTS.index(_name)
+
+
+def scripts(part) -> list[str]:
+    """The script that most characters of each row of a slice have, the first listed of equals; none without a letter."""
+    found = SCRIPT[part.data]
+    at = np.flatnonzero(found)
+    row = np.searchsorted(part.begin, at, "right") - 1
+    counts = np.bincount(row * len(SCRIPTS) + found[at], minlength=part.rows * len(SCRIPTS)).reshape(part.rows, -1)
+    return [SCRIPTS[k] for k in counts.argmax(axis=1)] if part.rows else []
 
 
 def base_counts(part) -> np.ndarray:
@@ -132,51 +156,74 @@ MEASURES = "n_words long, word_chars long, n_symbols long, n_dup_lines long, n_r
 
 
 def measure(docs: DataFrame, bytes_path: str, pieces_path: str, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> DataFrame:
-    """(id, lang, base counts, fertility measures) for every row of docs."""
+    """(id, lang, script, base counts, fertility measures) for every row of docs."""
     rows = docs.select(F.col(id_col).alias("id"), F.coalesce(F.col(lang_col).cast("string"), F.lit("und")).alias("lang"), F.col(text_col).cast("string").alias("text"))
 
     def run(batches):
         fertility = Fertility(bytes_path, pieces_path)
-        names = ["id", "lang", *(m.split()[0] for m in MEASURES.split(", "))]
+        names = ["id", "lang", "script", *(m.split()[0] for m in MEASURES.split(", "))]
         for batch in batches:
-            counts, measured = [], []
+            counts, measured, script = [], [], []
             for part in slices(batch.column(2)):
+                script += scripts(part)
                 counts.append(base_counts(part))
                 data = part.data.tobytes()
                 measured += fertility.measure([data[a:b].split() for a, b in zip(part.begin[:-1], part.begin[1:], strict=True)])
             base = np.concatenate(counts) if counts else np.zeros((0, 5), np.int64)
             tokens, pieces, share, entropy = zip(*measured, strict=True) if measured else ((), (), (), ())
             yield pa.RecordBatch.from_arrays(
-                [*batch.columns[:2], *(pa.array(base[:, k]) for k in range(5)), pa.array(tokens, pa.int64()), pa.array(pieces, pa.int64()), pa.array(share, pa.float64()), pa.array(entropy, pa.float64())], names
+                [*batch.columns[:2], pa.array(script, pa.string()), *(pa.array(base[:, k]) for k in range(5)), pa.array(tokens, pa.int64()), pa.array(pieces, pa.int64()), pa.array(share, pa.float64()), pa.array(entropy, pa.float64())], names
             )
 
     kind = rows.schema["id"].dataType.simpleString()
-    return rows.mapInArrow(run, f"id {kind}, lang string, {MEASURES}")
+    return rows.mapInArrow(run, f"id {kind}, lang string, script string, {MEASURES}")
+
+
+def bands(rows: DataFrame) -> DataFrame:
+    """(level, name, low_<measure>..., high_<measure>...): the bands of languages, scripts and all texts that have enough rows.
+
+    A quartile is the least bin up to which a quarter (three quarters) of a group's rows lie. Rows without a measure
+    don't count towards it.
+    """
+    level = lambda n, name: F.struct(F.lit(n).alias("level"), name.alias("name"))
+    value = lambda m: F.struct(F.lit(m).alias("measure"), F.floor(F.col(m) * BINS + 0.5).cast("long").alias("bin"))
+    each = rows.select(F.explode(F.array(level(0, F.col("lang")), level(1, F.col("script")), level(2, F.lit("all")))).alias("g"), *REACH)
+    each = each.select("g.level", "g.name", F.explode(F.array(*map(value, REACH))).alias("m")).select("level", "name", "m.measure", "m.bin")
+    counts = each.where("bin IS NOT NULL").groupBy("level", "name", "measure", "bin").count()
+    group = Window.partitionBy("level", "name", "measure")
+    ranked = counts.withColumn("upto", F.sum("count").over(group.orderBy("bin"))).withColumn("docs", F.sum("count").over(group))
+    at = lambda q: F.min(F.when(F.col("upto") >= q * F.col("docs"), F.col("bin"))) / BINS
+    ends = ranked.groupBy("level", "name", "measure").agg(F.max("docs").alias("docs"), at(0.25).alias("low"), at(0.75).alias("high"))
+    wide = ends.groupBy("level", "name").agg(
+        F.max("docs").alias("docs"), *(F.max(F.when(F.col("measure") == m, F.col(end))).alias(f"{end}_{m}") for m in REACH for end in ("low", "high"))
+    )
+    room = {m: F.greatest((F.col(f"high_{m}") - F.col(f"low_{m}")) * SPREADS, F.lit(reach)) for m, reach in REACH.items()}
+    out = [x for m, r in room.items() for x in ((F.col(f"low_{m}") - r).alias(f"low_{m}"), (F.col(f"high_{m}") + r).alias(f"high_{m}"))]
+    return wide.where((F.col("docs") >= LEAST_DOCS) | (F.col("level") == 2)).select("level", "name", F.struct(*out).alias("band"))
 
 
 def apply_rules(docs: DataFrame, bytes_path: str, pieces_path: str, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> DataFrame:
-    """(id, base counts, measures, base_failed, kept) for every row of docs.
+    """(id, script, base counts, measures, base_failed, kept) for every row of docs.
 
     base_failed: fewer than 50 words, or more than half of them in three-word windows found twice or more in the text.
-    kept: not base_failed and every measure within its language's band. Bands come from the rows of a language that
-    pass the base rules; a language with fewer than MIN_LANGUAGE_DOCS of them has no band. A null language counts as
-    und, a null text as one without words (base_failed). Null ids and repeated rows are rows like others; other columns
-    are not read; an empty table gives an empty result.
+    kept: not base_failed and every measure within the band of its language, or else of its script, or else of all texts.
+    Bands come from the rows that pass the base rules. A null language counts as und, a null text as one without
+    words (base_failed). Null ids and repeated rows are rows like others; other columns are not read; an empty table
+    gives an empty result.
     """
     rows = measure(docs, bytes_path, pieces_path, id_col, text_col, lang_col)
     rows = rows.withColumn("base_failed", (F.col("n_words") < 50) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words")))
     rows = cut_lineage(rows.withColumn("chars_per_token", F.when(F.col("n_tokens") > 0, F.col("word_chars") / F.col("n_tokens"))))
-    middle = rows.where("NOT base_failed").groupBy("lang").agg(F.count(F.lit(1)).alias("docs"), *(F.percentile_approx(m, [0.25, 0.75], 1000).alias(f"q_{m}") for m in REACH))
-    bands = []
-    for m, reach in REACH.items():
-        low, high = F.col(f"q_{m}")[0], F.col(f"q_{m}")[1]
-        room = F.greatest((high - low) * SPREADS, F.lit(reach))
-        bands += [(low - room).alias(f"low_{m}"), (high + room).alias(f"high_{m}")]
-    bands = cut_lineage(middle.where(F.col("docs") >= MIN_LANGUAGE_DOCS).select("lang", *bands))
-    if bands.limit(FEW_LANGUAGES + 1).count() <= FEW_LANGUAGES:
-        bands = F.broadcast(bands)
+    found = cut_lineage(bands(rows.where("NOT base_failed")))
+    if found.limit(FEW_BANDS + 1).count() <= FEW_BANDS:
+        found = F.broadcast(found)
+    out = rows.withColumn("every", F.lit("all"))
+    for k, name in enumerate(("lang", "script", "every")):
+        own = found.where(F.col("level") == k).select(F.col("name").alias(name), F.col("band").alias(f"band_{k}"))
+        out = out.join(own, name, "left")
+    out = out.withColumn("band", F.coalesce("band_0", "band_1", "band_2"))
     within = F.lit(True)
     for m in REACH:
-        within &= F.coalesce(F.col(m).between(F.col(f"low_{m}"), F.col(f"high_{m}")), F.lit(True))
-    out = rows.join(bands, "lang", "left").withColumn("kept", ~F.col("base_failed") & within)
-    return out.select(F.col("id").alias(id_col), *(m.split()[0] for m in MEASURES.split(", ")), "chars_per_token", "base_failed", "kept")
+        within &= F.coalesce(F.col(m).between(F.col(f"band.low_{m}"), F.col(f"band.high_{m}")), F.lit(True))
+    out = out.withColumn("kept", ~F.col("base_failed") & within)
+    return out.select(F.col("id").alias(id_col), "script", *(m.split()[0] for m in MEASURES.split(", ")), "chars_per_token", "base_failed", "kept")

@@ -227,6 +227,138 @@ def test_fingerprints_follow_edits(spark, odd, small):
     assert near > 0.9 and near > fingerprints.likeness(fingerprints.fingerprint(base), fingerprints.fingerprint(swapped))
 
 
+def test_fertility_measures_bands_and_verdicts_equal_brute_force(spark, odd, small):
+    import collections
+    import math
+
+    import sentencepiece
+
+    library, pieces = _tokenizer(), sentencepiece.SentencePieceProcessor(model_file=PIECES_FILE)
+    rare = spark.createDataFrame([(9000 + k, " ".join(f"слово{j} и" for j in range(60 + k)), "ru" if k < 3 else "bg", None, 0) for k in range(25)], SCHEMA)
+    docs = small.unionByName(odd).unionByName(rare)
+    want = []
+    for r in docs.collect():
+        w = WORD.findall(r.text or "")
+        ids = [i for x in w for i in pieces.encode(x)]
+        n, tokens = len(ids), sum(len(library.encode(" " + x, add_special_tokens=False).ids) for x in w)
+        share = sum(pieces.is_byte(i) or pieces.is_unknown(i) for i in ids) / n if n else 0.0
+        entropy = -sum(c / n * math.log(c / n) for c in collections.Counter(ids).values()) / math.log(n) if n > 1 else 0.0
+        want.append((r.doc_id, r.text, r.lang or "und", tokens, n, share, entropy, sum(map(len, w)) / tokens if tokens else None))
+    found = fertility.apply_rules(docs, BYTES, PIECES_FILE)
+    by_id = collections.defaultdict(list)
+    for r in found.collect():
+        by_id[r.doc_id].append(r)
+    rows = []
+    for i, _, lang, tokens, n, share, entropy, chars in want:
+        r = by_id[i][0] if len({x.n_tokens for x in by_id[i]}) == 1 else next(x for x in by_id[i] if x.n_tokens == tokens)
+        assert (r.n_tokens, r.n_pieces) == (tokens, n) and abs(r.fallback_share - share) < 1e-9 and abs(r.entropy_share - entropy) < 1e-9
+        rows.append((lang, r.script, r.base_failed, r.kept, {"chars_per_token": chars, "fallback_share": r.fallback_share, "entropy_share": r.entropy_share}))
+    assert {x[1] for x in rows} >= {"none", "Latin", "Cyrillic"}
+
+    def band(m, keep):
+        bins = sorted(math.floor(x[4][m] * 1000 + 0.5) for x in rows if not x[2] and keep(x))
+        low, high = (bins[math.ceil(q * len(bins)) - 1] / 1000 for q in (0.25, 0.75))
+        room = max((high - low) * 2, fertility.REACH[m])
+        return low - room, high + room
+
+    for lang, script, failed, kept, measures in rows:
+        if failed:
+            assert not kept
+            continue
+        groups = (lambda x: x[0] == lang), (lambda x: x[1] == script), (lambda x: True)
+        keep = next(g for k, g in enumerate(groups) if k == 2 or sum(not x[2] and g(x) for x in rows) >= 20)
+        ends = {m: band(m, keep) for m in measures}
+        if all(min(abs(measures[m] - e) for e in ends[m]) > 1e-9 for m in measures):
+            assert kept == all(ends[m][0] <= measures[m] <= ends[m][1] for m in measures)
+
+
+def signature(text):
+    """Order MinHash one function after another, over Python's whole numbers."""
+    mask = (1 << 64) - 1
+
+    def mix(x):
+        x = (x ^ x >> 30) * 0xBF58476D1CE4E5B9 & mask
+        x = (x ^ x >> 27) * 0x94D049BB133111EB & mask
+        return x ^ x >> 31
+
+    step = [mix(k * 0xD1342543DE82EF95 & mask) | 1 for k in range(1, 65)]
+    c = [ord(x) for x in text]
+    if len(c) < fingerprints.SIZE:
+        hashes = [mix(sum(a * b for a, b in zip(c, step, strict=False)) + len(c) * int(fingerprints.GOLDEN) & mask)] if c else []
+    else:
+        hashes = c
+        for s in (1, 2, 4):
+            hashes = [mix(a * step[s] + b * step[s + 8] & mask) for a, b in zip(hashes, hashes[s:], strict=False)]
+    low = (1 << len(hashes).bit_length()) - 1
+    turns, numbered = {}, []
+    for place, h in enumerate(hashes):
+        kmer = h >> low.bit_length()
+        turn = turns[kmer] = turns.get(kmer, -1) + 1
+        numbered.append((mix((kmer << low.bit_length()) + turn * int(fingerprints.GOLDEN) & mask) & ~low | place, place))
+    out = []
+    for seed in fingerprints.SEEDS.tolist() if numbered else ():
+        least = sorted(numbered, key=lambda x: x[0] - seed & mask)[: fingerprints.PICK]
+        tuples = [x & ~low & mask for x, _ in sorted(least, key=lambda x: x[1])]
+        out.append(mix(sum(a * b for a, b in zip(tuples, step, strict=False)) + len(tuples) * int(fingerprints.GOLDEN) & mask) >> 48 or 1)
+    return out or [0] * fingerprints.FUNCTIONS
+
+
+def test_signatures_equal_brute_force():
+    rng = np.random.default_rng(2)
+    texts = ["", "a", "abcdefg", "abcdefgh", "a" * 300, "日本語のテキスト" * 5, LONG[:30_000]] + ["".join(rng.choice(list("abc é"), n)) for n in rng.integers(1, 900, 40)]
+    for text in texts:
+        assert fingerprints.fingerprint(text).tolist() == signature(text)
+
+
+def test_short_texts_feel_the_order_too():
+    rng = np.random.default_rng(6)
+    for n in (60, 100, 400, 3000):
+        texts = ["".join(rng.choice(list("abcdefghijklmnopqrstuvwxyz "), n)) for _ in range(40)]
+        swapped = np.mean([fingerprints.likeness(fingerprints.fingerprint(t), fingerprints.fingerprint(t[n // 2 :] + t[: n // 2])) for t in texts])
+        assert 0.2 < swapped < 0.6
+
+
+def test_many_rows_of_one_id_are_cut_by_hash(spark):
+    rows = [(5, f"text number {k} of many " * 3) for k in range(300)] + [(None, f"no id {k}") for k in range(200)] + [(k, f"own {k}") for k in range(10)] + [(5, "the same")] * 20
+    found = fingerprints.fingerprint_with_next(spark.createDataFrame(rows, "doc_id long, text string").repartition(7)).collect()
+    assert sorted(((r.doc_id is None, r.doc_id, r.n_chars) for r in found), key=str) == sorted(((i is None, i, len(t)) for i, t in rows), key=str)
+    edited = {r.edited_sha256 for r in found if r.doc_id == 6}
+    texts = [t for i, t in rows if i == 5]
+    assert edited <= {hashlib.sha256(fingerprints.edit("own 6", t).encode()).hexdigest() for t in texts} and len(edited) == 1
+
+
+def test_one_step_of_ftrl():
+    from geoloom.llm.language_id import ALPHA, BETA, L1, L2
+
+    at, values = np.array([3, 9]), np.array([0.6, 0.8])
+    w = language_id.fit_ftrl([(1, at, values)], 3, epochs=1)
+    for k in range(3):
+        g = (1 / 3 - (k == 1)) * values  # all weights are 0 at first
+        z, n = g, g * g
+        assert np.allclose(w[k, at], np.where(np.abs(z) <= L1, 0, (np.sign(z) * L1 - z) / ((BETA + np.sqrt(n)) / ALPHA + L2)), atol=1e-6)
+    assert np.count_nonzero(w) == 6
+
+
+def test_temperature_undoes_a_scale():
+    rng = np.random.default_rng(1)
+    true = rng.normal(size=(4000, 3)) * 2
+    labels = [int(rng.choice(3, p=language_id.softmax(x))) for x in true]
+    assert abs(language_id.fit_temperature(list(true * 2.5), labels) / 2.5 - 1) < 0.1
+
+
+def test_texts_without_a_letter_have_no_language(spark, small):
+    model = language_id.train(small)
+    texts = ["½ ²", "Ⅷ", "①", "_", "12 ٣", "🙂", "", None, "\u0301", "a", "日"]
+    rows = language_id.identify(spark.createDataFrame(list(enumerate(texts)), "doc_id int, text string"), model).orderBy("doc_id").collect()
+    assert [r.lang_pred == "und" for r in rows] == [True] * 9 + [False] * 2
+    assert all((r.score == 0) == (r.lang_pred == "und") and 0 <= r.score <= 1 for r in rows)
+    text = small.where("text IS NOT NULL").first().text
+    found, values = model.features(text)
+    dense = np.zeros((len(model.languages), language_id.BUCKETS))
+    dense[model.language, np.repeat(np.arange(language_id.BUCKETS), np.diff(model.begin))] = model.weight
+    assert np.allclose(model.logits(found, values), dense[:, found] @ values)
+
+
 def test_language_on_held_out_rows(spark):
     docs = queries.documents(spark, SMALL.replace("0.001", "0.01"))
     found = language_id.predict_languages(docs).where("held_out").join(docs.where("lang IS NOT NULL").select("doc_id", "lang"), "doc_id").where("lang_pred <> 'und'")
@@ -245,19 +377,32 @@ def test_toxicity_on_held_out_rows(spark):
 
 def test_maximal_segments_equal_brute_force():
     rng = np.random.default_rng(4)
-    for _ in range(200):
-        x = rng.choice([-1.0, -1.0, 2.0, 1.5], rng.integers(1, 12)).tolist()
-        at = [k for k, v in enumerate(x) if v > 0]
-        found = [(a, b) for _, a, b in toxicity.segments([x[k] for k in at], at, 1.0)]
+    for _ in range(300):
+        x = np.round(rng.choice([-1.0, -0.7, 2.03, 1.51], rng.integers(1, 14)) + rng.random() / 100, 4)
 
         def split(lo, hi):
-            best = max(((sum(x[a : b + 1]), -(b - a), a, b) for a in range(lo, hi) for b in range(a, hi)), default=(0,))
-            if best[0] <= 0:
-                return []
-            return split(lo, best[2]) + [(best[2], best[3])] + split(best[3] + 1, hi)
+            best = max(((x[a : b + 1].sum(), a - b, a, b) for a in range(lo, hi) for b in range(a, hi)), default=(0,))
+            return split(lo, best[2]) + [(best[2], best[3])] + split(best[3] + 1, hi) if best[0] > 1e-9 else []
+
+        assert [(a, b) for _, a, b in toxicity.segments(x)] == split(0, len(x))
+
+
+def test_segments_of_long_sparse_texts_take_linear_time():
+    import time
+
+    x = np.full(16_000 * 20, -0.1)
+    x[::20] = 1.0
+    began = time.perf_counter()
+    assert len(toxicity.segments(x)) == 16_000
+    assert time.perf_counter() - began < 1
+
 
-        total = lambda spans: round(sum(sum(x[a : b + 1]) for a, b in spans), 9)
-        assert total(found) == total(split(0, len(x)))
+def test_law_of_maxima_finds_its_parameters():
+    rng = np.random.default_rng(8)
+    words = rng.integers(50, 2000, 20_000).astype(float)
+    best = np.maximum(0, (np.log(1e-3 * words) - np.log(-np.log(rng.random(20_000)))) / 0.8)
+    decay, rate = toxicity.fit_maxima(best, words)
+    assert abs(decay - 0.8) < 0.05 and abs(rate / 1e-3 - 1) < 0.1
 
 
 def test_mix_meets_targets(small):
