@@ -25,8 +25,8 @@ PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?
 PIECES = regex.compile(PATTERN)
 
 #: Bytes of text that are worked on at a time, bytes of parts that are kept for the next time, and the longest kept one.
-SLICE_BYTES = 12 << 20
-CACHE_BYTES = 8 << 20
+SLICE_BYTES = 3 << 20
+CACHE_BYTES = 3 << 20
 CACHE_PART = 48
 #: A bucket of so few entries is merged one by one, a fuller one at once. The order of merges is the same.
 FEW = 24

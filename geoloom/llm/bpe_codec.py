@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from geoloom.llm.bpe import SLICE_BYTES, TextParts, flat, ragged, rank_merges
-from geoloom.llm.textvec import slices
+from geoloom.llm.textvec import slices, tidy
 
 
 def encoder(path: str):
@@ -39,6 +39,7 @@ def decoder(path: str):
     return decode
 
 
+@tidy
 def _encode(batches, path: str):
     encode = encoder(path)
     for batch in batches:
@@ -48,6 +49,7 @@ def _encode(batches, path: str):
             at += len(ids)
 
 
+@tidy
 def _decode(batches, path: str):
     decode = decoder(path)
     for batch in batches:
@@ -78,6 +80,7 @@ def _digests(values: pa.Array) -> pa.Array:
     return pa.array([hashlib.sha256(view[a:b]).hexdigest() for a, b in zip(begin[:-1], begin[1:], strict=True)], pa.string())
 
 
+@tidy
 def _digest(batches, path: str):
     encode_column, decode_ids = encoder(path), decoder(path)
     for batch in batches:

@@ -25,7 +25,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from geoloom.llm.textvec import BYTE, LOWER, Slice, slices, span_hashes, windows, words
+from geoloom.llm.textvec import BYTE, LOWER, Slice, slices, span_hashes, tidy, windows, words
 from geoloom.operators.graph import connected_components
 from geoloom.storage import cut_lineage
 
@@ -38,11 +38,11 @@ SHARED_BITS = 27
 SPARE = (3, 20)
 #: Packed runs of n-grams for each shuffle partition, so that partitions get even shares; n-grams a task holds at most.
 RUNS_PER_PARTITION = 16
-HELD_GRAMS = 4_000_000
+HELD_GRAMS = 1_000_000
 CHUNK_BITS = 20
 BLOCK_ROWS = 1024
 BLOCK_SHINGLES = 1_000_000
-SEEN = 1_000_000
+SEEN = 200_000
 
 
 def shingle_sets(part: Slice, size: int) -> Iterator[np.ndarray]:
@@ -75,6 +75,7 @@ def _node(sign: bytes) -> int:
     return int.from_bytes(sign[:8], "little", signed=True)
 
 
+@tidy
 def _describe(batches, size: int):
     """A row for each document (n, sign), then the task's sketch of its n-grams in chunks."""
     sketch = np.zeros(1 << SKETCH_BITS, np.uint8)
@@ -105,6 +106,7 @@ def _describe(batches, size: int):
             )
 
 
+@tidy
 def _sum_chunks(batches):
     """Add up the sketches of all tasks, chunk by chunk, and keep the binary logarithm of each cell, two a byte."""
     sums: dict[int, np.ndarray] = {}
@@ -148,6 +150,7 @@ def _ordered(s: np.ndarray, logs: np.ndarray) -> np.ndarray:
     return s[np.argsort(_rarity(logs, s), kind="stable")]
 
 
+@tidy
 def _runs(batches, size: int, num: int, den: int, sketch, runs: int):
     """(run, packed): a task's chosen n-grams, each twice at most, cut by hash into runs."""
     logs, held, have = sketch.value, [], 0
@@ -170,6 +173,7 @@ def _runs(batches, size: int, num: int, den: int, sketch, runs: int):
         yield cut()
 
 
+@tidy
 def _twice(batches):
     """(chunk, bits): the marks of the n-grams that come twice in the runs of a partition."""
     runs: dict[int, list[bytes]] = {}
@@ -191,6 +195,7 @@ def _marked(s: np.ndarray, bits: np.ndarray) -> np.ndarray:
     return bits[cell >> 3] >> (cell & 7).astype(np.uint8) & np.uint8(1) == 1
 
 
+@tidy
 def _postings(batches, size: int, num: int, den: int, sketch, shared):
     """(gram, node) for the chosen n-grams of each set that are marked as coming twice."""
     logs, bits = sketch.value, shared.value
@@ -213,6 +218,7 @@ def _postings(batches, size: int, num: int, den: int, sketch, shared):
         yield to_batch()
 
 
+@tidy
 def _mark(batches):
     """The nodes that came by, as chunks of a bitmap."""
     bits = np.zeros(1 << FILTER_BITS, bool)
@@ -223,6 +229,7 @@ def _mark(batches):
             yield pa.RecordBatch.from_pydict({"chunk": pa.array([k], pa.int32()), "bits": pa.array([zlib.compress(part.tobytes(), 1)], pa.binary())})
 
 
+@tidy
 def _or_chunks(batches):
     got: dict[int, np.ndarray] = {}
     for batch in batches:
@@ -233,6 +240,7 @@ def _or_chunks(batches):
         yield pa.RecordBatch.from_pydict({"chunk": pa.array([k], pa.int32()), "bits": pa.array([part.tobytes()], pa.binary())})
 
 
+@tidy
 def _active_sets(batches, size: int, active):
     """Sign and set of the documents whose node may be active."""
     bits = np.unpackbits(active.value).astype(bool)

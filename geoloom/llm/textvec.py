@@ -6,15 +6,38 @@ Words are runs of bytes other than 0x20 and 0x09-0x0D, as in the pattern [^\\x20
 
 from __future__ import annotations
 
+import ctypes
+import gc
 from collections.abc import Iterator
+from contextlib import suppress
 from dataclasses import dataclass
-from functools import lru_cache
+from functools import lru_cache, wraps
 
 import numpy as np
 import pyarrow as pa
 
 SLICE_BYTES = 1 << 20
 U = np.uint64
+
+
+def tidy(run):
+    """run, a function from Arrow batches to others, that gives back at its end what memory its process no longer needs.
+
+    Python workers live on after a task, beside the executor's own memory.
+    """
+
+    @wraps(run)
+    def tidied(*args, **kwargs):
+        try:
+            yield from run(*args, **kwargs)
+        finally:
+            gc.collect()
+            pa.default_memory_pool().release_unused()
+            with suppress(OSError, AttributeError):  # another C library than glibc keeps its own counsel
+                ctypes.CDLL(None).malloc_trim(0)
+
+    return tidied
+
 GOLDEN = U(0x9E3779B97F4A7C15)
 
 SPACE = np.zeros(256, bool)
@@ -63,12 +86,13 @@ class Slice:
 def slices(column: pa.Array, limit: int = SLICE_BYTES) -> Iterator[Slice]:
     """The texts of a string column a few at a time: no more than limit bytes, or one text. Null counts as empty."""
     column = column.cast(pa.large_string()) if not pa.types.is_large_string(column.type) else column
-    if column.null_count:
-        column = column.fill_null("")
     if not len(column):
         return
     _, where, values = column.buffers()
     begin = np.frombuffer(where, np.int64)[column.offset : column.offset + len(column) + 1]
+    if column.null_count and np.diff(begin)[column.is_null().to_numpy(zero_copy_only=False)].any():  # mostly nulls hold no bytes
+        yield from slices(column.fill_null(""), limit)
+        return
     data = np.frombuffer(values, np.uint8) if values is not None and values.size else np.empty(0, np.uint8)
     at = 0
     while at < len(column):

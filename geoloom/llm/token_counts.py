@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from geoloom.llm.bpe import PIECES, SLICE_BYTES, TextParts, json_merges, pieces_of
-from geoloom.llm.textvec import slices
+from geoloom.llm.textvec import slices, tidy
 
 LIMIT = 1024
 
@@ -36,6 +36,7 @@ def whole_tokens(path: str) -> frozenset[bytes]:
     return frozenset(token for token, single, i in zip(alone, one, first, strict=True) if single and i == merges.vocabulary[token])
 
 
+@tidy
 def _count(batches, path: str, whole, limit: int):
     merges, known = json_merges(path), pa.array(sorted(whole.value), pa.binary())
 

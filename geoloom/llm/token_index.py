@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from geoloom.llm.bpe import SLICE_BYTES, SOLID, TextParts, byte_letters, flat, ragged
-from geoloom.llm.textvec import GOLDEN, U, mix64, slices
+from geoloom.llm.textvec import GOLDEN, U, mix64, slices, tidy
 from geoloom.storage import checkpoint_dir
 
 END_ID = 2
@@ -146,6 +146,7 @@ def _library(path: str):
     return encode
 
 
+@tidy
 def _shards(batches, path: str, end_id: int):
     """A task's documents, which come in id order, as shards."""
     encode, end = _library(path), np.array([end_id], "<u4").tobytes()
@@ -206,6 +207,7 @@ def _in_order(shard: dict) -> tuple[np.ndarray, np.ndarray]:
     return keys[order], np.unpackbits(np.frombuffer(shard["nulls"], np.uint8))[: len(keys)].astype(bool)[order]
 
 
+@tidy
 def _read(batches, base):
     for batch in batches:
         for shard in batch.to_pylist():
