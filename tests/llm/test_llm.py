@@ -460,3 +460,52 @@ def test_pipeline(spark, tmp_path):
         docs = spark.read.parquet(str(tmp_path / str(k)))
     last = sorted(map(tuple, c.STAGES[-1][1](spark, docs, SMALL).collect()))
     assert last == sorted(map(tuple, c.run(spark, SMALL).collect())) and len(last) > 100
+
+
+def test_stages_on_awkward_rows_and_empty_tables(spark, odd):
+    """Each stage alone, against its rule worked out here."""
+    import corpus_pipeline as c
+
+    stages = dict(c.STAGES)
+    clash = odd.unionByName(spark.createDataFrame([(70, "same id, one text of it", "en", "t", 1), (70, "same id, quite another text", "en", None, 2)], SCHEMA)).withColumn("key", F.lit("k")).withColumn("id", F.lit(1))
+    for stage in stages.values():
+        assert stage(spark, clash.where("false"), SMALL).count() == 0
+    rows = [(r.doc_id, r.text) for r in clash.collect()]
+    key = lambda r: (r[0] is None, r[0] or 0, r[1])
+
+    kept = [(r.doc_id, r.text) for r in stages["language_id"](spark, clash, SMALL).collect()]
+    assert set(kept) <= {r for r in rows if r[1] and any(x.isalpha() for x in r[1])} and len(kept) > 5
+
+    found = sorted(((r.doc_id, r.text) for r in stages["line_dedup"](spark, clash, SMALL).collect()), key=str)
+    texts = [r for r in rows if r[1] is not None]
+    order = sorted(set(texts), key=lambda r: (r[0] is None, r[0] or 0, hashlib.md5(f"{'n' if r[0] is None else f'i{r[0]}'}:{r[1]}".encode()).digest()))
+    cut = dict(zip(order, [t for _, t in cut_lines(order, 200)], strict=True))
+    want = [(i, cut[i, t]) for i, t in texts if cut[i, t] == t or WORD.search(cut[i, t])]
+    assert found == sorted([*want, *(r for r in rows if r[1] is None)], key=str)
+
+    found = sorted(((r.doc_id, r.text) for r in stages["ngram_jaccard_join"](spark, clash, SMALL).collect()), key=str)
+    left = []
+    sets = {r: shingles(r[1]) for r in set(rows)}
+    for r in sorted(set(rows), key=lambda r: (r[0] is None, r[0] or 0)):
+        if not any(sets[r] and 100 * len(sets[r] & sets[x]) >= 75 * len(sets[r] | sets[x]) for x in left):
+            left.append(r)
+    assert found == sorted(left, key=str)
+
+    mixed = mixing.mix(clash).collect()
+    found = [(r.doc_id, r.text) for r in stages["source_mixing"](spark, clash, SMALL).collect()]
+    assert all(found.count(r) <= 2 * rows.count(r) for r in set(rows)) and set(found) <= {r for r in rows if WORD.search(r[1] or "")}
+    assert abs(sum(len(WORD.findall(t)) for _, t in found) - sum(r.taken for r in mixed)) <= max(r.size for r in mixed)
+
+    assert sorted((r.doc_id, r.decoded_sha256) for r in stages["bpe_encoding"](spark, clash.where("doc_id IS NOT NULL"), SMALL).collect()) == sorted((i, hashlib.sha256((t or "").encode()).hexdigest()) for i, t in rows if i is not None)
+
+
+def test_the_mixed_stage_meets_its_targets(spark):
+    """Within a tenth and half a long document, since documents come whole."""
+    import corpus_pipeline as c
+
+    docs = queries.documents(spark, SMALL.replace("0.001", "0.01"))
+    size = mixing.word_count(F.col("text"))
+    sizes = {r.source: (r.words, r.longest) for r in docs.groupBy("source").agg(F.sum(size).alias("words"), F.max(size).alias("longest")).collect()}
+    target = dict(mixing.mix(docs).select("source_size", "target").distinct().collect())
+    words = dict(dict(c.STAGES)["source_mixing"](spark, docs, SMALL).groupBy("source").agg(F.sum(size)).collect())
+    assert all(abs(words.get(s, 0) - target[n]) <= 0.1 * target[n] + longest / 2 for s, (n, longest) in sizes.items() if n)
