@@ -8,11 +8,14 @@ from pyspark.sql import DataFrame, SparkSession
 
 
 def checkpoint_dir(spark: SparkSession) -> str:
-    """The session's checkpoint folder; one is made only where the cluster names none, as in tests."""
+    """The session's checkpoint folder. A temporary one is made only on a local master that names none, as in tests:
+    on a cluster the driver's own disk is no place that executors see."""
     named = spark.conf.get("spark.checkpoint.dir", None)
     context = spark.sparkContext
     current = context.getCheckpointDir()
     if current is None:
+        if named is None and not context.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
         context.setCheckpointDir(named or tempfile.mkdtemp(prefix="geoloom-checkpoint-"))
         current = context.getCheckpointDir()
     return named or current
