@@ -25,8 +25,8 @@ PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?
 PIECES = regex.compile(PATTERN)
 
 #: Bytes of text that are worked on at a time, bytes of parts that are kept for the next time, and the longest kept one.
-SLICE_BYTES = 3 << 20
-CACHE_BYTES = 3 << 20
+SLICE_BYTES = 1 << 20
+CACHE_BYTES = 2 << 20
 CACHE_PART = 48
 #: A bucket of so few entries is merged one by one, a fuller one at once. The order of merges is the same.
 FEW = 24
@@ -361,8 +361,8 @@ class TextParts:
     they are not too many.
     """
 
-    def __init__(self, resolve: Callable[[pa.Array], pa.Array], kind: pa.DataType, specials: Iterable[str] = ()):
-        self.resolve, self.specials = resolve, tuple(specials)
+    def __init__(self, resolve: Callable[[pa.Array], pa.Array], kind: pa.DataType, specials: Iterable[str] = (), cache_bytes: int = CACHE_BYTES):
+        self.resolve, self.specials, self.cache_bytes = resolve, tuple(specials), cache_bytes
         self.known, self.values = pa.array([], pa.string()), pa.array([], kind)
 
     def of(self, part: Slice) -> tuple[pa.Array, np.ndarray]:
@@ -383,7 +383,7 @@ class TextParts:
     def _keep(self, new: pa.Array, fresh: pa.Array) -> None:
         short = pc.less_equal(pc.binary_length(new), CACHE_PART)
         new, fresh = new.filter(short), fresh.filter(short)
-        if self.known.nbytes + new.nbytes <= CACHE_BYTES:
+        if self.known.nbytes + new.nbytes <= self.cache_bytes:
             new, fresh = pa.concat_arrays([self.known, new]), pa.concat_arrays([self.values, fresh])
-        if new.nbytes <= CACHE_BYTES:
+        if new.nbytes <= self.cache_bytes:
             self.known, self.values = new, fresh

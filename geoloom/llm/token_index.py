@@ -21,7 +21,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from geoloom.llm.bpe import SLICE_BYTES, SOLID, TextParts, byte_letters, flat, ragged
+from geoloom.llm.bpe import SOLID, TextParts, byte_letters, flat, ragged
 from geoloom.llm.textvec import GOLDEN, U, mix64, slices, tidy
 from geoloom.storage import checkpoint_dir
 
@@ -29,6 +29,9 @@ END_ID = 2
 SHARD_IDS = 1 << 18
 SHARD_DOCS = 2048
 KEYS_PER_PILOT = 4
+#: Bytes of text that go to the library at a time, and of parts whose ids are kept for the next time.
+SLICE_BYTES = 10 << 20
+CACHE_BYTES = 8 << 20
 #: Ranges of keys that a look-up of many keys asks the files for at most.
 RANGES = 64
 SHARDS = "part int, shard int, before long, ids long, low long, high long, keys binary, nulls binary, pilots binary, prints binary, starts binary, lengths binary, payload binary"
@@ -135,7 +138,7 @@ def _library(path: str):
         where = np.concatenate(([0], stops, len(ids[0]) + np.cumsum(counts))) * 4
         return ragged(where, np.concatenate(ids).view(np.uint8)).take(pa.array(order))
 
-    parts = TextParts(resolve, pa.binary(), specials)
+    parts = TextParts(resolve, pa.binary(), specials, CACHE_BYTES)
 
     def encode(column: pa.Array):
         for part in slices(column, SLICE_BYTES):
