@@ -8,15 +8,16 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from geoloom.functions import geometry, names
-from geoloom.operators import assess, coco, grids, post, raster, spatial, tilesets
+from geoloom.operators import assess, coco, coverage, enrich, grids, post, raster, spatial, tilesets
 from geoloom.plans import fixtures
 from geoloom.plans.fixtures import SQL
-from geoloom.sources import tables
+from geoloom.sources import connectors, tables
 
 Query = Callable[[SparkSession, str], DataFrame]
 _QUERIES: dict[str, Query] = {}
 _SQL: dict[str, str] = {}
 THRESHOLD = 0.3
+POINTS = "SELECT CAST(event_id AS BIGINT) AS event_id, CAST(5.9 AS DOUBLE) + CAST(event_id AS BIGINT) % 4600 / CAST(1000 AS DOUBLE) AS lon, CAST(45.8 AS DOUBLE) + CAST(event_id AS BIGINT) * 17 % 2000 / CAST(1000 AS DOUBLE) AS lat FROM events"
 
 
 def query(sql: str | None = None) -> Callable[[Query], Query]:
@@ -37,7 +38,7 @@ def _with(*ctes: str) -> str:
 MATCHED = f"""
 best AS (SELECT * FROM ious WHERE score >= {THRESHOLD} QUALIFY row_number() OVER (PARTITION BY det_id ORDER BY iou DESC, label_id) = 1),
 matched AS (SELECT * FROM best WHERE iou >= 0.25 QUALIFY row_number() OVER (PARTITION BY label_id ORDER BY iou DESC, det_id) = 1),
-tagged AS (SELECT CASE WHEN label_class = det_class + 1 THEN 'TP' ELSE 'MISMATCHED CLASSES' END AS tag, det_id, label_id, dataset, det_class, label_class, score, iou FROM matched
+tagged AS (SELECT CASE WHEN label_class = det_class + 1 THEN 'TP' ELSE 'MISMATCHED CLASSES' END AS tag, det_id, label_id, dataset, det_class, label_class, score, round(iou, 3) AS iou FROM matched
   UNION ALL SELECT 'FP', det_id, NULL, dataset, det_class, NULL, score, NULL FROM dets WHERE score >= {THRESHOLD} AND det_id NOT IN (SELECT det_id FROM matched)
   UNION ALL SELECT 'FN', NULL, label_id, dataset, NULL, label_class, NULL, NULL FROM labels WHERE label_id NOT IN (SELECT label_id FROM matched))"""
 COUNTS = """
@@ -137,6 +138,110 @@ def confusion_matrix(spark, sf_dir):
     return assess.confusion_matrix(_tagged(spark, sf_dir))
 
 
+def _categories(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = tilesets.category_ids(fixtures.labels(spark, sf_dir).withColumn("supercategory", F.lit("foo")))
+    return found.select(F.col("id").alias("label_class"), F.col("name").alias("CATEGORY"), F.col("supercategory").alias("SUPERCATEGORY"))
+
+
+NAMES = "cats AS (SELECT CAST(row_number() OVER (ORDER BY name) AS INTEGER) AS c, name FROM (SELECT DISTINCT o_orderpriority AS name FROM orders))"
+
+
+@query(_with(MATCHED, NAMES) + " SELECT tag, det_id, label_id, a.name AS CATEGORY, b.name AS det_category FROM tagged LEFT JOIN cats a ON a.c = label_class LEFT JOIN cats b ON b.c = det_class + 1")
+def class_names(spark, sf_dir):
+    return enrich.class_names(_tagged(spark, sf_dir), _categories(spark, sf_dir)).select("tag", "det_id", "label_id", "CATEGORY", "det_category")
+
+
+@query(_with(NAMES) + " SELECT label_id, name AS CATEGORY, c AS label_class FROM labels JOIN cats ON category = name")
+def label_classes(spark, sf_dir):
+    labels = fixtures.labels(spark, sf_dir).select("label_id", F.col("category").alias("CATEGORY"))
+    return enrich.label_classes(labels, _categories(spark, sf_dir)).select("label_id", "CATEGORY", "label_class")
+
+
+PRIORITIES = ["1-URGENT", "2-HIGH", "3-MEDIUM", "4-NOT SPECIFIED", "5-LOW"]
+FOUND = ", ".join(f"""count(*) FILTER (det_name = '{n}') AS "{n}" """ for n in PRIORITIES)
+
+
+@query(_with(MATCHED, NAMES) + f" SELECT dataset, true_class, {FOUND}, count(*) FILTER (det_name IS NULL) AS \"missed labels\" FROM (SELECT dataset, coalesce(a.name, 'background') AS true_class, b.name AS det_name FROM tagged LEFT JOIN cats a ON a.c = label_class LEFT JOIN cats b ON b.c = det_class + 1) GROUP BY dataset, true_class")
+def confusion_table(spark, sf_dir):
+    return enrich.confusion_table(enrich.class_names(_tagged(spark, sf_dir), _categories(spark, sf_dir)), PRIORITIES)
+
+
+@query(_with(MATCHED) + " SELECT tag, det_id, label_id FROM tagged WHERE tag <> 'FN'")
+def drop_missed(spark, sf_dir):
+    return enrich.drop_missed(_tagged(spark, sf_dir)).select("tag", "det_id", "label_id")
+
+
+@query("SELECT l_orderkey, l_linenumber, o_orderpriority FROM lineitem JOIN orders ON l_orderkey = o_orderkey")
+def whole_look_up(spark, sf_dir):
+    """Lines with their order's priority; a line without an order would be an error."""
+    lines = spark.read.parquet(f"{sf_dir}/lineitem.parquet").select(F.col("l_orderkey").alias("key"), "l_linenumber")
+    orders = spark.read.parquet(f"{sf_dir}/orders.parquet").select(F.col("o_orderkey").alias("key"), "o_orderpriority")
+    return enrich.look_up(lines, orders, "key", whole=True).withColumnRenamed("key", "l_orderkey")
+
+
+@query("SELECT doc_id, lang FROM documents WHERE doc_id IS NOT NULL AND lang IS NOT NULL")
+def drop_incomplete(spark, sf_dir):
+    return enrich.drop_incomplete(spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "lang"))
+
+
+@query(_with() + """ SELECT label_id, CASE WHEN label_class < 3 THEN label_class || category ELSE 'undetermined' END AS code, substr(name, 1, 6) || '_' || substr(name, 7) || '.tif' AS file,
+CASE WHEN perimeter <= 2575 THEN 500 WHEN perimeter <= 4450 THEN 1000 WHEN perimeter <= 9680 THEN 2000 ELSE 4000 END AS scale,
+CASE WHEN t % 10 = 0 THEN '0dot' || t // 10 ELSE '0dot' || lpad(CAST(t AS VARCHAR), 2, '0') END AS threshold
+FROM (SELECT *, 'Z' || (label_id + 1000000) AS name, 2 * (w + h) * 60 AS perimeter, label_id % 99 + 1 AS t FROM labels)""")
+def label_codes(spark, sf_dir):
+    labels = fixtures.labels(spark, sf_dir)
+    color, name = F.when(F.col("label_class") < 3, F.col("category")).otherwise(""), F.concat(F.lit("Z"), F.col("label_id") + 1000000)
+    return labels.select(
+        "label_id", enrich.coded_category(F.col("label_class").cast("double"), color).alias("code"), enrich.box_file(name, ".tif").alias("file"),
+        enrich.perimeter_scale((F.col("w") + F.col("h")) * 120).alias("scale"), enrich.threshold_label(F.col("label_id") % 99 + 1).alias("threshold"),
+    )
+
+
+@query(_with() + " SELECT dataset, CAST(count(*) AS DOUBLE) AS area FROM (SELECT DISTINCT dataset, x, y FROM (SELECT dataset, x, unnest(range(l_y0, l_y1)) AS y FROM (SELECT dataset, unnest(range(l_x0, l_x1)) AS x, l_y0, l_y1 FROM labels))) GROUP BY dataset")
+def covered_area(spark, sf_dir):
+    return coverage.union_area(fixtures.labels(spark, sf_dir), assess.LABEL_BOX, ["dataset"])
+
+
+@query(_with() + """, unit AS (SELECT DISTINCT x, y FROM (SELECT x, unnest(range(l_y0, l_y1)) AS y FROM (SELECT unnest(range(l_x0, l_x1)) AS x, l_y0, l_y1 FROM labels))),
+shares AS (SELECT id, 1 - count(x) / CAST(10000 AS DOUBLE) AS share FROM tiles LEFT JOIN unit ON x // 100 = tx AND y // 100 = ty GROUP BY id)
+SELECT id, round(share, 6) AS share FROM shares WHERE share > 0.5""")
+def coverage_test(spark, sf_dir):
+    shares = coverage.uncovered(fixtures.tiles(spark, sf_dir), tilesets.TILE_BOX, "id", fixtures.labels(spark, sf_dir), assess.LABEL_BOX)
+    return coverage.coverage_test(shares, 0.5).withColumn("share", F.round("share", 6))
+
+
+INSIDE = "l_x0 >= t_x0 AND l_y0 >= t_y0 AND l_x1 <= t_x1 AND l_y1 <= t_y1"
+
+
+@query(_with() + f" SELECT label_id, EXISTS (SELECT 1 FROM tiles WHERE {INSIDE}) AS inside FROM labels")
+def contained_labels(spark, sf_dir):
+    labels, tiles = fixtures.labels(spark, sf_dir), fixtures.tiles(spark, sf_dir)
+    part = lambda how, yes: spatial.contained(labels, assess.LABEL_BOX, tiles, tilesets.TILE_BOX, "label_id", 128, how).select("label_id", F.lit(yes).alias("inside"))
+    return part("left_semi", True).unionByName(part("left_anti", False))
+
+
+@query(_with() + " SELECT label_id, (l_x0 + l_x1) / CAST(2 AS DOUBLE) AS x, (l_y0 + l_y1) / CAST(2 AS DOUBLE) AS y, CAST(w * h AS DOUBLE) AS area FROM labels")
+def ring_centroid(spark, sf_dir):
+    labels = fixtures.labels(spark, sf_dir).withColumn("ring", geometry.box_ring(assess.LABEL_BOX)).withColumn("c", geometry.ring_centroid(F.col("ring")))
+    return labels.select("label_id", F.round("c.x", 6).alias("x"), F.round("c.y", 6).alias("y"), geometry.ring_area(F.col("ring")).alias("area"))
+
+
+@query(f"SELECT event_id, round(radians(lon) * 6378137, 3) AS x, round(ln(tan(pi() / 4 + radians(lat) / 2)) * 6378137, 3) AS y, round(lon, 6) AS lon, round(lat, 6) AS lat FROM ({POINTS})")
+def reproject(spark, sf_dir):
+    """To Web Mercator and back."""
+    x, y = geometry.to_mercator(F.col("lon"), F.col("lat"))
+    there = fixtures.points(spark, sf_dir).select("event_id", x.alias("x"), y.alias("y"))
+    lon, lat = geometry.from_mercator(F.col("x"), F.col("y"))
+    return there.select("event_id", F.round("x", 3).alias("x"), F.round("y", 3).alias("y"), F.round(lon, 6).alias("lon"), F.round(lat, 6).alias("lat"))
+
+
+@query(_with() + " SELECT key, t_x0 || '.0,' || t_y0 || '.0,' || t_x1 || '.0,' || t_y1 || '.0' AS bbox, '256' AS width, '256,256' AS size FROM tiles")
+def service_requests(spark, sf_dir):
+    wms = connectors.wms_request(tilesets.TILE_BOX, "ortho", "EPSG:3857", 256, 256)
+    export = connectors.export_request(tilesets.TILE_BOX, 3857, 256, 256)
+    return fixtures.tiles(spark, sf_dir).select("key", wms["BBOX"].alias("bbox"), wms["WIDTH"].alias("width"), export["size"].alias("size"))
+
+
 YEARLY = f"""
 near AS (SELECT * FROM ious WHERE score >= {THRESHOLD}), agreed AS (SELECT * FROM near WHERE year_det = year_label),
 best AS (SELECT * FROM agreed QUALIFY row_number() OVER (PARTITION BY det_id ORDER BY iou DESC, label_id) = 1),
@@ -199,9 +304,13 @@ def tile_semi(spark, sf_dir):
     return spatial.spatial_semi_join(fixtures.tiles(spark, sf_dir), tilesets.TILE_BOX, fixtures.labels(spark, sf_dir), assess.LABEL_BOX, "id", 128).select("id")
 
 
-@query(_with() + f" SELECT id FROM tiles WHERE NOT EXISTS (SELECT 1 FROM labels WHERE {MEET})")
+#: Few labels, so that many tiles meet none.
+FEW = "label_class = 1 AND label_id % 7 = 0"
+
+
+@query(_with() + f" SELECT id FROM tiles WHERE NOT EXISTS (SELECT 1 FROM labels WHERE {FEW} AND {MEET})")
 def empty_tile_candidates(spark, sf_dir):
-    return spatial.spatial_semi_join(fixtures.tiles(spark, sf_dir), tilesets.TILE_BOX, fixtures.labels(spark, sf_dir), assess.LABEL_BOX, "id", 128, "left_anti").select("id")
+    return spatial.spatial_semi_join(fixtures.tiles(spark, sf_dir), tilesets.TILE_BOX, fixtures.labels(spark, sf_dir).where(FEW), assess.LABEL_BOX, "id", 128, "left_anti").select("id")
 
 
 @query(_with() + f" SELECT id, category, count(*) AS n FROM tiles JOIN labels ON {MEET} GROUP BY id, category")
@@ -234,9 +343,57 @@ def split_hash(spark, sf_dir):
     return tilesets.split(fixtures.tiles(spark, sf_dir)).select("id", "dataset")
 
 
-@query(_with() + f" SELECT id FROM tiles ORDER BY {PLACE}, key LIMIT 50")
+EMPTY = KIND.replace("label_class <= 3", f"({FEW})")
+
+
+def _few_kinds(spark: SparkSession, sf_dir: str) -> DataFrame:
+    tiles, labels = fixtures.tiles(spark, sf_dir), fixtures.labels(spark, sf_dir)
+    ids = lambda rule: tilesets.met_ids(tiles, labels.where(rule), assess.LABEL_BOX)
+    return tilesets.tile_kinds(tiles, ids(FEW), ids("label_class = 4 AND label_id % 5 = 0"), ids("label_class = 5 AND label_id % 11 = 0"))
+
+
+EMPTY = EMPTY.replace("label_class = 5", "label_class = 5 AND label_id % 11 = 0")
+
+
+@query(_with(EMPTY) + f""", n AS (SELECT greatest(0, CAST(trunc(0.5 * (count(*) FILTER (tile_kind = 'gt') - count(*) FILTER (tile_kind = 'fp'))) AS BIGINT)) AS n FROM kinds)
+SELECT id, tile_kind FROM kinds WHERE tile_kind IN ('gt', 'fp') UNION ALL SELECT id, tile_kind FROM (SELECT *, row_number() OVER (ORDER BY {PLACE}, key) AS turn FROM kinds WHERE tile_kind = 'empty'), n WHERE turn <= n""")
 def empty_tile_sample(spark, sf_dir):
-    return tilesets.sample_ids(fixtures.tiles(spark, sf_dir), 50).select("id")
+    return tilesets.with_empty(_few_kinds(spark, sf_dir), keep_oth=False).select("id", "tile_kind")
+
+
+@query(_with() + f" SELECT id FROM (SELECT id, key, EXISTS (SELECT 1 FROM labels WHERE {FEW} AND {MEET}) AS met FROM tiles) ORDER BY NOT met, key LIMIT 40")
+def debug_subset(spark, sf_dir):
+    tiles = fixtures.tiles(spark, sf_dir)
+    return tilesets.debug_subset(tiles, tilesets.met_ids(tiles, fixtures.labels(spark, sf_dir).where(FEW), assess.LABEL_BOX), 40).select("id")
+
+
+@query(_with() + " SELECT id FROM tiles WHERE key % 2 = 0 INTERSECT SELECT id FROM tiles WHERE key % 3 = 0 INTERSECT SELECT id FROM tiles WHERE key > 10")
+def common_tiles(spark, sf_dir):
+    tiles = fixtures.tiles(spark, sf_dir)
+    return tilesets.common_ids(tiles.where("key % 2 = 0"), tiles.where("key % 3 = 0"), tiles.where("key > 10"))
+
+
+@query(_with() + f", cut AS (SELECT category, {SPLIT} AS dataset FROM tiles JOIN labels ON {MEET}) SELECT dataset, category, CAST(count(*) AS BIGINT) AS n FROM cut GROUP BY ALL")
+def class_occurrence(spark, sf_dir):
+    return tilesets.class_occurrence(labels_per_tile(spark, sf_dir), tilesets.split(fixtures.tiles(spark, sf_dir)), "category")
+
+
+@query(_with() + " SELECT category, count(*) AS n FROM labels GROUP BY category")
+def labels_by_category(spark, sf_dir):
+    return fixtures.labels(spark, sf_dir).groupBy("category").agg(F.count(F.lit(1)).alias("n"))
+
+
+SEEDED = f"""
+met AS (SELECT key, category, s AS seed, (key * 7919 + s * 104729) % 1000003 % 1000 AS p FROM tiles JOIN labels ON {MEET}, (SELECT unnest(range(0, 50)) AS s)),
+per AS (SELECT seed, category, count(*) FILTER (p < 700) AS a, count(*) FILTER (p >= 700 AND p < 850) AS b, count(*) FILTER (p >= 850) AS c, CAST(count(*) AS DOUBLE) AS n FROM met GROUP BY seed, category),
+best AS (SELECT seed FROM per GROUP BY seed ORDER BY sum(CAST(a / n >= 0.60 AS INT) + CAST(b / n >= 0.12 AS INT) + CAST(c / n >= 0.12 AS INT) - CAST(a = 0 OR b = 0 OR c = 0 AS INT)) DESC, seed LIMIT 1)"""
+
+
+@query(_with(SEEDED) + " SELECT id, CASE WHEN p < 700 THEN 'trn' WHEN p < 850 THEN 'val' ELSE 'tst' END AS dataset FROM (SELECT id, (key * 7919 + seed * 104729) % 1000003 % 1000 AS p FROM tiles, best)")
+def chosen_split(spark, sf_dir):
+    tiles = fixtures.tiles(spark, sf_dir)
+    counts = labels_per_tile(spark, sf_dir).join(tiles.select("id", "key"), "id")
+    return tilesets.chosen_split(tiles, counts, "category").select("id", "dataset")
 
 
 @query(
@@ -286,22 +443,30 @@ def xyz_url(spark, sf_dir):
     return fixtures.tiles(spark, sf_dir).select("key", url.alias("url")).withColumn("format", names.image_format(F.col("url")))
 
 
-POINTS = "SELECT CAST(event_id AS BIGINT) AS event_id, CAST(5.9 AS DOUBLE) + CAST(event_id AS BIGINT) % 4600 / CAST(1000 AS DOUBLE) AS lon, CAST(45.8 AS DOUBLE) + CAST(event_id AS BIGINT) * 17 % 2000 / CAST(1000 AS DOUBLE) AS lat FROM events"
-
-
 @query(f"SELECT event_id, CAST(floor((lon + 180) / 360 * 262144) AS BIGINT) AS x, CAST(floor((0.5 - ln((1 + sin(radians(lat))) / (1 - sin(radians(lat)))) / (4 * pi())) * 262144) AS BIGINT) AS y FROM ({POINTS})")
 def mercator_tile(spark, sf_dir):
     x, y = geometry.mercator_tile(F.col("lon"), F.col("lat"), 18)
     return fixtures.points(spark, sf_dir).select("event_id", x.alias("x"), y.alias("y"))
 
 
-@query()
+def _rows_sql(lat: str) -> str:
+    return f"CAST(floor((0.5 - ln((1 + sin(radians({lat}))) / (1 - sin(radians({lat})))) / (4 * pi())) * 16384) AS BIGINT)"
+
+
+@query(
+    f"""WITH ends AS (SELECT CAST(floor((lon + 180) / 360 * 16384) AS BIGINT) AS x0, CAST(floor((lon + CAST(0.002 AS DOUBLE) + 180) / 360 * 16384) AS BIGINT) AS x1, {_rows_sql('(lat + CAST(0.002 AS DOUBLE))')} AS y0, {_rows_sql('lat')} AS y1 FROM ({POINTS})),
+wide AS (SELECT unnest(generate_series(x0, x1)) AS x, y0, y1 FROM ends), tiled AS (SELECT DISTINCT x, unnest(generate_series(y0, y1)) AS y FROM wide)
+SELECT x, y, '(' || x || ', ' || y || ', 14)' AS id FROM tiled"""
+)
 def bbox_cover(spark, sf_dir):
     box = fixtures.points(spark, sf_dir).select(F.col("lon").alias("west"), F.col("lat").alias("south"), (F.col("lon") + 0.002).alias("east"), (F.col("lat") + 0.002).alias("north"))
     return grids.cover(box, 14)
 
 
-@query()
+@query(
+    f"""SELECT event_id, array_to_string([substr('0123456789bcdefghjkmnpqrstuvwxyz', CAST(list_sum([((CASE WHEN k % 2 = 0 THEN x >> (29 - k // 2) ELSE y >> (29 - k // 2) END) & 1) * (16 >> (k % 5)) FOR k IN range(5 * c, 5 * c + 5)]) AS INTEGER) + 1, 1) FOR c IN range(0, 12)], '') AS geohash
+FROM (SELECT event_id, CAST(floor((lon + 180) / 360 * 1073741824) AS BIGINT) AS x, CAST(floor((lat + 90) / 180 * 1073741824) AS BIGINT) AS y FROM ({POINTS}))"""
+)
 def geohash12(spark, sf_dir):
     return fixtures.points(spark, sf_dir).select("event_id", geometry.geohash(F.col("lon"), F.col("lat")).alias("geohash"))
 
@@ -330,10 +495,10 @@ def _pixel(c: str) -> str:
     return f"(({c} - t_x0) / CAST(100 AS DOUBLE) * 256)" if "x" in c else f"((t_y1 - {c}) / CAST(100 AS DOUBLE) * 256)"
 
 
-@query(_with(CLIP) + f" SELECT id, label_id, {_pixel('c_x0')} AS bx, {_pixel('c_y1')} AS by, ({_pixel('c_x1')} - {_pixel('c_x0')}) * ({_pixel('c_y0')} - {_pixel('c_y1')}) AS area FROM parts")
+@query(_with(CLIP) + f" SELECT id, label_id, {_pixel('c_x0')} AS bx, {_pixel('c_y1')} AS by, round(({_pixel('c_x1')} - {_pixel('c_x0')}) * ({_pixel('c_y0')} - {_pixel('c_y1')}), 6) AS area FROM parts")
 def coco_bbox_area(spark, sf_dir):
     found = coco.annotations(_clipped(spark, sf_dir), tilesets.TILE_BOX, 256, 256)
-    return found.select("id", "label_id", F.col("bbox")[0].alias("bx"), F.col("bbox")[1].alias("by"), "area")
+    return found.select("id", "label_id", F.col("bbox")[0].alias("bx"), F.col("bbox")[1].alias("by"), F.round("area", 6).alias("area"))
 
 
 @query(_with(CLIP) + f", sets AS (SELECT key, id, {SPLIT} AS dataset FROM tiles) SELECT s.dataset, key, label_id, CAST(row_number() OVER (PARTITION BY s.dataset ORDER BY key, label_id) AS INTEGER) AS id FROM parts JOIN sets s USING (id)")
@@ -355,7 +520,7 @@ def coco_documents(spark, sf_dir):
 
 
 DENSE = """
-dense AS (SELECT * FROM dets WHERE score >= 0.9),
+dense AS (SELECT * FROM dets),
 links AS MATERIALIZED (SELECT a.det_id AS a, b.det_id AS b FROM dense a JOIN dense b ON a.det_id <> b.det_id AND a.d_x0 <= b.d_x1 AND b.d_x0 <= a.d_x1 AND a.d_y0 <= b.d_y1 AND b.d_y0 <= a.d_y1
   WHERE 2 * greatest(least(a.d_x1, b.d_x1) - greatest(a.d_x0, b.d_x0), 0) * greatest(least(a.d_y1, b.d_y1) - greatest(a.d_y0, b.d_y0), 0)
   >= a.w * a.h + b.w * b.h - greatest(least(a.d_x1, b.d_x1) - greatest(a.d_x0, b.d_x0), 0) * greatest(least(a.d_y1, b.d_y1) - greatest(a.d_y0, b.d_y0), 0)),
@@ -363,23 +528,19 @@ reach(a, b) AS (SELECT det_id, det_id FROM dense UNION SELECT r.a, l.b FROM reac
 named AS (SELECT a AS det_id, min(b) AS component FROM reach GROUP BY a)"""
 
 
-def _dense(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return fixtures.detections(spark, sf_dir).where(F.col("score") >= 0.9)
-
-
 @query("WITH RECURSIVE " + ",".join([SQL, DENSE]) + " SELECT det_id, component FROM named")
 def overlap_components(spark, sf_dir):
-    dets = _dense(spark, sf_dir)
+    dets = fixtures.detections(spark, sf_dir)
     return post.groups(dets, post.self_pairs(dets).where(F.col("iou") >= post.OVERLAP).select("det_id", "o_id")).select("det_id", "component")
 
 
 @query("WITH RECURSIVE " + ",".join([SQL, DENSE]) + " SELECT det_id, score FROM named JOIN dense USING (det_id) QUALIFY row_number() OVER (PARTITION BY component ORDER BY score DESC, det_id) = 1")
 def overlap_keep(spark, sf_dir):
-    return post.suppress_overlaps(_dense(spark, sf_dir)).select("det_id", "score")
+    return post.suppress_overlaps(fixtures.detections(spark, sf_dir)).select("det_id", "score")
 
 
 MERGE = """
-dense AS (SELECT * FROM dets WHERE score >= 0.9),
+dense AS (SELECT * FROM dets),
 links AS MATERIALIZED (SELECT a.det_id AS a, b.det_id AS b FROM dense a JOIN dense b ON a.det_id <> b.det_id AND a.year_det = b.year_det AND a.d_x0 - 2 <= b.d_x1 + 2 AND b.d_x0 - 2 <= a.d_x1 + 2 AND a.d_y0 - 2 <= b.d_y1 + 2 AND b.d_y0 - 2 <= a.d_y1 + 2),
 reach(a, b) AS (SELECT det_id, det_id FROM dense UNION SELECT r.a, l.b FROM reach r JOIN links l ON r.b = l.a),
 named AS (SELECT a AS det_id, min(b) AS component FROM reach GROUP BY a),
@@ -388,23 +549,39 @@ areas AS (SELECT component, det_class, sum(w * h) AS area FROM joined GROUP BY A
 kinds AS (SELECT component, det_class FROM areas QUALIFY row_number() OVER (PARTITION BY component ORDER BY area DESC, det_class) = 1)"""
 
 
-@query("WITH RECURSIVE " + ",".join([SQL, MERGE]) + " SELECT component, any_value(j.year_det) AS year_det, any_value(k.det_class) AS det_class, count(*) AS n, CAST(min(d_x0) AS BIGINT) AS m_x0, CAST(min(d_y0) AS BIGINT) AS m_y0, CAST(max(d_x1) AS BIGINT) AS m_x1, CAST(max(d_y1) AS BIGINT) AS m_y1 FROM joined j JOIN kinds k USING (component) GROUP BY component")
-def merge_class(spark, sf_dir):
-    """The mean score is left out here: its sum depends on the order of rows."""
-    return post.merge_adjacent(_dense(spark, sf_dir), 2).drop("score")
+MERGED = "component, any_value(j.year_det) AS year_det, any_value(k.det_class) AS det_class, count(*) AS n, CAST(min(d_x0) AS BIGINT) AS m_x0, CAST(min(d_y0) AS BIGINT) AS m_y0, CAST(max(d_x1) AS BIGINT) AS m_x1, CAST(max(d_y1) AS BIGINT) AS m_y1 FROM joined j JOIN kinds k USING (component) GROUP BY component"
 
 
-@query()
+@query("WITH RECURSIVE " + ",".join([SQL, MERGE]) + " SELECT CAST(round(avg(score), 6) AS DOUBLE) AS score, " + MERGED)
 def merge_adjacent(spark, sf_dir):
-    return post.merge_adjacent(_dense(spark, sf_dir), 2)
+    """The mean score is rounded here: its last digits depend on the order of rows."""
+    return post.merge_adjacent(fixtures.detections(spark, sf_dir), 2).withColumn("score", F.round("score", 6))
+
+
+CLUSTER = """
+grown AS (SELECT *, d_x0 - CAST(0.1 AS DOUBLE) AS g_x0, d_y0 - CAST(0.1 AS DOUBLE) AS g_y0, d_x1 + CAST(0.1 AS DOUBLE) AS g_x1, d_y1 + CAST(0.1 AS DOUBLE) AS g_y1 FROM dets),
+near AS MATERIALIZED (SELECT a.det_id AS a, b.det_id AS b, a.score AS sa, b.score AS sb, a.image AS ia, b.image AS ib, a.det_class AS ca, b.det_class AS cb,
+  greatest(least(a.g_x1, b.d_x1) - greatest(a.g_x0, b.d_x0), 0) * greatest(least(a.g_y1, b.d_y1) - greatest(a.g_y0, b.d_y0), 0) AS shared, (a.g_x1 - a.g_x0) * (a.g_y1 - a.g_y0) + b.w * b.h AS total
+  FROM grown a JOIN grown b ON a.det_id > b.det_id AND a.g_x0 <= b.g_x1 AND b.g_x0 <= a.g_x1 AND a.g_y0 <= b.g_y1 AND b.g_y0 <= a.g_y1),
+edges AS MATERIALIZED (SELECT a, b FROM near WHERE ia <> ib AND ca = cb),
+both_ways AS (SELECT a, b FROM edges UNION SELECT b, a FROM edges),
+reach(a, b) AS (SELECT det_id, det_id FROM dets UNION SELECT r.a, l.b FROM reach r JOIN both_ways l ON r.b = l.a),
+named AS (SELECT a AS det_id, min(b) AS component FROM reach GROUP BY a),
+tied AS (SELECT DISTINCT a AS id FROM both_ways),
+gone AS (SELECT DISTINCT CASE WHEN ta AND NOT tb THEN b WHEN tb AND NOT ta THEN a WHEN sa > sb THEN b ELSE a END AS det_id
+  FROM (SELECT *, a IN (SELECT id FROM tied) AS ta, b IN (SELECT id FROM tied) AS tb FROM near WHERE ia = ib AND shared / (total - shared) > 0.75))"""
 
 
-@query()
+@query("WITH RECURSIVE " + ",".join([SQL, CLUSTER]) + " SELECT component, det_class, count(*) AS n, median(score) AS score, 500 AS scale FROM named JOIN dets USING (det_id) WHERE det_id NOT IN (SELECT det_id FROM gone) GROUP BY component, det_class")
 def cluster_median(spark, sf_dir):
-    return post.cluster(_dense(spark, sf_dir).withColumn("scale", F.lit(500)))
+    return post.cluster(fixtures.detections(spark, sf_dir).withColumn("scale", F.lit(500)))
 
 
-@query()
+@query(
+    """WITH v AS (SELECT vec_id, list_transform(embedding, lambda x: CAST(x AS DOUBLE)) AS v FROM embeddings),
+m AS (SELECT *, list_reduce(v, lambda a, b: a + b, CAST(0 AS DOUBLE)) / len(v) AS mean FROM v)
+SELECT vec_id AS image, 'R' AS band, round_even(mean, 3) + 0.0 AS mean, round_even(sqrt(list_reduce(list_transform(v, lambda x: (x - mean) * (x - mean)), lambda a, b: a + b, CAST(0 AS DOUBLE)) / len(v)), 3) AS std FROM m"""
+)
 def band_stats(spark, sf_dir):
     rows = spark.read.parquet(f"{sf_dir}/embeddings.parquet")
     key = rows.columns[0]

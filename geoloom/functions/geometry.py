@@ -45,6 +45,43 @@ def ring_area(ring: Column) -> Column:
     return F.abs(F.aggregate(terms, F.lit(0.0), lambda s, t: s + t)) / 2
 
 
+def segment_area(segment: Column) -> Column:
+    """Area of an outline given as a flat coordinate array, by the shoelace sum."""
+    x, y = F.filter(segment, lambda _, k: k % 2 == 0), F.filter(segment, lambda _, k: k % 2 == 1)
+    return ring_area(F.zip_with(x, y, lambda a, b: F.struct(a.alias("x"), b.alias("y"))))
+
+
+def ring_centroid(ring: Column) -> Column:
+    """(x, y) of a ring's centre of area; the mean of its points if it has no area."""
+    following = F.concat(F.slice(ring, F.lit(2), F.size(ring)), F.slice(ring, 1, 1))
+    cross = lambda p, q: p["x"] * q["y"] - q["x"] * p["y"]
+    added = lambda f: F.aggregate(F.zip_with(ring, following, f), F.lit(0.0), lambda s, t: s + t)
+    twice = added(cross)
+    mean = lambda c: F.aggregate(F.transform(ring, lambda p: p[c].cast("double")), F.lit(0.0), lambda s, t: s + t) / F.size(ring)
+    part = lambda c: F.when(twice == 0, mean(c)).otherwise(added(lambda p, q: (p[c] + q[c]) * cross(p, q)) / (3 * twice))
+    return F.struct(part("x").alias("x"), part("y").alias("y"))
+
+
+def box_ring(box: Box) -> Column:
+    """The closed ring of a box, from its lower left corner, against the clock."""
+    x0, y0, x1, y1 = (F.col(c).cast("double") for c in box)
+    return F.array(*(F.struct(x.alias("x"), y.alias("y")) for x, y in ((x0, y0), (x1, y0), (x1, y1), (x0, y1), (x0, y0))))
+
+
+# The radius of the sphere of Web Mercator in metres.
+EARTH = 6378137.0
+
+
+def to_mercator(lon: Column, lat: Column) -> tuple[Column, Column]:
+    """Degrees to metres of Web Mercator."""
+    return F.radians(lon) * EARTH, F.log(F.tan(F.pi() / 4 + F.radians(lat) / 2)) * EARTH
+
+
+def from_mercator(x: Column, y: Column) -> tuple[Column, Column]:
+    """Metres of Web Mercator to degrees."""
+    return F.degrees(x / EARTH), F.degrees(2 * F.atan(F.exp(y / EARTH)) - F.pi() / 2)
+
+
 def flatten_ring(ring: Column) -> Column:
     """[x1, y1, x2, y2, ...]"""
     return F.flatten(F.transform(ring, lambda p: F.array(p["x"], p["y"])))

@@ -6,7 +6,7 @@ label_class (from 1), dataset, year_label and a box l_x0..l_y1. Ties go to the l
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from geoloom.functions.geometry import box_iou
@@ -40,10 +40,10 @@ def best_labels(pairs: DataFrame) -> DataFrame:
 
 
 def best_detections(best: DataFrame, *keys: str, iou: float = IOU) -> DataFrame:
-    """Each label's detection of the highest IoU among those that chose it with iou at least."""
+    """Each label's detection of the highest IoU among those that chose it with iou at least; that IoU is rounded to 3 digits."""
     pick = F.max(F.struct("iou", (-F.col("det_id")).alias("low"), "det_class")).alias("b")
     found = best.where(F.col("iou") >= iou).groupBy("label_id", "label_class", *keys).agg(pick)
-    return found.select("label_id", "label_class", *keys, (-F.col("b.low")).alias("det_id"), "b.det_class", "b.iou")
+    return found.select("label_id", "label_class", *keys, (-F.col("b.low")).alias("det_id"), "b.det_class", F.round("b.iou", 3).alias("iou"))
 
 
 def is_hit() -> Column:
@@ -132,16 +132,22 @@ def metrics(by_class: DataFrame, *keys: str, method: str = "macro-average", corr
 def threshold_sweep(dets: DataFrame, labels: DataFrame, classes: DataFrame, iou: float = IOU) -> DataFrame:
     """(dataset, threshold, class, TP_k, ...) for all thresholds of SWEEP in hundredths, from one spatial join within datasets.
 
-    A label may only choose among a threshold's detections, so matches are picked for each threshold; the numbers of
-    detections come from one count by their highest threshold.
+    A detection counts from its highest threshold down. So a label's best detection at a threshold is the best of those
+    whose highest threshold is there or above: one row for each label and highest threshold, and a running maximum.
+    The numbers of detections come from one count by their highest threshold.
     """
     spark = dets.sparkSession
     grid = spark.range(SWEEP.start, SWEEP.stop, SWEEP.step).select(F.col("id").cast("int").alias("threshold"))
     reached = lambda c: F.filter(F.sequence(F.lit(SWEEP.start), F.lit(SWEEP.stop - 1), F.lit(SWEEP.step)), lambda t: c >= t / F.lit(100.0))
-    best = best_labels(iou_pairs(dets, labels, by_dataset=True)).where(F.col("iou") >= iou).withColumn("threshold", F.explode(reached(F.col("score"))))
-    matched = best_detections(best, "threshold", iou=iou).join(labels.select("label_id", "dataset"), "label_id")
+    best = best_labels(iou_pairs(dets, labels, by_dataset=True)).where(F.col("iou") >= iou).withColumn("top", F.array_max(reached(F.col("score")))).where("top IS NOT NULL")
+    pick = F.max(F.struct("iou", (-F.col("det_id")).alias("low"), "det_class"))
+    steps = best.groupBy("label_id", "label_class", "top").agg(pick.alias("b"))  # a row for each threshold of a label at most
+    falling = Window.partitionBy("label_id").orderBy(F.col("top").desc())
+    steps = steps.withColumn("b", F.max("b").over(falling.rowsBetween(Window.unboundedPreceding, 0))).withColumn("below", F.coalesce(F.lead("top").over(falling), F.lit(0)))
+    matched = steps.where(F.col("label_class") == F.col("b.det_class") + 1).join(labels.select("label_id", "dataset"), "label_id")
+    matched = matched.groupBy("dataset", "label_class", "top", "below").agg(F.count(F.lit(1)).alias("n")).join(F.broadcast(grid), (F.col("threshold") <= F.col("top")) & (F.col("threshold") > F.col("below")))
     nothing = F.lit(0).cast("long")
-    taken = matched.where(is_hit()).select("dataset", "threshold", F.col("label_class").cast("int").alias("class"), F.lit(1).cast("long").alias("tp"), nothing.alias("dets"), nothing.alias("labels"))
+    taken = matched.select("dataset", "threshold", F.col("label_class").cast("int").alias("class"), F.col("n").alias("tp"), nothing.alias("dets"), nothing.alias("labels"))
     top = dets.select("dataset", (F.col("det_class") + 1).cast("int").alias("class"), F.array_max(reached(F.col("score"))).alias("top"))
     top = top.groupBy("dataset", "class", "top").agg(F.count(F.lit(1)).alias("n"))
     seen = top.join(F.broadcast(grid), F.col("top") >= F.col("threshold")).select("dataset", "threshold", "class", nothing.alias("tp"), F.col("n").alias("dets"), nothing.alias("labels"))

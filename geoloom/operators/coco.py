@@ -5,8 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from geoloom.functions.geometry import Box, box_intersection, segment_bbox, to_pixel
+from geoloom.functions.geometry import Box, box_intersection, segment_area, segment_bbox, to_pixel
 from geoloom.operators.spatial import spatial_join
+from geoloom.storage import cut_lineage
 
 
 def clip_boxes(tiles: DataFrame, tile_box: Box, labels: DataFrame, label_box: Box, scale: float = 1.0, cell: float = 128, on=()) -> DataFrame:
@@ -24,28 +25,44 @@ def clip_boxes(tiles: DataFrame, tile_box: Box, labels: DataFrame, label_box: Bo
 
 
 def annotations(clipped: DataFrame, tile_box: Box, width: int, height: int) -> DataFrame:
-    """clipped with segmentation (one outline in pixels, without a closing point), bbox and area; outside pixels are an error."""
+    """clipped with segmentation (one outline in pixels, without a closing point), bbox and area (that of the outline).
+
+    A point outside the image, across or down, is an error.
+    """
     w, h = F.lit(width), F.lit(height)
     corner = lambda x, y: to_pixel(F.col(x), F.col(y), tile_box, w, h)
     flat = [v for x, y in (("c_x0", "c_y0"), ("c_x1", "c_y0"), ("c_x1", "c_y1"), ("c_x0", "c_y1")) for v in corner(x, y)]
     out = clipped.withColumn("segment", F.array(*flat))
-    inside = F.forall("segment", lambda v: (v >= 0) & (v <= max(width, height)))
+    across, down = F.filter("segment", lambda _, k: k % 2 == 0), F.filter("segment", lambda _, k: k % 2 == 1)
+    inside = F.forall(across, lambda v: v.between(0, width)) & F.forall(down, lambda v: v.between(0, height))
     out = out.withColumn("segment", F.when(inside, F.col("segment")).otherwise(F.raise_error(F.lit("a label lies outside its tile"))))
     bbox = segment_bbox(F.col("segment"))
-    return out.withColumn("bbox", bbox).withColumn("area", F.col("bbox")[2] * F.col("bbox")[3]).withColumn("segmentation", F.array("segment")).drop("segment")
+    return out.withColumn("bbox", bbox).withColumn("area", segment_area(F.col("segment"))).withColumn("segmentation", F.array("segment")).drop("segment")
 
 
 def number(df: DataFrame, group: str, *order: str, name: str = "id") -> DataFrame:
-    """df with positions from 1 in each group, as COCO ids; a group is one document and so bounded by what one may hold."""
-    return df.withColumn(name, F.row_number().over(Window.partitionBy(group).orderBy(*order)))
+    """df with positions from 1 in each group, as COCO ids.
+
+    Rows are dealt out by ranges of group and order, numbered within a range, and moved on by what earlier ranges hold of
+    the group, so no group has to fit one task. Rows equal in all of order take any turn.
+    """
+    ranged = cut_lineage(df.repartitionByRange(group, *order).withColumn("_part", F.spark_partition_id()))
+    counts = ranged.groupBy(group, "_part").agg(F.count(F.lit(1)).alias("_n"))
+    earlier = Window.partitionBy(group).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    counts = counts.select(F.col(group).alias("_group"), F.col("_part").alias("_at"), F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_before"))
+    placed = ranged.join(counts, ranged[group].eqNullSafe(counts["_group"]) & (F.col("_part") == F.col("_at")))
+    turn = F.row_number().over(Window.partitionBy("_part", group).orderBy(*order))
+    return placed.withColumn(name, (F.col("_before") + turn).cast("int")).drop("_part", "_group", "_at", "_before")
 
 
 def documents(images: DataFrame, notes: DataFrame, categories: DataFrame, info: dict, license_name: str, license_url: str) -> DataFrame:
     """(dataset, document): a COCO document in JSON for each dataset.
 
     images: dataset, id, width, height, file_name, year; notes: dataset, id, image_id, category_id, segmentation,
-    bbox, area. A document is one value by its format.
+    bbox, area. A document is one value by its format. A license needs a name.
     """
+    if not license_name:
+        raise ValueError("the license of the images has no name")
     image = F.struct("id", "width", "height", "file_name", "year", F.lit(1).alias("license"))
     note = F.struct("id", "image_id", "category_id", "segmentation", F.lit(0).alias("iscrowd"), "area", "bbox")
     pictures = images.groupBy("dataset").agg(F.sort_array(F.collect_list(image)).alias("images"))

@@ -64,11 +64,15 @@ def cluster(dets: DataFrame, reach: float = 0.1, duplicate_iou: float = 0.75) ->
     """Clusters of equal class over different images: (component, det_class, n, score (median), scale (highest)).
 
     Boxes grown by reach must meet. Of two detections of one image that overlap by more than duplicate_iou the one
-    outside all clusters goes, else the one of the lower score; at equal scores the higher id goes.
+    outside all clusters goes, else the one of the lower score; at equal scores the higher id goes. The overlap is that of
+    the grown box of the higher id and the plain one of the lower.
     """
     x0, y0, x1, y1 = DET_BOX
     grown = dets.withColumns({x0: F.col(x0) - reach, y0: F.col(y0) - reach, x1: F.col(x1) + reach, y1: F.col(y1) + reach})
     pairs = self_pairs(grown, "image", "det_class", "score")
+    # As detections are compared by the grown box of the one and the plain box of the other.
+    plain = [(F.col(c) + by).alias(c) for c, by in zip(OTHER_BOX, (reach, reach, -reach, -reach), strict=True)]
+    pairs = pairs.select(*(c for c in pairs.columns if c not in (*OTHER_BOX, "iou")), *plain).withColumn("iou", box_iou(DET_BOX, OTHER_BOX))
     edges = pairs.where((F.col("image") != F.col("o_image")) & (F.col("det_class") == F.col("o_det_class"))).select("det_id", "o_id")
     named = groups(dets, edges)
     tied = edges.select(F.explode(F.array("det_id", "o_id")).alias("det_id")).distinct()

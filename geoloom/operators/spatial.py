@@ -40,3 +40,11 @@ def spatial_semi_join(left: DataFrame, left_box: Box, right: DataFrame, right_bo
     """The rows of left whose key meets a box of right, or with how="left_anti" those that meet none."""
     met = spatial_join(left.select(key, *left_box), left_box, right.select(*right_box), right_box, cell).select(key).distinct()
     return left.join(met, key, how)
+
+
+def contained(left: DataFrame, left_box: Box, right: DataFrame, right_box: Box, key: str, cell: float = CELL, how: str = "left_semi") -> DataFrame:
+    """The rows of left whose box lies whole in a box of right, or with how="left_anti" those that lie in none."""
+    a, b = [F.col(c) for c in left_box], [F.col(c) for c in right_box]
+    inside = (a[0] >= b[0]) & (a[1] >= b[1]) & (a[2] <= b[2]) & (a[3] <= b[3])
+    met = spatial_join(left.select(key, *left_box), left_box, right.select(*right_box), right_box, cell, also=inside).select(key).distinct()
+    return left.join(met, key, how)

@@ -98,6 +98,47 @@ def seed_scores(counts: DataFrame, class_col: str, key: str = "key", frac_trn: f
     return per.groupBy("seed").agg(F.sum(points).alias("score"))
 
 
+def chosen_split(tiles: DataFrame, counts: DataFrame, class_col: str, key: str = "key", frac_trn: float = 0.7, frac_left_val: float = 0.5) -> DataFrame:
+    """tiles with dataset, split by the seed of the best score; ties take the lowest seed. Without labels it is SEEDS' first."""
+    best = seed_scores(counts, class_col, key, frac_trn, frac_left_val).orderBy(F.col("score").desc(), "seed").first()  # a row for each seed
+    return split(tiles, key, frac_trn=frac_trn, frac_left_val=frac_left_val, seed=best.seed if best else SEEDS.start)
+
+
+def without_ground_truth(tiles: DataFrame) -> DataFrame:
+    """tiles with dataset oth: what a set without ground truth is."""
+    return tiles.withColumn("dataset", F.lit("oth"))
+
+
+def with_empty(kinds: DataFrame, frac: float = 0.5, keep_oth: bool = True, key: str = "key", seed: int = 1) -> DataFrame:
+    """Tiles of kinds (tile_kinds()) with a sample of the empty ones: frac of what ground truth has more than false positives.
+
+    keep_oth=False drops tiles of other labels.
+    """
+    n = {r.tile_kind: r["count"] for r in kinds.groupBy("tile_kind").count().collect()}  # four kinds
+    some = sample_ids(kinds.where("tile_kind = 'empty'").select("id", key), empty_tile_count(n.get("gt", 0), n.get("fp", 0), frac), key, seed)
+    kept = kinds.where(F.col("tile_kind").isin(*(["gt", "fp", "oth"] if keep_oth else ["gt", "fp"])))
+    return kept.unionByName(kinds.join(some.select("id"), "id", "left_semi"))
+
+
+def debug_subset(tiles: DataFrame, labelled: DataFrame, n: int, key: str = "key") -> DataFrame:
+    """n of tiles, those with labels first and then by key: a small set to try things on."""
+    flagged = tiles.join(labelled.select("id").distinct().withColumn("_first", F.lit(True)), "id", "left")
+    return flagged.orderBy(F.col("_first").isNull(), key).limit(max(0, n)).drop("_first")
+
+
+def common_ids(*sets: DataFrame) -> DataFrame:
+    """Ids that all sets have."""
+    out = sets[0].select("id")
+    for other in sets[1:]:
+        out = out.intersect(other.select("id"))
+    return out
+
+
+def class_occurrence(counts: DataFrame, assigned: DataFrame, class_col: str) -> DataFrame:
+    """(dataset, class, n): the labels of each class in each set. counts has (id, class, n)."""
+    return counts.join(assigned.select("id", "dataset"), "id").groupBy("dataset", class_col).agg(F.sum("n").alias("n"))
+
+
 def category_ids(labels: DataFrame, category: str = "category", supercategory: str = "supercategory") -> DataFrame:
     """(id, name, supercategory) from 1 in sorted order; null names get none. Categories are few by nature."""
     from pyspark.sql import Window
