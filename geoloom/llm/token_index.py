@@ -30,8 +30,8 @@ SHARD_IDS = 1 << 18
 SHARD_DOCS = 2048
 KEYS_PER_PILOT = 4
 #: Bytes of text that go to the library at a time, and of parts whose ids are kept for the next time.
-SLICE_BYTES = 10 << 20
-CACHE_BYTES = 8 << 20
+SLICE_BYTES = 6 << 20
+CACHE_BYTES = 4 << 20
 #: Ranges of keys that a look-up of many keys asks the files for at most.
 RANGES = 64
 SHARDS = "part int, shard int, before long, ids long, low long, high long, keys binary, nulls binary, pilots binary, prints binary, starts binary, lengths binary, payload binary"
