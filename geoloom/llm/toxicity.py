@@ -21,6 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from geoloom.llm.language_id import remainder
+from geoloom.storage import cut_lineage
 
 #: Labelled rows with a text that the fit takes at most: those of the least id hash. One in CALIBRATE of them sets the
 #: extreme-value law and the score of tokens that are chosen on the others.
@@ -174,8 +175,8 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     labelled = labels.select(F.col(id_col).alias("id"), F.col(label_col).cast("int").alias("label")).where("id IS NOT NULL AND label IS NOT NULL")
     labelled = labelled.groupBy("id").agg(F.max("label").alias("label"))
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
-    chosen = labelled.join(rows.select("id").distinct(), "id").orderBy(F.xxhash64("id")).limit(TRAIN_ROWS)
-    rows = rows.join(F.broadcast(chosen), "id")  # TRAIN_ROWS at most
+    chosen = labelled.join(rows.select("id"), "id", "left_semi").orderBy(F.xxhash64("id")).limit(TRAIN_ROWS)
+    rows = cut_lineage(rows.join(F.broadcast(chosen), "id"))  # TRAIN_ROWS at most, read six times below
     apart = F.pmod(F.hash("id"), F.lit(CALIBRATE)) == 0
     model = Model(choose(rows.where(~apart).select("label", "text")), 1.0, 1.0, 1.0, 0.0)
 
