@@ -15,7 +15,7 @@ import regex
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from geoloom.llm.textvec import GOLDEN, U, mix64
+from geoloom.llm.textvec import GOLDEN, U, give_back, mix64
 from geoloom.llm.vectors import summed
 
 BUCKETS = 1 << 15
@@ -166,6 +166,8 @@ def train(labelled: DataFrame, lang_col: str = "lang", text_col: str = "text") -
     kept, held = [r for k, r in enumerate(sample) if k % 5], sample[::5]
     weights = fit_ftrl(kept, len(languages))
     temperature = fit_temperature([weights[:, at] @ values for _, at, values in held], [y for y, _, _ in held]) if held else 1.0
+    del sample, kept, held
+    give_back()
     return Model.of(languages, idf, weights, temperature)
 
 

@@ -25,7 +25,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from geoloom.llm.textvec import BYTE, LOWER, Slice, slices, span_hashes, tidy, windows, words
+from geoloom.llm.textvec import BYTE, LOWER, Slice, give_back, slices, span_hashes, tidy, windows, words
 from geoloom.operators.graph import connected_components
 from geoloom.storage import cut_lineage
 
@@ -359,6 +359,10 @@ def ngram_jaccard_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str
     steps = met.select("leader", F.explode(F.array(F.col("step"), F.col("step") + 1)).alias("near")).groupBy("leader", "near").count().where("count > 1")
     steps = steps.select("leader", F.explode(F.array(F.col("near") - 1, F.col("near"))).alias("step")).distinct()
     met = cut_lineage(met.join(steps, ["leader", "step"], "left_semi").select("sign", "node", "n", "copies", "leader"))
+    for done in (sketch, shared):  # met is written: nothing reads them again, not even after a loss
+        done.destroy()
+    del logs, marks
+    give_back()
 
     marks = met.select("node").mapInArrow(_mark, "chunk int, bits binary").repartition(16, "chunk").mapInArrow(_or_chunks, "chunk int, bits binary")
     bits = np.zeros((64, (1 << FILTER_BITS) // 512), np.uint8)
@@ -380,6 +384,9 @@ def ngram_jaccard_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str
 
     found = pairs.groupBy("leader", "left", "right").applyInArrow(multiply, "sign binary, root binary, links long")
     found = cut_lineage(found)
+    active.destroy()
+    del bits
+    give_back()
 
     classes = connected_components(found.select(F.col("sign").alias("src"), F.col("root").alias("dst")))
     named = nodes.join(classes.withColumnRenamed("node", "sign"), "sign", "left").withColumn("component", F.coalesce("component", "sign"))

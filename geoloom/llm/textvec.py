@@ -20,6 +20,14 @@ SLICE_BYTES = 1 << 20
 U = np.uint64
 
 
+def give_back() -> None:
+    """Return to the system what memory this process no longer needs."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    with suppress(OSError, AttributeError):  # another C library than glibc keeps its own counsel
+        ctypes.CDLL(None).malloc_trim(0)
+
+
 def tidy(run):
     """run, a function from Arrow batches to others, that gives back at its end what memory its process no longer needs.
 
@@ -31,13 +39,11 @@ def tidy(run):
         try:
             yield from run(*args, **kwargs)
         finally:
-            gc.collect()
-            pa.default_memory_pool().release_unused()
-            with suppress(OSError, AttributeError):  # another C library than glibc keeps its own counsel
-                ctypes.CDLL(None).malloc_trim(0)
+            give_back()
 
     return tidied
 
+
 GOLDEN = U(0x9E3779B97F4A7C15)
 
 SPACE = np.zeros(256, bool)
