@@ -15,6 +15,13 @@ def box_area(box: Box) -> Column:
     return (x1 - x0) * (y1 - y0)
 
 
+def scaled_box(box: Box, scale: float) -> list[Column]:
+    """The four sides of a box scaled about its centre."""
+    x0, y0, x1, y1 = map(F.col, box)
+    cx, cy, hx, hy = (x0 + x1) / 2, (y0 + y1) / 2, (x1 - x0) / 2 * scale, (y1 - y0) / 2 * scale
+    return [cx - hx, cy - hy, cx + hx, cy + hy]
+
+
 def boxes_intersect(a: Box, b: Box) -> Column:
     """Shared points, touching borders included."""
     ax0, ay0, ax1, ay1, bx0, by0, bx1, by1 = map(F.col, (*a, *b))
@@ -82,6 +89,33 @@ def from_mercator(x: Column, y: Column) -> tuple[Column, Column]:
     return F.degrees(x / EARTH), F.degrees(2 * F.atan(F.exp(y / EARTH)) - F.pi() / 2)
 
 
+def to_swiss(lon: Column, lat: Column) -> tuple[Column, Column]:
+    """Degrees to metres of the Swiss grid LV95, by the published approximation (1 m within the country)."""
+    # The coefficients of the approximation, in ten thousand seconds from the origin in Bern.
+    a, b = (lon * 3600 - 26782.5) / 10000, (lat * 3600 - 169028.66) / 10000
+    east = 2600072.37 + 211455.93 * a - 10938.51 * a * b - 0.36 * a * b * b - 44.54 * a * a * a
+    north = 1200147.07 + 308807.95 * b + 3745.25 * a * a + 76.63 * b * b - 194.56 * a * a * b + 119.79 * b * b * b
+    return east, north
+
+
+def from_swiss(east: Column, north: Column) -> tuple[Column, Column]:
+    """Metres of the Swiss grid LV95 to degrees, by the published approximation."""
+    # The coefficients of the approximation, in thousand kilometres from the origin in Bern.
+    y, x = (east - 2600000) / 1e6, (north - 1200000) / 1e6
+    lon = 2.6779094 + 4.728982 * y + 0.791484 * y * x + 0.1306 * y * x * x - 0.0436 * y * y * y
+    lat = 16.9023892 + 3.238272 * x - 0.270978 * y * y - 0.002528 * x * x - 0.0447 * y * y * x - 0.0140 * x * x * x
+    return lon * 100 / 36, lat * 100 / 36
+
+
+def repaired_ring(ring: Column) -> Column:
+    """A ring closed, against the clock and without points equal to the one before; null if no area is left."""
+    apart = F.filter(ring, lambda p, k: (k == 0) | F.coalesce(p != F.get(ring, k - 1), F.lit(True)))
+    closed = F.when(F.get(apart, F.lit(0)) == F.get(apart, F.size(apart) - 1), apart).otherwise(F.concat(apart, F.slice(apart, 1, 1)))
+    closed = F.when(F.size(apart) > 2, closed)
+    turn = F.aggregate(F.zip_with(closed, F.concat(F.slice(closed, 2, F.size(closed)), F.slice(closed, 1, 1)), lambda p, q: p["x"] * q["y"] - q["x"] * p["y"]), F.lit(0.0), lambda s, t: s + t)
+    return F.when(turn > 0, closed).when(turn < 0, F.reverse(closed))
+
+
 def flatten_ring(ring: Column) -> Column:
     """[x1, y1, x2, y2, ...]"""
     return F.flatten(F.transform(ring, lambda p: F.array(p["x"], p["y"])))

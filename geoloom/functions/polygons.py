@@ -6,11 +6,13 @@ A polygon is one array of (x, y) structs, closed or not, without holes.
 from __future__ import annotations
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import functions as F
-from pyspark.sql.types import DoubleType
+from pyspark.sql.types import ArrayType, DoubleType, StructField, StructType
 
 RING = "array<struct<x:double,y:double>>"
+RING_TYPE = ArrayType(StructType([StructField("x", DoubleType()), StructField("y", DoubleType())]))
 
 
 def clip_convex(ring: np.ndarray, window: np.ndarray) -> np.ndarray:
@@ -67,38 +69,97 @@ def simplify(ring: np.ndarray, epsilon: float) -> np.ndarray:
     return ring[keep]
 
 
-def _points(ring) -> np.ndarray:
-    found = np.array([(p["x"], p["y"]) for p in ring], float).reshape(-1, 2)
-    return found[:-1] if len(found) > 1 and (found[0] == found[-1]).all() else found
-
-
-@F.pandas_udf(DoubleType())
-def polygon_iou(a: pd.Series, b: pd.Series) -> pd.Series:
+def half(ring: np.ndarray, normal: tuple[float, float], least: float) -> list[np.ndarray]:
+    """The parts of a simple ring where normal * point >= least, as rings of their own; a ring that only touches has none.
+
+    Along the line, places where the ring comes in and where it goes out take turns, so the n-th of either bound the
+    n-th stretch of the line inside the polygon.
+    """
+    side = ring @ np.array(normal) - least
+    inside = side > 0  # so that parts which only an edge on the line joins come apart
+    if (side >= 0).all() or not inside.any():
+        return [ring] if inside.any() else []
+    n, edge = len(ring), np.flatnonzero(inside != np.roll(inside, -1))
+    a, b = ring[edge], ring[(edge + 1) % n]
+    place = a + (b - a) * (side[edge] / (side[edge] - side[(edge + 1) % n]))[:, None]
+    along = place @ np.array([-normal[1], normal[0]])
+    order = np.argsort(along, kind="stable")
+    comes = ~inside[edge]
+    next_in = dict(zip(order[~comes[order]].tolist(), order[comes[order]].tolist(), strict=True))
+    parts, todo = [], set(next_in.values())
+    while todo:
+        k = todo.pop()
+        first, points = k, []
+        while True:
+            out = (k + 1) % len(edge)
+            run = (edge[k] + 1 + np.arange((edge[out] - edge[k]) % n)) % n
+            points += [place[k : k + 1], ring[run], place[out : out + 1]]
+            k = next_in[out]
+            if k == first:
+                break
+            todo.remove(k)
+        parts.append(np.concatenate(points))
+    return [p for p in parts if signed_area(p)]
+
+
+def clip_box(ring: np.ndarray, x0: float, y0: float, x1: float, y1: float) -> list[np.ndarray]:
+    """The parts of a simple ring inside a box."""
+    parts = [ring] if signed_area(ring) else []
+    for normal, least in (((1, 0), x0), ((0, 1), y0), ((-1, 0), -x1), ((0, -1), -y1)):
+        parts = [q for p in parts for q in half(p, normal, least)]
+    return parts
+
+
+def rings_of(column: pa.ListArray) -> list[np.ndarray | None]:
+    """The rings of an Arrow column without their closing points, as views of its flat coordinates; null for null."""
+    flat = column.flatten()
+    xy = np.stack([flat.field(c).cast(pa.float64()).to_numpy(zero_copy_only=False) for c in ("x", "y")], axis=1)
+    end = np.cumsum(pc.fill_null(pc.list_value_length(column), 0).to_numpy(zero_copy_only=False))
+    found = [xy[a:b] for a, b in zip([0, *end[:-1]], end, strict=True)]
+    found = [r[:-1] if len(r) > 1 and (r[0] == r[-1]).all() else r for r in found]
+    return [r if known else None for r, known in zip(found, column.is_valid().to_pylist(), strict=True)]
+
+
+def nested(values: pa.Array, counts: list[int | None]) -> pa.ListArray:
+    """values cut into lists of the given lengths; null for null."""
+    ends = np.concatenate(([0], np.cumsum([c or 0 for c in counts]))).astype(np.int32)
+    return pa.ListArray.from_arrays(pa.array(ends), values, mask=pa.array([c is None for c in counts], pa.bool_()))
+
+
+def ring_column(found: list[np.ndarray | None]) -> pa.ListArray:
+    """An Arrow column of rings."""
+    xy = np.concatenate([np.zeros((0, 2)), *(r for r in found if r is not None)])
+    return nested(pa.StructArray.from_arrays([pa.array(xy[:, 0]), pa.array(xy[:, 1])], ["x", "y"]), [None if r is None else len(r) for r in found])
+
+
+@F.arrow_udf(DoubleType())
+def polygon_iou(a: pa.Array, b: pa.Array) -> pa.Array:
     """Intersection over union of two polygon columns; 0 for an empty union, null for a null polygon."""
 
     def one(p, q):
         if p is None or q is None:
             return None
-        p, q = _points(p), _points(q)
         shared = shared_area(p, q)
         union = abs_area(p) + abs_area(q) - shared
         return shared / union if union else 0.0
 
-    return pd.Series([one(p, q) for p, q in zip(a, b, strict=True)], dtype="float64")
+    return pa.array([one(p, q) for p, q in zip(rings_of(a), rings_of(b), strict=True)], pa.float64())
+
+
+@F.arrow_udf(ArrayType(RING_TYPE))
+def clipped(ring: pa.Array, x0: pa.Array, y0: pa.Array, x1: pa.Array, y1: pa.Array) -> pa.Array:
+    """The parts of a polygon column inside a box, closed; none for a null side, null for a null polygon."""
+    sides = np.stack([c.cast(pa.float64()).to_numpy(zero_copy_only=False) for c in (x0, y0, x1, y1)], axis=1)
+    found = [None if r is None else [np.vstack([p, p[:1]]) for p in clip_box(r, *box)] if not np.isnan(box).any() else [] for r, box in zip(rings_of(ring), sides, strict=True)]
+    return nested(ring_column([p for parts in found for p in parts or ()]), [None if parts is None else len(parts) for parts in found])
 
 
 def simplified(epsilon: float):
     """A UDF that simplifies a polygon column's outline; rings of three points or fewer stay."""
 
-    @F.pandas_udf(RING)
-    def run(rings: pd.Series) -> pd.Series:
-        def one(ring):
-            if ring is None:
-                return None
-            points = _points(ring)
-            closed = np.vstack([points, points[:1]])
-            return [{"x": x, "y": y} for x, y in (simplify(closed, epsilon) if len(points) > 3 else closed).tolist()]
-
-        return rings.map(one)
+    @F.arrow_udf(RING_TYPE)
+    def run(rings: pa.Array) -> pa.Array:
+        closed = [None if r is None else np.vstack([r, r[:1]]) for r in rings_of(rings)]
+        return ring_column([r if r is None or len(r) <= 4 else simplify(r, epsilon) for r in closed])
 
     return run

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from geoloom.functions.geometry import Box, box_intersection, segment_area, segment_bbox, to_pixel
+from geoloom.functions.geometry import Box, box_intersection, scaled_box, segment_area, segment_bbox, to_pixel
 from geoloom.operators.spatial import spatial_join
 from geoloom.storage import cut_lineage
 
@@ -13,10 +13,8 @@ from geoloom.storage import cut_lineage
 def clip_boxes(tiles: DataFrame, tile_box: Box, labels: DataFrame, label_box: Box, scale: float = 1.0, cell: float = 128, on=()) -> DataFrame:
     """Pairs of tile and label with c_x0..c_y1, the label's part within the tile scaled about its centre; parts without area go."""
     pairs = spatial_join(tiles, tile_box, labels, label_box, cell, on)
-    x0, y0, x1, y1 = map(F.col, tile_box)
     if scale != 1.0:
-        cx, cy, hx, hy = (x0 + x1) / 2, (y0 + y1) / 2, (x1 - x0) / 2 * scale, (y1 - y0) / 2 * scale
-        sides = {"_t0": cx - hx, "_t1": cy - hy, "_t2": cx + hx, "_t3": cy + hy}
+        sides = dict(zip(("_t0", "_t1", "_t2", "_t3"), scaled_box(tile_box, scale), strict=True))
         pairs, window = pairs.withColumns(sides), tuple(sides)
     else:
         window = tuple(tile_box)

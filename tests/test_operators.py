@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from geoloom.functions import geometry, names, polygons
-from geoloom.operators import assess, coco, graph, grids, post, raster, spatial, tilesets
+from geoloom.operators import assess, coco, graph, grids, post, raster, shapes, spatial, tilesets
 from geoloom.sources import tables
 
 DET = "det_id long, d_x0 double, d_y0 double, d_x1 double, d_y1 double, det_class int, score double, image string, year_det int, dataset string"
@@ -76,6 +76,42 @@ def test_polygon_measures():
     assert polygons.simplify(line, 0.1).tolist() == [[0, 0], [2, 0], [2, 2]]
 
 
+def test_clipped_parts_of_a_comb_equal_counting():
+    rng = np.random.default_rng(3)
+    teeth = [(x + d, y) for x in range(0, 12, 4) for d, y in ((0, 9), (2, 9), (2, 3), (4, 3))]
+    comb = np.array([(0, 0), (0, 9), *teeth[1:], (12, 0)], float)
+    solid = {(x, y) for x in range(12) for y in range(9) if y < 3 or x % 4 < 2}
+    for x0, y0, w, h in rng.integers(-1, 9, (200, 4)).tolist():
+        cells = {(x, y) for x, y in solid if x0 <= x < x0 + w + 1 and y0 <= y < y0 + h + 1}
+        groups, left = 0, set(cells)
+        while left:
+            groups, todo = groups + 1, [left.pop()]
+            while todo:
+                x, y = todo.pop()
+                near = {(x + 1, y), (x - 1, y), (x, y + 1), (x, y - 1)} & left
+                left -= near
+                todo += near
+        for ring in (comb, comb[::-1]):
+            parts = polygons.clip_box(ring, x0, y0, x0 + w + 1, y0 + h + 1)
+            assert math.isclose(sum(map(polygons.abs_area, parts)), len(cells)) and len(parts) == groups, (x0, y0, w, h)
+
+
+def test_clip_polygons_of_odd_rings(spark):
+    ring = lambda *p: [{"x": float(x), "y": float(y)} for x, y in p]
+    rows = [(1, ring((0, 0), (4, 0), (4, 4), (0, 4), (0, 0))), (2, None), (3, []), (4, ring((1, 1))), (5, ring((1, 1), (3, 1), (1, 1))), (6, ring((8, 0), (12, 0), (12, 4)))]
+    shapes_ = spark.createDataFrame(rows, f"id int, ring {polygons.RING}")
+    tiles = spark.createDataFrame([("a", 0, 0, 8, 8), ("b", 2, 2, 3, 3), ("c", None, 0, 8, 8)], "tile string, x0 int, y0 int, x1 int, y1 int")
+    box = ("x0", "y0", "x1", "y1")
+    found = shapes.clip_polygons(shapes_, "ring", tiles, box, cell=4)
+    assert sorted((r.id, r.tile, r.part, r.part_area) for r in found.collect()) == [(1, "a", 0, 16.0), (1, "b", 0, 1.0)]
+    assert shapes.clip_polygons(shapes_.where("false"), "ring", tiles, box).count() == 0
+    assert [r.tile for r in shapes.boxes_in_polygons(tiles, box, "tile", shapes_, "ring").collect()] == ["b"]
+    assert sorted(r.tile for r in shapes.boxes_in_polygons(tiles, box, "tile", shapes_, "ring", how="left_anti").collect()) == ["a", "c"]
+    flat = shapes_.select("id", geometry.repaired_ring(F.col("ring")).alias("r")).where("r IS NOT NULL")
+    assert sorted(r.id for r in flat.collect()) == [1, 6]
+    assert len(shapes_.select(polygons.simplified(0.1)("ring").alias("r")).where("r IS NOT NULL").collect()) == 5
+
+
 def test_polygon_iou_column(spark):
     ring = lambda *p: [{"x": float(x), "y": float(y)} for x, y in p]
     square = ring((0, 0), (2, 0), (2, 2), (0, 2), (0, 0))
