@@ -530,6 +530,96 @@ def grid_cells(spark, sf_dir):
     return grids.pixel_grid(images, "w", "h", 512, 64).select("key", "col", "row", "px0", "py0")
 
 
+@query(_with(EMPTY) + f""", cut AS (SELECT id, tile_kind, CASE tile_kind WHEN 'gt' THEN 700 WHEN 'fp' THEN 600 WHEN 'empty' THEN 800 END AS trn, {PLACE} % 1000 AS p FROM kinds)
+SELECT id, CASE WHEN trn IS NULL THEN 'oth' WHEN p < trn THEN 'trn' WHEN p < (trn + 1000) // 2 THEN 'val' ELSE 'tst' END AS dataset FROM cut""")
+def split_kinds(spark, sf_dir):
+    return tilesets.split_kinds(_few_kinds(spark, sf_dir), fractions={"gt": 0.7, "fp": 0.6, "empty": 0.8}).select("id", "dataset")
+
+
+def _tiles_sql(rule: str, years: str) -> str:
+    size = "CAST(0.002 AS DOUBLE)"
+    return f"""(SELECT DISTINCT x, unnest(generate_series(y0, y1)) AS y, year FROM (SELECT unnest(generate_series(CAST(floor((lon + 180) / 360 * 16384) AS BIGINT), CAST(floor((lon + {size} + 180) / 360 * 16384) AS BIGINT))) AS x,
+  {_rows_sql(f'(lat + {size})')} AS y0, {_rows_sql('lat')} AS y1, {years} AS year FROM ({POINTS}) WHERE {rule}))"""
+
+
+@query(
+    f"""WITH labels AS {_tiles_sql('event_id % 3 = 0', 'CAST(2018 + event_id % 4 AS INTEGER)')}, fps AS {_tiles_sql('event_id % 7 = 1', 'CAST(2018 + event_id % 4 AS INTEGER)')}, empties AS {_tiles_sql('event_id % 5 = 2', '2020')},
+every AS (SELECT * FROM labels UNION SELECT * FROM fps)
+SELECT '(' || year || ', ' || x || ', ' || y || ', 14)' AS id, year, EXISTS (SELECT 1 FROM every e WHERE e.x = t.x AND e.y = t.y) AS labelled, EXISTS (SELECT 1 FROM fps e WHERE e.x = t.x AND e.y = t.y) AS fp,
+  round(x / CAST(16384 AS DOUBLE) * 360 - 180, 7) AS west, round(degrees(2 * atan(exp(pi() * (1 - 2 * (y + 1) / CAST(16384 AS DOUBLE)))) - pi() / 2), 7) AS south FROM (SELECT * FROM every UNION SELECT * FROM empties) t"""
+)
+def tiling_job(spark, sf_dir):
+    """Labels, false positives and areas for empty tiles of several years."""
+    e = F.col("event_id")
+    boxes = fixtures.points(spark, sf_dir).select("event_id", F.col("lon").alias("west"), F.col("lat").alias("south"), (F.col("lon") + 0.002).alias("east"), (F.col("lat") + 0.002).alias("north"))
+    dated = boxes.withColumn("year", (2018 + e % 4).cast("int"))
+    found = grids.tiling(dated.where(e % 3 == 0), 14, dated.where(e % 7 == 1), boxes.where(e % 5 == 2), 2020)
+    return found.select("id", "year", "labelled", "fp", F.round("west", 7).alias("west"), F.round("south", 7).alias("south"))
+
+
+IMAGE_BOX = ("i_x0", "i_y0", "i_x1", "i_y1")
+IMAGES = """
+images AS (SELECT key, key * 1000 AS x0, CAST(0 AS DOUBLE) AS y0, key * 1000 + w * CAST(0.125 AS DOUBLE) AS x1, h * CAST(0.125 AS DOUBLE) AS y1, w, h FROM (SELECT CAST(p_partkey AS BIGINT) AS key, 1000 + CAST(p_partkey AS BIGINT) % 700 AS w, 800 + CAST(p_partkey AS BIGINT) % 300 AS h FROM part)),
+strips AS (SELECT key, x1, y1, x0, x1 + (CAST(ceil(w / CAST(256 AS DOUBLE)) AS BIGINT) * 256 - w) * CAST(0.125 AS DOUBLE) AS x2, y1 + (CAST(ceil(h / CAST(256 AS DOUBLE)) AS BIGINT) * 256 - h) * CAST(0.125 AS DOUBLE) AS y2 FROM images),
+padded AS (SELECT key, 10001 AS id_nodata_poly, CAST(x0 AS DOUBLE) AS n_x0, y1 AS n_y0, x2 AS n_x1, y2 AS n_y1 FROM strips UNION ALL SELECT key, 10002, x1, CAST(0 AS DOUBLE), x2, y1 FROM strips)"""
+
+
+def _images(spark: SparkSession, sf_dir: str) -> DataFrame:
+    w, h, zero = 1000 + F.col("key") % 700, 800 + F.col("key") % 300, F.lit(0.0)
+    return fixtures.tiles(spark, sf_dir).select("key", (F.col("key") * 1000).alias("i_x0"), zero.alias("i_y0"), (F.col("key") * 1000 + w * 0.125).alias("i_x1"), (h * 0.125).alias("i_y1"), w.alias("w"), h.alias("h"), F.lit(0.125).alias("pixel"))
+
+
+@query("WITH " + IMAGES + " SELECT * FROM padded")
+def padding_strips(spark, sf_dir):
+    found = grids.padding(_images(spark, sf_dir), IMAGE_BOX, "key", "w", "h", "pixel")
+    return found.withColumn("n_x0", F.col("n_x0").cast("double"))
+
+
+def _shared_sql(a: str, b: str) -> str:
+    return f"greatest(least({a}x1, {b}x1) - greatest({a}x0, {b}x0), 0) * greatest(least({a}y1, {b}y1) - greatest({a}y0, {b}y0), 0)"
+
+
+#: Holes in the images, which may overlap: their common part counts once. The strips beside an image overlap nothing.
+SUBTILES = f"""
+holes AS (SELECT key, 1 AS sign, x0, CAST(0 AS DOUBLE) AS y0, x0 + key % 100 AS x1, CAST(64 AS DOUBLE) AS y1 FROM images UNION ALL SELECT key, 1, x0 + 10, 32, x0 + 110, 96 FROM images WHERE key % 2 = 0
+  UNION ALL SELECT key, -1, x0 + 10, 32, x0 + key % 100, 64 FROM images WHERE key % 2 = 0 AND key % 100 > 10 UNION ALL SELECT key, 1, n_x0, n_y0, n_x1, n_y1 FROM padded),
+cells AS (SELECT key, side, x1 AS i_x1, y1 AS i_y1, x0 + c * side * CAST(0.125 AS DOUBLE) AS x0, r * side * CAST(0.125 AS DOUBLE) AS y0, x0 + (c + 1) * side * CAST(0.125 AS DOUBLE) AS x1, (r + 1) * side * CAST(0.125 AS DOUBLE) AS y1, c * side // 512 AS lc, r * side // 512 AS lr
+  FROM images, (SELECT unnest([512, 256]) AS side), (SELECT unnest(range(0, 8)) AS c), (SELECT unnest(range(0, 8)) AS r) WHERE c * side < w AND r * side < h),
+shares AS (SELECT c.*, 1 - coalesce((SELECT sum(sign * {_shared_sql('c.', 'h.')}) FROM holes h WHERE h.key = c.key), 0) / ((c.x1 - c.x0) * (c.y1 - c.y0)) AS open FROM cells c),
+large AS (SELECT * FROM shares WHERE side = 512 AND open > 0.5),
+kept AS (SELECT * FROM large UNION ALL SELECT * FROM shares s WHERE side = 256 AND open > 0.25 AND NOT EXISTS (SELECT 1 FROM large l WHERE l.key = s.key AND l.lc = s.lc AND l.lr = s.lr))"""
+
+
+@query("WITH " + ",".join([IMAGES, SUBTILES]) + " SELECT key, CAST(side AS INTEGER) AS side, '(' || CAST(round_even(x0, 0) AS BIGINT) || ', ' || CAST(round_even(y0, 0) AS BIGINT) || ', ' || key || ')' AS id, x0 AS c_x0, y0 AS c_y0, least(x1, i_x1) AS c_x1, least(y1, i_y1) AS c_y1 FROM kept")
+def sub_tiles(spark, sf_dir):
+    images = _images(spark, sf_dir)
+    box = lambda *b: [F.lit(v).cast("double").alias(n) if not hasattr(v, "cast") else v.cast("double").alias(n) for v, n in zip(b, grids.HOLE_BOX, strict=True)]
+    low, more = F.col("i_x0"), F.col("key") % 100
+    holes = images.select("key", *box(low, 0, low + more, 64)).unionByName(images.where("key % 2 = 0").select("key", *box(low + 10, 32, low + 110, 96)))
+    strips = padding_strips(spark, sf_dir).drop("id_nodata_poly")
+    return grids.sub_tiles(images, IMAGE_BOX, "key", "w", "h", "pixel", holes.unionByName(strips), cell=64)
+
+
+@query("SELECT CAST(event_id AS BIGINT) AS event_id, event_id || '_' || CAST(round_even(lon * 8, 0) AS BIGINT) || '_' || CAST(round_even(lat, 0) AS BIGINT) || '.tif' AS name FROM (" + POINTS + ")")
+def box_names(spark, sf_dir):
+    return fixtures.points(spark, sf_dir).select("event_id", names.box_name(F.col("event_id"), F.col("lon") * 8, F.col("lat")).alias("name"))
+
+
+@query(_with() + " SELECT id, 'https://tiles/' || year_tile || '/18/' || tx || '/' || ty || '.jpeg' AS url, year_tile || '_18_' || tx || '_' || ty || '.jpg' AS img_file FROM (SELECT *, 2015 + key % 6 AS year_tile FROM tiles)")
+def xyz_tasks(spark, sf_dir):
+    tiles = fixtures.tiles(spark, sf_dir).select("id", F.col("tx").alias("x"), F.col("ty").alias("y"), F.lit(18).alias("z"), (2015 + F.col("key") % 6).alias("year_tile"))
+    return connectors.xyz_tasks(tiles, "https://tiles/{year}/{z}/{x}/{y}.jpeg", "multi-year").select("id", "url", "img_file")
+
+
+@query(_with() + " SELECT CAST(row_number() OVER (ORDER BY turn, key) - 1 AS INTEGER) AS det_id, key, dataset, CAST((x1 - x0) * (y1 - y0) AS BIGINT) AS area, score FROM (SELECT 0 AS turn, det_id AS key, 'oth' AS dataset, d_x0 AS x0, d_y0 AS y0, d_x1 AS x1, d_y1 AS y1, score FROM dets UNION ALL SELECT 1, label_id, 'trn', l_x0, l_y0, l_x1, l_y1, NULL FROM labels)")
+def stacked_detections(spark, sf_dir):
+    """A set with scores before one without; positions run through both."""
+    box = ("x0", "y0", "x1", "y1")
+    dets = fixtures.detections(spark, sf_dir).select(F.col("det_id").alias("key"), *(F.col(f"d_{c}").alias(c) for c in box), "score")
+    labels = fixtures.labels(spark, sf_dir).select(F.col("label_id").alias("key"), *(F.col(f"l_{c}").alias(c) for c in box))
+    return enrich.stack_detections({"oth": dets, "trn": labels}, "key", box).select("det_id", "key", "dataset", "area", "score")
+
+
 CLIP = f"""
 clipped AS (SELECT id, label_id, category, t_x0, t_y1, greatest(t_x0, l_x0) AS c_x0, greatest(t_y0, l_y0) AS c_y0, least(t_x1, l_x1) AS c_x1, least(t_y1, l_y1) AS c_y1 FROM tiles JOIN labels ON {MEET}),
 parts AS (SELECT * FROM clipped WHERE c_x1 > c_x0 AND c_y1 > c_y0)"""
@@ -630,6 +720,24 @@ def cluster_median(spark, sf_dir):
     return post.cluster(fixtures.detections(spark, sf_dir).withColumn("scale", F.lit(500)))
 
 
+CLUSTERED = """
+left_over AS (SELECT d.*, component, det_id IN (SELECT id FROM tied) AS tied FROM dets d JOIN named USING (det_id) WHERE det_id NOT IN (SELECT det_id FROM gone)),
+ids AS (SELECT component, CAST(row_number() OVER (ORDER BY component) AS INTEGER) AS cluster_id FROM (SELECT DISTINCT component FROM named WHERE det_id IN (SELECT id FROM tied))),
+single AS (SELECT det_id, CAST(NULL AS INTEGER) AS cluster_id, dataset, score, det_class, image, d_x0, d_y0, d_x1, d_y1 FROM left_over WHERE NOT tied),
+members AS (SELECT * FROM left_over JOIN ids USING (component) WHERE tied)"""
+ONE = "median(score) AS score, min(det_class) AS det_class, arg_min(image, det_id) AS image, min(d_x0) AS d_x0, min(d_y0) AS d_y0, max(d_x1) AS d_x1, max(d_y1) AS d_y1 FROM members"
+
+
+@query("WITH RECURSIVE " + ",".join([SQL, CLUSTER, CLUSTERED]) + f" SELECT * FROM single UNION ALL SELECT cluster_id + (SELECT max(det_id) FROM left_over), cluster_id, NULL, {ONE} GROUP BY cluster_id")
+def cluster_dissolved(spark, sf_dir):
+    return post.dissolve_clusters(fixtures.detections(spark, sf_dir).withColumn("scale", F.lit(500))).drop("scale")
+
+
+@query("WITH RECURSIVE " + ",".join([SQL, CLUSTER, CLUSTERED]) + f" SELECT * FROM single UNION ALL SELECT min(det_id), cluster_id, dataset, {ONE} GROUP BY cluster_id, dataset")
+def cluster_datasets(spark, sf_dir):
+    return post.dissolve_clusters(fixtures.detections(spark, sf_dir).withColumn("scale", F.lit(500)), keep_datasets=True).drop("scale")
+
+
 @query(
     """WITH v AS (SELECT vec_id, list_transform(embedding, lambda x: CAST(x AS DOUBLE)) AS v FROM embeddings),
 m AS (SELECT *, list_reduce(v, lambda a, b: a + b, CAST(0 AS DOUBLE)) / len(v) AS mean FROM v)

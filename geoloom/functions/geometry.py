@@ -149,6 +149,14 @@ def mercator_tile(lon: Column, lat: Column, zoom: int) -> tuple[Column, Column]:
     return x, y
 
 
+def tile_degrees(x: Column, y: Column, zoom: int) -> list[Column]:
+    """West, south, east and north of a Web Mercator tile."""
+    n = float(1 << zoom)
+    lon = lambda c: c / n * 360.0 - 180.0
+    lat = lambda c: F.degrees(2 * F.atan(F.exp(F.pi() * (1 - 2 * c / n))) - F.pi() / 2)
+    return [lon(x), lat(y + 1), lon(x + 1), lat(y)]
+
+
 # The base-32 alphabet of geohashes.
 GEOHASH = "0123456789bcdefghjkmnpqrstuvwxyz"
 

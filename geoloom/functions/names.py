@@ -35,6 +35,16 @@ def title_to_id(title: Column, year: Column | None = None) -> Column:
     return F.when(title.rlike(TITLE), F.concat(lead, F.concat_ws(", ", *part), F.lit(")")))
 
 
+def box_name(number: Column, x: Column, y: Column) -> Column:
+    """The file name of a box: its number and the whole coordinates of its lower left corner, halves to the even side."""
+    return F.format_string("%s_%d_%d.tif", number.cast("string"), F.bround(x).cast("long"), F.bround(y).cast("long"))
+
+
+def tile_file(x: Column, y: Column, z: Column, suffix: Column, year: Column | None = None) -> Column:
+    """z_x_y.suffix, after a year if there is one."""
+    return F.concat(F.concat_ws("_", *(c.cast("string") for c in ((year,) if year is not None else ()) + (z, x, y))), F.lit("."), suffix)
+
+
 def image_format(url: Column) -> Column:
     """png, jpg or tif, whichever an address names first in this order; null if none."""
     u = F.lower(url)

@@ -35,9 +35,9 @@ def union_area(df: DataFrame, box: Box, by: Sequence[str] = (), cell: float = 25
     return met.withColumn("_area", height * (F.col("_t") - F.col("_s"))).groupBy(*by).agg(F.sum("_area").alias("area"))
 
 
-def uncovered(cells: DataFrame, cell_box: Box, key: str, cover: DataFrame, cover_box: Box) -> DataFrame:
-    """(key, share): the share of each cell that no box of cover covers; a cell without area has none (null)."""
-    pairs = spatial_join(cells.select(key, *cell_box), cell_box, cover.select(*cover_box), cover_box, 128)
+def uncovered(cells: DataFrame, cell_box: Box, key: str, cover: DataFrame, cover_box: Box, on: Sequence[tuple[str, str]] = (), cell: float = 128) -> DataFrame:
+    """(key, share): the share of each cell that no box of cover, of equal columns on, covers; without area it is null."""
+    pairs = spatial_join(cells.select(key, *cell_box, *(a for a, _ in on)), cell_box, cover.select(*cover_box, *(b for _, b in on)), cover_box, cell, on)
     inner = dict(zip(("_i0", "_i1", "_i2", "_i3"), box_intersection(cell_box, cover_box), strict=True))
     covered = union_area(pairs.withColumns(inner), tuple(inner), [key])
     own = cells.select(key, box_area(cell_box).alias("_own")).join(covered, key, "left")

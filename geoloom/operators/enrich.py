@@ -9,7 +9,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from geoloom.functions.geometry import Box, box_area
 from geoloom.operators.assess import FN
+from geoloom.operators.coco import number
 from geoloom.sources.tables import assert_unique
 
 # The longest perimeter of a plan's outline for each scale; longer ones are of the last scale.
@@ -65,6 +67,19 @@ def confusion_table(tagged: DataFrame, names: list[str], truth: str = "CATEGORY"
     return sides.groupBy("dataset", "true_class").pivot("found", [*names, MISSED]).count().na.fill(0)
 
 
+def stack_detections(sets: dict[str, DataFrame], key: str, box: Box) -> DataFrame:
+    """The rows of all sets by name, with dataset, area and det_id from 0 by the sets' order and key; year_det whole.
+
+    A column that a set lacks is null there.
+    """
+    out = None
+    for turn, (name, rows) in enumerate(sets.items()):
+        one = rows.drop("dataset", "area", "det_id").withColumns({"dataset": F.lit(name), "_turn": F.lit(turn), "_all": F.lit(0)})
+        out = one if out is None else out.unionByName(one, allowMissingColumns=True)
+    out = number(out.withColumn("area", box_area(box)), "_all", "_turn", key, name="det_id").withColumn("det_id", F.col("det_id") - 1).drop("_turn", "_all")
+    return out.withColumn("year_det", F.col("year_det").cast("int")) if "year_det" in out.columns else out
+
+
 def drop_missed(tagged: DataFrame) -> DataFrame:
     """The rows that a detection stands behind; a table without tags as it is."""
     return tagged.where(F.col("tag") != FN) if "tag" in tagged.columns else tagged

@@ -7,8 +7,10 @@ from pyspark.sql import functions as F
 
 from geoloom.functions.geometry import box_area, box_iou
 from geoloom.operators.assess import DET_BOX
+from geoloom.operators.coco import number
 from geoloom.operators.graph import connected_components
 from geoloom.operators.spatial import spatial_join
+from geoloom.storage import cut_lineage
 
 OVERLAP = 0.5
 OTHER_BOX = ("o_x0", "o_y0", "o_x1", "o_y1")
@@ -60,12 +62,12 @@ def merge_adjacent(dets: DataFrame, distance: float, by: str = "year_det") -> Da
     return out.select("component", by, (-F.col("b.low")).alias("det_class"), (F.col("score") / F.col("n")).alias("score"), "n", "m_x0", "m_y0", "m_x1", "m_y1")
 
 
-def cluster(dets: DataFrame, reach: float = 0.1, duplicate_iou: float = 0.75) -> DataFrame:
-    """Clusters of equal class over different images: (component, det_class, n, score (median), scale (highest)).
+def clustered(dets: DataFrame, reach: float = 0.1, duplicate_iou: float = 0.75) -> DataFrame:
+    """dets with component (groups()), tied (it is in a cluster) and gone (it is a duplicate).
 
-    Boxes grown by reach must meet. Of two detections of one image that overlap by more than duplicate_iou the one
-    outside all clusters goes, else the one of the lower score; at equal scores the higher id goes. The overlap is that of
-    the grown box of the higher id and the plain one of the lower.
+    Clusters are of equal class over different images; boxes grown by reach must meet. Of two detections of one image
+    that overlap by more than duplicate_iou the one outside all clusters goes, else the one of the lower score; at equal
+    scores the higher id goes. The overlap is that of the grown box of the higher id and the plain one of the lower.
     """
     x0, y0, x1, y1 = DET_BOX
     grown = dets.withColumns({x0: F.col(x0) - reach, y0: F.col(y0) - reach, x1: F.col(x1) + reach, y1: F.col(y1) + reach})
@@ -80,8 +82,41 @@ def cluster(dets: DataFrame, reach: float = 0.1, duplicate_iou: float = 0.75) ->
     same = pairs.where((F.col("image") == F.col("o_image")) & (F.col("iou") > duplicate_iou)).join(flag("det_id"), "det_id", "left").join(flag("o_id"), "o_id", "left")
     a, b = F.coalesce("in_det_id", F.lit(False)), F.coalesce("in_o_id", F.lit(False))
     worse = F.when(a & ~b, F.col("o_id")).when(b & ~a, F.col("det_id")).when(F.col("score") > F.col("o_score"), F.col("o_id")).otherwise(F.col("det_id"))
-    left = named.join(same.select(worse.alias("det_id")).distinct(), "det_id", "left_anti")
-    return left.groupBy("component", "det_class").agg(F.count(F.lit(1)).alias("n"), F.median("score").alias("score"), F.max("scale").alias("scale"))
+    gone = same.select(worse.alias("det_id"), F.lit(True).alias("gone")).distinct()
+    flags = tied.withColumn("tied", F.lit(True))
+    out = named.join(flags, "det_id", "left").join(gone, "det_id", "left")
+    return out.withColumns({c: F.coalesce(c, F.lit(False)) for c in ("tied", "gone")})
+
+
+def cluster(dets: DataFrame, reach: float = 0.1, duplicate_iou: float = 0.75) -> DataFrame:
+    """The clusters of clustered() and single detections: (component, det_class, n, score (median), scale (highest))."""
+    return clustered(dets, reach, duplicate_iou).where("NOT gone").groupBy("component", "det_class").agg(F.count(F.lit(1)).alias("n"), F.median("score").alias("score"), F.max("scale").alias("scale"))
+
+
+def dissolve_clusters(dets: DataFrame, keep_datasets: bool = False, reach: float = 0.1, duplicate_iou: float = 0.75) -> DataFrame:
+    """Single detections as they are, and one for each cluster of clustered(), or for each of its datasets.
+
+    (det_id, cluster_id, dataset, score, det_class, image, scale, d_x0..d_y1): clusters are numbered from 1 by their least
+    det_id; score is the median, scale the highest, image that of the lowest det_id, the box the common bounds. det_id
+    goes on after the highest one, with keep_datasets it is the lowest of the group; dataset is null without it. Single
+    detections have no cluster_id.
+    """
+    found = cut_lineage(clustered(dets, reach, duplicate_iou))
+    left = found.where("NOT gone")
+    columns = ["det_id", "cluster_id", "dataset", "score", "det_class", "image", "scale", *DET_BOX]
+    single = left.where("NOT tied").withColumn("cluster_id", F.lit(None).cast("int"))
+    clusters = found.where("tied").select(F.lit(0).alias("_all"), "component").distinct()
+    joined = left.where("tied").join(number(clusters, "_all", "component", name="cluster_id").drop("_all"), "component")
+    by = ["cluster_id", "dataset"] if keep_datasets else ["cluster_id"]
+    bounds = zip((F.min, F.min, F.max, F.max), DET_BOX, strict=True)
+    one = joined.groupBy(*by).agg(
+        F.median("score").alias("score"), F.min("det_class").alias("det_class"), F.min_by("image", "det_id").alias("image"), F.max("scale").alias("scale"),
+        F.min("det_id").alias("det_id"), *(f(c).alias(c) for f, c in bounds),
+    )
+    if not keep_datasets:
+        last = left.agg(F.max("det_id")).first()[0] or 0  # one row
+        one = one.withColumn("det_id", F.col("cluster_id") + F.lit(last)).withColumn("dataset", F.lit(None).cast("string"))
+    return single.select(*columns).unionByName(one.select(*columns))
 
 
 def filter_detections(dets: DataFrame, score: float | None = None, area: float | None = None) -> DataFrame:

@@ -57,9 +57,24 @@ def split(tiles: DataFrame, key: str = "key", by: str | None = None, frac_trn: f
     fractions as nearly as the places spread. by adds its value to the seed, so kinds of tiles split on their own.
     """
     salt = F.lit(seed) if by is None else F.lit(seed) + F.crc32(F.col(by).cast("string")) % 1000
-    at = place(F.col(key), salt) % places
+    return tiles.withColumn("dataset", _cut(place(F.col(key), salt) % places, frac_trn, frac_left_val, places))
+
+
+def _cut(at: Column, frac_trn: float, frac_left_val: float, places: int) -> Column:
     trn, val = round(frac_trn * places), round((frac_trn + (1 - frac_trn) * frac_left_val) * places)
-    return tiles.withColumn("dataset", F.when(at < trn, "trn").when(at < val, "val").otherwise("tst"))
+    return F.when(at < trn, "trn").when(at < val, "val").otherwise("tst")
+
+
+def split_kinds(kinds: DataFrame, key: str = "key", fractions: dict[str, float] | None = None, frac_left_val: float = 0.5, seed: int = 1, places: int = 1000) -> DataFrame:
+    """kinds (tile_kinds()) with dataset: each kind of fractions is cut by its own share for training with the same seed.
+
+    Without fractions, ground truth, false positives and empty tiles give 0.7. Tiles of another kind are in the set oth.
+    """
+    shares = {"gt": 0.7, "fp": 0.7, "empty": 0.7} if fractions is None else fractions
+    at, dataset = place(F.col(key), seed) % places, F.lit("oth")
+    for kind, share in shares.items():
+        dataset = F.when(F.col("tile_kind") == kind, _cut(at, share, frac_left_val, places)).otherwise(dataset)
+    return kinds.withColumn("dataset", dataset)
 
 
 def split_exact(tiles: DataFrame, seed: int = 1, frac_trn: float = 0.7, frac_left_val: float = 0.5, max_tiles: int = 1_000_000) -> DataFrame:

@@ -5,7 +5,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from geoloom.config import MULTI, check_tile_year
 from geoloom.functions.geometry import Box
+from geoloom.functions.names import fill_address, image_format, tile_file
 
 
 def _text(box: Box) -> Column:
@@ -24,6 +26,19 @@ def export_request(box: Box, epsg: int, width: int, height: int, image: str = "t
     return F.map_concat(F.create_map(F.lit("bbox"), _text(box)), F.create_map(*(F.lit(v) for kv in fixed.items() for v in kv)))
 
 
+def xyz_tasks(tiles: DataFrame, template: str, year: int | str | None = None) -> DataFrame:
+    """tiles (x, y, z, and year_tile for several years) with url and img_file, as the source's addresses are made.
+
+    The image's format is the one that the address names; an address without one is an error.
+    """
+    used = check_tile_year("XYZ", year, tiles.columns)
+    when = F.col("year_tile") if used == MULTI else F.lit(used)
+    values = {c: F.col(c) for c in ("x", "y", "z")} | ({"year": when} if used is not None else {})
+    url = fill_address(template, **values)
+    suffix = F.coalesce(image_format(url), F.raise_error(F.concat(F.lit("no image format in "), url)))
+    return tiles.withColumn("url", url).withColumn("img_file", tile_file(F.col("x"), F.col("y"), F.col("z"), suffix, when if used == MULTI else None))
+
+
 def folder_files(tasks: DataFrame, files: DataFrame, name: str = "img_file") -> DataFrame:
     """tasks with path, that of the file of this base name; a task without a file has null, of several the first path stays."""
     found = files.groupBy(F.substring_index("path", "/", -1).alias("_base")).agg(F.min("path").alias("path"))

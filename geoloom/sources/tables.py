@@ -7,11 +7,17 @@ from pyspark.sql import functions as F
 
 
 def read_geojson(spark: SparkSession, path: str, properties: str) -> DataFrame:
-    """A row for each feature of the files: the properties (a DDL schema) and ring, the outer outline of a polygon."""
-    feature = f"features array<struct<properties:struct<{properties}>,geometry:struct<type:string,coordinates:array<array<array<double>>>>>>"
+    """A row for each feature of the files: the properties (a DDL schema) and ring, the outer outline of a polygon.
+
+    A multi-polygon gives a row for each of its parts; features of other shapes have a null ring.
+    """
+    feature = f"features array<struct<properties:struct<{properties}>,geometry:struct<type:string,coordinates:string>>>"
     rows = spark.read.schema(feature).option("multiLine", True).json(path).select(F.explode("features").alias("f"))
-    ring = F.transform(F.get(F.col("f.geometry.coordinates"), F.lit(0)), lambda p: F.struct(p[0].alias("x"), p[1].alias("y")))
-    return rows.select("f.properties.*", ring.alias("ring"))
+    kind, text = F.col("f.geometry.type"), F.col("f.geometry.coordinates")
+    rings = "array<array<array<double>>>"
+    parts = F.when(kind == "MultiPolygon", F.from_json(text, f"array<{rings}>")).when(kind == "Polygon", F.array(F.from_json(text, rings)))
+    ring = F.transform(F.get("part", F.lit(0)), lambda p: F.struct(p[0].alias("x"), p[1].alias("y")))
+    return rows.select("f.properties", F.explode_outer(parts).alias("part")).select("properties.*", ring.alias("ring"))
 
 
 def to_geojson(df: DataFrame, ring: str = "ring") -> DataFrame:
@@ -31,6 +37,14 @@ def normalise_categories(labels: DataFrame) -> DataFrame:
     return labels if "SUPERCATEGORY" in labels.columns else labels.withColumn("SUPERCATEGORY", F.lit("foo"))
 
 
+def label_table(spark: SparkSession, labels: DataFrame | None) -> DataFrame:
+    """Labels with categories normalised and year as a whole year_label; None is an empty table."""
+    if labels is None:
+        return spark.createDataFrame([], "CATEGORY string, SUPERCATEGORY string")
+    named = normalise_categories(labels)
+    return named.withColumn("year_label", F.col("year").cast("int")).drop("year") if "year" in named.columns else named
+
+
 METADATA = "width int, height int, year int, extent struct<xmin:double,ymin:double,xmax:double,ymax:double,spatialReference:struct<latestWkid:string>>"
 
 
@@ -50,6 +64,14 @@ def upsert_names(known: DataFrame, new: DataFrame, key: str) -> DataFrame:
     return known.unionByName(new.join(known.select(key), key, "left_anti"), allowMissingColumns=True)
 
 
+def add_names(known: DataFrame, new: DataFrame, key: str, name: str) -> DataFrame:
+    """A table of names after another step: new's rows that known lacks if it has the step's column name already, else that
+    column joined by key; a row that new lacks has null."""
+    if name in known.columns:
+        return upsert_names(known, new, name)
+    return known.join(new.select(key, name), key, "left")
+
+
 def fetch(tasks: DataFrame, get, schema: str) -> DataFrame:
     """What get(row) returns for each task, fetched in the tasks; None counts as failed and gives no row."""
     import pandas as pd
