@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from geoloom.config import check_empty_years, check_false_years
 from geoloom.functions.geometry import Box, mercator_tile, tile_degrees
 from geoloom.operators.coverage import coverage_test, uncovered
+from geoloom.storage import cut_lineage
 
 DEGREES = ("west", "south", "east", "north")
 CELL_BOX = ("c_x0", "c_y0", "c_x1", "c_y1")
@@ -103,7 +104,7 @@ def sub_tiles(
 
     free = lambda cells, cover: uncovered(cells, CELL_BOX, "_cell", cover, HOLE_BOX, [(key, "_image")], cell)
     large, small = level(0), level(1)
-    large = large.join(coverage_test(free(large, holes), limits[0]).select("_cell"), "_cell", "left_semi")
+    large = cut_lineage(large.join(coverage_test(free(large, holes), limits[0]).select("_cell"), "_cell", "left_semi"))  # read three times
     under = large.select(F.col(key).alias("_image"), *(F.col(c).alias(n) for c, n in zip(CELL_BOX, HOLE_BOX, strict=True)))
     off = free(small, under).withColumnRenamed("share", "_off")
     open_ = free(small, holes.unionByName(under)).withColumnRenamed("share", "_open")
