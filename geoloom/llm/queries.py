@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from geoloom.llm import bpe_codec, fertility, fingerprints, language_id, line_dedup, mixing, ngram_join, token_counts, token_index, toxicity
+from geoloom.llm import bpe_codec, conversation_repair, fertility, fingerprints, language_id, line_dedup, mixing, ngram_join, sentence_pieces, token_counts, token_index, toxicity, whitening
 
 
 def vocabulary(name: str) -> str:
@@ -60,13 +60,26 @@ def op10_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe_codec.round_trip(documents(spark, sf_dir), vocabulary("byte_bpe_multi_50k.tiktoken"))
 
 
+def op11_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whitened_digest(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
+
+
+def op12_piece_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sentence_pieces.round_trip(documents(spark, sf_dir), vocabulary("piece_bpe_32k.model"))
+
+
+def op13_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return conversation_repair.repair_damaged(spark.read.parquet(f"{sf_dir}/conversations.parquet"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     every = (
         op1_toxicity, op2_fertility_rules, op3_source_mixing, op4_line_dedup, op5_order_minhash,
         op6_ngram_jaccard_join, op7_language_id, op8_token_counts, op9_token_index, op10_bpe_round_trip,
+        op11_whitening, op12_piece_round_trip, op13_conversation_repair,
     )
     return {f.__name__: f for f in every}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op3_source_mixing": mixing.oracle(), "op4_line_dedup": line_dedup.oracle(), "op6_ngram_jaccard_join": ngram_join.oracle()}
+    return {"op3_source_mixing": mixing.oracle(), "op4_line_dedup": line_dedup.oracle(), "op6_ngram_jaccard_join": ngram_join.oracle(), "op13_conversation_repair": conversation_repair.oracle()}
