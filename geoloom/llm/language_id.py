@@ -1,8 +1,8 @@
 """Language ID: sparse multinomial logistic regression on TF-IDF character n-grams.
 
 Document frequencies are counted over all labelled rows. The regression is fitted by follow-the-regularised-leader with
-elastic-net penalties on a sample of labelled rows bounded by TRAIN_PER_LANGUAGE, and one part of the sample that
-it doesn't see sets the temperature of the softmax.
+elastic-net penalties on a sample of labelled texts bounded by TRAIN_PER_LANGUAGE, TRAIN_TEXTS and MAX_LANGUAGES, and one
+part of the sample that it doesn't see sets the temperature of the softmax.
 """
 
 from __future__ import annotations
@@ -21,6 +21,12 @@ from geoloom.llm.vectors import summed
 BUCKETS = 1 << 15
 #: Labelled texts that a language gives to the fit at most: those of the least hash, each once.
 TRAIN_PER_LANGUAGE = 600
+#: Labelled texts that all languages give together, one of each at least, and languages that the fit learns at most: those
+#: of the most different texts. Values of a dirty column beyond them are not learned.
+TRAIN_TEXTS = 12_000
+MAX_LANGUAGES = 256
+#: Hashes are thinned out in so many steps.
+STEPS = 1 << 20
 EPOCHS = 3
 ALPHA, BETA, L1, L2 = 0.5, 1.0, 0.05, 0.01
 UNKNOWN = "und"
@@ -124,15 +130,19 @@ def remainder(id_col: str, m: int) -> Column:
 
 
 def train(labelled: DataFrame, lang_col: str = "lang", text_col: str = "text") -> Model:
-    """A model from the rows of labelled whose language is not null. Without any, it knows no language.
+    """A model from the rows of labelled whose language is not null. Without any text it knows no language.
 
-    What the driver holds grows by 1 MB with each language.
+    Every language with a text that has a letter is learned, up to MAX_LANGUAGES, however often its texts repeat: equal
+    texts count once in the fit. The driver holds half a MB for each language and the vectors of TRAIN_TEXTS texts.
     """
     rows = labelled.select(F.col(lang_col).cast("string").alias("lang"), F.col(text_col).cast("string").alias("text")).where("lang IS NOT NULL")
-    sizes = rows.groupBy("lang").count()
-    languages = sorted(row.lang for row in sizes.collect())
+    place = F.xxhash64("text")
+    sizes = rows.where(F.col("text").rlike(r"\p{L}")).groupBy("lang").agg(F.approx_count_distinct(place, 0.02).alias("texts"))
+    most = sizes.orderBy(F.desc("texts"), "lang").limit(MAX_LANGUAGES).collect()
+    languages = sorted(row.lang for row in most)
     if not languages:
         return Model.of([], np.ones(BUCKETS), np.zeros((0, BUCKETS), np.float32), 1.0)
+    wanted = min(TRAIN_PER_LANGUAGE, max(1, TRAIN_TEXTS // len(languages)))
 
     def fill(batch: pa.RecordBatch, total: np.ndarray) -> None:
         for text in batch.column(0):
@@ -142,12 +152,13 @@ def train(labelled: DataFrame, lang_col: str = "lang", text_col: str = "text") -
     df = summed(rows.select("text"), fill, BUCKETS + 1)
     idf = np.log((1 + df[BUCKETS]) / (1 + df[:BUCKETS])) + 1
 
-    # A share of each language's hashes that holds a few more texts than wanted, then the least of these.
-    place = F.xxhash64("text")
-    near = rows.join(F.broadcast(sizes), "lang").where(F.pmod(place, F.lit(1 << 20)) * F.col("count") < int(1.25 * TRAIN_PER_LANGUAGE * (1 << 20)))  # a row for each language
+    # A share of each language's hashes that holds half as many texts again as wanted, then the least of these.
+    shares = labelled.sparkSession.createDataFrame([(row.lang, min(STEPS, STEPS * (3 * wanted // 2 + 20) // max(row.texts, 1))) for row in most], "lang string, share long")
+    own = F.pmod(place, F.lit(STEPS))
+    near = rows.where(F.col("text").rlike(r"\p{L}")).join(F.broadcast(shares), "lang").where(own < F.col("share"))  # MAX_LANGUAGES rows
     near = near.select("lang", "text", place.alias("place")).dropDuplicates(["lang", "place"])
-    turn = F.row_number().over(Window.partitionBy("lang").orderBy(F.pmod("place", F.lit(1 << 20)), "place"))
-    drawn = near.withColumn("turn", turn).where(F.col("turn") <= TRAIN_PER_LANGUAGE)
+    turn = F.row_number().over(Window.partitionBy("lang").orderBy(F.pmod("place", F.lit(STEPS)), "place"))
+    drawn = near.withColumn("turn", turn).where(F.col("turn") <= wanted)
 
     def vectors(batches):
         for batch in batches:
@@ -163,7 +174,12 @@ def train(labelled: DataFrame, lang_col: str = "lang", text_col: str = "text") -
             values = np.log1p(np.frombuffer(row.counts, "<u4")) * idf[at]
             sample.append((languages.index(row.lang), at, values / np.sqrt(values @ values)))
     sample.sort(key=lambda r: (r[0], len(r[1]), r[1].tobytes()))
-    kept, held = [r for k, r in enumerate(sample) if k % 5], sample[::5]
+    # A fifth of each language is held back, but no language's last text.
+    count = dict.fromkeys(range(len(languages)), 0)
+    kept, held = [], []
+    for row in sample:
+        (held if count[row[0]] % 5 == 4 else kept).append(row)
+        count[row[0]] += 1
     weights = fit_ftrl(kept, len(languages))
     temperature = fit_temperature([weights[:, at] @ values for _, at, values in held], [y for y, _, _ in held]) if held else 1.0
     del sample, kept, held
@@ -191,7 +207,12 @@ def identify(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame
 
 
 def predict_languages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> DataFrame:
-    """(id, held_out, lang_pred, score): trained on the rows with crc32(id) mod 3 other than 1, predicted for all."""
+    """(id, held_out, lang_pred, score): trained on the rows with crc32(id) mod 3 other than 1, predicted for all.
+
+    Null and empty texts and those without a letter get und and 0, as all do if no language can be learned. Null ids
+    count as empty text; they and repeated rows are rows like others, whose equal texts get equal predictions; other columns
+    are not read; an empty table gives an empty result.
+    """
     model = train(docs.where(remainder(id_col, 3) != 1), lang_col, text_col)
     rows = docs.select(id_col, (remainder(id_col, 3) == 1).alias("held_out"), text_col)
     return identify(rows, model, text_col).drop(text_col)
