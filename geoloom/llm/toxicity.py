@@ -3,10 +3,11 @@
 Tokens are words and their inner letter runs of five. Log-odds of toxic against other labelled texts have a Dirichlet
 prior at the tokens' overall shares. A word scores the best lower bound among its tokens that are significant; any other
 common word scores its upper bound where that is below -DRIFT, and all else costs DRIFT, so that chance segments stay
-short. A linear scan finds all maximal scoring segments of a text. Tokens chosen on four fifths of the labelled texts give,
-on the fifth that they haven't seen, the extreme-value law of the best segment of a text that is not toxic; the tokens
-of all of them are then scored by that law. A segment counts if that law expects it
-at most LEVEL times in so many words, and a logistic fit turns what a text's segments exceed the law by into a score.
+short. A linear scan finds all maximal scoring segments of a text. Tokens chosen on four fifths of the labelled texts
+give, on the fifth that they haven't seen, the extreme-value law of the best segment of a text that is not toxic. The
+same rule then chooses tokens on all of them, and these are scored by that law: a few more words score than it was
+fitted to, each by stronger evidence. A segment counts if the law expects it at most LEVEL times in so many words, and a
+logistic fit turns what a text's segments exceed the law by into a score.
 """
 
 from __future__ import annotations
@@ -23,8 +24,8 @@ from pyspark.sql import functions as F
 from geoloom.llm.language_id import remainder
 from geoloom.storage import cut_lineage
 
-#: Labelled rows with a text that the fit takes at most: those of the least id hash. One in CALIBRATE of them sets the
-#: extreme-value law and the score of tokens that are chosen on the others.
+#: Labelled rows that the fit takes at most: one of each id, those of the least id hash. One in CALIBRATE of them sets
+#: the extreme-value law of tokens that are chosen on the others.
 TRAIN_ROWS = 40_000
 CALIBRATE = 5
 #: A word in so large a share of the texts has a score of its own even if it is not significant.
@@ -32,6 +33,8 @@ COMMON = 0.005
 #: A segment counts if so many or fewer like it are expected in a text of this length that is not toxic.
 LEVEL = 0.05
 PRIOR_SHARE = 0.04
+#: Prior of the texts without a token at least, as a share of all.
+LEAST_PRIOR = 1e-6
 SIGNIFICANT = 2.8
 #: Least lower bound of the log-odds of a scoring token: weaker ones follow topics and styles.
 LEAST = 3.5
@@ -170,13 +173,16 @@ def logistic(x: np.ndarray, y: np.ndarray, ridge: float = 0.1) -> tuple[float, f
 
 
 def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic") -> Model:
-    """A model from the labelled rows of docs. Null labels don't count, and of several labels of an id the highest does;
-    without both labels every text scores near the one there is (0 if there is none)."""
+    """A model from the labelled rows of docs. Null labels don't count, and of several labels of an id the highest does,
+    of several texts of an id the one of the least hash; without both labels every text scores near the one there is
+    (0 if there is none). A token of all labelled texts says nothing."""
     labelled = labels.select(F.col(id_col).alias("id"), F.col(label_col).cast("int").alias("label")).where("id IS NOT NULL AND label IS NOT NULL")
     labelled = labelled.groupBy("id").agg(F.max("label").alias("label"))
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
     chosen = labelled.join(rows.select("id"), "id", "left_semi").orderBy(F.xxhash64("id")).limit(TRAIN_ROWS)
-    rows = cut_lineage(rows.join(F.broadcast(chosen), "id"))  # TRAIN_ROWS at most, read six times below
+    one = F.min(F.struct(F.xxhash64("text").alias("mark"), "text")).alias("one")
+    rows = rows.join(F.broadcast(chosen), "id").groupBy("id", "label").agg(one).select("id", "label", "one.text")
+    rows = cut_lineage(rows)  # TRAIN_ROWS at most, read six times below
     apart = F.pmod(F.hash("id"), F.lit(CALIBRATE)) == 0
     model = Model(choose(rows.where(~apart).select("label", "text")), 1.0, 1.0, 1.0, 0.0)
 
@@ -205,8 +211,11 @@ def choose(rows: DataFrame) -> dict[str, float]:
     prior = PRIOR_SHARE * (toxic + other)
     a = prior * (F.col("yes") + F.col("no")) / (toxic + other)
     up, down = F.col("yes") + a, F.col("no") + a
-    odds = F.log(up / (toxic + prior - up)) - F.log(down / (other + prior - down))
-    spread = F.sqrt(1 / up + 1 / down)
+    # The texts without the token have a prior too, a small one even where there is none.
+    without = lambda total, own: F.greatest(total + prior - own, F.lit(LEAST_PRIOR * (total + prior)))
+    off_up, off_down = without(toxic, up), without(other, down)
+    odds = F.log(up / off_up) - F.log(down / off_down)
+    spread = F.sqrt(1 / up + 1 / down + 1 / off_up + 1 / off_down)
     scoring = (F.col("yes") > 2) & (odds / spread >= SIGNIFICANT) & (odds - spread >= LEAST)
     common = ~F.col("token").startswith("~") & (F.col("yes") + F.col("no") >= COMMON * (toxic + other)) & (odds + spread < -DRIFT)
     found = counted.select("token", F.when(scoring, odds - spread).when(common, odds + spread).alias("score")).where("score IS NOT NULL")
