@@ -2,18 +2,22 @@
 
 Two public vocabularies measure every text, word by word: characters per byte-level token, the share of byte-fallback
 pieces, and the entropy of the piece distribution against the most that so many pieces can have. Bands around the middle
-half of all texts of a language reject what lies far outside; for a language of few texts they are those of the texts
-in its script, for a rare script those of all texts. Texts that fail the base rules are rejected first. Words are runs of
-characters other than 0x20 and 0x09-0x0D.
+half of all texts of a language reject what lies far outside. A language's quartiles are drawn towards those of the texts
+in the row's script, and a script's towards those of all texts, as much as PULL texts would draw them, so that few
+texts set no band alone. Texts that fail the base rules are rejected first. Words are runs of characters other than
+0x20 and 0x09-0x0D.
 """
 
 from __future__ import annotations
 
+import itertools
 import os
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+import regex
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from geoloom.llm.textvec import slices, span_hashes, windows, words
@@ -28,31 +32,56 @@ SPREADS = 2.0
 REACH = {"chars_per_token": 0.05, "fallback_share": 0.02, "entropy_share": 0.06}
 #: Measures are counted in bins of 1 / BINS, so quartiles are the same however the rows are dealt out.
 BINS = 1000
-#: Texts that a band of its own takes: a language with fewer has its script's band, such a script that of all texts.
-LEAST_DOCS = 20
+#: Texts that the quartiles of the wider group count for beside a group's own.
+PULL = 20
 #: A table of bands of up to so many rows is sent to the tasks; a longer one is joined by shuffle.
 FEW_BANDS = 10_000
 #: Words whose measures a task keeps.
 CACHE_ENTRIES = 200_000
 
-# The scripts that a character's first byte in UTF-8 tells apart; ASCII letters are Latin.
-SCRIPTS = ["none", "Latin", "Greek", "Cyrillic", "Hebrew", "Arabic", "Indic", "Southeast Asian", "Han and Kana", "Hangul"]
-FIRST_BYTES = {
-    "Latin": [*range(0x41, 0x5B), *range(0x61, 0x7B), *range(0xC3, 0xCA)], "Greek": [0xCE, 0xCF], "Cyrillic": range(0xD0, 0xD4), "Hebrew": [0xD6, 0xD7],
-    "Arabic": range(0xD8, 0xDC), "Indic": [0xE0], "Southeast Asian": [0xE1], "Han and Kana": range(0xE3, 0xEA), "Hangul": range(0xEA, 0xEE),
-}
-SCRIPT = np.zeros(256, np.uint8)
-for _name, _bytes in FIRST_BYTES.items():
-    SCRIPT[list(_bytes)] = SCRIPTS.index(_name)
+# Names of Unicode scripts. Letters of others, also those of several scripts, count as Other.
+SCRIPTS = [
+    "none", "Latin", "Greek", "Cyrillic", "Armenian", "Hebrew", "Arabic", "Syriac", "Thaana", "Devanagari", "Bengali", "Gurmukhi", "Gujarati", "Oriya", "Tamil",
+    "Telugu", "Kannada", "Malayalam", "Sinhala", "Thai", "Lao", "Tibetan", "Myanmar", "Georgian", "Ethiopic", "Cherokee", "Khmer", "Mongolian", "Balinese", "Javanese",
+    "Han", "Hiragana", "Katakana", "Hangul", "Bopomofo", "Other",
+]
+#: Code points that scripts() tells apart: the planes of letters. Higher ones hold none.
+LAST_CODE = 0x40000
+
+
+@lru_cache(maxsize=1)
+def script_table() -> np.ndarray:
+    """The number of each code point's script; 0 for what is no letter or mark of a script."""
+    every = "".join(map(chr, (c for c in range(LAST_CODE) if not 0xD800 <= c < 0xE000)))
+    out = np.zeros(LAST_CODE + 1, np.uint8)
+    for pattern, k in [(r"\p{L}+", len(SCRIPTS) - 1), *((rf"\p{{Script={name}}}+", k) for k, name in enumerate(SCRIPTS[1:-1], 1))]:
+        for m in regex.finditer(pattern, every):
+            a, b = ord(m[0][0]), ord(m[0][-1]) + 1
+            out[a:b] = k
+    out[0xD800:0xE000] = 0
+    return out
 
 
 def scripts(part) -> list[str]:
-    """The script that most characters of each row of a slice have, the first listed of equals; none without a letter."""
-    found = SCRIPT[part.data]
+    """The script that most letters of each row of a slice have, the first listed of equals; none without a letter."""
+    if not part.rows:
+        return []
+    table, data = script_table(), part.data
+    if len(data) and data.max() >= 0x80:
+        # One number for each byte that isn't a continuation, so that rows keep their places.
+        heads = (data & 0xC0) != 0x80
+        try:
+            codes = np.frombuffer(data.tobytes().decode("utf-8").encode("utf-32-le"), np.uint32)
+        except UnicodeDecodeError:  # bytes that are no UTF-8 have no script
+            codes = np.where(data[heads] < 0x80, data[heads], LAST_CODE)
+        begin = np.append(0, np.cumsum(heads))[part.begin]
+    else:
+        codes, begin = data, part.begin
+    found = table[np.minimum(codes, LAST_CODE) if codes.dtype != np.uint8 else codes]
     at = np.flatnonzero(found)
-    row = np.searchsorted(part.begin, at, "right") - 1
+    row = np.searchsorted(begin, at, "right") - 1
     counts = np.bincount(row * len(SCRIPTS) + found[at], minlength=part.rows * len(SCRIPTS)).reshape(part.rows, -1)
-    return [SCRIPTS[k] for k in counts.argmax(axis=1)] if part.rows else []
+    return [SCRIPTS[k] for k in counts.argmax(axis=1)]
 
 
 def base_counts(part) -> np.ndarray:
@@ -107,7 +136,7 @@ def _repeats(row: np.ndarray, hashes: np.ndarray, every: bool = False) -> np.nda
 
 
 class Fertility:
-    """Measures of texts; what a word gives is kept while there are not too many."""
+    """Measures of texts by their distinct words; what a word gives is kept, by its hash, while there are not too many."""
 
     def __init__(self, bytes_path: str, pieces_path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -117,39 +146,50 @@ class Fertility:
         self.tokens = Tokenizer.from_file(bytes_path)
         self.pieces = sentencepiece.SentencePieceProcessor(model_file=pieces_path)
         self.fallback = np.array([self.pieces.is_byte(i) or self.pieces.is_unknown(i) for i in range(self.pieces.vocab_size())])
-        self.known: dict[bytes, tuple[int, bytes]] = {}
-
-    def measure(self, texts: list[list[bytes]]) -> list[tuple[int, int, float, float]]:
-        """Byte-level tokens, pieces, fallback share and entropy share of each text's words."""
-        rows, wanted = [], set()
-        for found in texts:
-            values = list(map(self.known.get, found))
-            if None in values:
-                wanted.update(w for w, v in zip(found, values, strict=True) if v is None)
-            rows.append((found, values))
-        names = list(wanted)
+        self.hashes, self.counts = np.empty(0, np.uint64), np.empty(0, np.int64)
+        self.begin, self.ids = np.zeros(1, np.int64), np.empty(0, np.int64)
+
+    def _learn(self, hashes: np.ndarray, names: list[bytes]) -> None:
+        """Keep what words give, those of hashes after the known ones."""
         plain = [w.decode("utf-8", "replace") for w in names]
-        counts = [len(e.ids) for e in self.tokens.encode_batch([" " + w for w in plain], add_special_tokens=False)]
-        ids = [np.array(i, "<u4").tobytes() for i in self.pieces.encode(plain, num_threads=1)]
-        new = dict(zip(names, zip(counts, ids, strict=True), strict=True))
-        out = []
-        for found, values in rows:
-            values = [new[w] if v is None else v for w, v in zip(found, values, strict=True)]
-            pieces = np.frombuffer(b"".join([i for _, i in values]), "<u4")
-            n = len(pieces)
-            share = entropy = 0.0
-            if n:
-                share = float(self.fallback[pieces].mean())
-            if n > 1:
-                c = np.sort(pieces)
-                edge = np.flatnonzero(np.concatenate(([True], c[1:] != c[:-1], [True])))
-                p = np.diff(edge) / n
-                entropy = float(-(p * np.log(p)).sum() / np.log(n))
-            out.append((sum(k for k, _ in values), n, share, entropy))
-        if len(self.known) + len(new) > CACHE_ENTRIES:
-            self.known.clear()
-        self.known.update((w, v) for w, v in new.items() if len(w) <= 48)
-        return out
+        counts = np.array([len(e.ids) for e in self.tokens.encode_batch([" " + w for w in plain], add_special_tokens=False)], np.int64)
+        found = self.pieces.encode(plain, num_threads=1)
+        lengths = np.array([len(i) for i in found], np.int64)
+        ids = np.fromiter(itertools.chain.from_iterable(found), np.int64, int(lengths.sum()))
+        hashes, counts = np.concatenate((self.hashes, hashes)), np.concatenate((self.counts, counts))
+        begin, ids = np.concatenate((self.begin, self.begin[-1] + np.cumsum(lengths))), np.concatenate((self.ids, ids))
+        order = np.argsort(hashes)
+        self.hashes, self.counts, (self.begin, self.ids) = hashes[order], counts[order], _taken(begin, ids, order)
+
+    def measure(self, part) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """Byte-level tokens, pieces, fallback share and entropy share of the words of each text of a slice."""
+        found, rows = words(part), part.rows
+        distinct, first, each = np.unique(span_hashes(part.data, found.start, found.end), return_index=True, return_inverse=True)
+        if len(self.hashes) + len(distinct) > CACHE_ENTRIES:
+            self.hashes, self.counts, self.begin, self.ids = self.hashes[:0], self.counts[:0], self.begin[:1], self.ids[:0]
+        new = ~np.isin(distinct, self.hashes, assume_unique=True)
+        if new.any():
+            data = part.data.tobytes()
+            self._learn(distinct[new], [data[a:b] for a, b in zip(found.start[first[new]].tolist(), found.end[first[new]].tolist(), strict=True)])
+        place = np.searchsorted(self.hashes, distinct)[each]
+        row = np.repeat(np.arange(rows), np.diff(found.first))
+        tokens = np.bincount(row, self.counts[place], rows).astype(np.int64)
+        begin, ids = _taken(self.begin, self.ids, place)
+        of = np.repeat(row, np.diff(begin))
+        n = np.bincount(of, minlength=rows)
+        share = np.bincount(of, self.fallback[ids], rows) / np.maximum(n, 1)
+        key, count = np.unique(of * len(self.fallback) + ids, return_counts=True)
+        own = key // len(self.fallback)
+        p = count / n[own]
+        entropy = np.bincount(own, -p * np.log(p), rows) / np.log(np.maximum(n, 2))
+        return tokens, n, share, entropy
+
+
+def _taken(begin: np.ndarray, data: np.ndarray, place: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The runs of data that begin so (one number more), in the order of place."""
+    lengths = np.diff(begin)[place]
+    out = np.append(0, np.cumsum(lengths))
+    return out, data[np.arange(out[-1]) + np.repeat(begin[:-1][place] - out[:-1], lengths)]
 
 
 MEASURES = "n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, n_tokens long, n_pieces long, fallback_share double, entropy_share double"
@@ -163,24 +203,19 @@ def measure(docs: DataFrame, bytes_path: str, pieces_path: str, id_col: str = "d
         fertility = Fertility(bytes_path, pieces_path)
         names = ["id", "lang", "script", *(m.split()[0] for m in MEASURES.split(", "))]
         for batch in batches:
-            counts, measured, script = [], [], []
+            at = 0
             for part in slices(batch.column(2)):
-                script += scripts(part)
-                counts.append(base_counts(part))
-                data = part.data.tobytes()
-                measured += fertility.measure([data[a:b].split() for a, b in zip(part.begin[:-1], part.begin[1:], strict=True)])
-            base = np.concatenate(counts) if counts else np.zeros((0, 5), np.int64)
-            tokens, pieces, share, entropy = zip(*measured, strict=True) if measured else ((), (), (), ())
-            yield pa.RecordBatch.from_arrays(
-                [*batch.columns[:2], pa.array(script, pa.string()), *(pa.array(base[:, k]) for k in range(5)), pa.array(tokens, pa.int64()), pa.array(pieces, pa.int64()), pa.array(share, pa.float64()), pa.array(entropy, pa.float64())], names
-            )
+                base, measured = base_counts(part), fertility.measure(part)
+                own = batch.slice(at, part.rows)
+                yield pa.RecordBatch.from_arrays([*own.columns[:2], pa.array(scripts(part), pa.string()), *(pa.array(base[:, k]) for k in range(5)), *map(pa.array, measured)], names)
+                at += part.rows
 
     kind = rows.schema["id"].dataType.simpleString()
     return rows.mapInArrow(run, f"id {kind}, lang string, script string, {MEASURES}")
 
 
-def bands(rows: DataFrame) -> DataFrame:
-    """(level, name, low_<measure>..., high_<measure>...): the bands of languages, scripts and all texts that have enough rows.
+def quartiles(rows: DataFrame) -> DataFrame:
+    """(level, name, docs, ends: low_<measure>..., high_<measure>...) of languages (0), scripts (1) and all texts (2).
 
     A quartile is the least bin up to which a quarter (three quarters) of a group's rows lie. Rows without a measure
     don't count towards it.
@@ -197,33 +232,37 @@ def bands(rows: DataFrame) -> DataFrame:
     wide = ends.groupBy("level", "name").agg(
         F.max("docs").alias("docs"), *(F.max(F.when(F.col("measure") == m, F.col(end))).alias(f"{end}_{m}") for m in REACH for end in ("low", "high"))
     )
-    room = {m: F.greatest((F.col(f"high_{m}") - F.col(f"low_{m}")) * SPREADS, F.lit(reach)) for m, reach in REACH.items()}
-    out = [x for m, r in room.items() for x in ((F.col(f"low_{m}") - r).alias(f"low_{m}"), (F.col(f"high_{m}") + r).alias(f"high_{m}"))]
-    return wide.where((F.col("docs") >= LEAST_DOCS) | (F.col("level") == 2)).select("level", "name", F.struct(*out).alias("band"))
+    return wide.select("level", "name", "docs", F.struct(*(f"{end}_{m}" for m in REACH for end in ("low", "high"))).alias("ends"))
+
+
+def drawn(own: Column, docs: Column, wider: Column) -> Column:
+    """A quartile of so many texts, drawn towards that of the wider group; the wider one where there is no own."""
+    return F.when(own.isNull(), wider).when(wider.isNull(), own).otherwise((docs * own + PULL * wider) / (docs + PULL))
 
 
 def apply_rules(docs: DataFrame, bytes_path: str, pieces_path: str, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> DataFrame:
     """(id, script, base counts, measures, base_failed, kept) for every row of docs.
 
     base_failed: fewer than 50 words, or more than half of them in three-word windows found twice or more in the text.
-    kept: not base_failed and every measure within the band of its language, or else of its script, or else of all texts.
-    Bands come from the rows that pass the base rules. A null language counts as und, a null text as one without
+    kept: not base_failed and every measure within the band of its language, drawn towards those of its script and of all
+    texts. Bands come from the rows that pass the base rules; where none does there is no band to fail. A null language counts as und, a null text as one without
     words (base_failed). Null ids and repeated rows are rows like others; other columns are not read; an empty table
     gives an empty result.
     """
     rows = measure(docs, bytes_path, pieces_path, id_col, text_col, lang_col)
     rows = rows.withColumn("base_failed", (F.col("n_words") < 50) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words")))
     rows = cut_lineage(rows.withColumn("chars_per_token", F.when(F.col("n_tokens") > 0, F.col("word_chars") / F.col("n_tokens"))))
-    found = cut_lineage(bands(rows.where("NOT base_failed")))
+    found = cut_lineage(quartiles(rows.where("NOT base_failed")))
     if found.limit(FEW_BANDS + 1).count() <= FEW_BANDS:
         found = F.broadcast(found)
     out = rows.withColumn("every", F.lit("all"))
     for k, name in enumerate(("lang", "script", "every")):
-        own = found.where(F.col("level") == k).select(F.col("name").alias(name), F.col("band").alias(f"band_{k}"))
+        own = found.where(F.col("level") == k).select(F.col("name").alias(name), F.col("docs").alias(f"docs_{k}"), F.col("ends").alias(f"ends_{k}"))
         out = out.join(own, name, "left")
-    out = out.withColumn("band", F.coalesce("band_0", "band_1", "band_2"))
     within = F.lit(True)
-    for m in REACH:
-        within &= F.coalesce(F.col(m).between(F.col(f"band.low_{m}"), F.col(f"band.high_{m}")), F.lit(True))
+    for m, reach in REACH.items():
+        low, high = (drawn(F.col(f"ends_0.{end}_{m}"), F.col("docs_0"), drawn(F.col(f"ends_1.{end}_{m}"), F.col("docs_1"), F.col(f"ends_2.{end}_{m}"))) for end in ("low", "high"))
+        room = F.greatest((high - low) * SPREADS, F.lit(reach))
+        within &= F.coalesce(F.col(m).between(low - room, high + room), F.lit(True))
     out = out.withColumn("kept", ~F.col("base_failed") & within)
     return out.select(F.col("id").alias(id_col), "script", *(m.split()[0] for m in MEASURES.split(", ")), "chars_per_token", "base_failed", "kept")

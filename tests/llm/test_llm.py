@@ -255,23 +255,71 @@ def test_fertility_measures_bands_and_verdicts_equal_brute_force(spark, odd, sma
         rows.append((lang, r.script, r.base_failed, r.kept, {"chars_per_token": chars, "fallback_share": r.fallback_share, "entropy_share": r.entropy_share}))
     assert {x[1] for x in rows} >= {"none", "Latin", "Cyrillic"}
 
-    def band(m, keep):
+    def quartile(m, q, keep):
         bins = sorted(math.floor(x[4][m] * 1000 + 0.5) for x in rows if not x[2] and keep(x))
-        low, high = (bins[math.ceil(q * len(bins)) - 1] / 1000 for q in (0.25, 0.75))
-        room = max((high - low) * 2, fertility.REACH[m])
-        return low - room, high + room
+        return (bins[math.ceil(q * len(bins)) - 1] / 1000, len(bins)) if bins else (None, 0)
+
+    def drawn(m, q, groups):
+        (own, n), rest = quartile(m, q, groups[0]), groups[1:]
+        if not rest:
+            return own
+        wider = drawn(m, q, rest)
+        return wider if own is None else (n * own + 20 * wider) / (n + 20)
 
     for lang, script, failed, kept, measures in rows:
         if failed:
             assert not kept
             continue
-        groups = (lambda x: x[0] == lang), (lambda x: x[1] == script), (lambda x: True)
-        keep = next(g for k, g in enumerate(groups) if k == 2 or sum(not x[2] and g(x) for x in rows) >= 20)
-        ends = {m: band(m, keep) for m in measures}
+        groups = [lambda x, lang=lang: x[0] == lang, lambda x, script=script: x[1] == script, lambda x: True]
+        ends = {}
+        for m in measures:
+            low, high = drawn(m, 0.25, groups), drawn(m, 0.75, groups)
+            room = max((high - low) * 2, fertility.REACH[m])
+            ends[m] = (low - room, high + room)
         if all(min(abs(measures[m] - e) for e in ends[m]) > 1e-9 for m in measures):
             assert kept == all(ends[m][0] <= measures[m] <= ends[m][1] for m in measures)
 
 
+def test_scripts_follow_unicode(spark):
+    texts = {
+        "Thai": "ภาษาไทย x", "Armenian": "Հայերեն", "Georgian": "ქართული", "Ethiopic": "አማርኛ", "Javanese": "ꦗꦮ", "none": "×÷ 12 🙂", "Latin": "Tiếng Việt ấy", "Han": "𠀀𠀁 漢",
+        "Devanagari": "हिन्दी", "Hangul": "한국어", "Hiragana": "ひらがな", "Cyrillic": "слово", "Greek": "λόγος", "Hebrew": "עברית", "Arabic": "العربية", "Other": "𐌰𐌱𐌲",
+    }
+    docs = spark.createDataFrame([(k, t, "en", "s", 0) for k, t in enumerate(texts.values())], SCHEMA)
+    found = {r.doc_id: r.script for r in fertility.apply_rules(docs, BYTES, PIECES_FILE).collect()}
+    assert [found[k] for k in range(len(texts))] == list(texts)
+
+
+def test_languages_of_repeated_texts_are_learned(spark):
+    """Three texts a language, each 400 times, and a third of all rows one text; many values that are no language."""
+    base = {"de": ["der Hund und die Katze", "das ist ein Haus", "wir gehen nach Hause"], "fr": ["le chien et le chat", "c'est une maison", "nous allons chez nous"], "es": ["el perro y el gato", "esta es una casa", "nos vamos a casa"]}
+    rows = [(k, t, lang, None, 0) for lang, texts in base.items() for k, t in enumerate(texts * 400)]
+    rows += [(9, None, "xx", None, 0), (9, "123", "yy", None, 0)]
+    model = language_id.train(spark.createDataFrame(rows, SCHEMA))
+    assert model.languages == ["de", "es", "fr"]
+    assert all(model.predict(t)[0] == lang for lang, texts in base.items() for t in texts)
+    dirty = spark.range(3000).select(F.concat(F.lit("v"), F.col("id")).alias("lang"), F.concat(F.lit("word "), F.translate(F.col("id").cast("string"), "0123456789", "abcdefghij")).alias("text"))
+    own = spark.createDataFrame(rows, SCHEMA).select("lang", "text")
+    model = language_id.train(dirty.union(own))
+    assert {"de", "es", "fr"} <= set(model.languages) and len(model.languages) == language_id.MAX_LANGUAGES
+
+
+def test_tokens_of_all_labelled_texts_and_repeated_ids(spark, monkeypatch):
+    rows = [(k, "the plain words here" if k % 2 else "the nasty insult there", None, None, 0) for k in range(60)]
+    rows += [(1, f"the plain copy {k}", None, None, 0) for k in range(500)]
+    docs = spark.createDataFrame(rows, SCHEMA)
+    labels = docs.select("doc_id", (1 - F.col("doc_id") % 2).alias("toxic")).distinct()
+    found = toxicity.score_toxicity(docs, labels).collect()
+    assert len(found) == len(rows) and all(0 <= r.score <= 1 for r in found)
+    scores = toxicity.choose(docs.select((1 - F.col("doc_id") % 2).cast("int").alias("label"), "text"))
+    assert "the" not in scores
+    monkeypatch.setattr(toxicity, "TRAIN_ROWS", 20)
+    kept = []
+    monkeypatch.setattr(toxicity, "cut_lineage", lambda df: kept.append(df) or df)
+    toxicity.train(docs, labels)
+    assert kept[0].count() == 20 and kept[0].select("id").distinct().count() == 20
+
+
 def signature(text):
     """Order MinHash one function after another, over Python's whole numbers."""
     mask = (1 << 64) - 1
