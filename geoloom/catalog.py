@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from geoloom.functions import geometry, names
-from geoloom.operators import assess, coco, coverage, enrich, grids, post, raster, shapes, spatial, tilesets
+from geoloom.operators import assess, coco, coverage, enrich, grids, outline, post, raster, shapes, spatial, tilesets
 from geoloom.plans import fixtures
 from geoloom.plans.fixtures import SQL
 from geoloom.sources import connectors, tables
@@ -701,6 +701,57 @@ def merge_adjacent(spark, sf_dir):
     return post.merge_adjacent(fixtures.detections(spark, sf_dir), 2).withColumn("score", F.round("score", 6))
 
 
+def _reach(name: str, links: str, nodes: str) -> str:
+    """Each node of nodes with the least one that it reaches by links (a, b)."""
+    return f"""
+{name}_reach(a, b) AS (SELECT id, id FROM {nodes} UNION SELECT r.a, l.b FROM {name}_reach r JOIN {links} l ON r.b = l.a),
+{name} AS (SELECT a AS id, min(b) AS component FROM {name}_reach GROUP BY a)"""
+
+
+def _beside(d: int) -> str:
+    """That boxes a and b of one year, moved outwards by d, share area or a stretch of a side."""
+    wide, high = (f"least(a.d_{c}1, b.d_{c}1) - greatest(a.d_{c}0, b.d_{c}0) + {2 * d}" for c in "xy")
+    return f"a.det_id <> b.det_id AND a.year_det = b.year_det AND {wide} >= 0 AND {high} >= 0 AND ({wide} > 0 OR {high} > 0)"
+
+
+#: Pieces of detections, those within a tile, and the others grown by 2, united and shrunk by 2 as runs of unit cells.
+ACROSS = f"""
+nodes AS (SELECT det_id AS id FROM dets),
+whole_links AS MATERIALIZED (SELECT a.det_id AS a, b.det_id AS b FROM dets a JOIN dets b ON {_beside(0)}),{_reach('whole', 'whole_links', 'nodes')},
+bounds AS (SELECT component, min(d_x0) - 2 AS b_x0, min(d_y0) - 2 AS b_y0, max(d_x1) + 2 AS b_x1, max(d_y1) + 2 AS b_y1 FROM whole JOIN dets ON id = det_id GROUP BY component),
+inner_ones AS MATERIALIZED (SELECT component FROM bounds WHERE EXISTS (SELECT 1 FROM tiles WHERE tx = b_x0 // 100 AND ty = b_y0 // 100 AND b_x0 >= t_x0 AND b_y0 >= t_y0 AND b_x1 <= t_x1 AND b_y1 <= t_y1)),
+crossing AS MATERIALIZED (SELECT dets.* FROM dets JOIN whole ON id = det_id WHERE component NOT IN (SELECT component FROM inner_ones)),
+cross_nodes AS (SELECT det_id AS id FROM crossing),
+cross_links AS MATERIALIZED (SELECT a.det_id AS a, b.det_id AS b FROM crossing a JOIN crossing b ON {_beside(2)}),{_reach('united', 'cross_links', 'cross_nodes')},
+wide AS (SELECT DISTINCT component AS g, x, y FROM (SELECT component, x, unnest(range(d_y0 - 2, d_y1 + 2)) AS y FROM (SELECT component, unnest(range(d_x0 - 2, d_x1 + 2)) AS x, d_y0, d_y1 FROM united JOIN crossing ON id = det_id))),
+flat AS (SELECT g, y, unnest(range(min(x) + 2, max(x) - 1)) AS x FROM (SELECT *, x - row_number() OVER (PARTITION BY g, y ORDER BY x) AS island FROM wide) GROUP BY g, y, island),
+cells AS MATERIALIZED (SELECT g, x, unnest(range(min(y) + 2, max(y) - 1)) AS y FROM (SELECT *, y - row_number() OVER (PARTITION BY g, x ORDER BY y) AS island FROM flat) GROUP BY g, x, island),
+runs AS MATERIALIZED (SELECT row_number() OVER (ORDER BY g, y, min(x)) AS id, g, y, min(x) AS a, max(x) + 1 AS b FROM (SELECT *, x - row_number() OVER (PARTITION BY g, y ORDER BY x) AS island FROM cells) GROUP BY g, y, island),
+run_links AS MATERIALIZED (SELECT r.id AS a, s.id AS b FROM runs r JOIN runs s ON r.g = s.g AND abs(r.y - s.y) = 1 AND r.a < s.b AND s.a < r.b),{_reach('pieces', 'run_links', 'runs')},
+placed AS (SELECT runs.*, component AS piece FROM runs JOIN pieces USING (id)),
+starts AS (SELECT g, piece, CAST(sum(b - a) AS DOUBLE) AS area, min([a, y]) AS start FROM placed GROUP BY g, piece),
+numbered AS (SELECT *, CAST(row_number() OVER (PARTITION BY g ORDER BY start) - 1 AS INTEGER) AS part FROM starts),
+years AS (SELECT component AS g, any_value(year_det) AS year_det FROM united JOIN dets ON id = det_id GROUP BY component),
+met AS (SELECT DISTINCT g, piece, d.* FROM placed p JOIN years USING (g) JOIN dets d ON d.year_det = years.year_det AND d_x0 <= p.b AND p.a <= d_x1 AND d_y0 <= p.y + 1 AND p.y <= d_y1),
+kinds AS (SELECT g, piece, det_class, sum(w * h) AS area FROM met GROUP BY g, piece, det_class QUALIFY row_number() OVER (PARTITION BY g, piece ORDER BY area DESC, det_class) = 1),
+means AS (SELECT g, piece, round(avg(score), 6) AS score, count(*) AS n FROM met GROUP BY ALL)"""
+
+
+@query("WITH RECURSIVE " + ",".join([SQL, ACROSS]) + " SELECT g AS component, part, met.det_id, met.year_det, numbered.area, kinds.det_class, means.score, n FROM numbered JOIN met USING (g, piece) JOIN kinds USING (g, piece) JOIN means USING (g, piece)")
+def merge_across_tiles(spark, sf_dir):
+    """A row for each merged piece and each detection that meets it."""
+    merged, members, _ = post.merge_across_tiles(fixtures.detections(spark, sf_dir), fixtures.tiles(spark, sf_dir), tilesets.TILE_BOX, 2)
+    return merged.join(members, ["component", "year_det", "part"]).select("component", "part", "det_id", "year_det", "area", "det_class", F.round("score", 6).alias("score"), "n")
+
+
+@query("WITH RECURSIVE " + ",".join([SQL, ACROSS.split("cross_nodes AS")[0].rstrip().rstrip(",")]) + """,
+unit AS (SELECT DISTINCT component, x, y FROM (SELECT component, x, unnest(range(d_y0, d_y1)) AS y FROM (SELECT component, unnest(range(d_x0, d_x1)) AS x, d_y0, d_y1 FROM whole JOIN dets ON id = det_id WHERE component IN (SELECT component FROM inner_ones))))
+SELECT component, CAST(count(*) AS DOUBLE) AS area FROM unit GROUP BY component""")
+def merge_within_tiles(spark, sf_dir):
+    _, _, within = post.merge_across_tiles(fixtures.detections(spark, sf_dir), fixtures.tiles(spark, sf_dir), tilesets.TILE_BOX, 2)
+    return within.groupBy("component").agg(F.sum("area").alias("area"))
+
+
 CLUSTER = """
 grown AS (SELECT *, d_x0 - CAST(0.1 AS DOUBLE) AS g_x0, d_y0 - CAST(0.1 AS DOUBLE) AS g_y0, d_x1 + CAST(0.1 AS DOUBLE) AS g_x1, d_y1 + CAST(0.1 AS DOUBLE) AS g_y1 FROM dets),
 near AS MATERIALIZED (SELECT a.det_id AS a, b.det_id AS b, a.score AS sa, b.score AS sb, a.image AS ia, b.image AS ib, a.det_class AS ca, b.det_class AS cb,
@@ -738,6 +789,29 @@ def cluster_datasets(spark, sf_dir):
     return post.dissolve_clusters(fixtures.detections(spark, sf_dir).withColumn("scale", F.lit(500)), keep_datasets=True).drop("scale")
 
 
+#: Measures of the unit cells (g, x, y) of each g: area, outline, and by squares of four cells the corners and the number of
+#: pieces less that of holes, where pieces that touch in a corner are apart.
+MEASURED = """
+near AS (SELECT g, x + dx AS x, y + dy AS y, dx + 2 * dy AS place FROM cells, (SELECT unnest([0, 1]) AS dx), (SELECT unnest([0, 1]) AS dy)),
+quads AS (SELECT g, x, y, list_sort(list(place)) AS q FROM near GROUP BY g, x, y),
+corners AS (SELECT g, count(*) FILTER (len(q) = 1) AS one, count(*) FILTER (len(q) = 3) AS three, count(*) FILTER (q = [0, 3] OR q = [1, 2]) AS two,
+  count(*) FILTER (len(q) = 2 AND q <> [0, 3] AND q <> [1, 2]) AS straight FROM quads GROUP BY g),
+measured AS (SELECT g, (SELECT count(*) FROM cells c WHERE c.g = k.g) AS area, (2 * straight + 2 * one + 2 * three + 4 * two) // 2 AS outline, one + three + 2 * two AS corners, (one - three + 2 * two) // 4 AS pieces FROM corners k)"""
+
+
+def _measures(polygons: DataFrame, by: str) -> DataFrame:
+    """What MEASURED gives, from polygons."""
+    points = F.aggregate("polygon", F.lit(0), lambda n, r: n + F.size(r) - 1)
+    each = polygons.select(by, "area", outline.perimeter(F.col("polygon")).alias("outline"), points.alias("corners"), (2 - F.size("polygon")).alias("pieces"))
+    return each.groupBy(by).agg(*(F.round(F.sum(c)).cast("long").alias(c) for c in ("area", "outline", "corners", "pieces")))
+
+
+@query(_with(""" cells AS (SELECT DISTINCT dataset AS g, x, y FROM (SELECT dataset, x, unnest(range(l_y0, l_y1)) AS y FROM (SELECT dataset, unnest(range(l_x0, l_x1)) AS x, l_y0, l_y1 FROM labels)))""", MEASURED) + " SELECT g AS dataset, area, outline, corners, pieces FROM measured")
+def union_outlines(spark, sf_dir):
+    """The outlines of all labels of a dataset: one polygon with thousands of holes, and others around it."""
+    return _measures(outline.union_polygons(fixtures.labels(spark, sf_dir), assess.LABEL_BOX, ["dataset"]), "dataset")
+
+
 @query(
     """WITH v AS (SELECT vec_id, list_transform(embedding, lambda x: CAST(x AS DOUBLE)) AS v FROM embeddings),
 m AS (SELECT *, list_reduce(v, lambda a, b: a + b, CAST(0 AS DOUBLE)) / len(v) AS mean FROM v)

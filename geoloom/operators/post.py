@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -9,7 +11,8 @@ from geoloom.functions.geometry import box_area, box_iou
 from geoloom.operators.assess import DET_BOX
 from geoloom.operators.coco import number
 from geoloom.operators.graph import connected_components
-from geoloom.operators.spatial import spatial_join
+from geoloom.operators.outline import PART, boxes_where, buffered, grown, labelled, polygons, union_polygons
+from geoloom.operators.spatial import contained, spatial_join
 from geoloom.storage import cut_lineage
 
 OVERLAP = 0.5
@@ -62,6 +65,39 @@ def merge_adjacent(dets: DataFrame, distance: float, by: str = "year_det") -> Da
     return out.select("component", by, (-F.col("b.low")).alias("det_class"), (F.col("score") / F.col("n")).alias("score"), "n", "m_x0", "m_y0", "m_x1", "m_y1")
 
 
+def merge_across_tiles(dets: DataFrame, tiles: DataFrame, tile_box: Sequence[str], distance: float, by: str = "year_det") -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(merged, members, within): detections of equal by merged where a tile border cuts them, whole ones left apart.
+
+    Boxes that share area or a stretch of a side first become one piece. A piece that lies, with distance around it,
+    whole in a tile is within: (component, by, part, polygon, area). All others are moved outwards by distance with
+    mitred corners, united, and moved inwards again, which may part them: merged has (component, by, part, polygon, area,
+    det_class, score, n). Its class is the one of the largest summed area (ties: the lowest) and its score the mean of all
+    detections of equal by that meet the piece, borders included, of which n are; members has (component, by, part,
+    det_id) for each of them, so a detection may come with several pieces. component is the least det_id that was united.
+    """
+    a, b = [F.col(c) for c in DET_BOX], [F.col(c) for c in OTHER_BOX]
+    wide, high = (F.least(a[k + 2], b[k + 2]) - F.greatest(a[k], b[k]) for k in (0, 1))
+    side_by_side = (wide > 0) | (high > 0)
+    own = cut_lineage(groups(dets, self_pairs(dets, by=by).where(side_by_side).select("det_id", "o_id")))
+    bounds = own.groupBy("component").agg(*(f(c).alias(c) for f, c in zip((F.min, F.min, F.max, F.max), DET_BOX, strict=True)))
+    inner = cut_lineage(contained(bounds.select("component", *grown(DET_BOX, distance)), DET_BOX, tiles.select(*tile_box), tile_box, "component").select("component"))
+    within = union_polygons(own.join(inner, "component", "left_semi"), DET_BOX, ["component", by])
+
+    crossing = own.join(inner, "component", "left_anti").select("det_id", by, *grown(DET_BOX, distance))
+    united = cut_lineage(groups(crossing, self_pairs(crossing, by=by).where(side_by_side).select("det_id", "o_id")))
+    keys = ["component", by]
+    parts = cut_lineage(buffered(boxes_where(united, DET_BOX, keys), -distance, keys))
+    pieces = cut_lineage(polygons(parts, keys))
+    placed = labelled(parts, pieces, keys)
+    raw = dets.select("det_id", F.col(by).alias("_by"), "det_class", "score", *DET_BOX)
+    met = spatial_join(placed, PART, raw, DET_BOX, on=[(by, "_by")])
+    met = cut_lineage(met.select(*keys, "part", "det_id", "det_class", "score", box_area(DET_BOX).alias("area")).distinct())
+    kinds = met.groupBy(*keys, "part", "det_class").agg(F.sum("area").alias("area"), F.sum("score").alias("score"), F.count(F.lit(1)).alias("n"))
+    named = kinds.groupBy(*keys, "part").agg(F.max(F.struct("area", (-F.col("det_class")).alias("low"))).alias("b"), (F.sum("score") / F.sum("n")).alias("score"), F.sum("n").alias("n"))
+    merged = pieces.join(named, [*keys, "part"]).select(*keys, "part", "polygon", "area", (-F.col("b.low")).alias("det_class"), "score", "n")
+    return merged, met.select(*keys, "part", "det_id"), within
+
+
 def clustered(dets: DataFrame, reach: float = 0.1, duplicate_iou: float = 0.75) -> DataFrame:
     """dets with component (groups()), tied (it is in a cluster) and gone (it is a duplicate).
 
@@ -119,6 +155,17 @@ def dissolve_clusters(dets: DataFrame, keep_datasets: bool = False, reach: float
     return single.select(*columns).unionByName(one.select(*columns))
 
 
+def cluster_outlines(dets: DataFrame, keep_datasets: bool = False, reach: float = 0.1, duplicate_iou: float = 0.75) -> DataFrame:
+    """(component[, dataset], part, polygon, area): the outlines of the clusters of clustered(), or of each of its datasets.
+
+    Boxes are moved outwards by reach, united, and moved inwards again.
+    """
+    left = clustered(dets, reach, duplicate_iou).where("tied AND NOT gone")
+    by = ["component", "dataset"] if keep_datasets else ["component"]
+    parts = buffered(boxes_where(left.select(*by, *grown(DET_BOX, reach)), DET_BOX, by), -reach, by)
+    return polygons(parts, by)
+
+
 def filter_detections(dets: DataFrame, score: float | None = None, area: float | None = None) -> DataFrame:
     """Score and area above a limit, the limit itself excluded; null scores go with a score limit."""
     if score is not None:
