@@ -22,6 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from geoloom.llm.language_id import remainder
+from geoloom.llm.textvec import slices, span_hashes, tidy, words
 from geoloom.storage import cut_lineage
 
 #: Labelled rows that the fit takes at most: one of each id, those of the least id hash. One in CALIBRATE of them sets
@@ -40,16 +41,25 @@ SIGNIFICANT = 2.8
 LEAST = 3.5
 DRIFT = 0.1
 RUN = 5
+#: Words whose scores a task keeps.
+KEPT_WORDS = 400_000
 
 
 @lru_cache(maxsize=200_000)
 def tokens_of(word: str) -> tuple[str, ...]:
     """A word's tokens: its letters in lower case, and their inner runs."""
-    letters = "".join(filter(str.isalpha, word.lower()))
+    letters = word.lower()
+    if not letters.isalpha():
+        letters = "".join(filter(str.isalpha, letters))
     runs = {"~" + letters[k : k + RUN] for k in range(len(letters) - RUN + 1)} if len(letters) >= RUN else set()
     return (letters, *runs) if letters else ()
 
 
+def words_of(text: str | None) -> set[str]:
+    """The different words of a text: runs of characters other than 0x20 and 0x09-0x0D."""
+    return {w.decode("utf-8", "replace") for w in (text or "").encode("utf-8", "replace").split()}
+
+
 def segments(scores: np.ndarray) -> list[tuple[float, int, int]]:
     """All maximal scoring segments (score, first, last) of a text's token scores, in linear time.
 
@@ -99,22 +109,35 @@ class Model:
     slope: float
     offset: float
 
-    def scan(self, text: str | None) -> tuple[int, list[tuple[float, int, int]]]:
-        """Number of words, and the scoring segments with their first and last word."""
-        words = (text or "").split()
-        return len(words), segments(self.scored(words))
-
-    def scored(self, words: list[str]) -> np.ndarray:
-        known = self._known = getattr(self, "_known", {})
-        if len(known) > 400_000:
-            known.clear()
-        values = list(map(known.get, words))
-        for k, v in enumerate(values):
-            if v is None:
-                own = [self.scores.get(t, -DRIFT) for t in tokens_of(words[k])]
-                best = max(own, default=-DRIFT)
-                values[k] = known[words[k]] = best if best > 0 or not own else own[0]
-        return np.array(values, np.float64)
+    def word_score(self, word: str) -> float:
+        """The best score among a word's tokens if that is positive, else that of the word itself."""
+        own = [self.scores.get(t, -DRIFT) for t in tokens_of(word)]
+        best = max(own, default=-DRIFT)
+        return best if best > 0 or not own else own[0]
+
+    def scan(self, column: pa.Array):
+        """Number of words, and the scoring segments with their first and last word, of each text of a column.
+
+        A slice's distinct words are scored once, and known again by their hashes.
+        """
+        known, values = getattr(self, "_known", (np.empty(0, np.uint64), np.empty(0)))
+        for part in slices(column):
+            found = words(part)
+            distinct, first, each = np.unique(span_hashes(part.data, found.start, found.end), return_index=True, return_inverse=True)
+            if len(known) + len(distinct) > KEPT_WORDS:
+                known, values = known[:0], values[:0]
+            new = ~np.isin(distinct, known, assume_unique=True)
+            if new.any():
+                data, some = part.data.tobytes(), first[new]
+                own = [self.word_score(data[a:b].decode("utf-8", "replace")) for a, b in zip(found.start[some].tolist(), found.end[some].tolist(), strict=True)]
+                known, values = np.concatenate((known, distinct[new])), np.concatenate((values, own))
+                order = np.argsort(known)
+                known, values = known[order], values[order]
+            scores = values[np.searchsorted(known, distinct)][each]
+            some = np.append(0, np.cumsum(scores > 0))[found.first]
+            for a, b, there in zip(found.first[:-1].tolist(), found.first[1:].tolist(), np.diff(some).tolist(), strict=True):
+                yield b - a, segments(scores[a:b]) if there else []
+        self._known = known, values
 
     def significant(self, n: int, found: list[tuple[float, int, int]]) -> list[tuple[float, int, int]]:
         """The segments of which the law expects LEVEL at most in n words."""
@@ -131,7 +154,7 @@ def _count(batches):
     names = lambda: pa.RecordBatch.from_arrays([pa.array(keys := list(yes.keys() | no.keys())), pa.array([yes[k] for k in keys], pa.int64()), pa.array([no[k] for k in keys], pa.int64())], ["token", "yes", "no"])
     for batch in batches:
         for label, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
-            (yes if label else no).update({t for w in set((text.as_py() or "").split()) for t in tokens_of(w)})
+            (yes if label else no).update({t for w in words_of(text.as_py()) for t in tokens_of(w)})
             if len(yes) + len(no) > 1_000_000:
                 yield names()
                 yes.clear()
@@ -140,13 +163,13 @@ def _count(batches):
         yield names()
 
 
-def _outside(batches, words: frozenset[str], runs: frozenset[str]):
-    """Texts of either label that have each run in a word that is not itself among words, within a task."""
+def _outside(batches, whole: frozenset[str], runs: frozenset[str]):
+    """Texts of either label that have each run in a word that is not itself among whole, within a task."""
     yes, no = Counter(), Counter()
     for batch in batches:
         for label, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
-            own = (tokens_of(w) for w in set((text.as_py() or "").split()))
-            (yes if label else no).update({t for found in own if found and found[0] not in words for t in found if t in runs})
+            own = (tokens_of(w) for w in words_of(text.as_py()))
+            (yes if label else no).update({t for found in own if found and found[0] not in whole for t in found if t in runs})
     keys = list(yes.keys() | no.keys())
     yield pa.RecordBatch.from_arrays([pa.array(keys, pa.string()), pa.array([yes[k] for k in keys], pa.int64()), pa.array([no[k] for k in keys], pa.int64())], ["token", "yes", "no"])
 
@@ -188,7 +211,7 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
 
     def scan(batches):
         for batch in batches:
-            found = [model.scan(text.as_py()) for text in batch.column(1)]
+            found = list(model.scan(batch.column(1)))
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([k for k, _ in found], pa.int64()), pa.array([[s for s, _, _ in f] for _, f in found], pa.list_(pa.float64()))], ["label", "n", "segments"])
 
     seen = rows.where(apart).select("label", "text").mapInArrow(scan, "label int, n long, segments array<double>").collect()  # TRAIN_ROWS / CALIBRATE rows of numbers
@@ -222,9 +245,9 @@ def choose(rows: DataFrame) -> dict[str, float]:
     scores = {row.token: row.score for row in found.collect()}  # bounded by the texts of TRAIN_ROWS rows and the share
 
     # A run that owes its odds to one scoring word, and is common in the other texts' own words, says nothing of these.
-    words = frozenset(t for t, v in scores.items() if v > 0 and t[0] != "~")
+    whole = frozenset(t for t, v in scores.items() if v > 0 and t[0] != "~")
     runs = frozenset(t for t in scores if t[0] == "~")
-    alone = rows.mapInArrow(lambda batches: _outside(batches, words, runs), "token string, yes long, no long").groupBy("token").agg(F.sum("yes").alias("yes"), F.sum("no").alias("no"))
+    alone = rows.mapInArrow(lambda batches: _outside(batches, whole, runs), "token string, yes long, no long").groupBy("token").agg(F.sum("yes").alias("yes"), F.sum("no").alias("no"))
     for row in alone.where("no > 0").collect():  # runs at most
         if np.log((row.yes + 0.5) / toxic) - np.log((row.no + 0.5) / other) < LEAST:
             del scores[row.token]
@@ -243,11 +266,11 @@ def score_toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", t
     sent = docs.sparkSession.sparkContext.broadcast(model)  # bounded by what it is fitted on
     rows = docs.select(F.col(id_col).alias("id"), (remainder(id_col, 5) == 0).alias("held_out"), F.col(text_col).cast("string").alias("text"))
 
+    @tidy
     def score(batches):
         m = sent.value
         for batch in batches:
-            found = [m.scan(text.as_py()) for text in batch.column(2)]
-            found = [(n, m.significant(n, f)) for n, f in found]
+            found = [(n, m.significant(n, f)) for n, f in m.scan(batch.column(2))]
             x = np.array([m.excess(n, f) for n, f in found])
             p = 1 / (1 + np.exp(-np.clip(m.slope * x + m.offset, -30, 30)))
             best = [max(f, default=(0, None, None)) for _, f in found]
