@@ -789,24 +789,24 @@ def cluster_datasets(spark, sf_dir):
     return post.dissolve_clusters(fixtures.detections(spark, sf_dir).withColumn("scale", F.lit(500)), keep_datasets=True).drop("scale")
 
 
-#: Measures of the unit cells (g, x, y) of each g: area, outline, and by squares of four cells the corners and the number of
-#: pieces less that of holes, where pieces that touch in a corner are apart.
+#: Measures of the unit cells (g, x, y) of each g: area, outline, and by squares of four cells the corners; and for a g in one
+#: piece the holes, one that touches the outline in a corner too.
 MEASURED = """
 near AS (SELECT g, x + dx AS x, y + dy AS y, dx + 2 * dy AS place FROM cells, (SELECT unnest([0, 1]) AS dx), (SELECT unnest([0, 1]) AS dy)),
 quads AS (SELECT g, x, y, list_sort(list(place)) AS q FROM near GROUP BY g, x, y),
 corners AS (SELECT g, count(*) FILTER (len(q) = 1) AS one, count(*) FILTER (len(q) = 3) AS three, count(*) FILTER (q = [0, 3] OR q = [1, 2]) AS two,
   count(*) FILTER (len(q) = 2 AND q <> [0, 3] AND q <> [1, 2]) AS straight FROM quads GROUP BY g),
-measured AS (SELECT g, (SELECT count(*) FROM cells c WHERE c.g = k.g) AS area, (2 * straight + 2 * one + 2 * three + 4 * two) // 2 AS outline, one + three + 2 * two AS corners, (one - three + 2 * two) // 4 AS pieces FROM corners k)"""
+measured AS (SELECT g, (SELECT count(*) FROM cells c WHERE c.g = k.g) AS area, (2 * straight + 2 * one + 2 * three + 4 * two) // 2 AS outline, one + three + 2 * two AS corners, 1 - (one - three - 2 * two) // 4 AS holes FROM corners k)"""
 
 
 def _measures(polygons: DataFrame, by: str) -> DataFrame:
-    """What MEASURED gives, from polygons."""
+    """Area, outline and corners as MEASURED gives them, from polygons."""
     points = F.aggregate("polygon", F.lit(0), lambda n, r: n + F.size(r) - 1)
-    each = polygons.select(by, "area", outline.perimeter(F.col("polygon")).alias("outline"), points.alias("corners"), (2 - F.size("polygon")).alias("pieces"))
-    return each.groupBy(by).agg(*(F.round(F.sum(c)).cast("long").alias(c) for c in ("area", "outline", "corners", "pieces")))
+    each = polygons.select(by, "area", outline.perimeter(F.col("polygon")).alias("outline"), points.alias("corners"))
+    return each.groupBy(by).agg(*(F.round(F.sum(c)).cast("long").alias(c) for c in ("area", "outline", "corners")))
 
 
-@query(_with(""" cells AS (SELECT DISTINCT dataset AS g, x, y FROM (SELECT dataset, x, unnest(range(l_y0, l_y1)) AS y FROM (SELECT dataset, unnest(range(l_x0, l_x1)) AS x, l_y0, l_y1 FROM labels)))""", MEASURED) + " SELECT g AS dataset, area, outline, corners, pieces FROM measured")
+@query(_with(""" cells AS (SELECT DISTINCT dataset AS g, x, y FROM (SELECT dataset, x, unnest(range(l_y0, l_y1)) AS y FROM (SELECT dataset, unnest(range(l_x0, l_x1)) AS x, l_y0, l_y1 FROM labels)))""", MEASURED) + " SELECT g AS dataset, area, outline, corners FROM measured")
 def union_outlines(spark, sf_dir):
     """The outlines of all labels of a dataset: one polygon with thousands of holes, and others around it."""
     return _measures(outline.union_polygons(fixtures.labels(spark, sf_dir), assess.LABEL_BOX, ["dataset"]), "dataset")
@@ -823,6 +823,61 @@ def band_stats(spark, sf_dir):
     return raster.band_stats(rows.select(F.col(key).alias("image"), F.lit("R").alias("band"), "embedding"), "image", "band", "embedding")
 
 
+#: Pixels of images of 8 by 8, three values, from the embeddings; and mosaics of 5 by 5 of them.
+PIXELS = """
+pixels AS (SELECT vec_id, v, (i - 1) % 8 AS px, (i - 1) // 8 AS py, CASE WHEN embedding[i] > 0.05 THEN 1 WHEN embedding[i] < -0.2 THEN 2 ELSE 0 END AS value
+  FROM (SELECT vec_id, CAST(vec_id AS BIGINT) AS v, embedding, unnest(range(1, 65)) AS i FROM embeddings))"""
+
+
+def _flood(value: int) -> str:
+    """Regions of the pixels (k, px, py, value) of one value, and their unit cells."""
+    return f"""
+ones AS MATERIALIZED (SELECT k, px, py, (py * 100000 + px) AS id FROM given WHERE value = {value}),
+beside AS MATERIALIZED (SELECT p.k, p.id AS a, q.id AS b FROM ones p JOIN ones q ON p.k = q.k AND abs(p.px - q.px) + abs(p.py - q.py) = 1),
+reach(k, a, b) AS (SELECT k, id, id FROM ones UNION SELECT r.k, r.a, l.b FROM reach r JOIN beside l ON r.k = l.k AND r.b = l.a),
+firsts AS (SELECT k, a AS id, min(b) AS first FROM reach GROUP BY k, a),
+named AS (SELECT *, CAST(dense_rank() OVER (PARTITION BY k ORDER BY first) - 1 AS INTEGER) AS region FROM firsts),
+cells AS MATERIALIZED (SELECT [k, region] AS g, px AS x, -py AS y FROM named JOIN ones USING (k, id)),{MEASURED}"""
+
+
+def _images_of(spark: SparkSession, sf_dir: str) -> DataFrame:
+    value = lambda v: F.when(v > 0.05, 1).when(v < -0.2, 2).otherwise(0)
+    rows = F.array(*(F.transform(F.slice("embedding", 8 * k + 1, 8), value) for k in range(8)))
+    v = F.col("vec_id").cast("long")
+    return spark.read.parquet(f"{sf_dir}/embeddings.parquet").select(v.alias("k"), rows.alias("rows"), F.expr("vec_id div 25").alias("mosaic"), (F.expr("vec_id % 25 div 5") * 8).alias("top"), (v % 5 * 8).alias("left"))
+
+
+@query("WITH RECURSIVE " + PIXELS + ", given AS (SELECT v AS k, px, py, value FROM pixels)," + _flood(1) + " SELECT g[1] AS k, CAST(g[2] AS INTEGER) AS region, CAST(area AS DOUBLE) AS area, CAST(outline AS DOUBLE) AS outline, corners, holes FROM measured")
+def mask_outlines(spark, sf_dir):
+    """The regions of ones of each image."""
+    found = raster.outlines(raster.regions(raster.runs(_images_of(spark, sf_dir), "k").where("value = 1"), "k"), "k")
+    corners = F.aggregate("polygon", F.lit(0).cast("long"), lambda n, r: n + F.size(r) - 1)
+    return found.select("k", "region", "area", F.round(outline.perimeter(F.col("polygon")), 6).alias("outline"), corners.alias("corners"), (F.size("polygon") - 1).cast("long").alias("holes"))
+
+
+@query("WITH RECURSIVE " + PIXELS + ", given AS (SELECT v // 25 AS k, px + v % 5 * 8 AS px, py + v % 25 // 5 * 8 AS py, value FROM pixels)," + _flood(0)
+       + " SELECT g[1] AS k, CAST(g[2] AS INTEGER) AS id_nodata_poly, area * CAST(0.25 AS DOUBLE) AS area, outline * CAST(0.5 AS DOUBLE) AS outline, holes FROM measured WHERE area * 0.25 > 10")
+def nodata_outlines(spark, sf_dir):
+    """The large regions without data of mosaics that come in blocks of 8 by 8, half a metre a pixel."""
+    images = _images_of(spark, sf_dir).drop("k").withColumnRenamed("mosaic", "k")
+    placed = images.select("k").distinct().select("k", (F.col("k") * 100.0).alias("x0"), F.lit(50.0).alias("y1"), F.lit(0.5).alias("dx"), F.lit(0.5).alias("dy"))
+    found = raster.nodata_polygons(images, "k", 0, placed, top="top", left="left")
+    return found.select("k", "id_nodata_poly", "area", F.round(outline.perimeter(F.col("polygon")), 6).alias("outline"), (F.size("polygon") - 1).cast("long").alias("holes"))
+
+
+BANDS = """WITH v AS (SELECT vec_id, band, list_transform(embedding[21 * b + 1 : 21 * b + 21], lambda x: CAST(x AS DOUBLE)) AS v FROM embeddings, (VALUES (0, 'R'), (1, 'G'), (2, 'B')) t(b, band)),
+m AS (SELECT *, list_reduce(v, lambda a, b: a + b, CAST(0 AS DOUBLE)) / len(v) AS mean FROM v),
+s AS (SELECT vec_id, band, round_even(mean, 3) + 0.0 AS mean, round_even(sqrt(list_reduce(list_transform(v, lambda x: (x - mean) * (x - mean)), lambda a, b: a + b, CAST(0 AS DOUBLE)) / len(v)), 3) AS std FROM m)"""
+
+
+@query(BANDS + " SELECT band, round_even(median(mean), 2) + 0.0 AS mean, round_even(median(std), 2) + 0.0 AS std FROM s GROUP BY band")
+def band_summary(spark, sf_dir):
+    """Medians over all images of three bands."""
+    rows = spark.read.parquet(f"{sf_dir}/embeddings.parquet").select("vec_id", "embedding")
+    bands = rows.select("vec_id", F.explode(F.array(*(F.struct(F.lit(band).alias("band"), F.slice("embedding", 21 * b + 1, 21).alias("pixels")) for b, band in enumerate("RGB")))).alias("p"))
+    return raster.summary_stats(raster.band_stats(bands.select("vec_id", "p.*"), "vec_id", "band", "pixels"), "band")
+
+
 @query("SELECT c_custkey AS key, c_name AS name, NULL::DOUBLE AS s_acctbal FROM customer UNION ALL SELECT s_suppkey, s_name, s_acctbal FROM supplier")
 def union_by_name(spark, sf_dir):
     a = spark.read.parquet(f"{sf_dir}/customer.parquet").select(F.col("c_custkey").alias("key"), F.col("c_name").alias("name"))

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from geoloom.storage import cut_lineage
+from geoloom.storage import stored
 
 
 def _with_minimum(directed: DataFrame) -> DataFrame:
@@ -18,11 +18,11 @@ def connected_components(edges: DataFrame, src: str = "src", dst: str = "dst", m
     """(node, component): the least node that each node of the edges reaches.
 
     Alternating large-star and small-star steps: each keeps at most as many edges as it got, and a hub's edges are
-    spread over tasks as a skewed join. Each round is cut with a checkpoint. Null ends and self-loops add no node;
+    spread over tasks as a skewed join. Each round is a table of its own. Null ends and self-loops add no node;
     an empty edge table gives an empty result.
     """
     now = edges.select(F.col(src).alias("u"), F.col(dst).alias("v")).where("u <> v").distinct()
-    now = cut_lineage(now)
+    now = stored(now)
     seen = None
     for _ in range(max_rounds):
         both = now.unionByName(now.select(F.col("v").alias("u"), F.col("u").alias("v")))
@@ -33,7 +33,7 @@ def connected_components(edges: DataFrame, src: str = "src", dst: str = "dst", m
         small = joined.select(F.col("v").alias("u"), F.col("m").alias("v")).unionByName(
             joined.select("u", F.col("m").alias("v"))
         )
-        now = cut_lineage(small.where("u <> v").distinct())
+        now = stored(small.where("u <> v").distinct())
         mark = now.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
         if mark == seen:
             break

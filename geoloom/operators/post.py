@@ -13,7 +13,7 @@ from geoloom.operators.coco import number
 from geoloom.operators.graph import connected_components
 from geoloom.operators.outline import PART, boxes_where, buffered, grown, labelled, polygons, union_polygons
 from geoloom.operators.spatial import contained, spatial_join
-from geoloom.storage import cut_lineage
+from geoloom.storage import cut_lineage, stored
 
 OVERLAP = 0.5
 OTHER_BOX = ("o_x0", "o_y0", "o_x1", "o_y1")
@@ -78,20 +78,20 @@ def merge_across_tiles(dets: DataFrame, tiles: DataFrame, tile_box: Sequence[str
     a, b = [F.col(c) for c in DET_BOX], [F.col(c) for c in OTHER_BOX]
     wide, high = (F.least(a[k + 2], b[k + 2]) - F.greatest(a[k], b[k]) for k in (0, 1))
     side_by_side = (wide > 0) | (high > 0)
-    own = cut_lineage(groups(dets, self_pairs(dets, by=by).where(side_by_side).select("det_id", "o_id")))
+    own = stored(groups(dets, self_pairs(dets, by=by).where(side_by_side).select("det_id", "o_id")))
     bounds = own.groupBy("component").agg(*(f(c).alias(c) for f, c in zip((F.min, F.min, F.max, F.max), DET_BOX, strict=True)))
-    inner = cut_lineage(contained(bounds.select("component", *grown(DET_BOX, distance)), DET_BOX, tiles.select(*tile_box), tile_box, "component").select("component"))
+    inner = stored(contained(bounds.select("component", *grown(DET_BOX, distance)), DET_BOX, tiles.select(*tile_box), tile_box, "component").select("component"))
     within = union_polygons(own.join(inner, "component", "left_semi"), DET_BOX, ["component", by])
 
     crossing = own.join(inner, "component", "left_anti").select("det_id", by, *grown(DET_BOX, distance))
-    united = cut_lineage(groups(crossing, self_pairs(crossing, by=by).where(side_by_side).select("det_id", "o_id")))
+    united = stored(groups(crossing, self_pairs(crossing, by=by).where(side_by_side).select("det_id", "o_id")))
     keys = ["component", by]
-    parts = cut_lineage(buffered(boxes_where(united, DET_BOX, keys), -distance, keys))
-    pieces = cut_lineage(polygons(parts, keys))
+    parts = stored(buffered(boxes_where(united, DET_BOX, keys), -distance, keys))
+    pieces = stored(polygons(parts, keys))
     placed = labelled(parts, pieces, keys)
     raw = dets.select("det_id", F.col(by).alias("_by"), "det_class", "score", *DET_BOX)
     met = spatial_join(placed, PART, raw, DET_BOX, on=[(by, "_by")])
-    met = cut_lineage(met.select(*keys, "part", "det_id", "det_class", "score", box_area(DET_BOX).alias("area")).distinct())
+    met = stored(met.select(*keys, "part", "det_id", "det_class", "score", box_area(DET_BOX).alias("area")).distinct())
     kinds = met.groupBy(*keys, "part", "det_class").agg(F.sum("area").alias("area"), F.sum("score").alias("score"), F.count(F.lit(1)).alias("n"))
     named = kinds.groupBy(*keys, "part").agg(F.max(F.struct("area", (-F.col("det_class")).alias("low"))).alias("b"), (F.sum("score") / F.sum("n")).alias("score"), F.sum("n").alias("n"))
     merged = pieces.join(named, [*keys, "part"]).select(*keys, "part", "polygon", "area", (-F.col("b.low")).alias("det_class"), "score", "n")

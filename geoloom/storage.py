@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -25,3 +26,15 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     """Write df to the checkpoint folder and go on from there, so that lost executors lose no work."""
     checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def stored(df: DataFrame) -> DataFrame:
+    """df written as a table in the checkpoint folder and read again, as rounds of a loop need it.
+
+    Unlike after a checkpoint the planner then knows the table's real size. A checkpoint keeps the estimate of its plan, and
+    joins multiply estimates: over a dozen rounds their digits alone outgrow the driver.
+    """
+    spark = df.sparkSession
+    path = f"{checkpoint_dir(spark).rstrip('/')}/table-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
