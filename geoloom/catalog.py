@@ -2,16 +2,18 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from geoloom.functions import geometry, names
-from geoloom.operators import assess, coco, coverage, enrich, grids, outline, post, raster, shapes, spatial, tilesets
+from geoloom.operators import assess, coco, coverage, enrich, grids, outline, overlay, post, raster, shapes, spatial, tilesets
 from geoloom.plans import fixtures
 from geoloom.plans.fixtures import SQL
 from geoloom.sources import connectors, tables
+from geoloom.storage import checkpoint_dir
 
 Query = Callable[[SparkSession, str], DataFrame]
 _QUERIES: dict[str, Query] = {}
@@ -259,6 +261,41 @@ def tiles_off_polygons(spark, sf_dir):
     return shapes.boxes_in_polygons(small, tilesets.TILE_BOX, "key", _notched(spark, sf_dir), "ring", how="left_anti").select("key")
 
 
+def _notch_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each notched label and each detection that meets its bounds, two polygons with det_id and label_id."""
+    pairs = assess.iou_pairs(fixtures.detections(spark, sf_dir), fixtures.labels(spark, sf_dir)).select("det_id", "label_id")
+    notched = pairs.join(_notched(spark, sf_dir), "label_id").select("det_id", "label_id", F.lit(False).alias("second"), F.array("ring").alias("polygon"))
+    boxes = fixtures.detections(spark, sf_dir).select("det_id", F.array(geometry.box_ring(assess.DET_BOX)).alias("polygon"))
+    return notched.unionByName(pairs.join(boxes, "det_id").select("det_id", "label_id", F.lit(True).alias("second"), "polygon"))
+
+
+#: Areas of the lower half and the two upper quarters of a notched label in a detection.
+NOTCH_PAIRS = "cut AS (SELECT det_id, label_id, (d_x1 - d_x0) * (d_y1 - d_y0) AS own, (l_x1 - l_x0) * (l_y1 - l_y0) * CAST(0.75 AS DOUBLE) AS notched, " + ", ".join(
+    f"greatest(least(d_x1, l_x0 + (l_x1 - l_x0) * {c}) - greatest(d_x0, l_x0 + (l_x1 - l_x0) * {a}), 0) * greatest(least(d_y1, l_y0 + (l_y1 - l_y0) * {d}) - greatest(d_y0, l_y0 + (l_y1 - l_y0) * {b}), 0) AS {n}"
+    for n, a, b, c, d in (("base", "0", "0", "1", "0.5"), ("west", "0", "0.5", "0.25", "1"), ("east", "0.75", "0.5", "1", "1"))
+) + " FROM pairs)"
+
+
+@query(_with(NOTCH_PAIRS) + """ SELECT det_id, label_id, round(CAST(base + west + east AS DOUBLE), 6) AS common, round(CAST(notched - base - west - east AS DOUBLE), 6) AS label_only,
+CAST(CASE WHEN base > 0 THEN 1 ELSE CAST(west > 0 AS INTEGER) + CAST(east > 0 AS INTEGER) END AS BIGINT) AS parts FROM cut WHERE base + west + east > 0""")
+def polygon_overlay(spark, sf_dir):
+    """Intersections of notched labels and detections with their parts, and what is left of the labels."""
+    pairs, by = _notch_pairs(spark, sf_dir), ["det_id", "label_id"]
+    common = overlay.parts(overlay.overlay(pairs, "polygon", by, outline.COMMON, F.col("second")), by).groupBy(*by).agg(F.round(F.sum("area"), 6).alias("common"), F.count(F.lit(1)).alias("parts"))
+    rest = overlay.areas(overlay.overlay(pairs, "polygon", by, outline.DIFFERENCE, F.col("second")), by).select(*by, F.round("area", 6).alias("label_only"))
+    return common.join(rest, by, "left").select(*by, "common", F.coalesce("label_only", F.lit(0.0)).alias("label_only"), "parts")
+
+
+@query(_with() + " SELECT label_id, w * h / CAST(2 AS DOUBLE) AS area, CAST(2 AS BIGINT) AS parts FROM labels")
+def crossed_rings(spark, sf_dir):
+    """Labels as bow ties, whose rings cross in the middle: two triangles that touch."""
+    x0, y0, x1, y1 = (F.col(c).cast("double") for c in assess.LABEL_BOX)
+    ring = F.array(*(F.struct(x.alias("x"), y.alias("y")) for x, y in ((x0, y0), (x1, y1), (x1, y0), (x0, y1))))
+    ties = fixtures.labels(spark, sf_dir).select("label_id", F.array(ring).alias("polygon"))
+    found = overlay.parts(overlay.overlay(ties, "polygon", ["label_id"]), ["label_id"])
+    return found.groupBy("label_id").agg(F.round(F.sum("area"), 6).alias("area"), F.count(F.lit(1)).alias("parts"))
+
+
 @query(f"""WITH s AS (SELECT event_id, lon, lat, (lon * 3600 - 26782.5) / 10000 AS a, (lat * 3600 - 169028.66) / 10000 AS b FROM ({POINTS}))
 SELECT event_id, round(2600072.37 + 211455.93 * a - 10938.51 * a * b - 0.36 * a * b ** 2 - 44.54 * a ** 3, 2) AS east,
   round(1200147.07 + 308807.95 * b + 3745.25 * a ** 2 + 76.63 * b ** 2 - 194.56 * a ** 2 * b + 119.79 * b ** 3, 2) AS north, true AS returns FROM s""")
@@ -420,6 +457,14 @@ def debug_subset(spark, sf_dir):
     return tilesets.debug_subset(tiles, tilesets.met_ids(tiles, fixtures.labels(spark, sf_dir).where(FEW), assess.LABEL_BOX), 40).select("id")
 
 
+@query(_with(KIND) + f""", placed AS (SELECT id, tile_kind, row_number() OVER (PARTITION BY tile_kind ORDER BY {PLACE}, key) AS turn, count(*) OVER (PARTITION BY tile_kind) AS n FROM kinds),
+sizes AS (SELECT *, CAST(round_even(n * CAST(0.7 AS DOUBLE), 0) AS BIGINT) AS trn FROM placed)
+SELECT id, tile_kind, CASE WHEN turn <= trn THEN 'trn' WHEN turn <= trn + round_even((n - trn) * CAST(0.5 AS DOUBLE), 0) THEN 'val' ELSE 'tst' END AS dataset FROM sizes""")
+def split_sizes(spark, sf_dir):
+    """Each kind of tiles in sets of exactly the wanted sizes."""
+    return tilesets.split_sizes(_kinds(spark, sf_dir), by="tile_kind").select("id", "tile_kind", "dataset")
+
+
 @query(_with() + " SELECT id FROM tiles WHERE key % 2 = 0 INTERSECT SELECT id FROM tiles WHERE key % 3 = 0 INTERSECT SELECT id FROM tiles WHERE key > 10")
 def common_tiles(spark, sf_dir):
     tiles = fixtures.tiles(spark, sf_dir)
@@ -651,15 +696,33 @@ def coco_ids(spark, sf_dir):
     return coco.number(found.select(F.col("part").alias("dataset"), "key", "label_id"), "dataset", "key", "label_id").select("dataset", "key", "label_id", "id")
 
 
-@query()
+@query(_with(CLIP) + f""", sets AS (SELECT key, id, {SPLIT} AS dataset FROM tiles),
+pictures AS (SELECT dataset, count(*) AS images FROM sets GROUP BY dataset),
+found AS (SELECT dataset, count(*) AS annotations, round(sum(({_pixel('c_x1')} - {_pixel('c_x0')}) * ({_pixel('c_y0')} - {_pixel('c_y1')})), 3) AS area, count(DISTINCT id) AS used FROM parts JOIN sets USING (id) GROUP BY dataset)
+SELECT dataset, images, CAST(images AS INTEGER) AS last_image, coalesce(annotations, 0) AS annotations, CAST(annotations AS INTEGER) AS last_annotation, area, coalesce(used, 0) AS used FROM pictures LEFT JOIN found USING (dataset)""")
 def coco_documents(spark, sf_dir):
+    """Documents written in lines by many tasks, read back."""
     tiles = tilesets.split(fixtures.tiles(spark, sf_dir))
     images = coco.number(tiles.select("dataset", "key", F.lit(256).alias("width"), F.lit(256).alias("height"), F.concat("dataset", F.lit("-images/18_"), "tx", F.lit("_"), "ty", F.lit(".tif")).alias("file_name"), F.lit(None).cast("int").alias("year")), "dataset", "key")
     found = coco.clip_boxes(tiles.withColumnRenamed("dataset", "part").drop("id"), tilesets.TILE_BOX, fixtures.labels(spark, sf_dir).drop("dataset"), assess.LABEL_BOX)
     notes = coco.annotations(found, tilesets.TILE_BOX, 256, 256).withColumnRenamed("part", "dataset").join(images.select("key", F.col("id").alias("image_id")), "key")
     notes = coco.number(notes.withColumn("category_id", F.col("label_class")), "dataset", "key", "label_id")
     kinds = tilesets.category_ids(fixtures.labels(spark, sf_dir).withColumn("supercategory", F.lit("foo")))
-    return coco.documents(images, notes, kinds, {"year": 2024, "version": "1.0", "description": "tiles", "contributor": "", "url": ""}, "none", "")
+    path = f"{checkpoint_dir(spark).rstrip('/')}/documents-{uuid.uuid4().hex}"
+    coco.write_documents(coco.fragments(images, notes, kinds, {"year": 2024, "version": "1.0", "description": "tiles", "contributor": "", "url": ""}, "none", ""), path)
+    return coco.read_documents(spark, path).groupBy("dataset").agg(
+        F.count("image").alias("images"), F.max("image.id").alias("last_image"), F.count("annotation").alias("annotations"), F.max("annotation.id").alias("last_annotation"),
+        F.round(F.sum("annotation.area"), 3).alias("area"), F.count_distinct("annotation.image_id").alias("used"),
+    )
+
+
+@query(_with(NOTCHED) + """ SELECT id, label_id, CAST(CASE WHEN base > 0 THEN 1 ELSE CAST(west > 0 AS INTEGER) + CAST(east > 0 AS INTEGER) END AS BIGINT) AS outlines,
+round(CAST(base + west + east AS DOUBLE) * 6.5536, 3) AS area FROM cut WHERE base + west + east > 0""")
+def coco_polygons(spark, sf_dir):
+    """Notched labels as annotations of one or two outlines."""
+    parts = shapes.clip_polygons(_notched(spark, sf_dir), "ring", fixtures.tiles(spark, sf_dir), tilesets.TILE_BOX)
+    found = coco.polygon_annotations(parts, "ring", tilesets.TILE_BOX, 256, 256, "id", "label_id")
+    return found.select("id", "label_id", F.size("segmentation").cast("long").alias("outlines"), F.round("area", 3).alias("area"))
 
 
 DENSE = """

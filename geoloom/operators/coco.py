@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+import json
+
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from geoloom.functions.geometry import Box, box_intersection, scaled_box, segment_area, segment_bbox, to_pixel
@@ -53,6 +55,64 @@ def number(df: DataFrame, group: str, *order: str, name: str = "id") -> DataFram
     return placed.withColumn(name, (F.col("_before") + turn).cast("int")).drop("_part", "_group", "_at", "_before")
 
 
+def polygon_annotations(clipped: DataFrame, ring: str, tile_box: Box, width: int, height: int, *by: str) -> DataFrame:
+    """One annotation for each value of by from the parts of a polygon in a tile, as shapes.clip_polygons() gives them.
+
+    segmentation holds an outline in pixels for each part, without its closing point, by part; bbox bounds them all and
+    area is their sum. A point outside the image is an error. tile_box must be the same in all parts of a value of by.
+    """
+    pixel = lambda p: to_pixel(p["x"], p["y"], tile_box, F.lit(width), F.lit(height))
+    open_ring = F.slice(ring, F.lit(1), F.size(ring) - 1)
+    flat = F.flatten(F.transform(open_ring, lambda p: F.array(*pixel(p))))
+    across, down = F.filter("segment", lambda _, k: k % 2 == 0), F.filter("segment", lambda _, k: k % 2 == 1)
+    inside = F.forall(across, lambda v: v.between(0, width)) & F.forall(down, lambda v: v.between(0, height))
+    each = clipped.withColumn("segment", flat)
+    each = each.withColumn("segment", F.when(inside, F.col("segment")).otherwise(F.raise_error(F.lit("a label lies outside its tile"))))
+    found = each.groupBy(*by).agg(F.sort_array(F.collect_list(F.struct("part", "segment"))).alias("s"), F.sum(segment_area(F.col("segment"))).alias("area"))
+    found = found.withColumn("segmentation", F.transform("s", lambda x: x["segment"])).drop("s")
+    return found.withColumn("bbox", segment_bbox(F.flatten("segmentation")))
+
+
+def fragments(images: DataFrame, notes: DataFrame, categories: DataFrame, info: dict, license_name: str, license_url: str) -> DataFrame:
+    """(dataset, section, place, line): the lines of each dataset's COCO document, in order of section and place.
+
+    Columns are as in documents(). An image and an annotation take a line each, so no value grows with a dataset.
+    """
+    if not license_name:
+        raise ValueError("the license of the images has no name")
+    spark = images.sparkSession
+    image = F.to_json(F.struct("id", "width", "height", "file_name", "year", F.lit(1).alias("license")))
+    note = F.to_json(F.struct("id", "image_id", "category_id", "segmentation", F.lit(0).alias("iscrowd"), "area", "bbox"))
+    comma = F.when(F.col("id") > 1, ",").otherwise("")
+    line = lambda df, section, text: df.select("dataset", F.lit(section).alias("section"), F.col("id").cast("long").alias("place"), F.concat(comma, text).alias("line"))
+    kinds = [r.asDict() for r in categories.select("id", "name", "supercategory").orderBy("id").collect()]  # few by nature
+    own = {k: v for k, v in info.items() if k != "description"}
+    after = json.dumps([{"id": 1, "name": license_name, "url": license_url}]), json.dumps(kinds, ensure_ascii=False)
+    said = F.concat(F.lit(f"{info.get('description', '')} - "), "dataset", F.lit(" dataset"))
+    head = F.concat(F.lit('{"info":'), F.to_json(F.struct(*(F.lit(v).alias(k) for k, v in own.items()), said.alias("description"))), F.lit(',"images":['))
+    names = spark.createDataFrame([(0, None), (2, '],"annotations":['), (4, f'],"licenses":{after[0]},"categories":{after[1]}}}')], "section int, text string")
+    fixed = images.select("dataset").distinct().join(F.broadcast(names), F.lit(True)).select("dataset", "section", F.lit(0).cast("long").alias("place"), F.coalesce("text", head).alias("line"))  # three rows
+    return fixed.unionByName(line(images, 1, image)).unionByName(line(notes.join(images.select("dataset").distinct(), "dataset", "left_semi"), 3, note))
+
+
+def write_documents(lines: DataFrame, path: str) -> None:
+    """A folder dataset=<name> for each dataset, whose files, by their names, are together its document.
+
+    Lines of fragments() are dealt to tasks by ranges of their order, so many tasks write one document.
+    """
+    ranged = lines.repartitionByRange("dataset", "section", "place").sortWithinPartitions("dataset", "section", "place")
+    ranged.select("dataset", "line").write.partitionBy("dataset").text(path)
+
+
+def read_documents(spark: SparkSession, path: str) -> DataFrame:
+    """(dataset, image, annotation): the images and annotations of documents in lines, each row has one of the two."""
+    image = "id int, width int, height int, file_name string, year int, license int"
+    note = "id int, image_id int, category_id int, segmentation array<array<double>>, iscrowd int, area double, bbox array<double>"
+    lines = spark.read.text(path).select("dataset", F.regexp_replace("value", "^,", "").alias("line")).where(F.col("line").startswith('{"id":'))
+    pictured = F.col("line").contains('"file_name":') & ~F.col("line").contains('"segmentation":')
+    return lines.select("dataset", F.when(pictured, F.from_json("line", image)).alias("image"), F.when(~pictured, F.from_json("line", note)).alias("annotation"))
+
+
 def documents(images: DataFrame, notes: DataFrame, categories: DataFrame, info: dict, license_name: str, license_url: str) -> DataFrame:
     """(dataset, document): a COCO document in JSON for each dataset.
 

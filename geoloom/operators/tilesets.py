@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from geoloom.operators.spatial import spatial_join
+from geoloom.storage import stored
 
 TILE_BOX = ("t_x0", "t_y0", "t_x1", "t_y1")
 SEEDS = range(50)
@@ -41,9 +44,59 @@ def place(key: Column, seed: int | Column) -> Column:
     return (key * 7919 + seed * 104729) % 1000003
 
 
+#: Bits of a digit in a selection: a histogram of one has so many rows at most as this power of two.
+DIGIT = 16
+
+
+def _digits(key: Column, seed: int | Column) -> list[Column]:
+    """The order by seeded place and then by key as digits, the highest first."""
+    at, shifted = place(key, seed), key.cast("long").bitwiseXOR(F.lit(-(1 << 63)))
+    mask = F.lit((1 << DIGIT) - 1)
+    return [F.shiftright(at, DIGIT), at.bitwiseAND(mask), *(F.shiftrightunsigned(shifted, k).bitwiseAND(mask) for k in (48, 32, 16, 0))]
+
+
+def least(df: DataFrame, n: int, digits: Sequence[Column]) -> Column:
+    """A condition that holds for the n least rows of df in the order of digits, and for all rows equal to the last of them.
+
+    The n-th row is found digit by digit: a histogram of each digit over the rows that share the ones before. Nothing is
+    sorted, no row leaves its task, and the driver gets a histogram at a time.
+    """
+    if n <= 0:
+        return F.lit(False)
+    found, same, left = F.lit(False), F.lit(True), n
+    for digit in digits:
+        bins = sorted((r.digit, r["count"]) for r in df.where(same).groupBy(digit.alias("digit")).count().collect())
+        if sum(c for _, c in bins) <= left:
+            break
+        for value, count in bins:
+            if count >= left:
+                break
+            left -= count
+        found, same = found | (same & (digit < value)), same & (digit == value)
+        if count == left:
+            break
+    return found | same
+
+
 def sample_ids(ids: DataFrame, n: int, key: str = "key", seed: int = 1) -> DataFrame:
-    """n of ids by seeded place, clamped at 0 and at their number: this limit is the feature."""
-    return ids.orderBy(place(F.col(key), seed), key).limit(max(0, n))
+    """n of ids by seeded place, all if they are fewer: this limit is the feature. Ids of equal key go together."""
+    return ids.where(least(ids, n, _digits(F.col(key), seed)))
+
+
+def split_sizes(tiles: DataFrame, key: str = "key", by: str | None = None, frac_trn: float = 0.7, frac_left_val: float = 0.5, seed: int = 1) -> DataFrame:
+    """tiles with dataset, cut by seeded place so that the sizes are exactly round(frac_trn * n) for training and
+    round(frac_left_val * rest) for validation, within each value of by if given. Values of by are few."""
+    known = stored(tiles.select(key, *([by] if by else [])))  # read a few times for each value
+    groups = [None] if by is None else [r[0] for r in known.select(by).distinct().collect()]
+    digits, dataset = _digits(F.col(key), seed), F.lit("tst")
+    for value in groups:
+        here = F.lit(True) if by is None else F.col(by).eqNullSafe(F.lit(value))
+        own = known.where(here).select(key)
+        n = own.count()
+        trn = round(frac_trn * n)
+        val = trn + round(frac_left_val * (n - trn))
+        dataset = F.when(here & least(own, trn, digits), "trn").when(here & least(own, val, digits), "val").otherwise(dataset)
+    return tiles.withColumn("dataset", dataset)
 
 
 def empty_tile_count(n_gt: int, n_fp: int, frac: float = 0.5) -> int:
