@@ -8,6 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from geoloom import config, jobs
 from geoloom.functions import geometry, names
 from geoloom.operators import assess, coco, coverage, enrich, grids, outline, overlay, post, raster, shapes, spatial, tilesets
 from geoloom.plans import fixtures
@@ -815,6 +816,71 @@ def merge_within_tiles(spark, sf_dir):
     return within.groupBy("component").agg(F.sum("area").alias("area"))
 
 
+#: Labels clipped by tiles, and their pairs with detections of the same set.
+JOB = f"""
+sets AS (SELECT tiles.*, {SPLIT} AS dataset FROM tiles),
+edged AS (SELECT s.id AS tile, s.dataset, label_class, category, year_label, (t_x0 + t_x1) / CAST(2 AS DOUBLE) - (t_x1 - t_x0) / CAST(2 AS DOUBLE) * CAST(0.9999 AS DOUBLE) AS a0, (t_y0 + t_y1) / CAST(2 AS DOUBLE) - (t_y1 - t_y0) / CAST(2 AS DOUBLE) * CAST(0.9999 AS DOUBLE) AS a1,
+  (t_x0 + t_x1) / CAST(2 AS DOUBLE) + (t_x1 - t_x0) / CAST(2 AS DOUBLE) * CAST(0.9999 AS DOUBLE) AS a2, (t_y0 + t_y1) / CAST(2 AS DOUBLE) + (t_y1 - t_y0) / CAST(2 AS DOUBLE) * CAST(0.9999 AS DOUBLE) AS a3, l_x0, l_y0, l_x1, l_y1
+  FROM sets s JOIN labels l ON {MEET}),
+bits AS (SELECT tile, dataset, label_class, category, year_label, greatest(a0, l_x0) AS l_x0, greatest(a1, l_y0) AS l_y0, least(a2, l_x1) AS l_x1, least(a3, l_y1) AS l_y1 FROM edged),
+parted AS MATERIALIZED (SELECT *, row_number() OVER (ORDER BY tile, l_x0, l_y0, l_x1, l_y1, label_class) AS label_id FROM bits WHERE l_x1 > l_x0 AND l_y1 > l_y0),
+job_pairs AS (SELECT d.*, l.dataset AS l_dataset, label_id, label_class, l_x0, l_y0, l_x1, l_y1,
+  greatest(least(d_x1, l_x1) - greatest(d_x0, l_x0), 0) * greatest(least(d_y1, l_y1) - greatest(d_y0, l_y0), 0) AS shared
+  FROM dets d JOIN parted l ON d.dataset = l.dataset AND d_x0 <= l_x1 AND l_x0 <= d_x1 AND d_y0 <= l_y1 AND l_y0 <= d_y1),
+job_ious AS MATERIALIZED (SELECT *, shared / CAST((d_x1 - d_x0) * (d_y1 - d_y0) + (l_x1 - l_x0) * (l_y1 - l_y0) - shared AS DOUBLE) AS iou FROM job_pairs),"""
+
+
+def _job_sql(sql: str) -> str:
+    """sql of the tables labels and ious over those of the assessment job."""
+    return sql.replace("FROM ious", "FROM job_ious").replace("FROM labels", "FROM parted")
+
+
+JOB_TAGGED = _job_sql(MATCHED)
+
+
+def _assessed(spark: SparkSession, sf_dir: str, threshold: float | None) -> dict[str, DataFrame]:
+    settings = config.load(config.Assessment, {"datasets": {"detections": {}, "split_aoi_tiles": ""}, "metrics_method": "macro-average", "confidence_threshold": threshold})
+    labels = fixtures.labels(spark, sf_dir).select("category", F.col("year_label").alias("year"), *assess.LABEL_BOX, "label_class")
+    tiles = tilesets.split(fixtures.tiles(spark, sf_dir))
+    kinds = labels.select(F.col("label_class").alias("id"), F.col("category").alias("name")).distinct()
+    return jobs.assess_detections(settings, fixtures.detections(spark, sf_dir), tiles, labels.where("label_class <= 3"), labels.where("label_class > 3"), kinds)
+
+
+@query(_with(JOB.rstrip(","), JOB_TAGGED, COUNTS, _score(*MACRO)) + " SELECT * FROM scored")
+def assessment_job(spark, sf_dir):
+    """The assessment from labels and tiles to global metrics, at a set threshold."""
+    return _assessed(spark, sf_dir, THRESHOLD)["global_metrics"]
+
+
+@query(_with(JOB.rstrip(","), _job_sql(SWEPT), _score(*MACRO, keys="dataset, threshold")) + " SELECT threshold / CAST(100 AS DOUBLE) AS threshold FROM scored WHERE dataset = 'val' ORDER BY f1 DESC, scored.threshold LIMIT 1")
+def assessment_threshold(spark, sf_dir):
+    """The threshold that the assessment finds by itself on the validation set."""
+    return _assessed(spark, sf_dir, None)["threshold"]
+
+
+@query("WITH RECURSIVE " + ",".join([SQL, ACROSS]) + """ SELECT g AS component, part, numbered.area, years.year_det, kinds.det_class, means.score, n, name AS det_category FROM numbered JOIN kinds USING (g, piece) JOIN means USING (g, piece) JOIN years USING (g)
+LEFT JOIN (SELECT DISTINCT label_class - 1 AS det_class, category AS name FROM labels) c ON c.det_class = kinds.det_class WHERE means.score > 0.4""")
+def merging_job(spark, sf_dir):
+    """Detections of each year merged across tiles, by their score, with the names of their classes."""
+    settings = config.load(config.Merging, {"detections": {}, "distance": 2, "score_threshold": 0.4})
+    kinds = fixtures.labels(spark, sf_dir).select(F.col("label_class").alias("id"), F.col("category").alias("name")).distinct()
+    found = jobs.merge_detections(settings, fixtures.detections(spark, sf_dir), fixtures.tiles(spark, sf_dir), kinds)["detections"]
+    return found.select("component", "part", "area", "year_det", "det_class", F.round("score", 6).alias("score"), "n", "det_category")
+
+
+@query(_with(KIND) + f""", counted AS (SELECT count(*) FILTER (tile_kind = 'gt') AS gt, count(*) FILTER (tile_kind = 'fp') AS fp FROM kinds),
+chosen AS (SELECT * FROM kinds WHERE tile_kind <> 'empty' UNION ALL SELECT * EXCLUDE (turn, gt, fp) FROM (SELECT *, row_number() OVER (ORDER BY {PLACE.replace('104729', '5 * 104729')}, key) AS turn FROM kinds WHERE tile_kind = 'empty'), counted WHERE turn <= greatest(0, CAST(trunc(0.5 * (gt - fp)) AS BIGINT))),
+cut AS (SELECT *, ({PLACE.replace('104729', '5 * 104729')}) % 1000 AS p, CASE tile_kind WHEN 'fp' THEN 600 ELSE 700 END AS t FROM chosen)
+SELECT id, tile_kind, CASE WHEN tile_kind = 'oth' THEN 'oth' WHEN p < t THEN 'trn' WHEN p < t + (1000 - t) // 2 THEN 'val' ELSE 'tst' END AS dataset, 'https://tiles/18/' || tx || '/' || ty || '.png' AS url FROM cut""")
+def tileset_job(spark, sf_dir):
+    """Tiles of all kinds, a sample of empty ones, the split by a set seed, and the images to fetch."""
+    source = {"type": "XYZ", "location": "https://tiles/{z}/{x}/{y}.png"}
+    settings = config.load(config.Tilesets, {"output_folder": "", "datasets": {"aoi_tiles": "", "image_source": source, "add_fp_labels": {"fp_labels": "", "frac_trn": 0.6}}, "empty_tiles": {}, "seed": 5})
+    labels = fixtures.labels(spark, sf_dir)
+    found = jobs.make_tilesets(settings, fixtures.tiles(spark, sf_dir), labels.where("label_class <= 3"), labels.where("label_class = 4 AND label_id % 5 = 0"), labels.where("label_class = 5"))
+    return found["tiles"].select("id", "tile_kind", "dataset").join(found["tasks"].select("id", "url"), "id")
+
+
 CLUSTER = """
 grown AS (SELECT *, d_x0 - CAST(0.1 AS DOUBLE) AS g_x0, d_y0 - CAST(0.1 AS DOUBLE) AS g_y0, d_x1 + CAST(0.1 AS DOUBLE) AS g_x1, d_y1 + CAST(0.1 AS DOUBLE) AS g_y1 FROM dets),
 near AS MATERIALIZED (SELECT a.det_id AS a, b.det_id AS b, a.score AS sa, b.score AS sb, a.image AS ia, b.image AS ib, a.det_class AS ca, b.det_class AS cb,
