@@ -921,8 +921,8 @@ def cluster_datasets(spark, sf_dir):
 #: Measures of the unit cells (g, x, y) of each g: area, outline, and by squares of four cells the corners; and for a g in one
 #: piece the holes, one that touches the outline in a corner too.
 MEASURED = """
-near AS (SELECT g, x + dx AS x, y + dy AS y, dx + 2 * dy AS place FROM cells, (SELECT unnest([0, 1]) AS dx), (SELECT unnest([0, 1]) AS dy)),
-quads AS (SELECT g, x, y, list_sort(list(place)) AS q FROM near GROUP BY g, x, y),
+touched AS (SELECT g, x + dx AS x, y + dy AS y, dx + 2 * dy AS place FROM cells, (SELECT unnest([0, 1]) AS dx), (SELECT unnest([0, 1]) AS dy)),
+quads AS (SELECT g, x, y, list_sort(list(place)) AS q FROM touched GROUP BY g, x, y),
 corners AS (SELECT g, count(*) FILTER (len(q) = 1) AS one, count(*) FILTER (len(q) = 3) AS three, count(*) FILTER (q = [0, 3] OR q = [1, 2]) AS two,
   count(*) FILTER (len(q) = 2 AND q <> [0, 3] AND q <> [1, 2]) AS straight FROM quads GROUP BY g),
 measured AS (SELECT g, (SELECT count(*) FROM cells c WHERE c.g = k.g) AS area, (2 * straight + 2 * one + 2 * three + 4 * two) // 2 AS outline, one + three + 2 * two AS corners, 1 - (one - three - 2 * two) // 4 AS holes FROM corners k)"""
@@ -941,6 +941,15 @@ def union_outlines(spark, sf_dir):
     return _measures(outline.union_polygons(fixtures.labels(spark, sf_dir), assess.LABEL_BOX, ["dataset"]), "dataset")
 
 
+@query("WITH RECURSIVE " + ",".join([SQL, CLUSTER, CLUSTERED, """
+cells AS (SELECT DISTINCT component AS g, x, y FROM (SELECT component, x, unnest(range(d_y0, d_y1)) AS y FROM (SELECT component, unnest(range(d_x0, d_x1)) AS x, d_y0, d_y1 FROM members)))""", MEASURED]) + " SELECT g AS component, CAST(area AS DOUBLE) AS area, CAST(outline AS DOUBLE) AS outline FROM measured")
+def cluster_outlines(spark, sf_dir):
+    """The outlines of clusters; boxes of whole numbers have no gap that a tenth would close."""
+    found = post.cluster_outlines(fixtures.detections(spark, sf_dir).withColumn("scale", F.lit(500)))
+    lengths = found.select("component", "area", outline.perimeter(F.col("polygon")).alias("outline"))
+    return lengths.groupBy("component").agg(*(F.round(F.sum(c), 3).alias(c) for c in ("area", "outline")))
+
+
 @query(
     """WITH v AS (SELECT vec_id, list_transform(embedding, lambda x: CAST(x AS DOUBLE)) AS v FROM embeddings),
 m AS (SELECT *, list_reduce(v, lambda a, b: a + b, CAST(0 AS DOUBLE)) / len(v) AS mean FROM v)
