@@ -21,13 +21,13 @@ def with_bounds(df: DataFrame, ring: str) -> DataFrame:
     return df.withColumns(dict(zip(BOUNDS, (F.array_min(x), F.array_min(y), F.array_max(x), F.array_max(y)), strict=True)))
 
 
-def clip_polygons(polygons: DataFrame, ring: str, tiles: DataFrame, box: Box, scale: float = 1.0, cell: float = 128) -> DataFrame:
+def clip_polygons(polygons: DataFrame, ring: str, tiles: DataFrame, box: Box, scale: float = 1.0, cell: float = 128, levels: int = 1) -> DataFrame:
     """Pairs of polygon and tile, a row for each part of the polygon inside the tile scaled about its centre.
 
     Columns of both sides (names must differ), part from 0, its ring in place of the whole one, and part_area. Pairs that
     only touch, null rings and rings without area give no row.
     """
-    pairs = spatial_join(with_bounds(polygons, ring), BOUNDS, tiles, box, cell).drop(*BOUNDS)
+    pairs = spatial_join(with_bounds(polygons, ring), BOUNDS, tiles, box, cell, levels=levels).drop(*BOUNDS)
     window = scaled_box(box, scale) if scale != 1.0 else [F.col(c) for c in box]
     parts = pairs.select(*(c for c in pairs.columns if c != ring), F.posexplode(clipped(F.col(ring), *window)).alias("part", ring))
     return parts.withColumn("part_area", ring_area(F.col(ring)))

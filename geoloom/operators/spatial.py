@@ -18,13 +18,52 @@ def _cells(df: DataFrame, box: Box, cell: float, cx: str, cy: str) -> DataFrame:
     return wide.withColumn(cy, F.explode(F.sequence(at(box[1]), at(box[3]))))
 
 
-def spatial_join(left: DataFrame, left_box: Box, right: DataFrame, right_box: Box, cell: float = CELL, on: Sequence[tuple[str, str]] = (), also: Column | None = None) -> DataFrame:
+#: Sides of cells of one level in those of the level below.
+RATIO = 8
+
+
+def _placed(df: DataFrame, box: Box, cell: float, levels: int, level: str, cx: str, cy: str, own: str) -> DataFrame:
+    """df with a row for each cell of its boxes on their own level and on all above it; own marks the first.
+
+    A box's own level is the lowest on which it is no longer than RATIO cells, so it covers RATIO + 1 squared there at most,
+    and four on each level above; only on the highest level there may be more.
+    """
+    long = F.greatest(F.col(box[2]) - F.col(box[0]), F.col(box[3]) - F.col(box[1]))
+    first = F.lit(levels - 1)
+    for k in reversed(range(levels - 1)):
+        first = F.when(long <= cell * RATIO ** (k + 1), k).otherwise(first)
+    each = df.withColumn(level, F.explode(F.sequence(first, F.lit(levels - 1)))).withColumn(own, F.col(level) == first)
+    size = F.lit(float(cell)) * F.pow(F.lit(float(RATIO)), F.col(level))
+    at = lambda c: F.floor(F.col(c) / size).cast("long")
+    wide = each.withColumn(cx, F.explode(F.sequence(at(box[0]), at(box[2]))))
+    return wide.withColumn(cy, F.explode(F.sequence(at(box[1]), at(box[3]))))
+
+
+def _levelled_join(left: DataFrame, left_box: Box, right: DataFrame, right_box: Box, cell: float, on: Sequence[tuple[str, str]], also: Column | None, levels: int) -> DataFrame:
+    """spatial_join() where a pair meets on the higher one of its boxes' own levels."""
+    a, b = _placed(left, left_box, cell, levels, "_cl", "_cx", "_cy", "_co"), _placed(right, right_box, cell, levels, "_rl", "_rx", "_ry", "_ro")
+    joined = (F.col("_cl") == F.col("_rl")) & (F.col("_cx") == F.col("_rx")) & (F.col("_cy") == F.col("_ry")) & (F.col("_co") | F.col("_ro"))
+    for x, y in on:
+        joined &= F.col(x).eqNullSafe(F.col(y))
+    size = F.lit(float(cell)) * F.pow(F.lit(float(RATIO)), F.col("_cl"))
+    corner = lambda k: F.floor(F.greatest(left_box[k], right_box[k]) / size)
+    joined &= boxes_intersect(left_box, right_box) & (corner(0) == F.col("_cx")) & (corner(1) == F.col("_cy"))
+    if also is not None:
+        joined &= also
+    return a.join(b, joined).drop("_cl", "_cx", "_cy", "_co", "_rl", "_rx", "_ry", "_ro")
+
+
+def spatial_join(left: DataFrame, left_box: Box, right: DataFrame, right_box: Box, cell: float = CELL, on: Sequence[tuple[str, str]] = (), also: Column | None = None, levels: int = 1) -> DataFrame:
     """All pairs whose boxes intersect (touching included), each once; column names of the sides must differ.
 
     A pair meets in every cell both cover and is kept in the one that holds the lower corner of the common part, so no
     distinct is needed. on lists further equal columns (null equals null). Rows with a null side have no pair. The
-    cell should be about twice the usual box; larger boxes cost a row for each cell they cover.
+    cell should be about twice the usual box; larger boxes cost a row for each cell they cover. With more levels boxes of any
+    size up to RATIO ** levels cells cost a bounded number of rows: each is placed by its size, and a row more on each level
+    above it.
     """
+    if levels > 1:
+        return _levelled_join(left, left_box, right, right_box, cell, on, also, levels)
     a, b = _cells(left, left_box, cell, "_cx", "_cy"), _cells(right, right_box, cell, "_rx", "_ry")
     joined = (F.col("_cx") == F.col("_rx")) & (F.col("_cy") == F.col("_ry"))
     for x, y in on:

@@ -31,6 +31,26 @@ def test_grid_join_equals_brute_force(spark):
     assert len(found) == len(set(found)) and set(found) == want
 
 
+def test_join_over_levels_equals_brute_force_and_bounds_its_rows(spark):
+    rng = random.Random(9)
+    far = lambda: rng.choice([0, 3, 40, 150, 3000, 10**6])
+    box = lambda: (x := rng.randint(-2000, 2000), y := rng.randint(-2000, 2000), x + far(), y + far())
+    a, b = [(i, *box()) for i in range(150)], [(i, *box()) for i in range(150)]
+    a += [(150, -(10**6), -(10**6), 10**6, 10**6), (151, None, 0, 1, 1)]
+    left, right = spark.createDataFrame(a, "i long, ax0 long, ay0 long, ax1 long, ay1 long"), spark.createDataFrame(b, "j long, bx0 long, by0 long, bx1 long, by1 long")
+    sides = ("ax0", "ay0", "ax1", "ay1"), ("bx0", "by0", "bx1", "by1")
+    joined = spatial.spatial_join(left, sides[0], right, sides[1], 5, levels=7)
+    found = [(r.i, r.j) for r in joined.collect()]
+    want = {(p[0], q[0]) for p in a for q in b if p[1] is not None and p[1] <= q[3] and q[1] <= p[3] and p[2] <= q[4] and q[2] <= p[4]}
+    assert len(found) == len(set(found)) and set(found) == want and set(joined.columns) == {"i", "j", *sides[0], *sides[1]}
+    assert "NestedLoop" not in joined._jdf.queryExecution().executedPlan().toString()
+    placed = spatial._placed(left, sides[0], 5, 7, "l", "x", "y", "o")
+    assert placed.groupBy("i").count().agg(F.max("count")).first()[0] <= (spatial.RATIO + 1) ** 2 + 4 * 6
+    # One box over everything and many in one cell.
+    many = spark.range(100_000).select((F.col("id")).alias("j"), *((F.col("id") % 5 + k).cast("long").alias(c) for c, k in zip(sides[1], (0, 0, 2, 2), strict=True)))
+    assert spatial.spatial_join(left.where("i = 150"), sides[0], many, sides[1], 5, levels=7).count() == 100_000
+
+
 def test_identical_touching_and_classes(spark):
     dets = [det(0, 0, 0), det(1, 100, 0), det(2, 200, 0, cls=3), det(3, 500, 500)]
     labels = [label(0, 0, 0), label(1, 110, 0), label(2, 200, 0)]
