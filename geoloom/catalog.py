@@ -1035,6 +1035,29 @@ def catalog_missing(spark, sf_dir):
     return tables.missing(tasks, spark.read.parquet(f"{sf_dir}/events.parquet").select(F.col("event_id").alias("img_file")))
 
 
+HASHED = """array_to_string([substr('0123456789bcdefghjkmnpqrstuvwxyz', CAST(list_sum([((CASE WHEN k % 2 = 0 THEN x >> (19 - k // 2) ELSE y >> (19 - k // 2) END) & 1) * (16 >> (k % 5)) FOR k IN range(5 * c, 5 * c + 5)]) AS INTEGER) + 1, 1) FOR c IN range(0, 8)], '')"""
+
+
+@query(_with() + f" SELECT label_id, 'a' || {HASHED} || '_z' AS name FROM (SELECT label_id, CAST(floor(((l_x0 + l_x1) / CAST(64 AS DOUBLE) + 180) / 360 * 1048576) AS BIGINT) AS x, CAST(floor(((l_y0 + l_y1) / CAST(128 AS DOUBLE) + 90) / 180 * 1048576) AS BIGINT) AS y FROM labels)")
+def geohash_names(spark, sf_dir):
+    """Labels, as if they were on the globe, named by the place of their centre."""
+    x0, y0, x1, y1 = (F.col(c) / F.lit(d) for c, d in zip(assess.LABEL_BOX, (32.0, 64.0, 32.0, 64.0), strict=True))
+    sides = fixtures.labels(spark, sf_dir).select("label_id", x0.alias("a"), y0.alias("b"), x1.alias("c"), y1.alias("d"))
+    return sides.select("label_id", geometry.geohash_name(geometry.box_ring(("a", "b", "c", "d")), "a", "_z", 8).alias("name"))
+
+
+@query(_with() + f""" SELECT id, dataset || '-images-256/18_' || tx || '_all.tif' AS dst_file, strftime(make_timestamp(CAST(1600000000 + key * 3601 AS BIGINT) * 1000000), '%Y-%m-%dT%H:%M:%S') AS date_captured, 256 AS width
+FROM (SELECT *, {SPLIT} AS dataset FROM tiles)""")
+def catalogue_round_trip(spark, sf_dir):
+    """A catalogue of images written in lines and read back, with the files' places in their sets and their dates."""
+    tiles = tilesets.split(fixtures.tiles(spark, sf_dir))
+    images = tiles.select(F.concat(F.lit("all-images-256/18_"), "tx", F.lit("_all.tif")).alias("img_file"), "id", "dataset", F.lit(256).alias("width"), names.captured(1600000000 + F.col("key") * 3601).alias("date_captured"))
+    path = f"{checkpoint_dir(spark).rstrip('/')}/catalogue-{uuid.uuid4().hex}"
+    connectors.write_catalogue(images, path)
+    back = connectors.read_catalogue(spark, path, "id string, dataset string, width int, date_captured string")
+    return back.select("id", names.destination(F.col("img_file"), F.col("dataset")).alias("dst_file"), "date_captured", "width")
+
+
 @query(_with() + " SELECT key, CAST(0.390625 AS DOUBLE) AS a, CAST(t_x0 + 0.1953125 AS DOUBLE) AS cx, CAST(t_y1 - 0.1953125 AS DOUBLE) AS cy FROM tiles")
 def world_file(spark, sf_dir):
     lines = F.split(geometry.world_file(tilesets.TILE_BOX, F.lit(256), F.lit(256)), "\n")

@@ -176,3 +176,9 @@ def geohash(lon: Column, lat: Column, length: int = 12) -> Column:
         return F.substring(F.lit(GEOHASH), index.cast("int") + 1, F.lit(1))
 
     return F.concat(*(letter(c) for c in range(length)))
+
+
+def geohash_name(ring: Column, prefix: str = "", suffix: str = "", length: int = 12) -> Column:
+    """The geohash of a ring's centre of area, in degrees, between a prefix and a suffix."""
+    middle = ring_centroid(ring)
+    return F.concat(F.lit(prefix), geohash(middle["x"], middle["y"], length), F.lit(suffix))

@@ -57,3 +57,15 @@ def fill_address(template: str, **values: Column) -> Column:
     for name, value in values.items():
         out = F.replace(out, F.lit("{" + name + "}"), value.cast("string"))
     return out
+
+
+def destination(name: Column, dataset: Column) -> Column:
+    """Where a file below a folder for all images goes for its set: all becomes the set's name in the folders, not in the file."""
+    file = F.substring_index(name, "/", -1)
+    folders = F.substring(name, F.lit(1), F.length(name) - F.length(file))
+    return F.concat(F.replace(folders, F.lit("all"), dataset), file)
+
+
+def captured(seconds: Column) -> Column:
+    """Seconds since 1970 as a date and time in ISO form, in UTC whatever the session's time zone."""
+    return F.date_format(F.to_utc_timestamp(F.timestamp_seconds(seconds), F.current_timezone()), "yyyy-MM-dd'T'HH:mm:ss")

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -73,15 +74,21 @@ def polygon_annotations(clipped: DataFrame, ring: str, tile_box: Box, width: int
     return found.withColumn("bbox", segment_bbox(F.flatten("segmentation")))
 
 
+def info_block(year: int, version: str, description: str, contributor: str, url: str, created: str | None = None) -> dict:
+    """The head of a document; created is an ISO date, today's without one."""
+    return {"year": year, "version": version, "description": description, "contributor": contributor, "url": url, "date_created": created or date.today().isoformat()}
+
+
 def fragments(images: DataFrame, notes: DataFrame, categories: DataFrame, info: dict, license_name: str, license_url: str) -> DataFrame:
     """(dataset, section, place, line): the lines of each dataset's COCO document, in order of section and place.
 
-    Columns are as in documents(). An image and an annotation take a line each, so no value grows with a dataset.
+    Columns are as in documents(); images may also have date_captured. An image and an annotation take a line each, so no value grows with a dataset.
     """
     if not license_name:
         raise ValueError("the license of the images has no name")
     spark = images.sparkSession
-    image = F.to_json(F.struct("id", "width", "height", "file_name", "year", F.lit(1).alias("license")))
+    dated = ["date_captured"] if "date_captured" in images.columns else []
+    image = F.to_json(F.struct("id", "width", "height", "file_name", "year", *dated, F.lit(1).alias("license")))
     note = F.to_json(F.struct("id", "image_id", "category_id", "segmentation", F.lit(0).alias("iscrowd"), "area", "bbox"))
     comma = F.when(F.col("id") > 1, ",").otherwise("")
     line = lambda df, section, text: df.select("dataset", F.lit(section).alias("section"), F.col("id").cast("long").alias("place"), F.concat(comma, text).alias("line"))
@@ -113,6 +120,15 @@ def read_documents(spark: SparkSession, path: str) -> DataFrame:
     return lines.select("dataset", F.when(pictured, F.from_json("line", image)).alias("image"), F.when(~pictured, F.from_json("line", note)).alias("annotation"))
 
 
+def number_of_classes(spark: SparkSession, path: str) -> int:
+    """How many categories the documents in lines have; none is an error. Their last lines hold them."""
+    kinds = F.from_json(F.regexp_extract("value", r'"categories":(\[.*\])\}$', 1), "array<struct<id:int>>")
+    found = spark.read.text(path).where(F.col("value").startswith('],"licenses":')).select(F.size(kinds).alias("n")).limit(1).collect()
+    if not found or found[0].n < 1:
+        raise ValueError(f"no class in {path}")
+    return found[0].n
+
+
 def documents(images: DataFrame, notes: DataFrame, categories: DataFrame, info: dict, license_name: str, license_url: str) -> DataFrame:
     """(dataset, document): a COCO document in JSON for each dataset.
 

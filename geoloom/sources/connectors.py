@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from geoloom.config import MULTI, check_tile_year
@@ -64,6 +64,11 @@ def write_catalogue(images: DataFrame, path: str, name: str = "img_file") -> Non
     images.select(name, *(c for c in images.columns if c != name)).write.mode("overwrite").json(path)
 
 
+def read_catalogue(spark: SparkSession, path: str, metadata: str, name: str = "img_file") -> DataFrame:
+    """What write_catalogue() wrote: the image's name and the columns of metadata, a DDL schema; missing ones are null."""
+    return spark.read.schema(f"{name} string, {metadata}").json(path)
+
+
 def write_coco(documents: DataFrame, path: str) -> None:
     """(dataset, document) as one text file a dataset below dataset=<name>."""
     documents.select("dataset", F.col("document").alias("value")).repartition("dataset").write.mode("overwrite").partitionBy("dataset").text(path)
