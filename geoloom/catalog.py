@@ -297,6 +297,15 @@ def crossed_rings(spark, sf_dir):
     return found.groupBy("label_id").agg(F.round(F.sum("area"), 6).alias("area"), F.count(F.lit(1)).alias("parts"))
 
 
+#: A corner of four quarters of 16 pieces each, of radius 3.
+@query(_with() + """ SELECT label_id, round(w * h + 6 * (w + h) + 9 * 32 * sin(pi() / 32), 3) AS grown, CAST(greatest(w - 10, 0) * greatest(h - 10, 0) AS DOUBLE) AS shrunk FROM labels""")
+def round_buffers(spark, sf_dir):
+    """Areas of labels grown by 3 with round corners, and of what lies at least 5 inside."""
+    boxes = fixtures.labels(spark, sf_dir).select("label_id", F.array(geometry.box_ring(assess.LABEL_BOX)).alias("polygon"))
+    area = lambda d, name: overlay.areas(overlay.round_buffer(boxes, "polygon", d, ["label_id"]), ["label_id"]).select("label_id", F.round("area", 3).alias(name))
+    return area(3.0, "grown").join(area(-5.0, "shrunk"), "label_id", "left").withColumn("shrunk", F.coalesce("shrunk", F.lit(0.0)))
+
+
 @query(f"""WITH s AS (SELECT event_id, lon, lat, (lon * 3600 - 26782.5) / 10000 AS a, (lat * 3600 - 169028.66) / 10000 AS b FROM ({POINTS}))
 SELECT event_id, round(2600072.37 + 211455.93 * a - 10938.51 * a * b - 0.36 * a * b ** 2 - 44.54 * a ** 3, 2) AS east,
   round(1200147.07 + 308807.95 * b + 3745.25 * a ** 2 + 76.63 * b ** 2 - 194.56 * a ** 2 * b + 119.79 * b ** 3, 2) AS north, true AS returns FROM s""")
