@@ -9,11 +9,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from geoloom import config, jobs
-from geoloom.functions import geometry, names
+from geoloom.functions import geometry, names, wkb
 from geoloom.operators import assess, coco, coverage, enrich, grids, outline, overlay, post, raster, shapes, spatial, tilesets
 from geoloom.plans import fixtures
 from geoloom.plans.fixtures import SQL
-from geoloom.sources import connectors, tables
+from geoloom.sources import connectors, geopackage, tables
 from geoloom.storage import checkpoint_dir
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -238,6 +238,35 @@ def _notched(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fixtures.labels(spark, sf_dir).select("label_id", ring.alias("ring"))
 
 
+def _folder(spark: SparkSession, name: str) -> str:
+    return f"{checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
+NOTCHED = _with() + " SELECT label_id, CAST(w * h AS DOUBLE) * 0.75 AS area, CAST(l_x0 AS DOUBLE) AS x, CAST(8 AS BIGINT) AS corners FROM labels"
+
+
+def _measured(found: DataFrame) -> DataFrame:
+    ring = F.col("geom")[0][0]
+    return found.select("label_id", F.round(geometry.ring_area(ring), 6).cast("double").alias("area"), F.array_min(F.transform(ring, lambda p: p["x"])).alias("x"), (F.size(ring) - 1).cast("long").alias("corners"))
+
+
+@query(NOTCHED)
+def geopackage_scan(spark, sf_dir):
+    """Notched labels written as GeoPackage files, one a task, and read back in ranges of rows."""
+    geopackage.register(spark)
+    path = _folder(spark, "geopackage")
+    _notched(spark, sf_dir).select("label_id", F.array(F.array("ring")).alias("geom")).write.format("geopackage").mode("append").option("srs", 2056).save(path)
+    return _measured(spark.read.format("geopackage").option("rows", 4096).load(path))
+
+
+@query(NOTCHED)
+def wkb_scan(spark, sf_dir):
+    """Notched labels as Parquet with well-known binary."""
+    path = _folder(spark, "wkb")
+    _notched(spark, sf_dir).select("label_id", wkb.to_wkb(F.array(F.array("ring"))).alias("geom")).write.parquet(path)
+    return _measured(spark.read.parquet(path).withColumn("geom", wkb.from_wkb("geom")))
+
+
 def _common(x0: str, y0: str, x1: str, y1: str) -> str:
     sides = [f"l_x0 + w * {x0}", f"l_y0 + h * {y0}", f"l_x0 + w * {x1}", f"l_y0 + h * {y1}"]
     return f"greatest(least(t_x1, {sides[2]}) - greatest(t_x0, {sides[0]}), 0) * greatest(least(t_y1, {sides[3]}) - greatest(t_y0, {sides[1]}), 0)"
