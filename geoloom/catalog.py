@@ -13,7 +13,7 @@ from geoloom.functions import geometry, names, wkb
 from geoloom.operators import assess, coco, coverage, enrich, grids, outline, overlay, post, raster, shapes, spatial, tilesets
 from geoloom.plans import fixtures
 from geoloom.plans.fixtures import SQL
-from geoloom.sources import connectors, geopackage, tables
+from geoloom.sources import connectors, geopackage, tables, tiff
 from geoloom.storage import checkpoint_dir
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -1108,3 +1108,16 @@ def queries() -> dict[str, Query]:
 
 def oracle_sql() -> dict[str, str]:
     return dict(_SQL)
+
+
+@query("WITH " + PIXELS + """ SELECT v AS k, CAST(py // 3 * 3 AS INTEGER) AS top, count(*) FILTER (value = 1) AS ones, CAST(sum(value) AS DOUBLE) AS total, CAST(v % 50 AS DOUBLE) * 4 AS x0, CAST(v // 50 AS DOUBLE) * 2 AS y1,
+CAST(8 AS INTEGER) AS width, CAST(2056 AS INTEGER) AS epsg FROM pixels GROUP BY ALL""")
+def tiff_scan(spark, sf_dir):
+    """Images written as TIFF files and read back in strips of three rows, with what their headers say."""
+    images = _images_of(spark, sf_dir).select("k", "rows", ((F.col("k") % 50) * 4.0).alias("x0"), (F.expr("k div 50") * 2.0).alias("y1"), F.lit(0.5).alias("d"))
+    named = images.withColumn("img_file", F.concat(F.expr("k div 1000"), F.lit("/"), "k", F.lit(".tif")))
+    paths = tiff.write_tiffs(named, _folder(spark, "tiff"), place=["x0", "y1", "d", "d"], epsg=2056, strip=3)
+    pixels = F.flatten("rows")
+    blocks = tiff.tiff_blocks(paths).select("path", "top", F.size(F.filter(pixels, lambda p: p == 1)).cast("long").alias("ones"), F.aggregate(pixels, F.lit(0.0), lambda s, p: s + p).alias("total"))
+    found = blocks.join(tiff.tiff_info(paths).select("path", "x0", "y1", "width", "epsg"), "path")
+    return found.select(F.regexp_extract("path", r"(\d+)\.tif$", 1).cast("long").alias("k"), "top", "ones", "total", "x0", "y1", "width", "epsg")

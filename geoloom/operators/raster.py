@@ -35,6 +35,11 @@ def apply_palette(pixels: Column, palette: Column) -> Column:
     return F.transform(pixels, lambda p: F.get(palette, p))
 
 
+def clear_nodata(palette: Column, nodata: int = 255) -> Column:
+    """A palette of colours (red, green, blue, opacity) whose colour of nodata is clear: zeros."""
+    return F.transform(palette, lambda c, k: F.when(k == nodata, F.transform(c, lambda v: v * 0)).otherwise(c))
+
+
 #: Columns of a raster that are worked on together where runs of neighbouring rows meet.
 STRETCH = 256
 

@@ -2,13 +2,15 @@
 
 import sqlite3
 import struct
+import zlib
 
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
 from geoloom.functions import wkb
-from geoloom.sources import geopackage
+from geoloom.operators import raster
+from geoloom.sources import geopackage, tiff
 
 POLYGONS = "array<array<array<struct<x:double,y:double>>>>"
 BOX = [(0.0, 0.0), (4.0, 0.0), (4.0, 3.0), (0.0, 0.0)]
@@ -77,3 +79,86 @@ def test_geopackage_tables_and_faults(spark, tmp_path):
         spark.read.format("geopackage").load(path)
     with pytest.raises(ValueError, match="mounted"):
         geopackage.local("s3://bucket/x.gpkg")
+
+
+def built(pixels, order="<", tile=None, apart=False, predictor=False, big=False, palette=None):
+    """A TIFF file as other programs may write it: big-endian, in tiles, with bands apart, differences, or 8-byte offsets."""
+    height, width, bands = pixels.shape
+    rows, columns = tile or (3, width)
+    blocks = []
+    for plane in np.moveaxis(pixels, 2, 0)[..., None] if apart else [pixels]:
+        for top in range(0, height, rows):
+            for left in range(0, width, columns):
+                block = plane[top : top + rows, left : left + columns]
+                if tile:
+                    block = np.pad(block, ((0, rows - block.shape[0]), (0, columns - block.shape[1]), (0, 0)))
+                if predictor:
+                    block = np.diff(block, axis=1, prepend=np.zeros_like(block[:, :1]))
+                blocks.append(zlib.compress(block.astype(pixels.dtype.newbyteorder(order)).tobytes()))
+    at, sizes = (324, 325) if tile else (273, 279)
+    tags = {256: [width], 257: [height], 258: [8 * pixels.dtype.itemsize] * bands, 259: [8], 277: [bands], 284: [2 if apart else 1], 317: [2 if predictor else 1], 339: [{"u": 1, "i": 2, "f": 3}[pixels.dtype.kind]] * bands}
+    tags |= {at: [0] * len(blocks), sizes: [len(b) for b in blocks]} | ({322: [columns], 323: [rows]} if tile else {278: [rows]}) | ({320: palette} if palette else {})
+    word, head = ("Q", 16) if big else ("I", 8)
+    width_of = 8 if big else 4
+    start = head + (8 if big else 2) + len(tags) * (20 if big else 12) + width_of
+    inline = lambda values: len(values) * width_of <= width_of
+    data = start + sum(0 if inline(v) else len(v) * width_of for v in tags.values())
+    tags[at] = [data + sum(map(len, blocks[:k])) for k in range(len(blocks))]
+    entries = rest = b""
+    for tag, values in sorted(tags.items()):
+        raw = struct.pack(f"{order}{len(values)}{word}", *values)
+        entries += struct.pack(order + "HH" + word, tag, 16 if big else 4, len(values)) + (raw if inline(values) else struct.pack(order + word, start + len(rest)))
+        rest += b"" if inline(values) else raw
+    first = struct.pack(order + "HHHQ", 43, 8, 0, 16) if big else struct.pack(order + "HI", 42, 8)
+    return {"<": b"II", ">": b"MM"}[order] + first + struct.pack(order + ("Q" if big else "H"), len(tags)) + entries + bytes(width_of) + rest + b"".join(blocks)
+
+
+def whole(spark, paths, **how):
+    """The pixels of each band of each file, put together from its blocks."""
+    found = {}
+    for r in tiff.tiff_blocks(spark.createDataFrame([(p,) for p in paths], "path string"), tasks=8, **how).collect():
+        for k, row in enumerate(r.rows):
+            for x, v in enumerate(row):
+                assert found.setdefault((r.path, r.band), {}).setdefault((r.top + k, r.left + x), v) == v
+    return found
+
+
+def test_tiff_files_of_other_programs(spark, tmp_path):
+    rng = np.random.default_rng(3)
+    files = {}
+    for k, how in enumerate(({}, {"order": ">"}, {"tile": (16, 16)}, {"tile": (16, 32), "apart": True, "order": ">"}, {"predictor": True}, {"tile": (16, 16), "predictor": True, "apart": True}, {"big": True})):
+        for kind in ("uint8", "int16", "float32")[: 2 if "predictor" in how else 3]:
+            pixels = rng.integers(0, 100, (37, 50, 3)).astype(kind)
+            path = tmp_path / f"{k}-{kind}.tif"
+            path.write_bytes(built(pixels, **how))
+            files[str(path)] = pixels
+    found = whole(spark, files, at_once=2)
+    assert len(found) == 3 * len(files)
+    for (path, band), cells in found.items():
+        assert cells == {(y, x): float(v) for (y, x), v in np.ndenumerate(files[path][:, :, band - 1])}, path
+
+
+def test_tiffs_come_back_with_their_place(spark, tmp_path):
+    rows = [("a/1.tif", [[1, 2, 3], [4, 5, None]], 10.0, 50.0, 0.5, 0.25), ("2.tif", [[7]], None, None, None, None), (None, [[1]], 1.0, 1.0, 1.0, 1.0), ("3.tif", None, 1.0, 1.0, 1.0, 1.0), ("4.tif", [[]], 1.0, 1.0, 1.0, 1.0)]
+    images = spark.createDataFrame(rows, "img_file string, rows array<array<int>>, x double, y double, dx double, dy double")
+    paths = tiff.write_tiffs(images, f"file://{tmp_path}", place=["x", "y", "dx", "dy"], epsg=2056, nodata=255, strip=1)
+    assert sorted(r.path for r in paths.collect()) == [f"{tmp_path}/2.tif", f"{tmp_path}/a/1.tif"]
+    (tmp_path / "2.tfw").write_text("2.0\n0.0\n0.0\n-2.0\n101.0\n199.0\n")
+    info = {r.path: tuple(r)[1:] for r in tiff.tiff_info(paths).collect()}
+    assert info[f"{tmp_path}/a/1.tif"] == (3, 2, 1, 2056, 10.0, 50.0, 0.5, 0.25, 255.0, None, 2)
+    assert info[f"{tmp_path}/2.tif"] == (1, 1, 1, 2056, 100.0, 200.0, 2.0, 2.0, 255.0, None, 1)
+    found = whole(spark, [f"{tmp_path}/a/1.tif"])
+    assert found == {(f"{tmp_path}/a/1.tif", 1): {(0, 0): 1.0, (0, 1): 2.0, (0, 2): 3.0, (1, 0): 4.0, (1, 1): 5.0, (1, 2): 255.0}}
+    assert tiff.tiff_info(paths.where("false")).count() == 0 and tiff.tiff_blocks(paths.where("false")).count() == 0
+
+
+def test_tiff_palettes_and_faults(spark, tmp_path):
+    colours = [256 * (k // 8) for k in range(3 * 256)]
+    path = tmp_path / "p.tif"
+    path.write_bytes(built(np.array([[[3], [255]]], "uint8"), palette=colours))
+    df = tiff.tiff_info(spark.createDataFrame([(str(path),)], "path string"))
+    painted = df.select(raster.apply_palette(F.array(F.lit(3), F.lit(255), F.lit(256)), raster.clear_nodata(F.col("palette"))).alias("c")).first().c
+    assert painted == [[0, 32, 64, 255], [0, 0, 0, 0], None]
+    (tmp_path / "x.tif").write_bytes(b"no image")
+    with pytest.raises(Exception, match="not a TIFF file"):
+        tiff.tiff_info(spark.createDataFrame([(str(tmp_path / "x.tif"),)], "path string")).collect()
