@@ -1121,3 +1121,20 @@ def tiff_scan(spark, sf_dir):
     blocks = tiff.tiff_blocks(paths).select("path", "top", F.size(F.filter(pixels, lambda p: p == 1)).cast("long").alias("ones"), F.aggregate(pixels, F.lit(0.0), lambda s, p: s + p).alias("total"))
     found = blocks.join(tiff.tiff_info(paths).select("path", "x0", "y1", "width", "epsg"), "path")
     return found.select(F.regexp_extract("path", r"(\d+)\.tif$", 1).cast("long").alias("k"), "top", "ones", "total", "x0", "y1", "width", "epsg")
+
+
+#: Plans of labels, and files whose names end in a plan, some with more in front.
+PLANS = """
+boxes AS (SELECT label_id, CAST(label_id % 50 AS VARCHAR) AS Num_box, lpad(CAST(label_id % 400 AS VARCHAR), 6, '0') || CAST(label_id % 3 AS VARCHAR) AS Num_plan FROM labels),
+files AS (SELECT '/plans/' || CASE WHEN key % 2 = 0 THEN 'a_' ELSE '' END || lpad(CAST(key % 400 AS VARCHAR), 6, '0') || '_' || CAST(key % 3 AS VARCHAR) || '.tif' AS path FROM tiles)"""
+
+
+@query(_with(PLANS) + " SELECT label_id, path AS tilepath FROM boxes JOIN (SELECT DISTINCT path FROM files) ON ends_with(path, substr(Num_plan, 1, 6) || '_' || substr(Num_plan, 7) || '.tif') WHERE CAST(Num_box AS INTEGER) <= 35")
+def box_files(spark, sf_dir):
+    """The files of the plans of boxes with a number up to 35."""
+    padded = lambda k: F.lpad((F.col(k) % 400).cast("string"), 6, "0")
+    last = lambda k: (F.col(k) % 3).cast("string")
+    boxes = fixtures.labels(spark, sf_dir).select("label_id", (F.col("label_id") % 50).cast("string").alias("Num_box"), F.concat(padded("label_id"), last("label_id")).alias("Num_plan"))
+    lead = F.when(F.col("key") % 2 == 0, "/plans/a_").otherwise("/plans/")
+    files = fixtures.tiles(spark, sf_dir).select(F.concat(lead, padded("key"), F.lit("_"), last("key"), F.lit(".tif")).alias("path"))
+    return enrich.boxes_in_files(boxes, files).select("label_id", "tilepath")

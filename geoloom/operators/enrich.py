@@ -100,6 +100,23 @@ def box_file(number: Column, suffix: str) -> Column:
     return F.concat(F.substring(number, 1, 6), F.lit("_"), F.substring(number, 7, 1 << 20), F.lit(suffix))
 
 
+def boxes_in_files(boxes: DataFrame, files: DataFrame, suffix: str = ".tif", last: int = 35, number: str = "Num_box", plan: str = "Num_plan", path: str = "path") -> DataFrame:
+    """boxes up to number last with tilepath, a row for each file whose path ends in the box_file() of the box's plan.
+
+    A box without such a file has no row, and a number that isn't whole is none. Paths are matched by their possible ends,
+    one for each underscore in the name, so the join is by equality.
+    """
+    chosen = boxes.where(F.col(number).try_cast("int") <= last).withColumn("_end", box_file(F.col(plan), suffix))
+    named = files.where(F.endswith(F.col(path), F.lit(suffix))).select(F.col(path).alias("tilepath")).distinct()
+    size, stem = F.length("tilepath"), F.length("tilepath") - len(suffix)
+    places = F.filter(F.sequence(F.lit(1), size), lambda k: (F.substring("tilepath", k, F.lit(1)) == "_") & (k <= stem))
+    # Six characters stand before the underscore; fewer only where a short plan ends in it.
+    ends = F.transform(places, lambda k: F.when(k < stem, F.array(k - 6)).otherwise(F.sequence(k - 6, k)))
+    starts = F.filter(F.flatten(ends), lambda k: k >= 1)
+    tails = named.select("tilepath", F.explode(F.array_distinct(F.transform(starts, lambda k: F.substring("tilepath", k, size)))).alias("_end"))
+    return chosen.join(tails, "_end").drop("_end")
+
+
 def perimeter_scale(perimeter: Column) -> Column:
     """The scale of a plan by its perimeter; null for null."""
     out = F.when(perimeter.isNull(), F.lit(None).cast("int"))

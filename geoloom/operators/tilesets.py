@@ -213,3 +213,16 @@ def category_ids(labels: DataFrame, category: str = "category", supercategory: s
 
     found = labels.select(F.col(category).alias("name"), F.col(supercategory).alias("supercategory")).na.drop().distinct()
     return found.select(F.row_number().over(Window.orderBy("name", "supercategory")).alias("id"), "name", "supercategory")
+
+
+def known_categories(labels: DataFrame | None, configured: DataFrame | None = None, saved: DataFrame | None = None) -> DataFrame:
+    """category_ids() of labels (CATEGORY, SUPERCATEGORY); without labels those configured or else saved, both as names and
+    supercategories, and without these one made-up category. An empty table counts as absent; the others keep their order."""
+    if labels is not None and labels.limit(1).count():
+        return category_ids(labels, "CATEGORY", "SUPERCATEGORY")
+    for given in (configured, saved):
+        if given is not None and given.limit(1).count():
+            rows = [tuple(r) for r in given.select("name", "supercategory").collect()]  # categories are few by nature
+            return given.sparkSession.createDataFrame([(k, *r) for k, r in enumerate(rows, 1)], "id int, name string, supercategory string")
+    spark = next(df for df in (labels, configured, saved) if df is not None).sparkSession
+    return spark.createDataFrame([(1, "foo", "bar ")], "id int, name string, supercategory string")

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from geoloom.config import MULTI, check_tile_year
 from geoloom.functions.geometry import Box
 from geoloom.functions.names import fill_address, image_format, tile_file
+from geoloom.sources.tiff import tiff_info
 
 
 def _text(box: Box) -> Column:
@@ -45,6 +46,17 @@ def folder_files(tasks: DataFrame, files: DataFrame, name: str = "img_file") ->
     return tasks.withColumn("_base", F.substring_index(name, "/", -1)).join(found, "_base", "left").drop("_base")
 
 
+def folder_metadata(found: DataFrame, box: Box, name: str = "img_file", year: str | None = None) -> DataFrame:
+    """(name, width, height, year, extent) of the files that folder_files() found: sizes and EPSG code as the files' headers
+    say, the extent as the task's box says. Tasks without a file have no row; a name that doesn't end in .tif is an error."""
+    info = tiff_info(found.where("path IS NOT NULL").select("path").distinct()).select(F.col("path").alias("_path"), "width", "height", "epsg")
+    extent = F.struct(*(F.col(c).cast("double").alias(n) for c, n in zip(box, ("xmin", "ymin", "xmax", "ymax"), strict=True)), F.struct(F.col("epsg").cast("string").alias("latestWkid")).alias("spatialReference"))
+    when = F.col(year).cast("int") if year else F.lit(None).cast("int")
+    checked = F.when(F.endswith(F.col(name), F.lit(".tif")), F.col(name)).otherwise(F.raise_error(F.concat(F.col(name), F.lit(" must end in .tif"))))
+    tasks = found.select(F.col("path").alias("_path"), checked.alias(name), when.alias("year"), *box)
+    return tasks.join(info, "_path").select(name, "width", "height", "year", extent.alias("extent"))
+
+
 def assert_complete(images: DataFrame, metadata: DataFrame, name: str = "img_file") -> DataFrame:
     """images itself, if each has metadata beside it and no metadata lacks its image; else an error. Names end in .tif and .json."""
     stem = lambda df: df.select(F.regexp_replace(name, r"\.[^.]*$", "").alias("stem"))

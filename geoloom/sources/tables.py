@@ -54,6 +54,14 @@ def read_metadata(spark: SparkSession, path: str) -> DataFrame:
     return raw.select(F.explode(F.from_json("value", f"map<string,struct<{', '.join(f.replace(' ', ':', 1) for f in METADATA.split(', '))}>>"))).select(F.col("key").alias("img_file"), "value.*")
 
 
+def read_image_metadata(spark: SparkSession, path: str) -> DataFrame:
+    """A row for each file of one image's metadata; img_file is the file's path with tif for every json in its name."""
+    found = spark.read.schema(METADATA).option("multiLine", True).json(path)
+    name, file = F.regexp_extract(F.col("_metadata.file_path"), "[^/]*$", 0), F.col("_metadata.file_path")
+    folder = F.substring(file, F.lit(1), F.length(file) - F.length(name))
+    return found.select(F.concat(folder, F.replace(name, F.lit("json"), F.lit("tif"))).alias("img_file"), *found.columns)
+
+
 def missing(tasks: DataFrame, catalogue: DataFrame, key: str = "img_file") -> DataFrame:
     """The tasks whose target isn't in the catalogue: what is left to fetch, or what a complete set lacks."""
     return tasks.join(catalogue.select(key), key, "left_anti")

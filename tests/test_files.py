@@ -9,8 +9,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from geoloom.functions import wkb
-from geoloom.operators import raster
-from geoloom.sources import geopackage, tiff
+from geoloom.operators import enrich, raster, tilesets
+from geoloom.sources import connectors, geopackage, tables, tiff
 
 POLYGONS = "array<array<array<struct<x:double,y:double>>>>"
 BOX = [(0.0, 0.0), (4.0, 0.0), (4.0, 3.0), (0.0, 0.0)]
@@ -162,3 +162,35 @@ def test_tiff_palettes_and_faults(spark, tmp_path):
     (tmp_path / "x.tif").write_bytes(b"no image")
     with pytest.raises(Exception, match="not a TIFF file"):
         tiff.tiff_info(spark.createDataFrame([(str(tmp_path / "x.tif"),)], "path string")).collect()
+
+
+def test_boxes_find_files_by_the_end_of_their_path(spark):
+    plans = ["ABCDEF12", "ABCDEF", "ABC", "", None, "A_CDEF_1"]
+    boxes = spark.createDataFrame([(str(k), p) for k, p in enumerate(plans)] + [("36", "ABCDEF12"), ("x", "ABCDEF12"), (None, "ABCDEF12")], "Num_box string, Num_plan string")
+    paths = ["/p/ABCDEF_12.tif", "/p/1_ABCDEF_12.tif", "/p/ABCDEF_12.tif", "/p/ABCDEF_.tif", "/p/xABC_.tif", "/p/A_CDEF__1.tif", "/p/ABCDEF_12.png", None, "_.tif"]
+    found = enrich.boxes_in_files(boxes, spark.createDataFrame([(p,) for p in paths], "path string")).select("Num_box", "tilepath")
+    want = {(str(k), p) for k, plan in enumerate(plans) if plan is not None for p in paths if p and p.endswith(f"{plan[:6]}_{plan[6:]}.tif")}
+    assert sorted(map(tuple, found.collect())) == sorted(want) and len(want) > 6
+
+
+def test_metadata_of_a_folder(spark, tmp_path):
+    (tmp_path / "18_1_2.tif").write_bytes(tiff.encoded(np.zeros((4, 6, 3), "uint8"), (0.0, 0.0, 1.0, 1.0), 3857))
+    tasks = spark.createDataFrame([("all/18_1_2.tif", 0, 0, 5, 7, 2020), ("all/18_9_9.tif", 0, 0, 5, 7, 2020)], "img_file string, x0 int, y0 int, x1 int, y1 int, year_tile int")
+    found = connectors.folder_metadata(connectors.folder_files(tasks, spark.createDataFrame([(f"{tmp_path}/18_1_2.tif",)], "path string")), ("x0", "y0", "x1", "y1"), year="year_tile")
+    assert [r.asDict(True) for r in found.collect()] == [{"img_file": "all/18_1_2.tif", "width": 6, "height": 4, "year": 2020, "extent": {"xmin": 0.0, "ymin": 0.0, "xmax": 5.0, "ymax": 7.0, "spatialReference": {"latestWkid": "3857"}}}]
+    found.select("width", "height", "year", "extent").coalesce(1).write.json(str(tmp_path / "json_out"))
+    (tmp_path / "json_out" / next(p for p in (tmp_path / "json_out").iterdir() if p.suffix == ".json").name).rename(tmp_path / "18_1_2.json")
+    back = tables.read_image_metadata(spark, f"{tmp_path}/18_1_2.json").first()
+    assert back.img_file.endswith(f"{tmp_path}/18_1_2.tif") and (back.width, back.extent.xmax, back.extent.spatialReference.latestWkid) == (6, 5.0, "3857")
+
+
+def test_categories_without_labels(spark):
+    kind = "CATEGORY string, SUPERCATEGORY string"
+    labels = spark.createDataFrame([("b", "t"), ("a", "t"), ("a", "t"), (None, "t")], kind)
+    none, known = spark.createDataFrame([], kind), "name string, supercategory string"
+    configured, saved = spark.createDataFrame([("z", "s")], known), spark.createDataFrame([("y", "s"), ("x", "s")], known)
+    rows = lambda *a: sorted(map(tuple, tilesets.known_categories(*a).collect()))
+    assert rows(labels, configured, saved) == [(1, "a", "t"), (2, "b", "t")]
+    assert rows(none, configured, saved) == [(1, "z", "s")]
+    assert rows(none, None, saved) == [(1, "y", "s"), (2, "x", "s")]
+    assert rows(none) == [(1, "foo", "bar ")]
