@@ -776,7 +776,7 @@ named AS (SELECT a AS det_id, min(b) AS component FROM reach GROUP BY a)"""
 @query("WITH RECURSIVE " + ",".join([SQL, DENSE]) + " SELECT det_id, component FROM named")
 def overlap_components(spark, sf_dir):
     dets = fixtures.detections(spark, sf_dir)
-    return post.groups(dets, post.self_pairs(dets).where(F.col("iou") >= post.OVERLAP).select("det_id", "o_id")).select("det_id", "component")
+    return post.groups(dets, post.overlapping(dets)).select("det_id", "component")
 
 
 @query("WITH RECURSIVE " + ",".join([SQL, DENSE]) + " SELECT det_id, score FROM named JOIN dense USING (det_id) QUALIFY row_number() OVER (PARTITION BY component ORDER BY score DESC, det_id) = 1")

@@ -116,6 +116,43 @@ def meeting_keys(left: DataFrame, left_box: Box, right: DataFrame, right_box: Bo
     return near.unionByName(stored(spatial_join(rest, left_box, right, right_box, cell, on).select(key).distinct()))
 
 
+def star_edges(boxes: DataFrame, box: Box, key: str, by: Sequence[str] = (), apart: str | None = None, step: float = 16) -> DataFrame:
+    """(key, to): few pairs of boxes of equal by, and of different apart if given, that hold one point of a grid inside.
+
+    Boxes around one point all meet, so each has an edge to the least of them of another apart: a row for each box and point.
+    """
+    inner = lambda low, high: F.sequence((F.floor(F.col(low) / step) + 1).cast("long"), (F.ceil(F.col(high) / step) - 1).cast("long"))
+    holds = lambda low, high: F.floor(F.col(low) / step) + 1 <= F.ceil(F.col(high) / step) - 1
+    some = boxes.where(holds(box[0], box[2]) & holds(box[1], box[3])).select(key, *by, *([apart] if apart else []), *box)
+    at = some.withColumn("_px", F.explode(inner(box[0], box[2]))).withColumn("_py", F.explode(inner(box[1], box[3])))
+    at = at.select(key, F.struct("_px", "_py", *by).alias("_p"), (F.struct(apart) if apart else F.struct(key)).alias("_apart"))
+    if not apart:
+        ends = at.groupBy("_p").agg(F.min(key).alias("to"))
+        return at.join(ends, "_p").where(F.col(key) != F.col("to")).select(key, "to").distinct()
+    kinds = at.groupBy("_p", "_apart").agg(F.min(key).alias("low"))
+    # The least box of all and the least of another apart than its own.
+    first = kinds.groupBy("_p").agg(F.min(F.struct("low", "_apart")).alias("a"))
+    other = kinds.join(first, "_p").where(F.col("_apart") != F.col("a._apart")).groupBy("_p").agg(F.min("low").alias("b"), F.first("a").alias("a"))
+    to = F.when(F.col("_apart") != F.col("a._apart"), F.col("a.low")).otherwise(F.col("b"))
+    return at.join(other, "_p").select(key, to.alias("to")).distinct()
+
+
+def mixed_pairs(boxes: DataFrame, box: Box, other: Box, key: str, group: str, by: Sequence[str] = (), keep: Sequence[str] = (), also: Column | None = None, cell: float = CELL) -> DataFrame:
+    """(key, o_key, group, o_group) of pairs of equal by and different group whose boxes intersect; cells of one group are left out.
+
+    also is a condition on the boxes, keep, and the second box's as other and o_keep.
+    """
+    placed = _cells(boxes.select(key, group, *by, *keep, *box), box, cell, "_cx", "_cy").withColumn("_c", F.struct("_cx", "_cy", *by)).drop(*by)
+    mixed = placed.groupBy("_c").agg(F.min(group).alias("_low"), F.max(group).alias("_high")).where("_low <> _high").select("_c")
+    left = placed.join(mixed, "_c", "left_semi")
+    names = {**dict(zip(box, other, strict=True)), **{c: f"o_{c}" for c in (key, group, *keep)}}
+    right = left.withColumnsRenamed({**names, "_c": "_o"}).drop("_cx", "_cy")
+    corner = lambda k: F.floor(F.greatest(box[k], other[k]) / cell)
+    joined = (F.col("_c") == F.col("_o")) & (F.col(group) < F.col(f"o_{group}")) & boxes_intersect(box, other) & (corner(0) == F.col("_cx")) & (corner(1) == F.col("_cy"))
+    joined = joined & also if also is not None else joined
+    return left.join(right.hint("merge"), joined).select(key, f"o_{key}", group, f"o_{group}")
+
+
 def spatial_semi_join(left: DataFrame, left_box: Box, right: DataFrame, right_box: Box, key: str, cell: float = CELL, how: str = "left_semi") -> DataFrame:
     """The rows of left whose key meets a box of right, or with how="left_anti" those that meet none."""
     met = spatial_join(left.select(key, *left_box), left_box, right.select(*right_box), right_box, cell).select(key).distinct()

@@ -3,8 +3,9 @@
 import random
 
 import pytest
+from pyspark.sql import functions as F
 
-from geoloom.operators import assess
+from geoloom.operators import assess, post, spatial
 
 DET = "det_id long, score double, det_class int, year_det int, dataset string, d_x0 long, d_y0 long, d_x1 long, d_y1 long"
 LABEL = "label_id long, label_class int, year_label int, dataset string, l_x0 long, l_y0 long, l_x1 long, l_y1 long"
@@ -71,3 +72,36 @@ def test_sets_come_without_all_pairs(spark, tables, year, monkeypatch):
             rest -= {p[side] for p in met} - {p[side] for p in agreed}
         assert {r[1 + side] for r in tagged if r.tag == tag} == rest
     assert not taken
+
+
+PLACED = "det_id long, image string, det_class int, score double, d_x0 long, d_y0 long, d_x1 long, d_y1 long"
+
+
+@pytest.mark.parametrize("apart", [None, "image"])
+@pytest.mark.parametrize("corners", [True, False])
+@pytest.mark.parametrize("span", [60, 260])
+def test_components_of_meeting_boxes(spark, apart, corners, span):
+    rows = [(k, "abc"[k * k % 3], k % 3, 0.5, *b) for k, b in enumerate(dense(150, span, span))]
+    rows += [(200, "a", 0, 0.5, 1000, 1000, 1016, 1016), (201, "b", 0, 0.5, 1016, 1016, 1032, 1032), (202, "c", 0, 0.5, 1032, 1020, 1040, 1030)]
+    wide, high = (F.least(post.DET_BOX[k + 2], post.OTHER_BOX[k + 2]) - F.greatest(post.DET_BOX[k], post.OTHER_BOX[k]) for k in (0, 1))
+    least, tied = {r[0]: r[0] for r in rows}, set()
+    links = []
+    for a in rows:
+        for b in rows:
+            w, h = min(a[6], b[6]) - max(a[4], b[4]), min(a[7], b[7]) - max(a[5], b[5])
+            if a[0] < b[0] and a[2] == b[2] and w >= 0 and h >= 0 and (corners or w > 0 or h > 0) and (not apart or a[1] != b[1]):
+                links.append((a[0], b[0]))
+                tied |= {a[0], b[0]}
+    for _ in rows:
+        for a, b in links:
+            least[a] = least[b] = min(least[a], least[b])
+    found = post.touching(spark.createDataFrame(rows, PLACED), ["det_class"], apart, None if corners else (wide > 0) | (high > 0)).collect()
+    assert {r.det_id: r.component for r in found} == least and len(found) == len(rows)
+    assert {r.det_id for r in found if r.tied} == tied
+
+
+def test_boxes_around_one_point_cost_a_row_each(spark):
+    boxes = spark.range(3000).select(F.col("id").alias("det_id"), F.lit(1).alias("det_class"), *((F.col("id") % 5 + k).alias(c) for c, k in zip(post.DET_BOX, (0, 0, 20, 20), strict=True)))
+    assert spatial.star_edges(boxes, post.DET_BOX, "det_id", ["det_class"]).count() == 2999
+    named = boxes.withColumn("component", F.lit(0))
+    assert spatial.mixed_pairs(named, post.DET_BOX, post.OTHER_BOX, "det_id", "component", ["det_class"]).count() == 0
