@@ -27,7 +27,8 @@ def union_area(df: DataFrame, box: Box, by: Sequence[str] = (), cell: float = 25
     line = Window.partitionBy(*group).orderBy("_s")
     strips = sides.withColumn("_t", F.lead("_s").over(line)).where("_t IS NOT NULL")
     same = [F.col(f"p.{c}").eqNullSafe(F.col(f"q.{c}")) for c in group]
-    met = strips.alias("p").join(parts.alias("q"), [*same, F.col("q._x0") <= F.col("p._s"), F.col("q._x1") >= F.col("p._t")])
+    # Merged, here and below: estimates don't count the rows that a cell or side adds, so the planner would send large sides to the driver.
+    met = strips.alias("p").join(parts.hint("merge").alias("q"), [*same, F.col("q._x0") <= F.col("p._s"), F.col("q._x1") >= F.col("p._t")])
     met = met.select(*(f"p.{c}" for c in group), "p._s", "p._t", "q._y0", "q._y1")
     rising = Window.partitionBy(*group, "_s").orderBy("_y0", "_y1").rowsBetween(Window.unboundedPreceding, -1)
     reached = F.coalesce(F.max("_y1").over(rising), F.col("_y0"))
@@ -40,7 +41,7 @@ def uncovered(cells: DataFrame, cell_box: Box, key: str, cover: DataFrame, cover
     pairs = spatial_join(cells.select(key, *cell_box, *(a for a, _ in on)), cell_box, cover.select(*cover_box, *(b for _, b in on)), cover_box, cell, on)
     inner = dict(zip(("_i0", "_i1", "_i2", "_i3"), box_intersection(cell_box, cover_box), strict=True))
     covered = union_area(pairs.withColumns(inner), tuple(inner), [key])
-    own = cells.select(key, box_area(cell_box).alias("_own")).join(covered, key, "left")
+    own = cells.select(key, box_area(cell_box).alias("_own")).join(covered.hint("merge"), key, "left")
     share = F.when(F.col("_own") > 0, F.greatest(F.lit(0.0), 1 - F.coalesce("area", F.lit(0.0)) / F.col("_own")))
     return own.select(key, share.alias("share"))
 

@@ -104,11 +104,11 @@ def sub_tiles(
 
     free = lambda cells, cover: uncovered(cells, CELL_BOX, "_cell", cover, HOLE_BOX, [(key, "_image")], cell)
     large, small = level(0), level(1)
-    large = cut_lineage(large.join(coverage_test(free(large, holes), limits[0]).select("_cell"), "_cell", "left_semi"))  # read three times
+    large = cut_lineage(large.join(coverage_test(free(large, holes), limits[0]).select("_cell").hint("merge"), "_cell", "left_semi"))  # read three times
     under = large.select(F.col(key).alias("_image"), *(F.col(c).alias(n) for c, n in zip(CELL_BOX, HOLE_BOX, strict=True)))
     off = free(small, under).withColumnRenamed("share", "_off")
     open_ = free(small, holes.unionByName(under)).withColumnRenamed("share", "_open")
-    small = small.join(off, "_cell").join(open_, "_cell")
+    small = small.join(off.hint("merge"), "_cell").join(open_.hint("merge"), "_cell")
     area = (F.col("c_x1") - F.col("c_x0")) * (F.col("c_y1") - F.col("c_y0"))
     small = small.where((F.col("_off") * area > least_area) & (F.col("_open") > F.col("_off") * limits[1])).drop("_off", "_open")
     whole = lambda c: F.bround(c).cast("long")
