@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from geoloom.functions.polygons import simplified
 from geoloom.operators.graph import connected_components
-from geoloom.operators.outline import PART, polygons
+from geoloom.operators.outline import PART, shapes
 from geoloom.storage import stored
 
 
@@ -99,18 +99,18 @@ def outlines(found: DataFrame, key: str, placed: DataFrame | None = None, epsilo
     that goes lying further off; area stays that of the pixels.
     """
     box = {PART[0]: F.col("a"), PART[1]: -F.col("y") - 1, PART[2]: F.col("b"), PART[3]: -F.col("y")}
-    parts = found.select(key, "region", "value", *(c.cast("double").alias(n) for n, c in box.items()))
-    shapes = polygons(parts, [key, "region", "value"]).drop("part")
+    parts = found.select(key, "region", "value", F.lit(0).alias("part"), *(c.cast("double").alias(n) for n, c in box.items()))
+    drawn = shapes(parts, [key, "region", "value"]).drop("part")  # a region is one piece
     if placed is not None:
         x = lambda p: F.col("x0") + p["x"] * F.col("dx")
         y = lambda p: F.col("y1") + p["y"] * F.col("dy")
         moved = F.transform("polygon", lambda r: F.transform(r, lambda p: F.struct(x(p).alias("x"), y(p).alias("y"))))
         at = placed.select(F.col(key).alias("_key"), "x0", "y1", "dx", "dy")
-        shapes = shapes.join(at, F.col(key).eqNullSafe(F.col("_key"))).select(key, "region", "value", moved.alias("polygon"), (F.col("area") * F.col("dx") * F.col("dy")).alias("area"))
+        drawn = drawn.join(at, F.col(key).eqNullSafe(F.col("_key"))).select(key, "region", "value", moved.alias("polygon"), (F.col("area") * F.col("dx") * F.col("dy")).alias("area"))
     if epsilon is not None:
-        rings = shapes.select(key, "region", "value", "area", F.posexplode("polygon").alias("n", "ring")).withColumn("ring", simplified(epsilon)(F.col("ring")))
-        shapes = rings.groupBy(key, "region", "value", "area").agg(F.transform(F.sort_array(F.collect_list(F.struct("n", "ring"))), lambda r: r["ring"]).alias("polygon"))
-    return shapes.select(key, "region", "value", "polygon", "area")
+        rings = drawn.select(key, "region", "value", "area", F.posexplode("polygon").alias("n", "ring")).withColumn("ring", simplified(epsilon)(F.col("ring")))
+        drawn = rings.groupBy(key, "region", "value", "area").agg(F.transform(F.sort_array(F.collect_list(F.struct("n", "ring"))), lambda r: r["ring"]).alias("polygon"))
+    return drawn.select(key, "region", "value", "polygon", "area")
 
 
 def nodata_polygons(rasters: DataFrame, key: str, nodata: int, placed: DataFrame | None = None, least_area: float = 10, **blocks: str) -> DataFrame:
