@@ -110,13 +110,20 @@ def clip_box(ring: np.ndarray, x0: float, y0: float, x1: float, y1: float) -> li
     return parts
 
 
-def rings_of(column: pa.ListArray) -> list[np.ndarray | None]:
-    """The rings of an Arrow column without their closing points, as views of its flat coordinates; null for null."""
+def open_rings(column: pa.ListArray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(points, first, count): the flat coordinates of an Arrow column of rings, and where each lies in them without its closing point."""
     flat = column.flatten()
     xy = np.stack([flat.field(c).cast(pa.float64()).to_numpy(zero_copy_only=False) for c in ("x", "y")], axis=1)
-    end = np.cumsum(pc.fill_null(pc.list_value_length(column), 0).to_numpy(zero_copy_only=False))
-    found = [xy[a:b] for a, b in zip([0, *end[:-1]], end, strict=True)]
-    found = [r[:-1] if len(r) > 1 and (r[0] == r[-1]).all() else r for r in found]
+    count = pc.fill_null(pc.list_value_length(column), 0).to_numpy(zero_copy_only=False).astype(np.int64)
+    first, some = np.cumsum(count) - count, np.flatnonzero(count > 1)
+    count[some] -= (xy[first[some]] == xy[first[some] + count[some] - 1]).all(axis=1)
+    return xy, first, count
+
+
+def rings_of(column: pa.ListArray) -> list[np.ndarray | None]:
+    """The rings of an Arrow column without their closing points, as views of its flat coordinates; null for null."""
+    xy, first, count = open_rings(column)
+    found = [xy[a : a + n] for a, n in zip(first.tolist(), count.tolist(), strict=True)]
     return [r if known else None for r, known in zip(found, column.is_valid().to_pylist(), strict=True)]
 
 
@@ -146,12 +153,98 @@ def polygon_iou(a: pa.Array, b: pa.Array) -> pa.Array:
     return pa.array([one(p, q) for p, q in zip(rings_of(a), rings_of(b), strict=True)], pa.float64())
 
 
+def spans(first: np.ndarray, count: np.ndarray) -> np.ndarray:
+    """The places first, first + 1, ... of each run of count, one after the other."""
+    return np.repeat(first - (np.cumsum(count) - count), count) + np.arange(count.sum())
+
+
+def _following(start: np.ndarray, count: np.ndarray) -> np.ndarray:
+    """The place of the next point in the ring of each point, for rings that lie one after the other."""
+    after = np.arange(count.sum()) + 1
+    after[start + count - 1] = start
+    return after
+
+
+def _with_area(points: np.ndarray, count: np.ndarray) -> np.ndarray:
+    """Whether signed_area() of each ring is not 0; it is asked only where terms almost cancel."""
+    start = np.cumsum(count) - count
+    a, b = points, points[_following(start, count)]
+    turn, back = a[:, 0] * b[:, 1], a[:, 1] * b[:, 0]
+    found = np.abs(np.add.reduceat(turn - back, start)) > 1e-9 * np.add.reduceat(np.abs(turn) + np.abs(back), start)
+    for k in np.flatnonzero(~found):
+        found[k] = signed_area(points[start[k] : start[k] + count[k]]) != 0
+    return found
+
+
+def halves(points: np.ndarray, count: np.ndarray, axis: int, sign: int, least: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """half() of many rings along one axis: (points, count, kept, many), with the places of the rings that have a part.
+
+    Rings whose outline crosses the line more than twice may fall into several parts: these are left out and named as many.
+    """
+    start = np.cumsum(count) - count
+    after, own = _following(start, count), np.repeat(np.arange(len(count)), count)
+    side = sign * points[:, axis] - least[own]
+    inside = side > 0
+    crossing = inside != inside[after]
+    held, crossed = (np.add.reduceat(c.astype(np.int64), start) for c in (inside, crossing))
+    cut = (held > 0) & (np.minimum.reduceat(side, start) < 0)
+    many, once = cut & (crossed > 2), cut & (crossed == 2)
+    edge = np.flatnonzero(crossing & once[own])
+    place = points[edge] + (points[after[edge]] - points[edge]) * (side[edge] / (side[edge] - side[after[edge]]))[:, None]
+    comes = ~inside[edge]
+    begin = np.zeros(len(count), np.int64)
+    begin[once] = after[edge[comes]] - start[once]
+    kept = np.flatnonzero((held > 0) & ~many)
+    lead, run = once[kept].astype(np.int64), np.where(once, held, count)[kept]
+    size = run + 2 * lead
+    first = np.cumsum(size) - size
+    turn = np.repeat(begin[kept], run) + spans(np.zeros_like(run), run)
+    out = np.empty((size.sum(), 2))
+    out[spans(first + lead, run)] = points[np.repeat(start[kept], run) + turn % np.repeat(count[kept], run)]
+    ends = lead > 0
+    out[first[ends]], out[(first + size - 1)[ends]] = place[comes], place[~comes]
+    return out, size, kept, np.flatnonzero(many)
+
+
+def clip_boxes(points: np.ndarray, first: np.ndarray, count: np.ndarray, boxes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(points, count, row): the parts of clip_box() for each ring and its box, by row. The rings are cut together, one by one only where
+    a side crosses an outline more than twice."""
+    spoilt = np.add.accumulate(np.concatenate(([0], ~np.isfinite(points).all(axis=1))))
+    usual = (spoilt[first + count] == spoilt[first]) & np.isfinite(boxes).all(axis=1)
+    row, single = np.flatnonzero(usual & (count > 2)), [np.flatnonzero(~usual & (count > 2) & ~np.isnan(boxes).any(axis=1))]
+    now, size = points[spans(first[row], count[row])], count[row]
+    if len(row):
+        whole = _with_area(now, size)
+        now, size, row = now[np.repeat(whole, size)], size[whole], row[whole]
+    for axis, sign, k in ((0, 1, 0), (1, 1, 1), (0, -1, 2), (1, -1, 3)):
+        if not len(row):
+            break
+        now, size, kept, many = halves(now, size, axis, sign, sign * boxes[row, k])
+        single.append(row[many])
+        row = row[kept]
+        if len(row):
+            solid = _with_area(now, size)
+            now, size, row = now[np.repeat(solid, size)], size[solid], row[solid]
+    found = [(r, p) for r in np.concatenate(single).tolist() for p in clip_box(points[first[r] : first[r] + count[r]], *boxes[r])]
+    row = np.concatenate((row, np.array([r for r, _ in found], np.int64)))
+    now, size = np.concatenate([now, *(p for _, p in found)]), np.concatenate((size, np.array([len(p) for _, p in found], np.int64)))
+    order = np.argsort(row, kind="stable")
+    return now[spans((np.cumsum(size) - size)[order], size[order])], size[order], row[order]
+
+
 @F.arrow_udf(ArrayType(RING_TYPE))
 def clipped(ring: pa.Array, x0: pa.Array, y0: pa.Array, x1: pa.Array, y1: pa.Array) -> pa.Array:
     """The parts of a polygon column inside a box, closed; none for a null side, null for a null polygon."""
     sides = np.stack([c.cast(pa.float64()).to_numpy(zero_copy_only=False) for c in (x0, y0, x1, y1)], axis=1)
-    found = [None if r is None else [np.vstack([p, p[:1]]) for p in clip_box(r, *box)] if not np.isnan(box).any() else [] for r, box in zip(rings_of(ring), sides, strict=True)]
-    return nested(ring_column([p for parts in found for p in parts or ()]), [None if parts is None else len(parts) for parts in found])
+    xy, first, count = open_rings(ring)
+    points, size, row = clip_boxes(xy, first, count, sides)
+    start = np.cumsum(size) - size
+    closed = spans(start, size + 1)
+    closed[np.cumsum(size + 1) - 1] = start
+    xy = points[closed]
+    rings = nested(pa.StructArray.from_arrays([pa.array(xy[:, 0]), pa.array(xy[:, 1])], ["x", "y"]), (size + 1).tolist())
+    parts = np.bincount(row, minlength=len(count)).tolist()
+    return nested(rings, [n if known else None for n, known in zip(parts, ring.is_valid().to_pylist(), strict=True)])
 
 
 def simplified(epsilon: float):

@@ -218,3 +218,27 @@ def test_categories_and_unique_ids(spark):
         tables.normalise_categories(spark.createDataFrame([("x",)], "other string"))
     with pytest.raises(ValueError):
         tables.assert_unique(spark.createDataFrame([("x",), ("x",)], "id string"), "id")
+
+
+def test_rings_are_cut_together(monkeypatch):
+    rng, notch = np.random.default_rng(5), np.array([(0, 0), (1, 0), (1, 1), (0.75, 1), (0.75, 0.5), (0.25, 0.5), (0.25, 1), (0, 1)])
+    rings = [notch[:: rng.choice((1, -1))] * rng.integers(8, 30, 2) + rng.integers(0, 100, 2) for _ in range(300)]
+    for n in rng.integers(3, 14, 300):
+        turn = np.sort(rng.random(n)) * 2 * np.pi
+        rings.append(np.stack([50 + 40 * np.cos(turn), 50 + 40 * np.sin(turn)], axis=1) * rng.choice((0.1, 1), (n, 1)))
+    rings += [np.zeros((0, 2)), np.ones((1, 2)), np.array([(0, 0), (50, 50), (100, 100)], float), np.array([(0, 0), (np.nan, 9), (9, 0)])]
+    corner = rng.integers(-2, 10, (len(rings), 2)) * 10.0
+    boxes = np.hstack([corner, corner + rng.integers(1, 6, corner.shape) * 12.5])
+    boxes[7, 2] = np.nan
+    count = np.array([len(r) for r in rings])
+    want = [(k, p.tolist()) for k, (r, b) in enumerate(zip(rings, boxes, strict=True)) if k != 7 for p in polygons.clip_box(r, *b)]
+
+    def found():
+        points, size, row = polygons.clip_boxes(np.concatenate(rings), np.cumsum(count) - count, count, boxes)
+        return [(k, p.tolist()) for k, p in zip(row.tolist(), np.split(points, np.cumsum(size)[:-1]), strict=True)]
+
+    assert found() == want
+    # One by one only where a side crosses an outline more than twice.
+    single, alone = [], polygons.clip_box
+    monkeypatch.setattr(polygons, "clip_box", lambda *a: single.append(a) or alone(*a))
+    assert found() == want and 0 < len(single) < len(rings) / 3
