@@ -242,3 +242,13 @@ def test_rings_are_cut_together(monkeypatch):
     single, alone = [], polygons.clip_box
     monkeypatch.setattr(polygons, "clip_box", lambda *a: single.append(a) or alone(*a))
     assert found() == want and 0 < len(single) < len(rings) / 3
+
+
+def test_polygons_are_cut_only_by_boxes_in_their_bounds(spark, monkeypatch):
+    rows = [(1, [{"x": x, "y": y} for x, y in ((0.0, 0.0), (10.0, 0.0), (10.0, 10.0), (0.0, 10.0))])]
+    boxes = spark.createDataFrame([("in", 0, 0, 4, 4), ("rim", 6, 6, 10, 10), ("over", 8, 8, 12, 12)], "key string, x0 int, y0 int, x1 int, y1 int")
+    taken, cut = [], shapes.clip_polygons
+    monkeypatch.setattr(shapes, "clip_polygons", lambda *a, **k: taken.append(cut(*a, **k)) or taken[-1])
+    found = shapes.boxes_in_polygons(boxes, ("x0", "y0", "x1", "y1"), "key", spark.createDataFrame(rows, f"id int, ring {polygons.RING}"), "ring")
+    assert sorted(r.key for r in found.collect()) == ["in", "rim"]
+    assert sorted(r.key for r in taken[0].collect()) == ["in", "rim"]
