@@ -71,12 +71,16 @@ def assess_detections(settings: config.Assessment, dets: DataFrame, tiles: DataF
     labels = stored(coco.number(parts, "_all", "tile", *assess.LABEL_BOX, "label_class", name="label_id").drop("_all").withColumn("label_id", F.col("label_id").cast("long")))
 
     classes = categories.select(F.col("id").cast("int").alias("class"))
-    swept = stored(assess.threshold_sweep(dets, labels, classes, settings.iou_threshold))
+    dets = stored(dets)
+    # Each detection's label doesn't depend on a score threshold, so the sweep and the sets share it.
+    matches = assess.best_matches(dets, labels, settings.iou_threshold, by_dataset=True)
+    swept = stored(assess.threshold_sweep(dets, labels, classes, settings.iou_threshold, matches))
     best = assess.best_threshold(swept, method=settings.metrics_method).collect()  # one row
     threshold = settings.confidence_threshold if settings.confidence_threshold else best[0].threshold / 100 if best else None
     if threshold is None:
         raise ValueError("no confidence_threshold is set and there is no validation set to find one")
-    tagged = stored(assess.fractional_sets(dets.where(F.col("score") >= threshold), labels, settings.iou_threshold, settings.area_threshold, by_dataset=True))
+    found = F.col("score") >= threshold
+    tagged = stored(assess.fractional_sets(dets.where(found), labels, settings.iou_threshold, settings.area_threshold, by_dataset=True, best=matches.where(found)))
     by_class = assess.class_counts(tagged, classes, "dataset")
     return {
         "labels": labels, "swept": swept, "threshold": dets.sparkSession.createDataFrame([(float(threshold),)], "threshold double"), "tagged": tagged,

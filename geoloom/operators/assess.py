@@ -75,12 +75,13 @@ def is_hit() -> Column:
     return F.col("label_class") == F.col("det_class") + 1
 
 
-def fractional_sets(dets: DataFrame, labels: DataFrame, iou: float = IOU, area: float | None = None, year: str | None = None, by_dataset: bool = False) -> DataFrame:
+def fractional_sets(dets: DataFrame, labels: DataFrame, iou: float = IOU, area: float | None = None, year: str | None = None, by_dataset: bool = False, best: DataFrame | None = None) -> DataFrame:
     """(tag, det_id, label_id, dataset, det_class, label_class, score, iou): every detection and unmatched label once.
 
     by_dataset keeps datasets apart. year: None ignores years; "compat" compares them after the spatial join, so that rows which meet only other years
     get no tag; "strict" joins on them. area rejects smaller boxes as SMALL POLY; None and 0 don't, and nor does a
-    table without labels. The last two are checked without a collect: an empty label table just matches nothing.
+    table without labels. The last two are checked without a collect: an empty label table just matches nothing. best
+    is what best_matches() gives for the same tables and settings, if it is known; it is left aside if area rejects boxes.
     """
     dets, small = stored(dets.select("det_id", "score", "det_class", "year_det", "dataset", *DET_BOX)), None  # read in each step
     if area:
@@ -89,7 +90,8 @@ def fractional_sets(dets: DataFrame, labels: DataFrame, iou: float = IOU, area:
         rejected = dets.where(size(DET_BOX)).join(F.broadcast(some), how="inner").drop("some")
         small = _row(rejected, SMALL).unionByName(_row(labels.where(size(LABEL_BOX)), SMALL))
         dets, labels = dets.join(rejected.select("det_id"), "det_id", "left_anti"), labels.where(~size(LABEL_BOX))
-    best = best_matches(dets, labels, iou, year is not None, by_dataset)
+    if best is None or area:
+        best = best_matches(dets, labels, iou, year is not None, by_dataset)
     matched = stored(best_detections(best, *(["year_det"] if year else []), iou=iou))
     scores = dets.select("det_id", "score", "dataset")
     tagged = matched.join(scores, "det_id").withColumn("tag", F.when(is_hit(), TP).otherwise(MISMATCH))
@@ -164,18 +166,20 @@ def metrics(by_class: DataFrame, *keys: str, method: str = "macro-average", corr
     return out.withColumn("f1", F.when(p + r > 0, 2 * p * r / (p + r)).otherwise(0.0))
 
 
-def threshold_sweep(dets: DataFrame, labels: DataFrame, classes: DataFrame, iou: float = IOU) -> DataFrame:
+def threshold_sweep(dets: DataFrame, labels: DataFrame, classes: DataFrame, iou: float = IOU, best: DataFrame | None = None) -> DataFrame:
     """(dataset, threshold, class, TP_k, ...) for all thresholds of SWEEP in hundredths, from one spatial join within datasets.
 
     A detection counts from its highest threshold down. So a label's best detection at a threshold is the best of those
     whose highest threshold is there or above: one row for each label and highest threshold, and a running maximum.
-    The numbers of detections come from one count by their highest threshold.
+    The numbers of detections come from one count by their highest threshold. best is what best_matches() gives within
+    datasets, if it is known.
     """
     spark = dets.sparkSession
     grid = spark.range(SWEEP.start, SWEEP.stop, SWEEP.step).select(F.col("id").cast("int").alias("threshold"))
     reached = lambda c: F.filter(F.sequence(F.lit(SWEEP.start), F.lit(SWEEP.stop - 1), F.lit(SWEEP.step)), lambda t: c >= t / F.lit(100.0))
     dets = stored(dets.select("det_id", "score", "det_class", "year_det", "dataset", *DET_BOX))  # read in each step
-    best = best_matches(dets, labels, iou, by_dataset=True).withColumn("top", F.array_max(reached(F.col("score")))).where("top IS NOT NULL")
+    best = best_matches(dets, labels, iou, by_dataset=True) if best is None else best
+    best = best.withColumn("top", F.array_max(reached(F.col("score")))).where("top IS NOT NULL")
     pick = F.max(F.struct("iou", (-F.col("det_id")).alias("low"), "det_class"))
     steps = best.groupBy("label_id", "label_class", "top").agg(pick.alias("b"))  # a row for each threshold of a label at most
     falling = Window.partitionBy("label_id").orderBy(F.col("top").desc())

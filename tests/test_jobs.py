@@ -4,8 +4,8 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from geoloom import config
-from geoloom.operators import coverage, enrich, grids, post
+from geoloom import config, jobs
+from geoloom.operators import assess, coverage, enrich, grids, post
 from geoloom.sources import connectors, tables
 
 LEAST = {
@@ -144,3 +144,25 @@ def test_stacked_sets_keep_their_order(spark):
     a = spark.createDataFrame([(2, 0.0, 0.0, 1.0, 2.0), (1, 0.0, 0.0, 1.0, 1.0)], "k int, a double, b double, c double, d double")
     found = enrich.stack_detections({"x": a, "y": a.withColumn("year_det", F.lit("2020")).withColumn("dataset", F.lit("?"))}, "k", ("a", "b", "c", "d")).orderBy("det_id").collect()
     assert [(r.det_id, r.dataset, r.k, r.area, r.year_det) for r in found] == [(0, "x", 1, 1.0, None), (1, "x", 2, 2.0, None), (2, "y", 1, 1.0, 2020), (3, "y", 2, 2.0, 2020)]
+
+
+@pytest.mark.parametrize("area", [None, 60])
+def test_an_assessment_matches_once(spark, monkeypatch, area):
+    r = random.Random(4)
+    box = lambda x, y: (x, y, x + r.randrange(4, 16), y + r.randrange(4, 16))
+    places = [(r.randrange(190), r.randrange(90)) for _ in range(80)]
+    truth = spark.createDataFrame([("ab"[k % 2], *box(*p)) for k, p in enumerate(places)], "category string, l_x0 long, l_y0 long, l_x1 long, l_y1 long")
+    rows = [(k, k * 31 % 97 / 97, k % 2, 2000, ("val", "trn")[p[0] >= 100], *box(p[0] + k % 3, p[1])) for k, p in enumerate(places)]
+    dets = spark.createDataFrame(rows, "det_id long, score double, det_class int, year_det int, dataset string, d_x0 long, d_y0 long, d_x1 long, d_y1 long")
+    tiles = spark.createDataFrame([("l", "val", 0, 0, 100, 120), ("r", "trn", 100, 0, 220, 120)], "id string, dataset string, t_x0 long, t_y0 long, t_x1 long, t_y1 long")
+    kinds = spark.createDataFrame([(1, "a"), (2, "b")], "id int, name string")
+    settings = config.load(config.Assessment, {"datasets": {"detections": {}, "split_aoi_tiles": ""}, "metrics_method": "macro-average", "area_threshold": area})
+    taken, match = [], assess.best_matches
+    monkeypatch.setattr(assess, "best_matches", lambda *a, **k: taken.append(1) or match(*a, **k))
+    found = jobs.assess_detections(settings, dets, tiles, truth, None, kinds)
+    assert len(taken) == (2 if area else 1)
+    threshold = found["threshold"].first()[0]
+    alone = assess.fractional_sets(dets.where(F.col("score") >= threshold), found["labels"], area=area, by_dataset=True)
+    rows = lambda df: sorted(map(repr, df.collect()))
+    assert rows(found["tagged"]) == rows(alone) and {x.tag for x in found["tagged"].collect()} >= {"TP", "FP", "FN"}
+    assert rows(found["swept"]) == rows(assess.threshold_sweep(dets, found["labels"], kinds.select(F.col("id").alias("class"))))
