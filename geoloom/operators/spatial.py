@@ -128,13 +128,13 @@ def star_edges(boxes: DataFrame, box: Box, key: str, by: Sequence[str] = (), apa
     at = at.select(key, F.struct("_px", "_py", *by).alias("_p"), (F.struct(apart) if apart else F.struct(key)).alias("_apart"))
     if not apart:
         ends = at.groupBy("_p").agg(F.min(key).alias("to"))
-        return at.join(ends, "_p").where(F.col(key) != F.col("to")).select(key, "to").distinct()
+        return at.join(ends, "_p").where(F.col(key) != F.col("to")).select(key, "to").repartition(key).distinct()
     kinds = at.groupBy("_p", "_apart").agg(F.min(key).alias("low"))
     # The least box of all and the least of another apart than its own.
     first = kinds.groupBy("_p").agg(F.min(F.struct("low", "_apart")).alias("a"))
     other = kinds.join(first, "_p").where(F.col("_apart") != F.col("a._apart")).groupBy("_p").agg(F.min("low").alias("b"), F.first("a").alias("a"))
     to = F.when(F.col("_apart") != F.col("a._apart"), F.col("a.low")).otherwise(F.col("b"))
-    return at.join(other, "_p").select(key, to.alias("to")).distinct()
+    return at.join(other, "_p").select(key, to.alias("to")).repartition(key).distinct()
 
 
 def mixed_pairs(boxes: DataFrame, box: Box, other: Box, key: str, group: str, by: Sequence[str] = (), keep: Sequence[str] = (), also: Column | None = None, cell: float = CELL) -> DataFrame:

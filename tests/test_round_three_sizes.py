@@ -105,3 +105,16 @@ def test_boxes_around_one_point_cost_a_row_each(spark):
     assert spatial.star_edges(boxes, post.DET_BOX, "det_id", ["det_class"]).count() == 2999
     named = boxes.withColumn("component", F.lit(0))
     assert spatial.mixed_pairs(named, post.DET_BOX, post.OTHER_BOX, "det_id", "component", ["det_class"]).count() == 0
+
+
+@pytest.mark.parametrize("apart", [None, "image"])
+def test_components_are_found_among_ends(spark, monkeypatch, apart):
+    boxes = spark.range(3000).select(
+        F.col("id").alias("det_id"), F.lit(1).alias("det_class"), (F.col("id") % 2).alias("image"),
+        *((F.col("id") % 5 + F.col("id") % 3 * 30 + k).alias(c) for c, k in zip(post.DET_BOX, (0, 0, 40, 40), strict=True)),
+    )
+    sizes, find = [], post.connected_components
+    monkeypatch.setattr(post, "connected_components", lambda e, *a: sizes.append(e.distinct().count()) or find(e, *a))
+    found = post.touching(boxes, ["det_class"], apart).collect()
+    assert len(found) == 3000 and {(r.component, r.tied) for r in found} == {(0, True)}
+    assert max(sizes) < 300
