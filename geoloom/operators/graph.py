@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from geoloom.functions import chains
 from geoloom.storage import stored
 
 
@@ -14,17 +15,27 @@ def _with_minimum(directed: DataFrame) -> DataFrame:
     return directed.join(least, "u")
 
 
-def connected_components(edges: DataFrame, src: str = "src", dst: str = "dst", max_rounds: int = 100) -> DataFrame:
+def connected_components(edges: DataFrame, src: str = "src", dst: str = "dst", max_rounds: int = 100, near: bool = False) -> DataFrame:
     """(node, component): the least node that each node of the edges reaches.
 
     Alternating large-star and small-star steps: each keeps at most as many edges as it got, and a hub's edges are
     spread over tasks as a skewed join. Each round is a table of its own. Null ends and self-loops add no node;
     an empty edge table gives an empty result.
+
+    With near, nodes are numbers, best such that lie close together where they are linked, as ids of neighbouring boxes do: each
+    task first finds what its own edges link, and rounds are needed only for what lies in several tasks, so not for as few
+    edges as one may hold (chains.ROWS).
     """
-    now = edges.select(F.col(src).alias("u"), F.col(dst).alias("v")).where("u <> v").distinct()
-    now = stored(now)
+    now = edges.select(F.col(src).alias("u"), F.col(dst).alias("v")).where("u <> v")
+    now = stored(now if near else now.distinct())
     seen = None
-    for _ in range(max_rounds):
+    if near and now.count() <= chains.ROWS:
+        now, max_rounds = stored(now.coalesce(1).mapInArrow(chains.in_chunks(chains.stars), now.schema)), 0
+    elif near:
+        now = now.repartitionByRange("u")
+    for left in reversed(range(max_rounds)):
+        if near:
+            now = now.mapInArrow(chains.in_chunks(chains.stars), now.schema)
         both = now.unionByName(now.select(F.col("v").alias("u"), F.col("u").alias("v")))
         large = _with_minimum(both).where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
         large = large.where("u <> v").distinct()
@@ -37,9 +48,9 @@ def connected_components(edges: DataFrame, src: str = "src", dst: str = "dst", m
         mark = now.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
         if mark == seen:
             break
+        if not left:
+            raise RuntimeError(f"components did not settle in {max_rounds} rounds")
         seen = mark
-    else:
-        raise RuntimeError(f"components did not settle in {max_rounds} rounds")
     roots = now.select(F.col("v").alias("node")).distinct()
     return now.select(F.col("u").alias("node"), F.col("v").alias("component")).unionByName(
         roots.select("node", F.col("node").alias("component"))
