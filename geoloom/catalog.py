@@ -849,7 +849,7 @@ def merge_across_tiles(spark, sf_dir):
 unit AS (SELECT DISTINCT component, x, y FROM (SELECT component, x, unnest(range(d_y0, d_y1)) AS y FROM (SELECT component, unnest(range(d_x0, d_x1)) AS x, d_y0, d_y1 FROM whole JOIN dets ON id = det_id WHERE component IN (SELECT component FROM inner_ones))))
 SELECT component, CAST(count(*) AS DOUBLE) AS area FROM unit GROUP BY component""")
 def merge_within_tiles(spark, sf_dir):
-    _, _, within = post.merge_across_tiles(fixtures.detections(spark, sf_dir), fixtures.tiles(spark, sf_dir), tilesets.TILE_BOX, 2)
+    within = post.merge_within_tiles(fixtures.detections(spark, sf_dir), fixtures.tiles(spark, sf_dir), tilesets.TILE_BOX, 2)
     return within.groupBy("component").agg(F.sum("area").alias("area"))
 
 
