@@ -6,13 +6,17 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from geoloom.config import check_empty_years, check_false_years
+from geoloom.functions.boxes import unite
 from geoloom.functions.geometry import Box, mercator_tile, tile_degrees
 from geoloom.operators.coverage import coverage_test, uncovered
+from geoloom.operators.outline import PART, TABLES, UNION
 from geoloom.storage import cut_lineage
 
 DEGREES = ("west", "south", "east", "north")
 CELL_BOX = ("c_x0", "c_y0", "c_x1", "c_y1")
 HOLE_BOX = ("n_x0", "n_y0", "n_x1", "n_y1")
+#: Boxes of nodata that the row of an image may hold.
+HOLES = 256
 
 
 def cover(boxes: DataFrame, zoom: int, year: str | None = None) -> DataFrame:
@@ -95,11 +99,61 @@ def sub_tiles(
     nodata has key and boxes n_x0..n_y1 of the image of that key, and may overlap. A large cell stays if it leaves open
     more than the first limit of its area; a small one if more than least_area of it lies off the large ones and nodata
     leaves open more than the second limit of that part.
+
+    An image with up to HOLES boxes of nodata has them united in its row, where its cells are tried; others go by joins.
     """
-    holes = nodata.select(F.col(key).alias("_image"), *HOLE_BOX)
+    holes = nodata.select(F.col(key).alias("_image"), *HOLE_BOX).where("n_x1 > n_x0 AND n_y1 > n_y0")
+    images = images.select(key, *box, width, height, pixel)
+    full = cut_lineage(holes.groupBy("_image").agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > HOLES).select(F.col("_image").alias(key)))
+    some = not full.isEmpty()
+    few = _tried(images.join(full.hint("merge"), key, "left_anti") if some else images, box, key, width, height, pixel, holes, sides, limits, least_area)
+    if some:
+        few = few.unionByName(_joined(images.join(full.hint("merge"), key, "left_semi"), box, key, width, height, pixel, holes, sides, limits, least_area, cell))
+    whole = lambda c: F.bround(c).cast("long")
+    number = F.format_string("(%d, %d, %s)", whole("c_x0"), whole("c_y0"), F.col(key).cast("string"))
+    cut = {"c_x1": F.least("c_x1", box[2]), "c_y1": F.least("c_y1", box[3])}
+    return few.withColumn("id", number).withColumns(cut).select(key, "id", "side", *CELL_BOX)
+
+
+def _tried(images: DataFrame, box: Box, key: str, width: str, height: str, pixel: str, holes: DataFrame, sides: tuple[int, int], limits: tuple[float, float], least_area: float) -> DataFrame:
+    """(images..., side, c_x0..c_y1): the cells of sub_tiles(), tried in the row of their image."""
+    each = F.struct(F.lit(False).alias("second"), *(F.col(c).cast("double").alias(n) for c, n in zip(HOLE_BOX, PART, strict=True)))
+    own = holes.groupBy("_image").agg(F.collect_set(each).alias("_b")).select("_image", unite(TABLES[UNION])("_b").alias("_holes"))
+    joined = images.join(own.hint("merge"), F.col(key) == F.col("_image"), "left").drop("_image").withColumn("_holes", F.coalesce("_holes", F.array().cast(own.schema["_holes"].dataType)))
+    at = lambda low, px, more=0: (F.col(low) + (px + more) * F.col(pixel)).cast("double")
+
+    def grid(side: int) -> Column:
+        span = lambda size: F.sequence(F.lit(0), _cells(F.col(size), side, 0) - 1)
+        one = lambda c, r: F.struct(*(v.alias(n) for v, n in zip((at(box[0], c * side), at(box[1], r * side), at(box[0], c * side, side), at(box[1], r * side, side)), CELL_BOX, strict=True)))
+        return F.flatten(F.transform(span(width), lambda c: F.transform(span(height), lambda r: one(c, r))))
+
+    def common(*boxes: list[Column]) -> Column:
+        wide, high = (F.least(*(b[k + 2] for b in boxes)) - F.greatest(*(b[k] for b in boxes)) for k in (0, 1))
+        return F.greatest(wide, F.lit(0.0)) * F.greatest(high, F.lit(0.0))
+
+    c, h = lambda v: [v[n] for n in CELL_BOX], lambda v: [v[n] for n in PART]
+    total = lambda values, f: F.aggregate(values, F.lit(0.0), lambda s, v: s + f(v))
+    area = lambda b: (b[2] - b[0]) * (b[3] - b[1])
+    share = lambda covered, b: F.greatest(F.lit(0.0), 1 - F.try_divide(covered, area(b)))
+    open_ = lambda v: share(total("_holes", lambda o: common(c(v), h(o))), c(v))
+    large = joined.withColumn("_large", F.filter(grid(sides[0]), lambda v: (open_(v) > 0) & (open_(v) > limits[0])))
+    own_box = [F.col(n) for n in CELL_BOX]
+    marked = lambda cells, k: F.transform(cells, lambda v: F.struct(F.lit(sides[k]).alias("side"), F.lit(k == 0).alias("_kept"), *(v[n].alias(n) for n in CELL_BOX)))
+    small = large.withColumn("_v", F.explode(F.concat(marked(F.col("_large"), 0), marked(grid(sides[1]), 1)))).select(*images.columns, "_holes", "_large", "_v.*")
+    # Large cells don't overlap each other, and neither do united holes: what both cover is their sums less what they share.
+    small = small.withColumn("_over", F.filter("_large", lambda v: common(c(v), own_box) > 0)).withColumn("_under", total("_over", lambda v: common(c(v), own_box)))
+    both = total("_over", lambda v: total("_holes", lambda o: common(c(v), h(o), own_box)))
+    small = small.withColumn("_covered", F.col("_under") + total("_holes", lambda o: common(h(o), own_box)) - both)
+    off = share(F.col("_under"), own_box)
+    free = (off * area(own_box) > least_area) & (share(F.col("_covered"), own_box) > off * limits[1])
+    return small.where(F.col("_kept") | free).select(*images.columns, "side", *CELL_BOX)
+
+
+def _joined(images: DataFrame, box: Box, key: str, width: str, height: str, pixel: str, holes: DataFrame, sides: tuple[int, int], limits: tuple[float, float], least_area: float, cell: float) -> DataFrame:
+    """The same for images of any amount of nodata."""
 
     def level(k: int) -> DataFrame:
-        cells = world_grid(images.select(key, *box, width, height, pixel), box, width, height, pixel, sides[k])
+        cells = world_grid(images, box, width, height, pixel, sides[k])
         return cells.withColumn("_cell", F.struct(key, "col", "row")).withColumn("side", F.lit(sides[k]))
 
     free = lambda cells, cover: uncovered(cells, CELL_BOX, "_cell", cover, HOLE_BOX, [(key, "_image")], cell)
@@ -111,7 +165,4 @@ def sub_tiles(
     small = small.join(off.hint("merge"), "_cell").join(open_.hint("merge"), "_cell")
     area = (F.col("c_x1") - F.col("c_x0")) * (F.col("c_y1") - F.col("c_y0"))
     small = small.where((F.col("_off") * area > least_area) & (F.col("_open") > F.col("_off") * limits[1])).drop("_off", "_open")
-    whole = lambda c: F.bround(c).cast("long")
-    number = F.format_string("(%d, %d, %s)", whole("c_x0"), whole("c_y0"), F.col(key).cast("string"))
-    cut = {"c_x1": F.least("c_x1", box[2]), "c_y1": F.least("c_y1", box[3])}
-    return large.unionByName(small).withColumn("id", number).withColumns(cut).select(key, "id", "side", *CELL_BOX)
+    return large.unionByName(small).select(*images.columns, "side", *CELL_BOX)

@@ -2,13 +2,13 @@
 
 import numpy as np
 import pytest
-from conftest import SMALL
+from conftest import SMALL, rows_of
 from pyspark.sql import functions as F
 from test_outline import BOX, cells_of, filled, frame, pieces_of, random_boxes
 
 from geoloom import catalog
 from geoloom.functions import boxes, chains
-from geoloom.operators import graph, outline
+from geoloom.operators import graph, grids, outline
 
 QUERIES = catalog.queries()
 
@@ -73,3 +73,20 @@ def test_queries_without_large_groups_are_the_same_by_joins(spark, monkeypatch,
     whole = rows()
     monkeypatch.setattr(outline, "GROUP", 2)
     assert whole == rows()
+
+
+def test_sub_tiles_are_tried_in_the_row_of_their_image(spark, monkeypatch):
+    """One exchange of nodata and one of images; images with much nodata go by joins and give the same."""
+    found = QUERIES["sub_tiles"](spark, SMALL)
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") <= 3 and "_cx" not in plan
+    rng = np.random.default_rng(5)
+    images = spark.createDataFrame([(k, 100.0 * k, 0.0, 100.0 * k + 90, 70.0, 900, 700, 0.1) for k in range(8)], "n int, a double, b double, c double, d double, w int, h int, pixel double")
+    holes = [(int(k), float(100 * k + x), float(y), float(100 * k + x + w), float(y + h)) for k, x, y, w, h in zip(rng.integers(0, 7, 60), *(rng.integers(0, 80, (2, 60)) * 1.0), *(rng.integers(0, 30, (2, 60)) * 1.0), strict=True)]
+    nodata = spark.createDataFrame([*holes, (7, None, 0.0, 1.0, 1.0)], "n int, n_x0 double, n_y0 double, n_x1 double, n_y1 double")
+    rows = lambda: rows_of(("n", "id", "side", *grids.CELL_BOX), [tuple(r) for r in grids.sub_tiles(images, ("a", "b", "c", "d"), "n", "w", "h", "pixel", nodata, (256, 128)).collect()])
+    tried = rows()
+    monkeypatch.setattr(grids, "HOLES", 8)
+    assert tried == rows()
+    monkeypatch.setattr(grids, "HOLES", 0)
+    assert tried == rows()
