@@ -23,19 +23,20 @@ def connected_components(edges: DataFrame, src: str = "src", dst: str = "dst", m
     an empty edge table gives an empty result.
 
     With near, nodes are numbers, best such that lie close together where they are linked, as ids of neighbouring boxes do: each
-    task first finds what its own edges link, and rounds are needed only for what lies in several tasks, so not for as few
+    task first finds what its own edges link and writes an edge for each of its nodes at most, and rounds are needed only for what lies in several tasks, so not for as few
     edges as one may hold (chains.ROWS).
     """
     now = edges.select(F.col(src).alias("u"), F.col(dst).alias("v")).where("u <> v")
-    now = stored(now if near else now.distinct())
+    linked = lambda df: df.mapInArrow(chains.in_chunks(chains.stars), df.schema)
+    now = stored(linked(now) if near else now.distinct())
     seen = None
     if near and now.count() <= chains.ROWS:
-        now, max_rounds = stored(now.coalesce(1).mapInArrow(chains.in_chunks(chains.stars), now.schema)), 0
+        now, max_rounds = stored(linked(now.coalesce(1))), 0
     elif near:
         now = now.repartitionByRange("u")
     for left in reversed(range(max_rounds)):
         if near:
-            now = now.mapInArrow(chains.in_chunks(chains.stars), now.schema)
+            now = linked(now)
         both = now.unionByName(now.select(F.col("v").alias("u"), F.col("u").alias("v")))
         large = _with_minimum(both).where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
         large = large.where("u <> v").distinct()

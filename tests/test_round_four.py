@@ -8,7 +8,7 @@ from test_outline import BOX, cells_of, filled, frame, pieces_of, random_boxes
 
 from geoloom import catalog
 from geoloom.functions import boxes, chains
-from geoloom.operators import graph, grids, outline
+from geoloom.operators import graph, grids, outline, post
 
 QUERIES = catalog.queries()
 
@@ -90,3 +90,15 @@ def test_sub_tiles_are_tried_in_the_row_of_their_image(spark, monkeypatch):
     assert tried == rows()
     monkeypatch.setattr(grids, "HOLES", 0)
     assert tried == rows()
+
+
+@pytest.mark.parametrize("rows", [500, 1_000_000])
+def test_pairs_that_overlap_are_not_written(spark, monkeypatch, rows):
+    """Two stacks of 300 boxes have 89 700 pairs, of which a task keeps a link for each box and chunk of pairs at most."""
+    monkeypatch.setattr(chains, "ROWS", rows)
+    written, keep = [], graph.stored
+    monkeypatch.setattr(graph, "stored", lambda df: written.append(keep(df)) or written[-1])
+    stacks = spark.range(600).select(F.col("id").alias("det_id"), *((F.col("id") % 2 * 500 + F.col("id") % 3 + k).alias(c) for c, k in zip(post.DET_BOX, (0, 0, 20, 20), strict=True)))
+    found = post.groups(stacks, post.overlapping(stacks)).collect()
+    assert {(r.det_id % 2, r.component) for r in found} == {(0, 0), (1, 1)} and len(found) == 600
+    assert max(df.count() for df in written) < (45_000 if rows == 500 else 1300)
