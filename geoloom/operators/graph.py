@@ -15,7 +15,7 @@ def _with_minimum(directed: DataFrame) -> DataFrame:
     return directed.join(least, "u")
 
 
-def connected_components(edges: DataFrame, src: str = "src", dst: str = "dst", max_rounds: int = 100, near: bool = False) -> DataFrame:
+def connected_components(edges: DataFrame, src: str = "src", dst: str = "dst", near: bool = False, max_rounds: int = 100) -> DataFrame:
     """(node, component): the least node that each node of the edges reaches.
 
     Alternating large-star and small-star steps: each keeps at most as many edges as it got, and a hub's edges are
